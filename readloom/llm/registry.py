@@ -1,12 +1,13 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import mixing, packing, quality, token_counts, toxicity
+from . import media, mixing, packing, quality, token_counts, toxicity
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_mixing": mixing.op3_mixing,
     "op5_packing": packing.op5_packing,
+    "op7_media": media.op7_media,
     "op9_quality": quality.op9_quality,
 }
 
