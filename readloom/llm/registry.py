@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import media, mixing, packing, quality, search, token_counts, toxicity
+from . import media, mixing, packing, quality, search, secrets, token_counts, toxicity
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op5_packing": packing.op5_packing,
     "op7_media": media.op7_media,
+    "op8_secrets": secrets.op8_secrets,
     "op9_quality": quality.op9_quality,
     "op10_search": search.op10_search,
 }
