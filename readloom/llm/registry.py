@@ -1,11 +1,12 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import media, mixing, neardup, packing, quality, search, secrets, token_counts, toxicity
+from . import media, mixing, neardup, packing, quality, search, secrets, suffixes, token_counts, toxicity
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_mixing": mixing.op3_mixing,
+    "op4_suffixes": suffixes.op4_suffixes,
     "op5_packing": packing.op5_packing,
     "op6_neardup": neardup.op6_neardup,
     "op7_media": media.op7_media,
