@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -106,6 +107,16 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         lo = hi
 
 
+def pieces(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows that hold about `size` bytes of the column, one row at least."""
+    length = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), np.int64)
+    ends, lo = np.cumsum(length), 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit words (the splitmix64 finaliser)."""
     x = x.astype(np.uint64, copy=True)

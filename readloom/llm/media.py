@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import table
+from .common import pieces, table
 
 UNIT = 192
 WIDTH = 192  # blocks
@@ -266,7 +266,7 @@ def encode_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, n_bytes, media): each whole text as a media value. Null and empty texts give one row of spaces."""
 
     def run(batches):
-        for b in batches:
+        for b in (p for whole in batches for p in pieces(whole, 1)):
             pairs = [payload_of(t.as_py()) for t in b.column(1)]
             media = encode([p for _, p in pairs]) if pairs else []
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([n for n, _ in pairs], pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
@@ -282,7 +282,7 @@ def read_column(media: DataFrame, id_col: str = "doc_id", media_col: str = "medi
     """What the stored media say: dimensions, and digests and the difference hash of their thumbnails."""
 
     def run(batches):
-        for b in batches:
+        for b in (p for whole in batches for p in pieces(whole, 2)):
             values = [m.as_py() for m in b.column(2)]
             rows = []
             for m, (w, h, thumb) in zip(values, thumbnails(values) if values else []):
