@@ -1,3 +1,53 @@
-STAGES = []
+"""The corpus pipeline: toxicity, near duplicates, secrets, mixing, packing."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from readloom.llm import mixing, neardup, packing, secrets, toxicity
+from readloom.llm.common import find_package, settle, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below one half; the model learns outside its held-out fold of the labels."""
+    find_package(spark)
+    return toxicity.reject(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    find_package(spark)
+    return neardup.keep_one(docs)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by a mark, n_chars counted anew where that is so."""
+    clean = secrets.redact(docs)
+    return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in training order: as often as the mix takes them, so some several times and some never."""
+    return mixing.schedule(docs, docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document lies in the token-budget batches of its length bucket."""
+    return packing.pack(docs, carry=["source"]).select("doc_id", "row.source", "length", "bucket", "bound", "batch", "slot", "padding")
+
+
+STAGES = [("toxicity", drop_toxic), ("neardup", drop_copies), ("secrets", hide_secrets), ("mixing", mix), ("packing", pack)]
+
+#: Boosted trees, MinHash and the packing programme are beyond SQL; tests/llm holds brute-force versions.
 ORACLE_SQL = None
-def run(spark, sf_dir): ...
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir, each written as Parquet and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = settle(docs)
+    return docs

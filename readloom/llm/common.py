@@ -8,9 +8,11 @@ repeated rows are rows of their own unless an operator says otherwise.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 3 << 20  # text handled at once by the numpy code
 
 
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers on this file system import this package from wherever the driver did."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, [env.get("PYTHONPATH")])])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
