@@ -89,7 +89,7 @@ def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """Per document: size, source_size, target, taken, and the position at which it is first due (null: never)."""
     mixed = curriculum(table(spark, sf_dir, "documents"))
     out = mixed.select("doc_id", "size", "source_size", "target", "taken", F.round(F.try_element_at("passes", F.lit(1))["position"], 9).alias("position"))
-    return out.repartitionByRange("position").sortWithinPartitions("position")
+    return out.repartitionByRange("position", order_key("doc_id")).sortWithinPartitions("position")
 
 
 ORACLE = r"""
