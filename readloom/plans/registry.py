@@ -1,8 +1,10 @@
-"""The registered queries and their SQL."""
+"""All queries of the library outside the corpus operators, and their SQL."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from . import base, reads  # noqa: F401
+
+QUERIES = base.QUERIES
+ORACLE = base.ORACLE
 
 
 def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("user_id").count()
+    return QUERIES["correct_exact_one_multi"](spark, sf_dir)
