@@ -169,39 +169,106 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def remaining(inside: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a band, lie in different components, and agree in LIKELY registers.
+def multisets(texts: DataFrame) -> DataFrame:
+    """(key, text) -> (key, items): the sorted 64-bit items of each multiset; the n-th copy of a shingle is an item of its own."""
+
+    def run(batches):
+        for b in (p for whole in batches for p in pieces(whole, 1)):
+            items = []
+            for lo, hi, data, off in slices(b.column(1)):
+                d, h, w = shingles(data, off)
+                copy = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
+                d, h = np.repeat(d, w), mix64(np.repeat(h, w) + copy.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+                order = np.argsort(h, kind="stable")
+                order = order[np.argsort(d[order], kind="stable")]
+                items += [x.tobytes() for x in np.split(h[order], np.searchsorted(d[order], np.arange(1, hi - lo)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(items, pa.binary())], ["key", "items"])
+
+    return texts.mapInArrow(run, "key binary, items binary")
+
+
+def likely(t: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """The left rows of a tile; to each, the right rows of other components that agree in LIKELY registers and share no earlier band; components."""
+    sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    bands = sig.view(np.uint32) if ROWS == 4 else None
+    left = t["left"].to_numpy()
+    comp = np.unique(np.array([c.hex() for c in t["comp"].to_pylist()]), return_inverse=True)[1]
+    band = t["band"][0].as_py()
+    right = np.flatnonzero(~left)
+    out = []
+    for i in np.flatnonzero(left):
+        other = right[comp[right] != comp[i]]
+        other = other[(sig[other] == sig[i]).sum(1) >= LIKELY]
+        out.append(other[(bands[other, :band] == bands[i, :band]).sum(1) == 0])
+    return np.flatnonzero(left), out, comp
+
+
+def remaining(inside: DataFrame, nodes: DataFrame, comps: DataFrame, sources: DataFrame, similar: float) -> DataFrame:
+    """Links (a, b) that the first round missed: pairs that share a band, lie in different components, agree in LIKELY registers and are similar enough.
 
     In each bucket the documents outside the component of its centre meet all others that are not of their own
-    component, in tiles of TILE_A by TILE_B, each of which one task compares by signature.
+    component, in tiles of TILE_A by TILE_B, each of which one task compares: first by signature alone, to find
+    the documents that have a likely partner at all, then these again with their multisets. A pair belongs to
+    the first band that it shares. Of a tile's links only those are returned that join what its earlier ones
+    have not, so there are fewer links than documents, whatever the number of pairs.
     """
     placed = inside.join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     centres = placed.where(F.col("key") == F.col("centre")).select("bucket", F.col("comp").alias("major"))
     placed = placed.join(centres, "bucket").withColumn("minor", F.col("comp") != F.col("major"))
     mixed = placed.groupBy("bucket").agg(F.sum(F.col("minor").cast("long")).alias("minors")).where("minors > 0")
     # a bucket of two was verified in the first round
-    placed = placed.where("n > 2").join(mixed, "bucket").join(nodes.select("key", "sig"), "key")
-    cut = lambda n: F.ceil(n).cast("int")
-    a_tiles, b_tiles = cut(F.col("minors") / TILE_A), cut(F.col("n") / TILE_B)
-    mine = lambda tiles: F.pmod(F.xxhash64("key"), tiles.cast("long")).cast("int")
-    span = lambda tiles: F.explode(F.sequence(F.lit(0), tiles - 1))
-    a = placed.where("minor").select("bucket", "key", "comp", "sig", F.lit(True).alias("left"), mine(a_tiles).alias("i"), span(b_tiles).alias("j"))
-    b = placed.select("bucket", "key", "comp", "sig", F.lit(False).alias("left"), span(a_tiles).alias("i"), mine(b_tiles).alias("j"))
-
-    def run(t: pa.Table) -> pa.Table:
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        left = np.array(t["left"].to_pylist(), bool)
-        keys, comp = t["key"].to_pylist(), np.unique(np.array([c.hex() for c in t["comp"].to_pylist()]), return_inverse=True)[1]
-        right = np.flatnonzero(~left)
-        out = set()
-        for i in np.flatnonzero(left):
-            other = right[comp[right] != comp[i]]
-            alike = (sig[other] == sig[i]).sum(1)
-            for j in other[alike >= LIKELY]:
-                out.add((min(keys[i], keys[j]), max(keys[i], keys[j])))
+    placed = settle(placed.where("n > 2").join(mixed, "bucket").join(nodes.select("key", "sig"), "key"))
+
+    def tiles(rows: DataFrame, extra: list[str]) -> DataFrame:
+        cols = ["bucket", "band", "key", "comp", "sig", *extra]
+        a_tiles, b_tiles = F.ceil(F.col("minors") / TILE_A).cast("int"), F.ceil(F.col("n") / TILE_B).cast("int")
+        mine = lambda n: F.pmod(F.xxhash64("key"), n.cast("long")).cast("int")
+        span = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        a = rows.where("minor").select(*cols, F.lit(True).alias("left"), mine(a_tiles).alias("i"), span(b_tiles).alias("j"))
+        b = rows.select(*cols, F.lit(False).alias("left"), span(a_tiles).alias("i"), mine(b_tiles).alias("j"))
+        return a.unionByName(b).groupBy("bucket", "i", "j")
+
+    def partners(t: pa.Table) -> pa.Table:
+        left, others, _ = likely(t)
+        has = np.unique(np.concatenate([*[o for o in others], left[[len(o) > 0 for o in others]]]).astype(np.int64))
+        keys = t["key"].take(pa.array(has)).unique()
+        return pa.table({"bucket": pa.array([t["bucket"][0].as_py()] * len(keys), pa.int64()), "key": keys})
+
+    def link(t: pa.Table) -> pa.Table:
+        left, others, comp = likely(t)
+        items = [np.frombuffer(x, np.uint64) for x in t["items"].to_pylist()]
+        size = np.array([len(x) for x in items])
+        keys, top = t["key"].to_pylist(), list(range(int(comp.max()) + 1))
+
+        def root(c: int) -> int:
+            while top[c] != c:
+                top[c] = top[top[c]]
+                c = top[c]
+            return c
+
+        out = []
+        for i, other in zip(left, others):
+            mine = items[i]
+            for lo in range(0, len(other), 256):
+                part = np.array([j for j in other[lo : lo + 256] if root(comp[j]) != root(comp[i])], np.int64)
+                if not len(part):
+                    continue
+                all_ = np.concatenate([items[j] for j in part])
+                at = np.minimum(np.searchsorted(mine, all_), len(mine) - 1)
+                shared = np.add.reduceat((mine[at] == all_).astype(np.int64), np.concatenate([[0], np.cumsum(size[part])[:-1]]))
+                for j in part[shared / (size[part] + len(mine) - shared) >= similar]:
+                    a, b = root(comp[i]), root(comp[j])
+                    if a != b:
+                        top[b] = a
+                        out.append((keys[i], keys[j]))
         return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
 
-    return settle(a.unionByName(b).groupBy("bucket", "i", "j").applyInArrow(run, "a binary, b binary").distinct())
+    able = settle(tiles(placed, []).applyInArrow(partners, "bucket long, key binary").distinct())
+    keys = settle(able.select("key").distinct())
+    few = keys.count() <= BROADCAST_KEYS
+    texts = sources.join(F.broadcast(keys) if few else keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    full = placed.join(able, ["bucket", "key"], "left_semi").join(multisets(texts), "key")
+    return settle(tiles(full, ["items"]).applyInArrow(link, "a binary, b binary").distinct())
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
@@ -220,7 +287,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     texts = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text_of(text_col).cast("binary"))).alias("key"), text_of(text_col).alias("text"))
     signed = settle(sign(texts))
     nodes = settle(signed.groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands")))
-    banded = nodes.select("key", F.explode("bands").alias("bucket"))
+    banded = nodes.select("key", F.posexplode("bands").alias("band", "bucket"))
     full = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     inside = settle(banded.join(full, "bucket"))
     shared = inside.groupBy("key").agg(F.sum("n").alias("shared"))
@@ -230,11 +297,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     sources = texts.select("key", "text")
     links = verify(settle(inside.where(F.col("key") != F.col("centre")).select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()), sources, similar)
     comps = components(links)
-    more = remaining(inside, nodes, comps)
-    if not more.isEmpty():
-        found = verify(more, sources, similar)
-        if not found.isEmpty():
-            comps = components(links.union(found))
+    found = remaining(inside, nodes, comps, sources, similar)
+    if not found.isEmpty():
+        comps = components(links.union(found))
     placed = signed.select("id", "key").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     named = placed.groupBy("comp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
     return placed.join(named, "comp").select("id", "key", "class_id", "class_size")
