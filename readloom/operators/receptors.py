@@ -18,16 +18,15 @@ def chain_counts(hits: DataFrame) -> DataFrame:
 def top_unless_close(votes: DataFrame, by: str, option: str, ratio: float = 0.15) -> DataFrame:
     """Per `by` the option with most votes n if it is alone or the second has under ratio of its votes, else all."""
     w = Window.partitionBy(by).orderBy(F.desc("n"), option)
-    d = votes.withColumn("r", F.row_number().over(w)).withColumn("first", F.max("n").over(Window.partitionBy(by))).withColumn("second", F.max(F.when(F.col("r") == 2, F.col("n"))).over(Window.partitionBy(by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    d = votes.withColumn("r", F.row_number().over(w)).withColumn("k", F.struct("n", "r"))
+    d = votes.withColumn("r", F.row_number().over(w))
     both = d.groupBy(by).agg(F.max("n").alias("first"), F.max(F.when(F.col("r") == 2, F.col("n"))).alias("second"))
     clear = F.col("second").isNull() | (F.col("second") / F.col("first") < ratio)
     return d.join(both, by).where((F.col("r") == 1) | ~clear).select(by, option, "n")
 
 
-def contig_reads(pileup: DataFrame, order: str) -> DataFrame:
+def contig_reads(pileup: DataFrame, order: list[str]) -> DataFrame:
     """Per contig the first sum plus all increases along it."""
-    w = Window.partitionBy("contig").orderBy(order)
+    w = Window.partitionBy("contig").orderBy(*order)
     step = F.greatest(F.col("total") - F.coalesce(F.lag("total").over(w), F.lit(0)), F.lit(0))
     return pileup.withColumn("step", step).groupBy("contig").agg(F.sum("step").alias("reads"))
 
