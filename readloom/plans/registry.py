@@ -1,6 +1,6 @@
 """All queries of the library outside the corpus operators, and their SQL."""
 
-from . import base, counts, reads, receptors, regions  # noqa: F401
+from . import base, counts, reads, receptors, regions, tables  # noqa: F401
 
 QUERIES = base.QUERIES
 ORACLE = base.ORACLE
