@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,9 +20,8 @@ def sign_code(vector: str | Column, bits: int = BITS) -> Column:
     return out
 
 
-def segments_for(codes: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of the segments: about log2 of the number of codes wide, 8 to 16 bits."""
-    width = min(16, max(8, round(math.log2(max(codes, 2)))))
+def segments_of(width: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of segments of about `width` bits."""
     n = -(-BITS // width)
     cuts = [round(i * BITS / n) for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
@@ -34,7 +31,7 @@ def segment(code: Column, first: int, width: int) -> Column:
     return F.shiftrightunsigned(code, first).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", width: int = 16) -> DataFrame:
     """(query, rank, neighbour, distance): for each query row the k rows of `rows` at the least Hamming distance.
 
     Distances are between sign codes; ties go to the smaller id; a query does not find its own id. Rows with a null id or
@@ -44,7 +41,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     of them. The index lists each distinct code under its value in each segment. Round r looks up, for each
     query still open and each segment, the codes whose segment differs in exactly r bits, so all codes
     within s * (r + 1) - 1 bits have been seen after it (s segments). A query is closed when k verified
-    neighbours lie within that distance. Equal query codes are searched once.
+    neighbours lie within that distance. Equal query codes are searched once. A bucket of the index holds about
+    2**-width of the distinct codes: for many more than 2**16 codes a larger width keeps the buckets short.
     """
     code = sign_code(vector_col)
     keep = lambda df: df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), code.alias("code")).groupBy("id").agg(F.min("code").alias("code"))
@@ -53,8 +51,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     few = codes.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64))).withColumn("n", F.row_number().over(near)).where(F.col("n") <= k + 1)
     entries = settle(few.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids")))
     asked = settle(keep(queries))
-    n = entries.count()
-    parts = segments_for(n)
+    parts = segments_of(width)
     listed = F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), segment(F.col("code"), a, w).alias("value")) for i, (a, w) in enumerate(parts)]))
     index = settle(entries.select("code", F.size("ids").alias("held"), listed.alias("at")).select("code", "held", "at.seg", "at.value"))
     widest = max(w for _, w in parts)
@@ -67,7 +64,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
             bit = F.explode(F.when(F.col("next") < F.col("width"), F.sequence("next", F.col("width") - 1)))
             probes = probes.select("q", "seg", "width", "value", bit.alias("bit"))
             probes = probes.select("q", "seg", "width", F.expr("value ^ shiftleft(1, bit)").alias("value"), (F.col("bit") + 1).alias("next"))
-        hits = probes.select("q", "seg", "value").join(index, ["seg", "value"]).select("q", "code", "held")
+        # a merge join: the planner's size of the probes is that of the queries, far below what they expand to
+        hits = probes.select("q", "seg", "value").join(index.hint("merge"), ["seg", "value"]).select("q", "code", "held")
         hits = hits.withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("int"))
         if found is not None:
             hits = hits.unionByName(found.join(open_, "q", "left_semi"))
