@@ -197,11 +197,11 @@ def _(spark, sf):
 
 # markers
 
-MK = "mk as (select l_returnflag as cluster, l_partkey as gene, round(avg(l_extendedprice), 2) as fc, round(avg(l_discount), 9) as p from lineitem group by all)"
+MK = "mk as (select l_returnflag as cluster, l_partkey as gene, round(sum(l_extendedprice), 2) as fc, round(avg(l_discount), 9) as p from lineitem group by all)"
 
 
 def marks(spark, sf):
-    return t(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("cluster"), F.col("l_partkey").alias("gene")).agg(F.round(F.avg("l_extendedprice"), 2).alias("fc"), F.round(F.avg("l_discount"), 9).alias("p"))
+    return t(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("cluster"), F.col("l_partkey").alias("gene")).agg(F.round(F.sum("l_extendedprice"), 2).alias("fc"), F.round(F.avg("l_discount"), 9).alias("p"))
 
 
 @query("top_markers", f"with {MK}, r as (select *, row_number() over (partition by cluster order by p, fc desc, gene) as r from mk) select cluster, gene, fc, p from r where r <= 20")
