@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .ranking import ranked
+
 
 def ordmag(sums: DataFrame, expected: int, quantile: float = 0.99) -> DataFrame:
     """Barcodes with at least a tenth of the UMIs of the barcode at rank expected * (1 - quantile), without resampling."""
@@ -43,8 +45,7 @@ def benjamini_hochberg(df: DataFrame, p: str, order: list[str]) -> DataFrame:
 
 def ambient_profile(counts: DataFrame, sums: DataFrame, low: int, high: int) -> DataFrame:
     """(gene, p): shares in barcodes of UMI rank low < rank <= high, with add-half smoothing for genes not seen there."""
-    order = Window.orderBy(F.desc("umis"), "cell")
-    ambient = sums.withColumn("r", F.row_number().over(order)).where((F.col("r") > low) & (F.col("r") <= high)).select("cell")
+    ambient = ranked(sums, "umis", ["cell"], "r").where((F.col("r") > low) & (F.col("r") <= high)).select("cell")
     seen = counts.join(ambient, "cell", "left_semi").groupBy("gene").agg(F.sum("umis").alias("u"))
     genes = counts.select("gene").distinct().join(seen, "gene", "left").withColumn("u", F.coalesce("u", F.lit(0)) + 0.5)
     return genes.withColumn("p", F.col("u") / F.sum("u").over(Window.partitionBy())).select("gene", "p")

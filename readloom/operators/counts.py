@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .ranking import ranked
+
 
 def accept_reads(aln: DataFrame, unique_mapq: int = 255) -> DataFrame:
     """Alignments (qname, gene, mapq, exonic) -> (qname, gene): reads of exactly one gene that are unique or have several
@@ -73,7 +75,7 @@ def downsample(det: DataFrame, steps: int = 10, seed: str = "s") -> DataFrame:
 def barcode_rank(sums: DataFrame, cells: DataFrame) -> DataFrame:
     """rank from 0 by UMIs, cells first among equals, then by name."""
     flagged = sums.join(cells.withColumn("is_cell", F.lit(True)), "cell", "left").withColumn("is_cell", F.coalesce("is_cell", F.lit(False)))
-    return flagged.withColumn("idx", F.row_number().over(Window.orderBy(F.desc("umis"), F.desc("is_cell"), "cell")) - 1)
+    return ranked(flagged, "umis", [F.desc("is_cell"), "cell"], "idx").withColumn("idx", F.col("idx") - 1)
 
 
 def rank_segments(ranked: DataFrame, first: int = 1000, factor: int = 4) -> DataFrame:

@@ -56,3 +56,44 @@ def knn(queries: DataFrame, rows: DataFrame, key: str, vec: str, k: int, block:
     found = q.unionByName(r).groupBy("i", "j").applyInPandas(near, f"{key} long, neighbour long, distance double")
     w = Window.partitionBy(key).orderBy("distance", "neighbour")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def variable_genes(counts: DataFrame, n: int) -> DataFrame:
+    """The n genes of the largest dispersion (variance over mean) of log-normalised values, cells without the gene counted as 0."""
+    norm = counts.withColumn("x", F.log1p(10000 * F.col("umis") / F.sum("umis").over(Window.partitionBy("cell"))))
+    cells = counts.select("cell").distinct().agg(F.count("*").alias("cells")).withColumn("k", F.lit(1))
+    per = norm.groupBy("gene").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q")).withColumn("k", F.lit(1)).join(F.broadcast(cells), "k")
+    mean = F.col("s") / F.col("cells")
+    var = (F.col("q") - F.col("s") * mean) / F.greatest(F.col("cells") - 1, F.lit(1))
+    return per.select("gene", F.round(var / mean, 6).alias("dispersion")).orderBy(F.desc("dispersion"), "gene").limit(n)
+
+
+def rank_test(counts: DataFrame, groups: DataFrame) -> DataFrame:
+    """(gene, cluster, z): rank-sum test of the UMIs of a cluster's cells against all others, with tie correction.
+
+    A cell without the gene has 0 UMIs: these ties are counted, not listed. Ranks come from counts per distinct value.
+    """
+    size = groups.groupBy("cluster").agg(F.count("*").cast("double").alias("n1"))
+    total = size.agg(F.sum("n1").alias("n")).withColumn("k", F.lit(1))
+    per = counts.join(groups, "cell").groupBy("gene", "umis", "cluster").agg(F.count("*").alias("c"))
+    value = per.groupBy("gene", "umis").agg(F.sum("c").alias("m")).withColumn("k", F.lit(1)).join(F.broadcast(total), "k")
+    w = Window.partitionBy("gene")
+    value = value.withColumn("zero", F.col("n") - F.sum("m").over(w))
+    below = F.col("zero") + F.coalesce(F.sum("m").over(w.orderBy("umis").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    value = value.withColumn("rank", below + (F.col("m") + 1) / 2).withColumn("ties", F.sum(F.pow("m", F.lit(3)) - F.col("m")).over(w) + F.pow("zero", F.lit(3)) - F.col("zero"))
+    got = per.join(value.select("gene", "umis", "rank", "ties", "zero", "n"), ["gene", "umis"]).groupBy("gene", "cluster").agg(F.sum(F.col("c") * F.col("rank")).alias("r"), F.sum("c").alias("seen"), F.max("ties").alias("ties"), F.max("zero").alias("zero"), F.max("n").alias("n"))
+    got = got.join(F.broadcast(size), "cluster")
+    r = F.col("r") + (F.col("n1") - F.col("seen")) * (F.col("zero") + 1) / 2
+    n, n1 = F.col("n"), F.col("n1")
+    n2 = n - n1
+    sd = F.sqrt(n1 * n2 / 12 * (n + 1 - F.col("ties") / (n * (n - 1))))
+    return got.select("gene", "cluster", F.round(F.try_divide(r - n1 * (n + 1) / 2, sd), 6).alias("z"))
+
+
+def cluster_rows(df: DataFrame, key: str, features: str, k: int, seed: int = 1) -> DataFrame:
+    """(key, cluster) by k-means on an array column."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    vec = df.select(key, array_to_vector(F.transform(features, lambda x: x.cast("double"))).alias("features"))
+    return KMeans(k=k, seed=seed).fit(vec).transform(vec).select(key, F.col("prediction").alias("cluster"))

@@ -105,3 +105,32 @@ def regions(df: DataFrame, seq: str, parts: list[str]) -> DataFrame:
         df = df.withColumn(f"{p}_start", F.when(F.col("__from") > 0, found).otherwise(0))
         at = F.when(F.col(f"{p}_start") > 0, F.col(f"{p}_start") + F.length(p)).otherwise(0)
     return df.drop("__from")
+
+
+#: Fixed values of the methylation layout: bases dropped at an adapter, start without one, longest insert, least length.
+DROP, START, LONGEST, LEAST = 9, 52, 81, 18
+
+
+def methyl_trim(df: DataFrame, r1: str, r2: str, adapter: str, reverse: str) -> DataFrame:
+    """Adds r1_kept and r2_kept.
+
+    r1: behind the adapter and DROP more bases, else from START; where the reverse adapter lies, up to DROP bases before it;
+    then at most LONGEST bases, empty unless more than LEAST are left. r2: without its first DROP bases, and up to DROP
+    bases before the reverse adapter.
+    """
+
+    @F.pandas_udf("a string, b string")
+    def run(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+        out = []
+        for one, two in zip(x, y):
+            one, two = one or "", two or ""
+            at = find_adapter(one, adapter, 0.1, DROP)
+            kept = one[at[1] + DROP :] if at else one[START:]
+            end = find_adapter(kept, reverse, 0.1, DROP)
+            kept = (kept[: max(0, end[0] - DROP)] if end else kept)[:LONGEST]
+            end = find_adapter(two, reverse, 0.1, DROP)
+            two = two[: max(0, end[0] - DROP)] if end else two
+            out.append((kept if len(kept) > LEAST else "", two[DROP:]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return df.withColumn("__m", run(r1, r2)).withColumn("r1_kept", F.col("__m.a")).withColumn("r2_kept", F.col("__m.b")).drop("__m")

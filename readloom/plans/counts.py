@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from ..operators import cells as L
 from ..operators import counts as C
+from ..operators.ranking import ranked
 from .base import READS, query, reads, t
 
 DET = READS + ", det as (select cell, gene, umi, count(*) as num from reads where umi <> repeat(substr(umi, 1, 1), length(umi)) group by all), cnt as (select cell, gene, count(*) as umis, cast(sum(num) as bigint) as reads from det group by all), sums as (select cell, cast(sum(umis) as bigint) as umis, cast(sum(reads) as bigint) as reads from cnt group by cell)"
@@ -163,12 +164,14 @@ def _(spark, sf):
 
 @query("order_id", f"with {DET} select cell, umis, cast(row_number() over (order by umis desc, cell) as integer) as order_id from sums")
 def _(spark, sf):
-    return sums(spark, sf).select("cell", "umis", F.row_number().over(Window.orderBy(F.desc("umis"), "cell")).alias("order_id"))
+    return ranked(sums(spark, sf).select("cell", "umis"), "umis", ["cell"], "order_id")
 
 
 @query("median_row", f"with {DET}, r as (select cell, umis, row_number() over (order by umis desc, cell) as r, count(*) over () as n from sums) select max(cell) filter (r = 1) as max_cell, max(cell) filter (r = floor(n / 2) + 1) as median_cell, cast(max(umis) filter (r = floor(n / 2) + 1) as bigint) as median_umis from r")
 def _(spark, sf):
-    r = sums(spark, sf).withColumn("r", F.row_number().over(Window.orderBy(F.desc("umis"), "cell"))).withColumn("n", F.count("*").over(Window.partitionBy()))
+    s = sums(spark, sf).select("cell", "umis")
+    n = s.agg(F.count("*").alias("n")).withColumn("k", F.lit(1))
+    r = ranked(s, "umis", ["cell"], "r").withColumn("k", F.lit(1)).join(F.broadcast(n), "k")
     mid = F.col("r") == F.floor(F.col("n") / 2) + 1
     return r.agg(F.max(F.when(F.col("r") == 1, F.col("cell"))).alias("max_cell"), F.max(F.when(mid, F.col("cell"))).alias("median_cell"), F.max(F.when(mid, F.col("umis"))).alias("median_umis"))
 

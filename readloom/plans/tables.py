@@ -232,6 +232,63 @@ def _(spark, sf):
     return K.marker_table(c, g)
 
 
+GRP = "grp as (select cell, case when cast(cell as bigint) % 2 = 0 then 'even' else 'odd' end as cluster from (select distinct cell from cnt))"
+
+
+def halves(c):
+    return c.select("cell").distinct().withColumn("cluster", F.when(F.col("cell").cast("long") % 2 == 0, "even").otherwise("odd"))
+
+
+@query("variable_genes", f"with {DET}, nm as (select cell, gene, ln(1 + 10000 * cast(umis as double) / cast(sum(umis) over (partition by cell) as double)) as x from cnt), n as (select count(distinct cell) as cells from cnt), p as (select gene, sum(x) as s, sum(x * x) as q from nm group by gene) select gene, round(((q - s * (s / cells)) / greatest(cells - 1, 1)) / (s / cells), 6) as dispersion from p, n order by dispersion desc, gene limit 4")
+def _(spark, sf):
+    return K.variable_genes(cnt(spark, sf), 4)
+
+
+@query("rank_test", f"""with {DET}, {GRP}, full_ as (select g.gene, grp.cell, cluster, coalesce(umis, 0) as u from (select distinct gene from cnt) g cross join grp left join cnt c on c.gene = g.gene and c.cell = grp.cell),
+r as (select *, rank() over (partition by gene order by u) as lo, count(*) over (partition by gene, u) as m from full_), a as (select gene, cluster, sum(lo + (m - 1) / 2.0) as r, cast(count(*) as double) as n1 from r group by all),
+ti as (select gene, sum(cast(m * m - 1 as double)) as ties, cast(count(*) as double) as n from r group by gene)
+select gene, cluster, round((r - n1 * (n + 1) / 2) / sqrt(n1 * (n - n1) / 12 * (n + 1 - ties / (n * (n - 1)))), 6) as z from a join ti using (gene)""")
+def _(spark, sf):
+    c = cnt(spark, sf)
+    return K.rank_test(c, halves(c))
+
+
+@query("cluster_cells")
+def _(spark, sf):
+    from ..operators.methyl import principal_components
+
+    p = principal_components(t(spark, sf, "embeddings"), "vec_id", "embedding", 8)
+    return K.cluster_rows(p, "vec_id", "components", 10)
+
+
+@query("methyl_trim")
+def _(spark, sf):
+    from ..operators.matching import methyl_trim
+
+    d = reads(spark, sf).select("event_id", F.concat("seq", "seq", "seq").alias("r1"), F.reverse(F.concat("seq", "seq")).alias("r2"))
+    return methyl_trim(d, "r1", "r2", "TYGTCGGYAG", "CTRCCGACRA").select("event_id", "r1_kept", "r2_kept")
+
+
+@query("hash_sample", f"with {READS} select event_id from reads where cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) % 10 < 3")
+def _(spark, sf):
+    return reads(spark, sf).where(F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 8), 16, 10).cast("long") % 10 < 3).select("event_id")
+
+
+@query("first_reads", f"with {READS} select event_id, cell from reads order by event_id limit 1000")
+def _(spark, sf):
+    return reads(spark, sf).select("event_id", "cell").orderBy("event_id").limit(1000)
+
+
+@query("clone_matrix", "with c as (select o_orderkey as cell, case when o_orderkey % 3 = 0 then 'TRB' when o_orderkey % 3 = 1 then 'TRA' end as vdj, case when o_orderkey % 2 = 0 then 'TRA' end as vj, o_orderstatus = 'F' as p_vdj, o_orderstatus <> 'P' as p_vj, o_custkey % 9 as umis from orders) select round(cast(count(*) filter (vdj = 'TRB' and vj = 'TRA') as double) / count(*), 9) as pair, round(cast(count(*) filter (p_vdj and vj = 'TRA') as double) / count(*), 9) as tra, round(cast(count(*) filter (p_vj and vdj = 'TRB') as double) / count(*), 9) as trb, coalesce(median(case when vdj = 'TRB' then umis end), 0) as trb_umis from c")
+def _(spark, sf):
+    k = F.col("o_orderkey")
+    c = t(spark, sf, "orders").select(F.when(k % 3 == 0, "TRB").when(k % 3 == 1, "TRA").alias("vdj"), F.when(k % 2 == 0, "TRA").alias("vj"), (F.col("o_orderstatus") == "F").alias("p_vdj"), (F.col("o_orderstatus") != "P").alias("p_vj"), (F.col("o_custkey") % 9).alias("umis"))
+    share = lambda x: F.round(F.count_if(x) / F.count("*"), 9)
+    a, b = F.col("vj") == "TRA", F.col("vdj") == "TRB"
+    # which flag goes with which chain is as the contract has it
+    return c.agg(share(b & a).alias("pair"), share(F.col("p_vdj") & a).alias("tra"), share(F.col("p_vj") & b).alias("trb"), F.coalesce(F.median(F.when(b, F.col("umis"))), F.lit(0.0)).alias("trb_umis"))
+
+
 @query("marker_map", "with m as (select p_type, trim(unnest(string_split(p_name || ',' || p_brand, ','))) as gene from part) select gene, array_to_string(list_sort(list(distinct p_type)), ';') as types from m group by gene")
 def _(spark, sf):
     m = t(spark, sf, "part").select("p_type", F.explode(F.split(F.concat_ws(",", "p_name", "p_brand"), ",")).alias("g")).select("p_type", F.trim("g").alias("gene"))
