@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, text_of
 
-MAX_ROWS = 12_000
+MAX_ROWS = 6_000
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, fold: tuple[int, int], id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_ROWS) -> tuple[pa.Array, np.ndarray]:
@@ -22,5 +22,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, fold: tuple[int, int]
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.max(label).cast("int").alias("__y"))
     known = known.orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
     rows = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__text")).join(F.broadcast(known), "__id")
-    got = rows.orderBy(F.xxhash64("__id"), "__id", F.xxhash64("__text")).limit(max_rows).select("__text", "__y").collect()
-    return pa.array([r[0] for r in got], pa.string()), np.array([r[1] for r in got], np.int64)
+    got = rows.orderBy(F.xxhash64("__id"), "__id", F.xxhash64("__text")).limit(max_rows).select("__text", "__y").toArrow()
+    return got.column(0).combine_chunks(), got.column(1).to_numpy().astype(np.int64)
