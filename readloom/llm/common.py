@@ -22,14 +22,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 3 << 20  # text handled at once by the numpy code
+BATCH_ROWS = 1000  # rows of an Arrow batch: texts are long
+SLICE_BYTES = 1 << 20  # text handled at once by the numpy code
 
 
 def find_package(spark: SparkSession) -> None:
-    """Lets Python workers on this file system import this package from wherever the driver did."""
+    """Lets Python workers on this file system import this package from wherever the driver did, and keeps Arrow batches of texts small."""
     env, root = spark.sparkContext.environment, str(Path(__file__).parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, [env.get("PYTHONPATH")])])
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,17 +85,20 @@ def digits_for(rows: int, per_bucket: int = 2000) -> int:
     return d
 
 
-def with_prefix(df: DataFrame, group: str, key: str, tie: list[str], value: str, out: str, digits: int) -> DataFrame:
+def with_prefix(df: DataFrame, group: str, key: str, tie: list[str], value: str, out: str, digits: int, slim: DataFrame | None = None) -> DataFrame:
     """Adds `out`: the exact sum of `value` over the rows of the group that come before in (key, *tie) order.
 
     A group may hold any share of the rows: each is cut into 16**digits ranges of the key. Sums by (group,
     range) are added up first, rows only within their range, so no task holds a whole group. `group` and
-    `key` must not be null. Rows equal in all of key and tie come in any order among themselves.
+    `key` must not be null. Rows equal in all of key and tie come in any order among themselves. `slim` may hold
+    group, key and value of the same rows, cheaper to read than df.
     """
     cut, lead, part = f"__{out}_cut", f"__{out}_lead", f"__{out}_part"
-    df = df.withColumn(cut, F.substring(F.col(key), 1, digits) if digits else F.lit(""))
+    range_ = F.substring(F.col(key), 1, digits) if digits else F.lit("")
+    sums = (df if slim is None else slim).withColumn(cut, range_)
+    df = df.withColumn(cut, range_)
     before = Window.partitionBy(group).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
-    leads = df.groupBy(group, cut).agg(F.sum(value).alias(part))
+    leads = sums.groupBy(group, cut).agg(F.sum(value).alias(part))
     leads = leads.select(group, cut, F.coalesce(F.sum(part).over(before), F.lit(0)).cast("long").alias(lead))
     inside = Window.partitionBy(group, cut).orderBy(key, *tie).rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)).cast("long"))

@@ -58,14 +58,16 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null source is a source of its own, the last. Documents without words are taken with 0 words and have no
     passes. Repeated rows are documents of their own. No document is taken more than LIMIT times.
     """
-    src = F.struct(F.col(source_col).cast("string").alias("name"))
-    slim = docs.select(F.struct(*[F.col(c) for c in (carry or [])], F.col(id_col).alias("__id")).alias("row"), src.alias("src"), word_count(text_col).alias("size"), order_key(id_col).alias("key"))
-    slim = settle(slim.withColumn("group", F.coalesce(F.concat(F.lit("s"), F.col("src.name")), F.lit("null"))))
-    sums = slim.groupBy("group").agg(F.first("src.name").alias("src"), F.sum("size").cast("long").alias("source_size"), F.count("*").alias("n"))
+    named = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("null"))
+    rows_ = docs.select(F.struct(*[F.col(c) for c in (carry or [])], F.col(id_col).alias("__id")).alias("row"), F.col(source_col).cast("string").alias("src"), named.alias("group"), word_count(text_col).alias("size"), order_key(id_col).alias("key"))
+    # columns to carry, maybe texts, are not written once more: the sums come from the slim columns, the rows are read again
+    slim = settle(rows_ if not carry else rows_.drop("row"))
+    rows_ = rows_ if carry else slim
+    sums = slim.groupBy("group").agg(F.first("src").alias("src"), F.sum("size").cast("long").alias("source_size"), F.count("*").alias("n"))
     sums = settle(sums)
     rows = sums.agg(F.sum("n")).first()[0] or 0
     plan = targets(sums).withColumn("group", F.coalesce(F.concat(F.lit("s"), F.col("src")), F.lit("null"))).drop("src")
-    placed = with_prefix(slim, "group", "key", ["size"], "size", "before", digits_for(rows)).join(F.broadcast(plan) if sums.count() <= 10_000 else plan, "group")
+    placed = with_prefix(rows_.drop("src"), "group", "key", ["size"], "size", "before", digits_for(rows), slim).join(F.broadcast(plan) if sums.count() <= 10_000 else plan, "group")
 
     size, whole, start = F.col("size"), F.col("source_size"), F.col("before")
     asked = F.floor(F.col("target")).cast("long")
