@@ -108,7 +108,9 @@ def scan(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None
     mixed = F.filter(matches(t, CANDIDATE), lambda m: m["part"].rlike("[0-9]") & m["part"].rlike("[A-Za-z]"))
     free = F.filter(mixed, lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
     rows = rows.withColumn("tested", F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), battery(m["part"]).alias("bin"))))
-    rows = settle(rows.select("row", "base", "tested"))
+    rows = rows.select("row", "base", "tested")
+    if text_col not in (carry or []):  # else the texts would be written once more; they are scanned again instead
+        rows = settle(rows)
     counts = dict(rows.select(F.explode("tested.bin").alias("bin")).groupBy("bin").count().collect())
     total, ahead, limit = sum(counts.values()), 0, BINS + 1
     for b in range(BINS, -1, -1):
