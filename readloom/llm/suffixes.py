@@ -23,8 +23,9 @@ from .common import BYTE_CODE, mix64, pieces, rolling, settle, slices, span_hash
 SPAN = 400
 ANCHOR = 200
 BATCHES = 4  # in which a bulk load reaches the family
-WINDOWS = 64_000  # windows, of SPAN bytes each, that a task indexes at once
-CROWD = 512  # segments to one anchor beyond which windows are counted by fingerprint over all tasks instead
+WINDOWS = 32_000  # windows, of SPAN bytes each, that a task indexes at once
+CROWD = 256  # entries to one shard key beyond which they are cut finer
+BLOCK = 16  # windows in an aligned block of a crowded anchor
 PLACES = np.uint64((1 << 24) - 1)  # bits of a packed minimum that hold the place
 PIECE = 8 << 20  # window starts handled at once in one very long text
 BROADCAST_KEYS = 200_000
@@ -160,8 +161,40 @@ def index_shards(entries: DataFrame) -> DataFrame:
     return entries.mapInArrow(run, "anchor long, segment long, start long, n long")
 
 
+def align_blocks(entries: DataFrame) -> DataFrame:
+    """Entries of crowded anchors -> (anchor, segment, held, first, shard, piece, n, body): aligned blocks of at most BLOCK windows.
+
+    A window's block is its distance to the anchor, in steps of BLOCK. All windows of a block hold the same
+    SPAN - BLOCK + 1 bytes, the core; equal windows have equal cores. `shard` is a fingerprint of anchor, block
+    and core, `piece` one of the block's whole body, `first` the block's first window in the segment.
+    """
+
+    def run(batches):
+        for b in (p for whole in batches for p in pieces(whole, 5, 1 << 18)):
+            out: list[list] = [[] for _ in range(8)]
+            for anchor, segment, held, n, _, body in zip(*[c.to_pylist() for c in b.columns]):
+                data = np.frombuffer(body, np.uint8)
+                prefix = rolling(BYTE_CODE[data])
+                at = np.arange(SPAN - ANCHOR + 1)
+                place = int(np.flatnonzero(span_hash(prefix, at, at + ANCHOR).view(np.int64) == anchor)[0])
+                lo = 0
+                while lo < n:  # windows lo.. that share (place - window) // BLOCK
+                    block = (place - lo) // BLOCK if place >= lo else -((lo - place + BLOCK - 1) // BLOCK)
+                    hi = min(n, place - block * BLOCK + 1)
+                    core = place - block * BLOCK
+                    mark = span_hash(prefix, np.array([core, lo]), np.array([core + SPAN - BLOCK + 1, hi - 1 + SPAN]))
+                    shard = mix64(mark[:1] + mix64(np.array([anchor, block], np.int64).view(np.uint64)).sum(keepdims=True)).view(np.int64)[0]
+                    for c, x in zip(out, (anchor, segment, held, lo, int(shard), int(mark[1:].view(np.int64)[0]), hi - lo, body[lo : hi - 1 + SPAN])):
+                        c.append(x)
+                    lo = hi
+            kinds = [pa.int64()] * 6 + [pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["anchor", "segment", "held", "first", "shard", "piece", "n", "body"])
+
+    return entries.mapInArrow(run, "anchor long, segment long, held long, first long, shard long, piece long, n int, body binary")
+
+
 def count_windows(entries: DataFrame) -> DataFrame:
-    """As index_shards, for anchors with very many segments: each window's fingerprint is counted over all tasks."""
+    """As index_shards, for shards that are still crowded: each window's fingerprint is counted over all tasks."""
 
     def run(batches):
         for b in (p for whole in batches for p in pieces(whole, 5, 1 << 18)):
@@ -170,11 +203,9 @@ def count_windows(entries: DataFrame) -> DataFrame:
             base = np.concatenate([[0], np.cumsum([len(x) for x in body])])[:-1]
             who = np.repeat(np.arange(len(n)), n)
             place = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
-            prefix = rolling(BYTE_CODE[np.frombuffer(b"".join(body), np.uint8)])
+            data = np.frombuffer(b"".join(body), np.uint8)
             at = base[who] + place
-            h = span_hash(prefix, at, at + SPAN).view(np.int64)
-            again = rolling(mix64(BYTE_CODE[np.frombuffer(b"".join(body), np.uint8)]))
-            h2 = span_hash(again, at, at + SPAN).view(np.int64)
+            h, h2 = (span_hash(rolling(c[data]), at, at + SPAN).view(np.int64) for c in (BYTE_CODE, mix64(BYTE_CODE)))
             take = pa.array(who)
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(held[who]), pa.array(place), pa.array(h), pa.array(h2)], ["anchor", "segment", "held", "start", "h", "h2"])
 
@@ -183,6 +214,23 @@ def count_windows(entries: DataFrame) -> DataFrame:
     return windows.join(twice, ["h", "h2"], "left_semi").select("anchor", "segment", "start", F.lit(1).cast("long").alias("n"))
 
 
+def index_crowds(entries: DataFrame) -> DataFrame:
+    """As index_shards, for anchors with more than CROWD segments.
+
+    Their segments are cut into aligned blocks and sharded by core; equal blocks become one entry with a
+    count. What is then alone in its shard holds no match; the rest goes to index_shards, or to count_windows
+    where a core is still that of more than CROWD different blocks.
+    """
+    blocks = settle(align_blocks(entries))
+    kinds = settle(blocks.groupBy("shard", "piece").agg(F.sum("held").alias("held"), F.first("n").alias("n"), F.first("body").alias("body")))
+    size = kinds.groupBy("shard").agg(F.count("*").alias("kinds"), F.sum("held").alias("places")).where("places > 1")
+    kept = settle(kinds.join(size, "shard").select(F.col("shard").alias("anchor"), F.col("piece").alias("segment"), "held", "n", F.pmod("piece", F.lit(BATCHES).cast("long")).cast("int").alias("batch"), "body", "kinds"))
+    calm = kept.where(F.col("kinds") <= CROWD).drop("kinds").repartition("anchor").sortWithinPartitions("anchor")
+    found = index_shards(calm).unionByName(count_windows(kept.where(F.col("kinds") > CROWD).drop("kinds")))
+    found = found.select(F.col("anchor").alias("shard"), F.col("segment").alias("piece"), "start", F.col("n").alias("length"))
+    return blocks.select("anchor", "segment", "shard", "piece", "first").join(found, ["shard", "piece"]).select("anchor", "segment", (F.col("first") + F.col("start")).alias("start"), F.col("length").alias("n"))
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """(key, text), one row per document -> (key, runs): for each text with matches, array<start,n> of window starts that lie in one."""
 
@@ -200,8 +248,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     texts = settle(parts.groupBy("key").agg(F.count("*").alias("held"), *[F.first(c).alias(c) for c in ("anchor", "segment", "start", "n")]))
     each = texts.select("key", "held", F.explode(F.arrays_zip("anchor", "segment", "start", "n")).alias("s")).select("key", "held", "s.*")
     again = each.groupBy("anchor").agg(F.sum("held").alias("places"), F.min("segment").alias("a"), F.max("segment").alias("b")).where("places > 1").select("anchor", (F.col("a") != F.col("b")).alias("varied"))
-    placed = settle(each.join(again, "anchor"))
-    whole = placed.where("not varied").select("key", "start", F.col("n").cast("long").alias("n"))
+    # both sides of the join are shuffled for it alone, so that Spark can split an anchor with very many rows
+    placed = settle(each.join(settle(again), "anchor"))
+    whole = placed.where("not varied").select("key", F.array(F.struct(F.col("start"), F.col("n").cast("long").alias("n"))).alias("runs"))
     kinds = settle(placed.where("varied").groupBy("anchor", "segment").agg(F.sum("held").alias("held"), F.first("n").alias("n"), F.min(F.struct("key", "start")).alias("at")))
     crowds = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > CROWD).select("anchor", F.lit(True).alias("crowded"))
     wanted = kinds.join(crowds, "anchor", "left").groupBy("at.key").agg(F.collect_list(F.struct("anchor", "segment", "held", "n", F.coalesce("crowded", F.lit(False)).alias("crowded"), F.col("at.start").alias("start"))).alias("want"))
@@ -222,9 +271,12 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     entries = settle(sources.join(wanted, "key").mapInArrow(fetch, "anchor long, segment long, held long, n int, batch int, body binary, crowded boolean"))
     calm = entries.where("not crowded").drop("crowded").repartition("anchor").sortWithinPartitions("anchor")
-    found = settle(index_shards(calm).unionByName(count_windows(entries.where("crowded").drop("crowded"))))
-    some = placed.where("varied").select("anchor", "segment", "key", F.col("start").alias("first")).join(found, ["anchor", "segment"]).select("key", (F.col("first") + F.col("start")).alias("start"), "n")
-    return settle(whole.unionByName(some).groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("runs")))
+    crowded = entries.where("crowded").drop("crowded")
+    found = settle(index_shards(calm).unionByName(index_crowds(crowded)))
+    found = found.groupBy("anchor", "segment").agg(F.collect_list(F.struct("start", "n")).alias("runs"))  # 201 at most
+    some = placed.where("varied").select("anchor", "segment", "key", "start").join(found, ["anchor", "segment"])
+    some = some.select("key", F.transform("runs", lambda r: F.struct((r["start"] + F.col("start")).alias("start"), r["n"].alias("n"))).alias("runs"))
+    return settle(whole.unionByName(some).groupBy("key").agg(F.flatten(F.collect_list("runs")).alias("runs")))
 
 
 def spans_of(runs: list[dict]) -> list[tuple[int, int]]:
@@ -248,8 +300,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     texts = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text_of(text_col).cast("binary"))).alias("key"), text_of(text_col).alias("text"))
     found = repeats(texts.select("key", "text"))
-    few = found.count() <= BROADCAST_KEYS
-    joined = texts.join(F.broadcast(found) if few else found, "key", "left").select("id", "text", "runs")
+    # a hash join on the small side: the texts are shuffled but not sorted
+    joined = texts.join(found.hint("shuffle_hash"), "key", "left").select("id", "text", "runs")
 
     def run(batches):
         for b in (p for whole in batches for p in pieces(whole, 1)):
