@@ -8,7 +8,9 @@ repeated rows are rows of their own unless an operator says otherwise.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -45,7 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; one of our own only where none is set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="readloom-")
+        own = tempfile.mkdtemp(prefix="readloom-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        found = "file://" + own
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
@@ -58,6 +62,17 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def column(name: str, of: str = "") -> Column:
+    """A column, or a field of the struct `of`, whatever signs its name has."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(f"{of}.{quoted}" if of else quoted)
+
+
+def packed(docs: DataFrame, without: str = "") -> Column:
+    """All columns of docs as one struct, but for one that has the name `without` in any case of letters."""
+    return F.struct(*[column(c).alias(c) for c in docs.columns if c.lower() != without.lower()])
+
+
 def text_of(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import digits_for, order_key, settle, table, with_prefix, word_count
+from .common import column, digits_for, order_key, settle, table, with_prefix, word_count
 
 LIMIT = 3  # times that a source may be passed over
 
@@ -59,7 +59,7 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     passes. Repeated rows are documents of their own. No document is taken more than LIMIT times.
     """
     named = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("null"))
-    rows_ = docs.select(F.struct(*[F.col(c) for c in (carry or [])], F.col(id_col).alias("__id")).alias("row"), F.col(source_col).cast("string").alias("src"), named.alias("group"), word_count(text_col).alias("size"), order_key(id_col).alias("key"))
+    rows_ = docs.select(F.struct(*[column(c).alias(c) for c in (carry or [])], F.col(id_col).alias("__id")).alias("row"), F.col(source_col).cast("string").alias("src"), named.alias("group"), word_count(text_col).alias("size"), order_key(id_col).alias("key"))
     # columns to carry, maybe texts, are not written once more: the sums come from the slim columns, the rows are read again
     slim = settle(rows_ if not carry else rows_.drop("row"))
     rows_ = rows_ if carry else slim
@@ -84,7 +84,7 @@ def schedule(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_c
     """The training order: a row of `columns` for each time that a document is due, range-sorted by position."""
     mixed = curriculum(docs, id_col, text_col, source_col, carry=columns)
     due = mixed.select("row", F.explode("passes").alias("due"))
-    return due.repartitionByRange(F.col("due.position")).sortWithinPartitions("due.position").select(*[F.col(f"row.{c}").alias(c) for c in columns])
+    return due.repartitionByRange(F.col("due.position")).sortWithinPartitions("due.position").select(*[column(c, "row").alias(c) for c in columns])
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:

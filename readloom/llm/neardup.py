@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, mix64, pieces, rolling, settle, slices, span_hash, table, text_of, word_spans
+from .common import BYTE_CODE, column, mix64, pieces, rolling, settle, slices, span_hash, table, text_of, word_spans
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -311,7 +311,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     Rows that repeat both id and text of the kept one are told apart by the hash of their other columns; rows
     equal in everything become one.
     """
-    row = F.xxhash64(*[F.col(c) for c in docs.columns if docs.schema[c].dataType.typeName() != "map"])
+    row = F.xxhash64(*[column(c) for c in docs.columns if docs.schema[c].dataType.typeName() != "map"])
     tagged = docs.withColumn("__key", F.unhex(F.md5(text_of(text_col).cast("binary")))).withColumn("__row", row)
     found = settle(classes(docs, id_col, text_col, similar).withColumn("class", F.coalesce(F.col("class_id").cast("string"), F.lit("null"))))
     rows = tagged.select(F.col(id_col).alias("id"), F.col("__key").alias("key"), F.col("__row").alias("row"))

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import digits_for, order_key, settle, table, with_prefix, word_count
+from .common import column, digits_for, order_key, settle, table, with_prefix, word_count
 
 EXACT = 1024
 
@@ -68,7 +68,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     is over it. Inside a bucket documents lie in a fixed pseudo-random order. Empty texts have length 0 and
     lie in the lowest bucket, padded to its bound, which is 1 at least. Every row is placed exactly once.
     """
-    slim = docs.select(F.struct(*[F.col(c) for c in (carry or [])], F.col(id_col).alias("__id")).alias("row"), word_count(text_col).alias("length"), order_key(id_col).alias("key"))
+    slim = docs.select(F.struct(*[column(c).alias(c) for c in (carry or [])], F.col(id_col).alias("__id")).alias("row"), word_count(text_col).alias("length"), order_key(id_col).alias("key"))
     slim = settle(slim.withColumn("cell", F.greatest(cell_of(F.col("length")), F.lit(1).cast("long"))).withColumn("one", F.lit(1).cast("long")))
     hist = sorted(slim.groupBy("cell").count().collect())
     cells, counts = np.array([r[0] for r in hist], np.int64), np.array([r[1] for r in hist], np.int64)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, table, text_of
+from .common import column, settle, table, text_of
 
 _EITHER = lambda w: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
 _WORDS = "|".join(_EITHER(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
@@ -99,7 +99,7 @@ def scan(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None
     Positions count code points; ends are exclusive.
     """
     t = F.col("text")
-    rows = docs.select(F.struct(*[F.col(c) for c in (carry or [])], F.lit(True).alias("__row")).alias("row"), text_of(text_col).alias("text"))
+    rows = docs.select(F.struct(*[column(c).alias(c) for c in (carry or [])], F.lit(True).alias("__row")).alias("row"), text_of(text_col).alias("text"))
     for k, (name, pattern, group, least) in enumerate(BASE):
         number, short = F.lit(k), F.lit(least)  # a lambda's second parameter would be the index
         kept = F.filter(matches(t, pattern, group), lambda m: F.length(m["part"]) >= short)  # noqa: B023
@@ -138,7 +138,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
     step = lambda s, x: F.when(x["end"] <= s["at"], s).otherwise(F.struct(x["end"].alias("at"), F.concat(s["out"], F.when(x["start"] < s["at"], F.lit("")).otherwise(F.concat(F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")), F.lit(mark)))).alias("out")))
     clean = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
     new = F.when(F.size("spans") > 0, clean).otherwise(F.col("row")[text_col])
-    return found.select(*[(new if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
+    return found.select(*[(new if c == text_col else column(c, "row")).alias(c) for c in docs.columns])
 
 
 def op8_secrets(spark, sf_dir: str) -> DataFrame:

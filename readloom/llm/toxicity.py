@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import labelled
-from .common import crc_mod, mix64, slices, table, word_spans
+from .common import crc_mod, mix64, packed, slices, table, word_spans
 from .textstats import BANGS, DIGIT, FOLDED, KEPT, LOWER, PLAIN, PLAIN_KEPT, PUNCT, SIGNS, STOPS, UPPER, doc_sums, folded_hashes, word_hash
 
 FOLD = (5, 0)
@@ -226,9 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: tuple[int, int] = FOLD, max_ro
 def score(docs: DataFrame, model: Model, out: str = "score", text_col: str = "text") -> DataFrame:
     """All columns of `docs` and the score of each row's whole text in the column `out` (which replaces one of that name)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rest = [c for c in docs.columns if c != out]
-    bare = docs.select(F.struct(*rest).alias("row"), F.col(text_col).cast("string").alias("text"))
-    schema = f"row {bare.schema['row'].dataType.simpleString()}, out double"
+    bare = docs.select(packed(docs, out).alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([bare.schema["row"], T.StructField("out", T.DoubleType())])
 
     def run(batches):
         for b in batches:

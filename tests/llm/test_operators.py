@@ -24,7 +24,7 @@ def odd(spark):
     r = random.Random(5)
     long_text = " ".join(r.choice(["lorem", "ipsum", "dolor", "sit", "amet", "ñandú", "x1"]) for _ in range(30_000))
     rows = [(1, "one two three four five six", "en", "a", 1, 0.5), (1, "one two three four five six", "en", "a", 1, 0.5), (2, None, None, None, None, None), (3, "", "en", "b", 0, 0.1), (None, "no id here", "de", None, 3, 0.1), (4, long_text, "es", "c", 9, 0.0), (5, "   \n\t ", "en", "a", 2, 0.0), (6, "one two three four five seven \U0001F600", "en", "d", 2, None), (4, "same id, another text", "en", "a", 2, None)]
-    return spark.createDataFrame(rows, DOCS + ", score double").withColumns({c: F.lit(7) for c in ("size", "target", "key", "id", "row", "class_id", "spans", "bucket", "text2", "n_bytes", "group")})
+    return spark.createDataFrame(rows, DOCS + ", score double").withColumns({c: F.lit(7) for c in ("size", "target", "key", "id", "row", "class_id", "spans", "bucket", "text2", "n_bytes", "group", "a b", "c.d")})
 
 
 @pytest.fixture(scope="module")
