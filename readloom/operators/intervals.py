@@ -53,3 +53,13 @@ def coverage(hist: DataFrame) -> DataFrame:
 def split_points(points: DataFrame, iv: DataFrame, width: int) -> DataFrame:
     """Points that no interval holds."""
     return points.join(stab(points, iv, width).select(*points.columns).distinct(), points.columns, "left_anti")
+
+
+def split_sequences(fasta: DataFrame, cuts: DataFrame) -> DataFrame:
+    """(name, seq) cut at the positions of cuts (name, pos): <name>_s1, <name>_s2, ...; names without cuts stay as they are."""
+    at = cuts.groupBy("name").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    d = fasta.join(at, "name", "left").withColumn("ends", F.concat(F.coalesce("at", F.array().cast("array<bigint>")), F.array(F.length("seq").cast("long"))))
+    d = d.select("name", "seq", "ends", F.posexplode("ends").alias("i", "end"))
+    start = F.when(F.col("i") > 0, F.try_element_at("ends", F.col("i"))).otherwise(F.lit(0).cast("long"))
+    name = F.when(F.size("ends") > 1, F.concat("name", F.lit("_s"), (F.col("i") + 1).cast("string"))).otherwise(F.col("name"))
+    return d.select(name.alias("name"), F.substring(F.col("seq"), (start + 1).cast("int"), (F.col("end") - start).cast("int")).alias("seq"))

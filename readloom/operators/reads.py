@@ -88,6 +88,11 @@ def quality_profile(df: DataFrame, qual: str) -> DataFrame:
     return df.select(F.posexplode(S.phred(F.col(qual))).alias("pos", "quality")).groupBy("pos", "quality").agg(F.count("*").alias("n"))
 
 
+def wide_profile(profile: DataFrame, key: str, values: list, name: str = "n_") -> DataFrame:
+    """One row a position, a zero-filled column for each value."""
+    return profile.groupBy("pos").agg(*[F.coalesce(F.sum(F.when(F.col(key) == v, F.col("n"))), F.lit(0)).cast("long").alias(f"{name}{v}") for v in values])
+
+
 def q30_share(profile: DataFrame) -> DataFrame:
     return profile.agg(F.round(F.sum(F.when(F.col("quality") >= 30, F.col("n")).otherwise(0)) / F.sum("n"), 9).alias("q30"))
 

@@ -239,3 +239,10 @@ def _(spark, sf):
 def _(spark, sf):
     p = cnt(spark, sf).groupBy("cell").agg(F.count("*").alias("genes"), F.sum("umis").alias("umis"), (F.sum("umis") / F.sum("reads")).alias("share"))
     return p.agg(F.array_join(F.sort_array(F.collect_set("genes")), ",").alias("clusters"), F.min("umis").alias("min_umis"), F.max("umis").alias("max_umis"), F.round(F.min("share"), 2).alias("min_share"), F.round(F.max("share"), 2).alias("max_share"))
+
+
+@query("cell_list", f"with {DET} select '[' || string_agg('\"' || cell || '\"', ',' order by cell) || ']' as cells from (select distinct cell from cnt)")
+def _(spark, sf):
+    from ..sinks import cell_ids
+
+    return cell_ids(cnt(spark, sf), "cell")

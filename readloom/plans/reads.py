@@ -190,6 +190,11 @@ def _(spark, sf):
     return R.base_profile(reads(spark, sf), "seq")
 
 
+@query("base_stat", f"with {READS}, b as (select unnest(range(32)) as i, seq from reads) select cast(i as integer) as pos, " + ", ".join(f"count(*) filter (substr(seq, i + 1, 1) = '{b}') as n_{b}" for b in "ACGTN") + " from b group by 1")
+def _(spark, sf):
+    return R.wide_profile(R.base_profile(reads(spark, sf), "seq"), "base", list("ACGTN"))
+
+
 QP = f"with {READS}, b as (select unnest(range(32)) as pos, {QUAL} as q from reads), p as (select cast(pos as integer) as pos, cast(ascii(substr(q, pos + 1, 1)) - 33 as integer) as quality, count(*) as n from b group by 1, 2)"
 
 

@@ -58,3 +58,8 @@ def columns_of(df: DataFrame, key: str, prefixes: list[str]) -> DataFrame:
     """One row of lists, a list for each column with one of the prefixes, in the order of the key."""
     rows = df.agg(F.sort_array(F.collect_list(F.struct(key, *[c for c in df.columns if c != key]))).alias("r"))
     return rows.select(F.col(f"r.{key}").alias(key), *[F.col(f"r.{c}").alias(c) for c in df.columns if any(c.startswith(p) for p in prefixes)])
+
+
+def cell_ids(df: DataFrame, cell: str) -> DataFrame:
+    """All cell ids as one JSON list, sorted."""
+    return df.agg(F.to_json(F.sort_array(F.collect_set(F.col(cell).cast("string")))).alias("cells"))

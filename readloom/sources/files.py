@@ -64,6 +64,63 @@ def read_fastq_pairs(spark: SparkSession, r1: list[str], r2: list[str]) -> DataF
     return spark.read.format("fastq_pairs").option("r1", ",".join(r1)).option("r2", ",".join(r2)).load()
 
 
+class _Files(InputPartition):
+    def __init__(self, paths: list[str], number: int):
+        self.paths, self.number = paths, number
+
+
+class ZippedRecords(DataSource):
+    """Records of several FASTA or FASTQ files that belong together by position (barcode, UMI, mates): one row of all of
+    them, never a join on made-up ids. Option `files`: groups separated by ;, files of a group by commas."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zipped_records"
+
+    def schema(self) -> str:
+        return "name string, seqs array<string>, ordinal bigint, file int"
+
+    def reader(self, schema):
+        return _ZippedReader(self.options)
+
+
+class _ZippedReader(DataSourceReader):
+    def __init__(self, options):
+        self.groups = [g.split(",") for g in options["files"].split(";")]
+
+    def partitions(self):
+        return [_Files(g, i) for i, g in enumerate(self.groups)]
+
+    def read(self, part):
+        for i, together in enumerate(zip(*map(_sequences, part.paths), strict=True)):
+            yield together[0][0], [s for _, s in together], i, part.number
+
+
+def _sequences(path: str) -> Iterator[tuple[str, str]]:
+    opener = gzip.open if path.endswith(".gz") else open
+    with opener(path, "rt") as f:
+        first = f.read(1)
+    if first == "@":
+        yield from ((n.split(" ")[0], s) for n, s, _ in _records(path))
+        return
+    with opener(path, "rt") as f:
+        name, parts = None, []
+        for line in f:
+            if line.startswith(">"):
+                if name is not None:
+                    yield name, "".join(parts)
+                name, parts = line[1:].split()[0], []
+            else:
+                parts.append(line.strip())
+        if name is not None:
+            yield name, "".join(parts)
+
+
+def read_zipped(spark: SparkSession, groups: list[list[str]]) -> DataFrame:
+    spark.dataSource.register(ZippedRecords)
+    return spark.read.format("zipped_records").option("files", ";".join(",".join(g) for g in groups)).load()
+
+
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignment records of SAM text: qname, ref, pos (0-based), mapq, is_read1 and tags."""
     f = F.split("value", "\t")

@@ -93,3 +93,17 @@ def test_receptor_text(spark):
     assert (r.id, r.length, [x.gene for x in r.v], r.d, r.j[0].start, r.c) == ("c1", 300, ["IGHV1", "IGHV2"], [], 290, [])
     p = spark.createDataFrame([(">k\nACGT\n1 2 1 3\n1 1 1 1\n1 1 1 1\n0 1 1 1",)], "value string")
     assert tuple(V.contig_totals(V.pileups(p)).first()) == ("k", 7)
+
+
+def test_zipped_records(spark, tmp_path):
+    (tmp_path / "bc.fa").write_text(">r1\nAC\nGT\n>r2\nTT\n")
+    (tmp_path / "r.fq").write_text("@r1 x\nGGGG\n+\nIIII\n@r2 x\nCCCC\n+\nIIII\n")
+    d = S.read_zipped(spark, [[str(tmp_path / "bc.fa"), str(tmp_path / "r.fq"), str(tmp_path / "r.fq")]])
+    assert [tuple(r)[:3] for r in d.orderBy("ordinal").collect()] == [("r1", ["ACGT", "GGGG", "GGGG"], 0), ("r2", ["TT", "CCCC", "CCCC"], 1)]
+
+
+def test_split_sequences(spark):
+    from readloom.operators.intervals import split_sequences
+
+    f = spark.createDataFrame([("c1", "AACCGGTT"), ("c2", "GG")], "name string, seq string")
+    assert rows(split_sequences(f, spark.createDataFrame([("c1", 2), ("c1", 5)], "name string, pos long"))) == [("c1_s1", "AA"), ("c1_s2", "CCG"), ("c1_s3", "GTT"), ("c2", "GG")]
