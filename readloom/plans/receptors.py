@@ -172,9 +172,9 @@ def _(spark, sf):
     return n50(m, "u", ["s_suppkey"]).where(F.col("s_suppkey") % 40 >= 0.5 * F.col("n50"))
 
 
-@query("attach_single", f"with {CLONES}, c as (select s_suppkey, clone, count(*) as n from single join clones on contains(clone, '_VJ_' || n) join orders on o_custkey % 50 = cast(regexp_extract(clone, '_VJ_(\\d+)', 1) as bigint) group by all), r as (select *, row_number() over w as r, lead(n) over w as second from c window w as (partition by s_suppkey order by n desc, clone)) select s_suppkey, clone from r where r = 1 and (second is null or cast(second as double) / n < 0.9)")
+@query("attach_single", f"with {CLONES}, c as (select s_suppkey, clone, cast(sum(o_custkey % 50 + 1) as bigint) as n from single join clones on contains(clone, '_VJ_' || n) join orders on o_custkey % 50 = cast(regexp_extract(clone, '_VJ_(\\d+)', 1) as bigint) group by all), r as (select *, row_number() over w as r, lead(n) over w as second from c window w as (partition by s_suppkey order by n desc, clone)) select s_suppkey, clone from r where r = 1 and (second is null or cast(second as double) / n < 0.9)")
 def _(spark, sf):
-    size = t(spark, sf, "orders").groupBy((F.col("o_custkey") % 50).alias("v")).agg(F.count("*").alias("n"))
+    size = t(spark, sf, "orders").groupBy((F.col("o_custkey") % 50).alias("v")).agg(F.sum(F.col("o_custkey") % 50 + 1).alias("n"))
     c = matched(spark, sf).withColumn("v", F.regexp_extract("clone", r"_VJ_(\d+)", 1).cast("long")).join(size, "v")
     w = Window.partitionBy("s_suppkey").orderBy(F.desc("n"), "clone")
     r = c.withColumn("r", F.row_number().over(w)).withColumn("second", F.lead("n").over(w))
@@ -213,16 +213,15 @@ def _(spark, sf):
     return U.blocked_edges(umis(spark, sf), ["cell", "gene"], 2, 2)
 
 
-@query("umi_components", f"""with e as (select distinct a.l as a, b.l as b from (select l_suppkey as l, l_partkey % 500 as p from lineitem where l_quantity = 7) a join (select l_suppkey as l, l_partkey % 500 as p from lineitem where l_quantity = 7) b on a.p = b.p and a.l < b.l), s as (select a, b from e union all select b, a from e),
-l0 as (select distinct l_suppkey as node, l_suppkey as comp from lineitem),
-l1 as (select node, least(comp, coalesce((select min(l.comp) from s join l0 l on s.b = l.node where s.a = l0.node), comp)) as comp from l0),
-l2 as (select node, least(comp, coalesce((select min(l.comp) from s join l1 l on s.b = l.node where s.a = l1.node), comp)) as comp from l1),
-l3 as (select node, least(comp, coalesce((select min(l.comp) from s join l2 l on s.b = l.node where s.a = l2.node), comp)) as comp from l2) select * from l3""")
+_STEP = "l{k} as (select l.node, least(l.comp, coalesce(min(m.comp), l.comp)) as comp from l{j} l left join s on s.a = l.node left join l{j} m on s.b = m.node group by l.node, l.comp)"
+
+
+@query("umi_components", f"with {UM}, n as (select cell || '|' || gene || '|' || umi as node, cell, gene, umi from um), e as (select x.node as a, y.node as b from n x join n y on x.cell = y.cell and x.gene = y.gene and x.umi < y.umi where hamming(x.umi, y.umi) = 1), s as (select a, b from e union all select b, a from e), l0 as (select node, node as comp from n), " + ", ".join(_STEP.format(k=k + 1, j=k) for k in range(3)) + " select * from l3")
 def _(spark, sf):
-    li = t(spark, sf, "lineitem")
-    p = li.where("l_quantity = 7").select(F.col("l_suppkey").alias("l"), (F.col("l_partkey") % 500).alias("p"))
-    e = p.withColumnRenamed("l", "a").join(p.withColumnRenamed("l", "b"), "p").where("a < b").select("a", "b").distinct()
-    return U.components(e, li.select(F.col("l_suppkey").alias("node")).distinct(), 3)
+    name = lambda u: F.concat_ws("|", "cell", "gene", u)
+    u = umis(spark, sf)
+    e = U.edges(u, ["cell", "gene"]).select(name("a").alias("a"), name("b").alias("b"))
+    return U.components(e, u.select(name("umi").alias("node")), 3)
 
 
 for _m in ("adjacency", "directional", "cluster"):

@@ -163,9 +163,10 @@ def _(spark, sf):
     return t(spark, sf, "customer").select(F.col("c_custkey").alias("k")).intersect(t(spark, sf, "orders").select(F.col("o_custkey").alias("k")))
 
 
-@query("sets_except", "select c_custkey as k from customer except select o_custkey from orders")
+@query("sets_except", "select o_custkey as k from orders except select o_custkey from orders where o_orderstatus = 'F'")
 def _(spark, sf):
-    return t(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(t(spark, sf, "orders").select(F.col("o_custkey").alias("k")))
+    o = t(spark, sf, "orders")
+    return o.select(F.col("o_custkey").alias("k")).subtract(o.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k")))
 
 
 @query("sets_distinct", "select distinct o_custkey as k from (select o_custkey from orders union all select c_custkey from customer)")
