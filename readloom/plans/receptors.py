@@ -172,10 +172,10 @@ def _(spark, sf):
     return n50(m, "u", ["s_suppkey"]).where(F.col("s_suppkey") % 40 >= 0.5 * F.col("n50"))
 
 
-@query("attach_single", f"with {CLONES}, c as (select s_suppkey, clone, cast(sum(o_custkey % 50 + 1) as bigint) as n from single join clones on contains(clone, '_VJ_' || n) join orders on o_custkey % 50 = cast(regexp_extract(clone, '_VJ_(\\d+)', 1) as bigint) group by all), r as (select *, row_number() over w as r, lead(n) over w as second from c window w as (partition by s_suppkey order by n desc, clone)) select s_suppkey, clone from r where r = 1 and (second is null or cast(second as double) / n < 0.9)")
+@query("attach_single", f"with {CLONES}, c as (select s_suppkey, clone, cast(sum((o_custkey % 50 + 1) * (1 + cast(regexp_extract(clone, 'VDJ_(\\d+)', 1) as bigint))) as bigint) as n from single join clones on contains(clone, '_VJ_' || n) join orders on o_custkey % 50 = cast(regexp_extract(clone, '_VJ_(\\d+)', 1) as bigint) group by s_suppkey, clone), r as (select *, row_number() over w as r, lead(n) over w as second from c window w as (partition by s_suppkey order by n desc, clone)) select s_suppkey, clone from r where r = 1 and (second is null or cast(second as double) / n < 0.9)")
 def _(spark, sf):
     size = t(spark, sf, "orders").groupBy((F.col("o_custkey") % 50).alias("v")).agg(F.sum(F.col("o_custkey") % 50 + 1).alias("n"))
-    c = matched(spark, sf).withColumn("v", F.regexp_extract("clone", r"_VJ_(\d+)", 1).cast("long")).join(size, "v")
+    c = matched(spark, sf).withColumn("v", F.regexp_extract("clone", r"_VJ_(\d+)", 1).cast("long")).join(size, "v").withColumn("n", F.col("n") * (1 + F.regexp_extract("clone", r"VDJ_(\d+)", 1).cast("long")))
     w = Window.partitionBy("s_suppkey").orderBy(F.desc("n"), "clone")
     r = c.withColumn("r", F.row_number().over(w)).withColumn("second", F.lead("n").over(w))
     return r.where("r = 1").where(F.col("second").isNull() | (F.col("second") / F.col("n") < 0.9)).select("s_suppkey", "clone")
