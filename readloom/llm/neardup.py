@@ -330,3 +330,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 def op6_neardup(spark, sf_dir: str) -> DataFrame:
     """Per document: class_id, class_size."""
     return classes(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "class_size")
+
+
+ORACLE = r"""
+with recursive w as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+d as (select t, min(doc_id) as id, count(*) as n, any_value(ws) as ws from w group by t),
+s as (select id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+                             else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as g from d),
+c as (select id, g, count(*) as n from s group by all),
+z as (select id, sum(n) as total from c group by id),
+p as (select a.id as x, b.id as y, sum(least(a.n, b.n)) as shared from c a join c b on a.g = b.g and a.id < b.id group by all),
+e as (select x, y from p join z a on a.id = x join z b on b.id = y where cast(shared as double) / cast(a.total + b.total - shared as double) >= 0.8),
+l as (select x, y from e union all select y, x from e),
+r as (select id, id as node from d union select r.id, l.y from r join l on l.x = r.node),
+m as (select id, min(node) as class_id from r group by id),
+k as (select class_id, sum(n) as class_size from m join d using (id) group by class_id)
+select w.doc_id, m.class_id, cast(k.class_size as bigint) as class_size from w join d using (t) join m on m.id = d.id join k using (class_id)
+"""

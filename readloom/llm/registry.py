@@ -17,5 +17,7 @@ QUERIES = {
 
 ORACLE = {
     "op3_mixing": mixing.ORACLE,
+    "op4_suffixes": suffixes.ORACLE,
+    "op6_neardup": neardup.ORACLE,
     "op10_search": search.ORACLE,
 }

@@ -324,3 +324,19 @@ def op4_suffixes(spark, sf_dir: str) -> DataFrame:
     out = dedup(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return out.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+n as (select doc_id, h, length(h) // 2 as n from d),
+w as (select doc_id, i, md5(substr(h, 2 * i - 1, 800)) as k from (select doc_id, h, unnest(range(1, n - 398)) as i from n)),
+u as (select k from w group by k having count(*) > 1),
+a as (select doc_id, i, lag(i) over (partition by doc_id order by i) as p from w where k in (select k from u)),
+g as (select doc_id, i, sum(case when p is null or i > p + 400 then 1 else 0 end) over (partition by doc_id order by i) as g from a),
+s as (select doc_id, g, min(i) - 1 as a, max(i) + 399 as b from g group by all),
+c as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as p from s),
+k as (select doc_id, sum(b - a) as n_removed, count(*) as n_spans, max(b) as last, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' order by a) as kept from c join d using (doc_id) group by doc_id)
+select n.doc_id, n as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from n left join k using (doc_id)
+"""
