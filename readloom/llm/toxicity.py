@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -50,9 +51,8 @@ def term_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np
     return np.column_stack(cols)
 
 
-def learn_lexicon(texts: pa.Array, y: np.ndarray) -> Lexicon:
-    """The TERMS words and stems with the most evidence of lying in toxic texts more often than in others."""
-    seen: dict[int, list[np.ndarray]] = {0: [], 1: []}
+def distinct_terms(texts: pa.Array, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Terms, each once for a text that has it, and the label of that text; some texts at a time."""
     for lo, hi, data, off in slices(texts):
         starts, ends = word_spans(data, off)
         h = term_hashes(data, starts, ends)
@@ -61,19 +61,27 @@ def learn_lexicon(texts: pa.Array, y: np.ndarray) -> Lexicon:
         order = np.lexsort((h, doc))
         doc, h = doc[order], h[order]
         new = (h != 0) & np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])[: len(h)]
-        label = y[lo:hi][doc]
-        for k in (0, 1):
-            seen[k].append(h[new & (label == k)])
-    n = {k: max(int((y == k).sum()), 1) for k in (0, 1)}
-    tox, t = np.unique(np.concatenate(seen[1]), return_counts=True) if seen[1] else (np.zeros(0, np.uint64), np.zeros(0))
-    rest, c = np.unique(np.concatenate(seen[0]), return_counts=True) if seen[0] else (np.zeros(0, np.uint64), np.zeros(0))
+        yield h[new], y[lo:hi][doc[new]]
+
+
+def learn_lexicon(texts: pa.Array, y: np.ndarray) -> Lexicon:
+    """The TERMS words and stems with the most evidence of lying in toxic texts more often than in others."""
+    first: list[np.ndarray] = []
+    for terms, label in distinct_terms(texts, y):
+        first.append(terms[label == 1])
+    tox, t = np.unique(np.concatenate(first), return_counts=True) if first else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    tox, t = tox[t >= 3], t[t >= 3]
     if not len(tox):
         return Lexicon()
-    at = np.minimum(np.searchsorted(rest, tox), max(len(rest) - 1, 0))
-    clean = np.where(rest[at] == tox, c[at], 0) if len(rest) else np.zeros(len(tox))
+    clean = np.zeros(len(tox), np.int64)
+    for terms, label in distinct_terms(texts, y):
+        other = terms[label == 0]
+        at = np.minimum(np.searchsorted(tox, other), len(tox) - 1)
+        clean += np.bincount(at[tox[at] == other], minlength=len(tox))
+    n = {k: max(int((y == k).sum()), 1) for k in (0, 1)}
     odds = np.log((t + 0.5) / (n[1] + 1)) - np.log((clean + 0.5) / (n[0] + 1))
     gain = t * odds
-    good = np.flatnonzero((t >= 3) & (odds > 1))
+    good = np.flatnonzero(odds > 1)
     good = good[np.argsort(-gain[good], kind="stable")][:TERMS]
     good = good[np.argsort(tox[good])]
     return Lexicon(tox[good], odds[good])
