@@ -272,8 +272,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     entries = settle(sources.join(wanted, "key").mapInArrow(fetch, "anchor long, segment long, held long, n int, batch int, body binary, crowded boolean"))
     calm = entries.where("not crowded").drop("crowded").repartition("anchor").sortWithinPartitions("anchor")
     crowded = entries.where("crowded").drop("crowded")
-    found = settle(index_shards(calm).unionByName(index_crowds(crowded)))
-    found = found.groupBy("anchor", "segment").agg(F.collect_list(F.struct("start", "n")).alias("runs"))  # 201 at most
+    found = index_shards(calm).unionByName(index_crowds(crowded))
+    found = settle(found.groupBy("anchor", "segment").agg(F.collect_list(F.struct("start", "n")).alias("runs")))  # 201 runs at most
     some = placed.where("varied").select("anchor", "segment", "key", "start").join(found, ["anchor", "segment"])
     some = some.select("key", F.transform("runs", lambda r: F.struct((r["start"] + F.col("start")).alias("start"), r["n"].alias("n"))).alias("runs"))
     return settle(whole.unionByName(some).groupBy("key").agg(F.flatten(F.collect_list("runs")).alias("runs")))
