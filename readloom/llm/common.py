@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 1000  # rows of an Arrow batch: texts are long
-SLICE_BYTES = 1 << 20  # text handled at once by the numpy code
+SLICE_BYTES = 1 << 19  # text handled at once by the numpy code
 
 
 def find_package(spark: SparkSession) -> None:

@@ -23,8 +23,8 @@ from .common import BYTE_CODE, mix64, pieces, rolling, settle, slices, span_hash
 SPAN = 400
 ANCHOR = 200
 BATCHES = 4  # in which a bulk load reaches the family
-WINDOWS = 32_000  # windows, of SPAN bytes each, that a task indexes at once
-CROWD = 256  # entries to one shard key beyond which they are cut finer
+WINDOWS = 16_000  # windows, of SPAN bytes each, that a task indexes at once
+CROWD = 128  # entries to one shard key beyond which they are cut finer
 BLOCK = 16  # windows in an aligned block of a crowded anchor
 PLACES = np.uint64((1 << 24) - 1)  # bits of a packed minimum that hold the place
 PIECE = 8 << 20  # window starts handled at once in one very long text

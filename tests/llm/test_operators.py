@@ -217,7 +217,7 @@ def test_near_duplicates_odd_inputs(odd, none):
     assert neardup.classes(none).count() == 0 and neardup.keep_one(none).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [256, 1])
+@pytest.mark.parametrize("crowd", [128, 1])
 def test_repeated_bytes_against_brute_force(spark, odd, none, crowd, monkeypatch):
     common.find_package(spark)
     monkeypatch.setattr(suffixes, "CROWD", crowd)
