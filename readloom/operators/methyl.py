@@ -37,12 +37,68 @@ def hypo_score(df: DataFrame, cell: list[str], cutoff: float = 0.9) -> DataFrame
     return df.withColumn("score", tail("mc", "cov", "rate")).withColumn("score", F.when(F.col("score") >= cutoff, F.col("score")).otherwise(0.0)).drop("rate")
 
 
-def methyl_matrix(df: DataFrame, bins: int) -> DataFrame:
-    """(cell, features): methylated fraction per bin over the cell's mean, at most 10, of the first `bins` bins; 1 where not covered."""
-    w = Window.partitionBy("cell")
-    d = df.withColumn("f", F.least(F.lit(10.0), (F.col("mc") / F.col("cov")) / F.greatest(F.sum("mc").over(w) / F.sum("cov").over(w), F.lit(1e-9))))
-    per = d.groupBy("cell").agg(F.map_from_entries(F.collect_list(F.struct("bin", "f"))).alias("m"))
-    return per.select("cell", F.transform(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")), lambda b: F.coalesce(F.try_element_at("m", b), F.lit(1.0))).alias("features"))
+def methyl_fractions(df: DataFrame) -> DataFrame:
+    """(cell, chrom, bin, mc, cov) -> the same with f: the bin's methylated fraction over the cell's mean, at most 10.
+
+    The fraction is the posterior mean under a beta prior with mean and variance of the cell's own bins, so it is
+    never 0 where the cell has any methylation and its logarithm is finite. The prior weighs one read at least; a
+    cell whose bins do not differ has 1 everywhere.
+    """
+    raw = F.col("mc") / F.col("cov")
+    df = df.where("cov > 0")
+    prior = df.groupBy("cell").agg(F.avg(raw).alias("m"), F.var_pop(raw).alias("v"))
+    size = F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(1.0))
+    f = F.least(F.lit(10.0), (F.col("mc") + F.col("m") * size) / (F.col("cov") + size) / F.col("m"))
+    return df.join(prior, "cell").withColumn("f", F.when((F.col("v") > 1e-12) & (F.col("m") > 0), f).otherwise(1.0)).drop("m", "v")
+
+
+def variable_features(frac: DataFrame, cells: int, top: int) -> list[tuple]:
+    """(chrom, bin, scale) of the `top` bins whose dispersion over all cells lies highest above its trend, sorted.
+
+    Dispersion is deviation over mean, its trend a quadratic in the logarithms of mean and coverage. scale is the
+    deviation of log f. A bin without reads in a cell counts as 1. One row per bin comes to the driver.
+    """
+    log = F.log("f")
+    sums = frac.groupBy("chrom", "bin").agg(F.sum("f"), F.sum(F.col("f") * F.col("f")), F.count("*"), F.sum("cov"), F.sum(log), F.sum(log * log))
+    rows = sorted(tuple(r) for r in sums.collect())
+    if not rows:
+        return []
+    f, ff, n, cov, g, gg = np.array([r[2:] for r in rows], float).T
+    mean = (f + cells - n) / cells
+    sd = np.sqrt(np.maximum((ff + cells - n) / cells - mean**2, 0))
+    scale = np.sqrt(np.maximum(gg / cells - (g / cells) ** 2, 0))
+    scale[scale < 1e-9] = 1.0
+    pick = np.arange(len(rows))
+    if len(rows) > top:
+        x, y = np.log2(mean), np.log2(cov / cells)
+        design = np.stack([np.ones(len(x)), x, y, x * x, x * y, y * y], 1)
+        spread = np.log2(np.maximum(sd / mean, 1e-9))
+        above = spread - design @ np.linalg.lstsq(design, spread, rcond=None)[0]
+        pick = np.sort(np.argsort(-above, kind="stable")[:top])
+    return [(rows[i][0], rows[i][1], float(scale[i])) for i in pick]
+
+
+def methyl_matrix(df: DataFrame, cells: DataFrame, top: int = 2500) -> DataFrame:
+    """(cell, features) for each of `cells`: log of the normalised fraction of each variable bin over its deviation, within 10.
+
+    `df` has (cell, chrom, bin, mc, cov); the bins are those that occur in it. A bin without reads is at the mean: 0.
+    """
+    frac = methyl_fractions(df)
+    bins = variable_features(frac, cells.count(), top)
+    spark = df.sparkSession
+    at = spark.createDataFrame([(c, b, i, s) for i, (c, b, s) in enumerate(bins)], "chrom string, bin long, i int, scale double")
+    x = F.greatest(F.lit(-10.0), F.least(F.lit(10.0), F.log("f") / F.col("scale")))
+    per = frac.join(F.broadcast(at), ["chrom", "bin"]).groupBy("cell").agg(F.collect_list(F.struct("i", x.alias("x"))).alias("m"))
+    wide = len(bins)
+
+    @F.udf("array<double>")
+    def dense(m):
+        out = [0.0] * wide
+        for i, v in m or []:
+            out[i] = v
+        return out
+
+    return cells.join(per, "cell", "left").select("cell", dense("m").alias("features"))
 
 
 def principal_components(df: DataFrame, key: str, features: str, k: int) -> DataFrame:

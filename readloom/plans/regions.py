@@ -164,8 +164,9 @@ def _(spark, sf):
 def _(spark, sf):
     from ..operators.methyl import methyl_matrix, principal_components
 
-    d = allc(spark, sf).groupBy("cell", F.floor((F.col("pos") - 1) / 250).alias("bin")).agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
-    return principal_components(methyl_matrix(d, 10), "cell", "features", 4)
+    a = allc(spark, sf)
+    d = a.where("context like 'CG%'").groupBy("cell", "chrom", F.floor((F.col("pos") - 1) / 250).alias("bin")).agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
+    return principal_components(methyl_matrix(d, a.select("cell").distinct()), "cell", "features", 4)
 
 
 @query("knn", """with e as (select vec_id, embedding from embeddings), p as (select a.vec_id, b.vec_id as neighbour, round(sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: pow(cast(z[1] as double) - cast(z[2] as double), 2)))), 6) as distance from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
