@@ -190,16 +190,15 @@ def multisets(texts: DataFrame) -> DataFrame:
 def likely(t: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """The left rows of a tile; to each, the right rows of other components that agree in LIKELY registers and share no earlier band; components."""
     sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, REGISTERS)
-    bands = sig.view(np.uint32) if ROWS == 4 else None
     left = t["left"].to_numpy()
     comp = np.unique(np.array([c.hex() for c in t["comp"].to_pylist()]), return_inverse=True)[1]
-    band = t["band"][0].as_py()
+    earlier = t["earlier"].combine_chunks().flatten().to_numpy().reshape(len(left), t["band"][0].as_py())
     right = np.flatnonzero(~left)
     out = []
     for i in np.flatnonzero(left):
         other = right[comp[right] != comp[i]]
         other = other[(sig[other] == sig[i]).sum(1) >= LIKELY]
-        out.append(other[(bands[other, :band] == bands[i, :band]).sum(1) == 0])
+        out.append(other[(earlier[other] == earlier[i]).sum(1) == 0])
     return np.flatnonzero(left), out, comp
 
 
@@ -217,10 +216,10 @@ def remaining(inside: DataFrame, nodes: DataFrame, comps: DataFrame, sources: Da
     placed = placed.join(centres, "bucket").withColumn("minor", F.col("comp") != F.col("major"))
     mixed = placed.groupBy("bucket").agg(F.sum(F.col("minor").cast("long")).alias("minors")).where("minors > 0")
     # a bucket of two was verified in the first round
-    placed = settle(placed.where("n > 2").join(mixed, "bucket").join(nodes.select("key", "sig"), "key"))
+    placed = settle(placed.where("n > 2").join(mixed, "bucket").join(nodes.select("key", "sig", "bands"), "key").withColumn("earlier", F.slice("bands", F.lit(1), F.col("band"))).drop("bands"))
 
     def tiles(rows: DataFrame, extra: list[str]) -> DataFrame:
-        cols = ["bucket", "band", "key", "comp", "sig", *extra]
+        cols = ["bucket", "band", "key", "comp", "sig", "earlier", *extra]
         a_tiles, b_tiles = F.ceil(F.col("minors") / TILE_A).cast("int"), F.ceil(F.col("n") / TILE_B).cast("int")
         mine = lambda n: F.pmod(F.xxhash64("key"), n.cast("long")).cast("int")
         span = lambda n: F.explode(F.sequence(F.lit(0), n - 1))

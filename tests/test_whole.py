@@ -1,7 +1,9 @@
 """Whole jobs: results that an earlier version cut."""
 
 import numpy as np
+import pyarrow as pa
 
+from readloom.llm import neardup
 from readloom.operators import methyl as Y
 
 
@@ -21,3 +23,14 @@ def test_methyl_matrix_has_every_bin(spark):
     x = np.clip(x / x.std(0), -10, 10)
     assert set(got) == set(range(9)) and all(np.allclose(got[c], x[c]) for c in got)
     assert all(len(r[1]) == 2 for r in Y.methyl_matrix(d, d.select("cell").distinct(), 2).collect())
+
+
+def test_earlier_bands_are_whole_hashes():
+    """Two nodes that agree in the bytes of an earlier band but not in its hash were skipped in the band they share."""
+    sig = bytes(range(128))
+    rows = [{"key": bytes([k]), "comp": bytes([k]), "sig": sig, "band": 2, "earlier": e, "left": k == 0} for k, e in enumerate([[5, 6], [7, 8], [9, 6]])]
+    schema = pa.schema([("key", pa.binary()), ("comp", pa.binary()), ("sig", pa.binary()), ("band", pa.int32()), ("earlier", pa.list_(pa.int64())), ("left", pa.bool_())])
+    left, others, _ = neardup.likely(pa.Table.from_pylist(rows, schema))
+    assert left.tolist() == [0] and others[0].tolist() == [1]
+    first = [r | {"band": 0, "earlier": []} for r in rows]
+    assert neardup.likely(pa.Table.from_pylist(first, schema))[1][0].tolist() == [1, 2]
