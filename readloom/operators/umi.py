@@ -23,14 +23,22 @@ def blocked_edges(umis: DataFrame, keys: list[str], blocks: int, block: int) ->
     return pairs.where(S.hamming(F.col("a"), F.col("b")) < blocks)
 
 
-def components(edge: DataFrame, nodes: DataFrame, rounds: int) -> DataFrame:
-    """(node, comp): the least node within `rounds` steps; enough rounds give the components."""
-    both = edge.select("a", "b").union(edge.select("b", "a"))
-    label = nodes.select("node", F.col("node").alias("comp"))
-    for _ in range(rounds):
+def components(edge: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, comp): the least node that edges lead to. Labels spread along edges and are then followed once more, until none changes."""
+
+    def keep(df: DataFrame) -> DataFrame:
+        return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+    both = keep(edge.select("a", "b").union(edge.select("b", "a")).distinct())
+    label = keep(nodes.select("node", F.col("node").alias("comp")))
+    while True:
         near = both.join(label.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        label = label.join(near, "node", "left").select("node", F.least("comp", F.coalesce("near", "comp")).alias("comp"))
-    return label
+        moved = label.join(near, "node", "left").select("node", F.col("comp").alias("old"), F.least("comp", F.coalesce("near", "comp")).alias("comp"))
+        jump = label.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
+        new = keep(moved.join(jump, "comp", "left").select("node", "old", F.least("comp", F.coalesce("next", "comp")).alias("comp")))
+        label = new.select("node", "comp")
+        if new.where(F.col("old") != F.col("comp")).isEmpty():
+            return label
 
 
 def cluster_group(counts: dict[str, int], method: str) -> tuple[dict[str, int], list[tuple[str, int, str, int]]]:

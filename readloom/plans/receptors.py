@@ -221,7 +221,7 @@ def _(spark, sf):
     name = lambda u: F.concat_ws("|", "cell", "gene", u)
     u = umis(spark, sf)
     e = U.edges(u, ["cell", "gene"]).select(name("a").alias("a"), name("b").alias("b"))
-    return U.components(e, u.select(name("umi").alias("node")), 3)
+    return U.components(e, u.select(name("umi").alias("node")))
 
 
 for _m in ("adjacency", "directional", "cluster"):

@@ -1,10 +1,16 @@
 """Whole jobs: results that an earlier version cut."""
 
+import random
+import string
+
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from readloom.llm import neardup
+from readloom.llm import common, neardup, secrets
+from readloom.operators import cells as L
 from readloom.operators import methyl as Y
+from readloom.operators import umi as U
 
 
 def test_methyl_matrix_has_every_bin(spark):
@@ -34,3 +40,11 @@ def test_earlier_bands_are_whole_hashes():
     assert left.tolist() == [0] and others[0].tolist() == [1]
     first = [r | {"band": 0, "earlier": []} for r in rows]
     assert neardup.likely(pa.Table.from_pylist(first, schema))[1][0].tolist() == [1, 2]
+
+
+def test_components_of_a_long_chain(spark):
+    names = [f"n{i:02d}" for i in range(12)]
+    order = [0, 5, 11, 3, 8, 1, 10, 4, 7, 2, 9, 6]
+    e = spark.createDataFrame([(names[a], names[b]) for a, b in zip(order, order[1:])] + [("x", "y")], "a string, b string")
+    nodes = spark.createDataFrame([(n,) for n in [*names, "x", "y", "z"]], "node string")
+    assert dict(map(tuple, U.components(e, nodes).collect())) == {n: "n00" for n in names} | {"x": "x", "y": "x", "z": "z"}
