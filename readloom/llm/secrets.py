@@ -19,7 +19,8 @@ BASE = [
     ("hex", r"[0-9a-f]{24,}", 0, 24),  # a run of at least 24 is what is left of [0-9a-f]+
 ]
 KINDS = [k for k, *_ in BASE] + ["random"]
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+LEAST = 20
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST},}}"
 FDR = 0.01
 BINS = 400  # tenths of a decade of p that are told apart
 SPAN = "struct<kind:int,start:bigint,end:bigint>"
@@ -51,6 +52,15 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,part:string>>"))
 
 
+def left_of(run: Column, base: Column) -> Column:
+    """array<struct<start,end,part>>: the pieces of at least LEAST characters that the base spans, sorted by start, leave of a run."""
+    touching = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    piece = lambda lo, hi: F.struct(lo.alias("start"), hi.alias("end"), F.substring(run["part"], (lo - run["start"] + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int")).alias("part"))
+    first = F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:bigint,end:bigint,part:string>>").alias("out"))
+    cut = F.aggregate(touching, first, lambda s, b: F.struct(F.greatest(s["at"], b["end"]).alias("at"), F.concat(s["out"], F.array(piece(s["at"], b["start"]))).alias("out")), lambda s: F.concat(s["out"], F.array(piece(s["at"], run["end"]))))
+    return F.when(F.size(touching) == 0, F.array(piece(run["start"], run["end"]))).otherwise(F.filter(cut, lambda p: p["end"] - p["start"] >= LEAST))
+
+
 def upper_tail(z: Column) -> Column:
     """P(Z > z) of a standard normal, by the rational approximation 26.2.17 of Abramowitz and Stegun."""
     a = F.least(F.abs(z), F.lit(12.0))
@@ -62,15 +72,16 @@ def upper_tail(z: Column) -> Column:
 def battery(token: Column) -> Column:
     """Bin of the length-weighted p-value of a token under the hypothesis that it is natural or structured text.
 
-    The encoding is the smallest alphabet (hex, base32, alphanumeric, base64) that holds the token. Against it,
+    The encoding is the smallest alphabet (hex, one case of letters, base32, letters, alphanumeric, base64) that holds the token. Against it,
     with n characters: (1) chi-squared distance from uniform use of the alphabet, which for natural text has
     the mean df + n * (K * coincidence - 1) and for random text df; (2) runs of one character class, which
     change in natural text after about one character in eight; (3) serial correlation of neighbouring
-    character codes, of which structured text has 0.3 or more. The three z values count equally. The p-value
+    character codes, of which structured text has 0.3 or more. The z values count equally. A token without digits
+    is tested by (1) and (3) only: paths and joined capitalised words change class as often as random letters. The p-value
     is divided by n / 32: long tokens, which the tests tell apart well, get more of the error budget.
     """
     n = F.length(token).cast("double")
-    size = F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(16.0)).when(token.rlike("^[A-Z2-7]+$"), F.lit(32.0)).when(token.rlike("^[A-Za-z0-9]+$"), F.lit(62.0)).otherwise(F.lit(64.0))
+    size = F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(16.0)).when(token.rlike("^([a-z]+|[A-Z]+)$"), F.lit(26.0)).when(token.rlike("^[A-Z2-7]+$"), F.lit(32.0)).when(token.rlike("^[A-Za-z]+$"), F.lit(52.0)).when(token.rlike("^[A-Za-z0-9]+$"), F.lit(62.0)).otherwise(F.lit(64.0))
     coincidence = F.when(size == 16, F.lit(0.12)).otherwise(F.lit(0.066))
     letters = F.split(token, "")
     squares = F.aggregate(F.array_distinct(letters), F.lit(0.0), lambda s, c: s + F.pow(F.length(token) - F.length(F.replace(token, c, F.lit(""))), F.lit(2.0)))
@@ -84,7 +95,8 @@ def battery(token: Column) -> Column:
     spread = F.aggregate(codes, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean))
     shared = F.aggregate(F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda x, y: (x - mean) * (y - mean)), F.lit(0.0), lambda s, x: s + x)
     z_serial = (0.3 - F.abs(F.when(spread > 0, shared / spread).otherwise(F.lit(1.0)))) * F.sqrt(n)
-    p = upper_tail((z_chi + z_runs + z_serial) / 1.7320508075688772) * 32 / n
+    z = F.when(~token.rlike("[0-9]"), (z_chi + z_serial) / 1.4142135623730951).otherwise((z_chi + z_runs + z_serial) / 1.7320508075688772)
+    p = upper_tail(z) * 32 / n
     return F.greatest(F.lit(0), F.least(F.lit(BINS), F.floor(-10 * F.log10(F.greatest(p, F.lit(1e-300)))).cast("int")))
 
 
@@ -92,8 +104,8 @@ def scan(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None
     """(row, spans): the columns of `carry` as a struct, and all spans as array<kind,start,end> sorted by start, then kind.
 
     Kinds are numbers into KINDS. Base spans are the matches of BASE, leftmost and not overlapping within a
-    kind, whose group is long enough. A further span, of kind random, is a run of CANDIDATE characters with a
-    letter and a digit, touched by no base span, whose weighted p-value passes the Benjamini-Hochberg
+    kind, whose group is long enough. A further span, of kind random, is a run of CANDIDATE characters, or what base
+    spans leave of one if it is still LEAST long, whose weighted p-value passes the Benjamini-Hochberg
     threshold at `fdr` over the candidates of all documents. The threshold is found on a histogram of
     BINS + 1 bins with each p-value rounded up, so it never lets more through. Null and empty texts have no spans.
     Positions count code points; ends are exclusive.
@@ -105,9 +117,8 @@ def scan(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None
         kept = F.filter(matches(t, pattern, group), lambda m: F.length(m["part"]) >= short)  # noqa: B023
         rows = rows.withColumn(name, F.transform(kept, lambda m: F.struct(number.alias("kind"), m["start"].alias("start"), m["end"].alias("end"))))  # noqa: B023
     rows = rows.withColumn("base", F.array_sort(F.concat(*[F.col(n) for n, *_ in BASE]), lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["kind"] - b["kind"])))
-    mixed = F.filter(matches(t, CANDIDATE), lambda m: m["part"].rlike("[0-9]") & m["part"].rlike("[A-Za-z]"))
-    free = F.filter(mixed, lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    rows = rows.withColumn("tested", F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), battery(m["part"]).alias("bin"))))
+    runs = F.flatten(F.transform(matches(t, CANDIDATE), lambda m: left_of(m, F.col("base"))))
+    rows = rows.withColumn("tested", F.transform(runs, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), battery(m["part"]).alias("bin"))))
     rows = settle(rows.select("row", "base", "tested"))
     counts = dict(rows.select(F.explode("tested.bin").alias("bin")).groupBy("bin").count().collect())
     total, ahead, limit = sum(counts.values()), 0, BINS + 1

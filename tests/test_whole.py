@@ -5,10 +5,8 @@ import string
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
 
 from readloom.llm import common, neardup, secrets
-from readloom.operators import cells as L
 from readloom.operators import methyl as Y
 from readloom.operators import umi as U
 
@@ -48,3 +46,18 @@ def test_components_of_a_long_chain(spark):
     e = spark.createDataFrame([(names[a], names[b]) for a, b in zip(order, order[1:])] + [("x", "y")], "a string, b string")
     nodes = spark.createDataFrame([(n,) for n in [*names, "x", "y", "z"]], "node string")
     assert dict(map(tuple, U.components(e, nodes).collect())) == {n: "n00" for n in names} | {"x": "x", "y": "x", "z": "z"}
+
+
+def test_secrets_without_digits_and_beside_base_spans(spark):
+    common.find_package(spark)
+    r = random.Random(4)
+    token = lambda a, n: "".join(r.choice(a) for _ in range(n))
+    letters, more = string.ascii_letters, string.ascii_letters + string.digits
+    dense = "0a1b2c3d" * 4
+    kept = ["internationalisation_of_the_whole_collection", "Donaudampfschifffahrtsgesellschaft", "-" * 40, "pneumonoultramicroscopicsilicovolcanoconiosis", "the/quick/brown/fox/jumps/over/it", "AllTheseWordsInOneLongCamelCaseName"]
+    found = [token(letters, 48), token(letters, 40), dense + "-" + token(more, 48), token(string.ascii_lowercase, 120)]
+    d = spark.createDataFrame(list(enumerate(f"see {x} here" for x in kept + found)), "doc_id long, text string")
+    spans = {x.row.doc_id: [(s.kind, s.start, s.end) for s in x.spans] for x in secrets.scan(d, carry=["doc_id"]).collect()}
+    assert not any(spans[i] for i in range(len(kept)))
+    at = [spans[len(kept) + i] for i in range(len(found))]
+    assert at == [[(3, 4, 52)], [(3, 4, 44)], [(2, 4, 36), (3, 36, 85)], [(3, 4, 124)]]
