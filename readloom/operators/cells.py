@@ -21,6 +21,26 @@ def ordmag(sums: DataFrame, expected: int, quantile: float = 0.99) -> DataFrame:
     return sums.withColumn("k", F.lit(1)).join(F.broadcast(cut), "k").where("umis >= cutoff").drop("k", "cutoff")
 
 
+def ordmag_resampled(sums: DataFrame, expected: int, quantile: float = 0.99, samples: int = 100, seed: int = 1) -> DataFrame:
+    """The n largest barcodes, n being the mean over `samples` bootstraps of those with a tenth of the UMIs of the barcode at rank expected * (1 - quantile).
+
+    A bootstrap is drawn as the counts of the distinct UMI numbers, which alone go to the driver.
+    """
+    some = sums.where("umis > 0")
+    rows = sorted(tuple(r) for r in some.groupBy("umis").count().collect())
+    if not rows:
+        return some
+    value, count = np.array(rows).T
+    n = int(count.sum())
+    rank = max(1, min(round(expected * (1 - quantile)), n - 1))
+    found = []
+    for draw in np.random.default_rng(seed).multinomial(n, count / n, samples):
+        above = np.cumsum(draw[::-1])[::-1]  # barcodes with at least each value
+        base = value[np.flatnonzero(above >= rank)[-1]]
+        found.append(int(draw[value >= max(1, round(0.1 * float(base)))].sum()))
+    return force(some, round(float(np.mean(found))))
+
+
 def candidates(sums: DataFrame, called: DataFrame, least: int = 500, share: float = 0.01, limit: int = 20_000) -> DataFrame:
     """Barcodes not called with at least max(least, ceil(share * median UMIs of the called)), the `limit` largest."""
     med = sums.join(called.select("cell"), "cell", "left_semi").agg(F.median("umis").alias("m"))
@@ -43,15 +63,51 @@ def benjamini_hochberg(df: DataFrame, p: str, order: list[str]) -> DataFrame:
     return df.join(per.select(p, "q"), p)
 
 
+def good_turing(counts: np.ndarray) -> np.ndarray:
+    """Shares by simple Good-Turing smoothing (Gale and Sampson); genes with count 0 divide the share of the unseen equally.
+
+    Where no gene was seen just once, the unseen have the share of half a count, so that no gene is impossible.
+    """
+    x = np.asarray(counts, np.int64)
+    r, n = np.unique(x[x > 0], return_counts=True)
+    if not len(r):
+        return np.full(len(x), 1 / max(len(x), 1))
+    total, zero = float((r * n).sum()), int((x == 0).sum())
+    unseen = (n[0] if r[0] == 1 else 0.5) / total if zero else 0.0
+    if unseen >= 1:  # nothing but single counts
+        unseen = 0.5
+    before, after = np.concatenate([[0], r[:-1]]), np.concatenate([r[1:], [2 * r[-1] - (r[-2] if len(r) > 1 else 0)]])
+    slope = np.polyfit(np.log(r), np.log(2 * n / (after - before)), 1)[0] if len(r) > 1 else -1.0
+    star, smooth = np.empty(len(r)), False
+    for i, k in enumerate(r):
+        fit = k * (1 + 1 / k) ** (slope + 1)
+        if not smooth and i + 1 < len(r) and r[i + 1] == k + 1:
+            more = n[i + 1] / n[i]
+            star[i] = (k + 1) * more
+            smooth = abs(star[i] - fit) <= 1.96 * (k + 1) * math.sqrt(more / n[i] * (1 + more))
+        else:
+            smooth = True
+        if smooth:
+            star[i] = fit
+    share = (1 - unseen) * star / (star * n).sum()
+    return np.where(x > 0, share[np.searchsorted(r, np.maximum(x, r[0]))], unseen / max(zero, 1))
+
+
 def ambient_profile(counts: DataFrame, sums: DataFrame, low: int, high: int) -> DataFrame:
-    """(gene, p): shares in barcodes of UMI rank low < rank <= high, with add-half smoothing for genes not seen there."""
+    """(gene, p): Good-Turing shares in barcodes of UMI rank low < rank <= high. A row for each gene goes to the driver."""
     ambient = ranked(sums, "umis", ["cell"], "r").where((F.col("r") > low) & (F.col("r") <= high)).select("cell")
     seen = counts.join(ambient, "cell", "left_semi").groupBy("gene").agg(F.sum("umis").alias("u"))
-    genes = counts.select("gene").distinct().join(seen, "gene", "left").withColumn("u", F.coalesce("u", F.lit(0)) + 0.5)
-    return genes.withColumn("p", F.col("u") / F.sum("u").over(Window.partitionBy())).select("gene", "p")
+    rows = counts.select("gene").distinct().join(seen, "gene", "left").select("gene", F.coalesce("u", F.lit(0))).orderBy("gene").collect()
+    share = good_turing(np.array([r[1] for r in rows], np.int64))
+    return counts.sparkSession.createDataFrame([(r[0], float(p)) for r, p in zip(rows, share)], "gene string, p double")
+
+
+def called_cells(first: DataFrame, tested: DataFrame, limit: float = 0.01) -> DataFrame:
+    """(cell): those of the first call and the tested ones with q below the limit."""
+    return first.select("cell").union(tested.where(F.col("q") < limit).select("cell")).distinct()
 
 
-def ambient_test(counts: DataFrame, cands: DataFrame, profile: DataFrame, simulations: int = 1000, seed: int = 1) -> DataFrame:
+def ambient_test(counts: DataFrame, cands: DataFrame, profile: DataFrame, simulations: int = 10_000, seed: int = 1) -> DataFrame:
     """(cell, umis, loglik, p): multinomial log-likelihood against the profile and its rank among simulations.
 
     The profile has a row for each gene and goes to the workers; all candidates of one total share their
@@ -64,10 +120,13 @@ def ambient_test(counts: DataFrame, cands: DataFrame, profile: DataFrame, simula
     def test(df: pd.DataFrame) -> pd.DataFrame:
         total = int(df["total"].iloc[0])
         rng = np.random.default_rng([seed, total])
-        draws = rng.multinomial(total, p, simulations)
         logp = np.log(p)
         table = lgam(np.arange(total + 2, dtype=float) + 1)
-        sims = np.sort(table[total] + draws @ logp - table[draws].sum(1))
+        block, sims = max(1, 1_000_000 // len(p)), []
+        for lo in range(0, simulations, block):
+            draws = rng.multinomial(total, p, min(block, simulations - lo))
+            sims.append(table[total] + draws @ logp - table[draws].sum(1))
+        sims = np.sort(np.concatenate(sims))
         out = []
         for cell, g in df.groupby("cell", sort=True):
             x, at = g["umis"].to_numpy(), g["gene"].map(genes).to_numpy()

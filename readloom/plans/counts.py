@@ -222,12 +222,25 @@ def _(spark, sf):
     return L.candidates(s, L.force(s, 100), least=5, share=0.5)
 
 
-@query("ambient_test")
-def _(spark, sf):
+def tested(spark, sf):
     c, s = cnt(spark, sf), sums(spark, sf).select("cell", "umis")
     cands = L.candidates(s, L.force(s, 100), least=5, share=0.5)
-    tested = L.ambient_test(c, cands, L.ambient_profile(c, s, 300, 700))
-    return L.benjamini_hochberg(tested, "p", ["cell"])
+    return L.benjamini_hochberg(L.ambient_test(c, cands, L.ambient_profile(c, s, 300, 700)), "p", ["cell"])
+
+
+@query("ambient_test")
+def _(spark, sf):
+    return tested(spark, sf)
+
+
+@query("ambient_cells")
+def _(spark, sf):
+    return L.called_cells(L.force(sums(spark, sf).select("cell", "umis"), 100), tested(spark, sf))
+
+
+@query("ordmag_resampled")
+def _(spark, sf):
+    return L.ordmag_resampled(sums(spark, sf).select("cell", "umis"), 300)
 
 
 @query("mito_share", f"with {DET} select cell, round(100 * cast(sum(case when regexp_matches('mt-' || gene, '^(MT|mt|Mt)-p') then umis else 0 end) as double) / cast(sum(umis) as double), 9) as percent_mito from cnt group by cell")

@@ -5,8 +5,10 @@ import string
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from readloom.llm import common, neardup, secrets
+from readloom.operators import cells as L
 from readloom.operators import methyl as Y
 from readloom.operators import umi as U
 
@@ -61,3 +63,17 @@ def test_secrets_without_digits_and_beside_base_spans(spark):
     assert not any(spans[i] for i in range(len(kept)))
     at = [spans[len(kept) + i] for i in range(len(found))]
     assert at == [[(3, 4, 52)], [(3, 4, 44)], [(2, 4, 36), (3, 36, 85)], [(3, 4, 124)]]
+
+
+def test_cell_call_of_the_reference(spark):
+    p = L.good_turing(np.array([0, 0, 1, 1, 1, 2, 2, 3, 5, 9]))
+    assert abs(p.sum() - 1) < 1e-9 and abs(p[:2].sum() - 3 / 24) < 1e-9 and (np.diff(p[[2, 5, 7, 8, 9]]) > 0).all()
+    counts = spark.createDataFrame([("c", "g0", 60), ("d", "g1", 30), ("d", "g0", 30)], "cell string, gene string, umis long")
+    profile = spark.createDataFrame([("g0", 0.001), ("g1", 0.999)], "gene string, p double")
+    tested = L.benjamini_hochberg(L.ambient_test(counts, counts.groupBy("cell").agg(F.sum("umis").alias("umis")), profile), "p", ["cell"])
+    assert abs({r.cell: r.p for r in tested.collect()}["c"] - 1 / 10_001) < 1e-12
+    first = spark.createDataFrame([("a",), ("c",)], "cell string")
+    assert {r[0] for r in L.called_cells(first, tested).collect()} == {"a", "c", "d"}
+    sums = spark.createDataFrame([(i, 1000 if i < 50 else 1) for i in range(500)], "cell long, umis long")
+    got = {r.cell for r in L.ordmag_resampled(sums, 300).collect()}
+    assert got == set(range(len(got))) and 45 <= len(got) <= 55
