@@ -186,7 +186,7 @@ def _(spark, sf):
 
 
 def QUERY_POINTS(spark, sf):
-    p = iv(spark, sf).select("chrom").distinct().select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2399).cast("long"))).alias("pos"))
+    p = iv(spark, sf).groupBy("chrom").agg(F.max("end").alias("last")).select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("pos"))
     return I.split_points(p, iv(spark, sf), 8)
 
 

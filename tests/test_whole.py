@@ -11,6 +11,7 @@ from readloom.llm import common, neardup, secrets
 from readloom.operators import cells as L
 from readloom.operators import methyl as Y
 from readloom.operators import umi as U
+from readloom.plans import regions
 
 
 def test_methyl_matrix_has_every_bin(spark):
@@ -77,3 +78,10 @@ def test_cell_call_of_the_reference(spark):
     sums = spark.createDataFrame([(i, 1000 if i < 50 else 1) for i in range(500)], "cell long, umis long")
     got = {r.cell for r in L.ordmag_resampled(sums, 300).collect()}
     assert got == set(range(len(got))) and 45 <= len(got) <= 55
+
+
+def test_split_points_reach_the_last_interval(spark):
+    sf = "/root/testdata/sf0.001"
+    last = {r[0]: r[1] for r in regions.iv(spark, sf).groupBy("chrom").agg(F.max("end")).collect()}
+    pos = [(r.chrom, r.pos) for r in regions.QUERY_POINTS(spark, sf).collect()]
+    assert max(p for _, p in pos) > 2399 and all(p <= last[c] for c, p in pos)
