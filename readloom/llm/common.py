@@ -9,12 +9,12 @@ repeated rows are rows of their own unless an operator says otherwise.
 from __future__ import annotations
 
 import atexit
-import os
+import functools
+import logging
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +23,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..shipping import ship
+
 WORD = r"[^\x20\x09-\x0D]+"
+DEEP = 4  # digits of ranges whose sums one task adds up for a group
 BATCH_ROWS = 1000  # rows of an Arrow batch: texts are long
 SLICE_BYTES = 1 << 19  # text handled at once by the numpy code
 
 
 def find_package(spark: SparkSession) -> None:
-    """Lets Python workers on this file system import this package from wherever the driver did, and keeps Arrow batches of texts small."""
-    env, root = spark.sparkContext.environment, str(Path(__file__).parents[2])
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, [env.get("PYTHONPATH")])])
+    """Ships this package to the executors once a session, and keeps Arrow batches of texts small."""
+    ship(spark)
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(rows)) > BATCH_ROWS:
         spark.conf.set(rows, BATCH_ROWS)
@@ -44,9 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share. Where none is set, a local session gets one of our own; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         own = tempfile.mkdtemp(prefix="readloom-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         found = "file://" + own
@@ -54,10 +57,69 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def settle(df: DataFrame) -> DataFrame:
+#: Folders to delete, of each running operator (see tidy) from the outermost; the first list lives as long as the session.
+_HELD: list[list[tuple[SparkSession, str]]] = [[]]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever file system it lies; one that is gone already is no error."""
+    try:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception as e:  # a scratch folder that cannot be deleted costs space, not results
+        logging.getLogger(__name__).warning("could not delete %s: %s", path, e)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def put(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file of text."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def hold(spark: SparkSession, path: str, keep: bool = False) -> str:
+    """Has the folder deleted when the running operator ends or, if kept, when its caller does; at the latest with the session."""
+    _HELD[-2 if keep and len(_HELD) > 1 else -1].append((spark, path))
+    return path
+
+
+def _sweep(held: list[tuple[SparkSession, str]]) -> None:
+    for spark, path in held:
+        delete(spark, path)
+
+
+@atexit.register
+def _sweep_all() -> None:
+    while _HELD:
+        _sweep(_HELD.pop())
+
+
+def tidy(operator):
+    """Deletes what an operator has settled once it returns, but for the tables that its result reads: those it settles with keep."""
+
+    @functools.wraps(operator)
+    def run(*args, **kwargs):
+        _HELD.append([])
+        try:
+            return operator(*args, **kwargs)
+        finally:
+            _sweep(_HELD.pop())
+
+    return run
+
+
+def settle(df: DataFrame, keep: bool = False) -> DataFrame:
     """The rows, written to the shared folder and read back: lineage ends here and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
+    path = hold(spark, f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}", keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -112,14 +174,29 @@ def with_prefix(df: DataFrame, group: str, key: str, tie: list[str], value: str,
     range_ = F.substring(F.col(key), 1, digits) if digits else F.lit("")
     sums = (df if slim is None else slim).withColumn(cut, range_)
     df = df.withColumn(cut, range_)
-    before = Window.partitionBy(group).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
     leads = sums.groupBy(group, cut).agg(F.sum(value).alias(part))
-    leads = leads.select(group, cut, F.coalesce(F.sum(part).over(before), F.lit(0)).cast("long").alias(lead))
+    if digits > DEEP:  # too many ranges for one task: their sums are added up in the same way
+        leads = with_prefix(leads, group, cut, [], part, lead, digits - DEEP).select(group, cut, lead)
+    else:
+        before = Window.partitionBy(group).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+        leads = leads.select(group, cut, F.coalesce(F.sum(part).over(before), F.lit(0)).cast("long").alias(lead))
     inside = Window.partitionBy(group, cut).orderBy(key, *tie).rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)).cast("long"))
     return df.join(leads, [group, cut]).withColumn(out, F.col(out) + F.col(lead)).drop(cut, lead)
 
 
+def join_spread(left: DataFrame, right: DataFrame, on: str, weight: str, total: int, how: str = "inner") -> DataFrame:
+    """left joined with right, which has one row a key and in `weight` how many rows of left hold it, of `total` rows.
+
+    Keys that hold more than a thousandth of all rows are fewer than a thousand, so their rows are broadcast; what is
+    left to be shuffled has no hot key. `weight` is dropped.
+    """
+    hot = F.col(weight) * 1000 > total
+    few = F.broadcast(right.where(hot).drop(weight))
+    rest = left.join(few.select(on), on, "left_anti")
+    return left.join(few, on).unionByName(rest.join(right.where(~hot).drop(weight), on, how), allowMissingColumns=True)
+
+
 def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about `size` bytes: first row, row past the last, bytes, offsets of the run's rows."""
     if isinstance(texts, pa.ChunkedArray):
