@@ -1,31 +1,42 @@
-"""Removal of repeated byte strings by a logarithmic family of suffix arrays.
+"""Removal of repeated byte strings by a stored, logarithmic family of suffix arrays.
 
 A match is a string of SPAN bytes that starts at two places or more. Each window of SPAN bytes is filed under
 its anchor, the ANCHOR-byte string in it with the least hash (the leftmost of equals): equal windows have equal
 anchors. Windows at neighbouring starts mostly share their anchor's place; such a run of windows is a
-segment, so a text has about one segment to each hundred bytes. Only segments whose anchor occurs again can
-hold a match. Among them equal segments are one entry with a count. What is left is sharded by anchor; in a
-shard the suffixes at the window starts, compared on their first SPAN bytes, go batch by batch into a family
-of suffix arrays whose levels double in size.
+segment, so a text has about one segment to each hundred bytes.
+
+A suffix array here is sparse: it holds the suffixes at the starts of segments, ordered by their anchor and then
+by the segment, both as 64-bit fingerprints. Matches need no more of an order than that equal beginnings lie
+together, and fingerprints spread evenly over the ranges of a table. An Index keeps such arrays as levels, tables
+of Parquet in ranges. A new batch of texts is sorted into an array of its own and merge-scanned against every
+level: where an anchor occurs again, the windows of its segments are sorted by all their bytes and equal
+neighbours are marked, in the batch and in the levels. Then levels of equal size are merged, so n batches
+leave log2(n) + 1 levels at most and each suffix is rewritten log2(n) times at most.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, mix64, pieces, rolling, settle, slices, span_hash, table, text_of
+from .common import BYTE_CODE, delete, exists, hold, mix64, pieces, put, rolling, settle, shared_dir, slices, span_hash, table, text_of, tidy
 
 SPAN = 400
 ANCHOR = 200
-BATCHES = 4  # in which a bulk load reaches the family
-WINDOWS = 16_000  # windows, of SPAN bytes each, that a task indexes at once
-CROWD = 128  # entries to one shard key beyond which they are cut finer
+BATCHES = 2  # in which dedup adds the documents to its index
+NEW = 1 << 20  # the level number of the batch that is being added
+WINDOWS = 16_000  # windows, of SPAN bytes each, that a task sorts at once
+ROWS = 2_000  # entries to a task of the scan, about
+CROWD = 128  # entries to one shard beyond which they are cut finer
 BLOCK = 16  # windows in an aligned block of a crowded anchor
+SALT = 16  # parts in which a window that very many segments hold is joined back
 PLACES = np.uint64((1 << 24) - 1)  # bits of a packed minimum that hold the place
 PIECE = 8 << 20  # window starts handled at once in one very long text
 BROADCAST_KEYS = 200_000
@@ -70,39 +81,17 @@ def segments(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-class Family:
-    """Suffix arrays of windows, as sorted arrays of their SPAN bytes with the windows' numbers.
+def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted arrays of (keys, numbers) as one."""
+    keys = np.concatenate([a[0], b[0]])
+    order = np.argsort(keys, kind="stable")  # two sorted runs: a merge
+    return keys[order], np.concatenate([a[1], b[1]])[order]
 
-    add() sorts a batch into a suffix array, merge-scans it against each level for equal windows, and then
-    merges levels of equal size, so n batches leave at most log2(n) + 1 levels. `twice` collects the numbers of
-    windows that have been seen to occur more than once.
-    """
 
-    def __init__(self) -> None:
-        self.levels: list[tuple[int, np.ndarray, np.ndarray]] = []
-        self.twice: list[np.ndarray] = []
-
-    @staticmethod
-    def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([a[0], b[0]])
-        order = np.argsort(keys, kind="stable")  # two sorted runs: a merge
-        return keys[order], np.concatenate([a[1], b[1]])[order]
-
-    def scan(self, keys: np.ndarray, number: np.ndarray) -> None:
-        same = keys[1:] == keys[:-1]  # neighbours whose longest common prefix reaches SPAN
-        self.twice += [number[1:][same], number[:-1][same]]
-
-    def add(self, keys: np.ndarray, number: np.ndarray) -> None:
-        order = np.argsort(keys, kind="stable")
-        batch = keys[order], number[order]
-        self.scan(*batch)
-        for _, k, n in self.levels:
-            self.scan(*self.merged((k, n), batch))
-        size = 1
-        while self.levels and self.levels[-1][0] == size:
-            _, k, n = self.levels.pop()
-            batch, size = self.merged((k, n), batch), size * 2
-        self.levels.append((size, *batch))
+def equal_neighbours(keys: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Numbers of the windows, in sorted order, whose longest common prefix with a neighbour reaches SPAN."""
+    same = keys[1:] == keys[:-1]
+    return np.concatenate([number[1:][same], number[:-1][same]])
 
 
 def runs_of(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,24 +101,33 @@ def runs_of(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.flatnonzero(edge == -1) - start
 
 
-def repeated(text: np.ndarray, start: np.ndarray, n: np.ndarray, held: np.ndarray, batch: np.ndarray) -> np.ndarray:
-    """Which windows occur twice or more: those of segments held by several places, and those that the family finds."""
+def repeated(text: np.ndarray, start: np.ndarray, n: np.ndarray, held: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Which windows of a shard occur twice or more with a place in the new batch.
+
+    The batch's windows are sorted by their bytes, compared among themselves, and merge-scanned against the windows of each
+    level in turn. An entry stands for `held` places of the same bytes.
+    """
     who = np.repeat(np.arange(len(n)), n)
     at = start[who] + np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
     keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, SPAN)[at]).view(f"S{SPAN}").ravel()
-    mark = held[who] > 1
-    family = Family()
-    for b in range(BATCHES):
-        mine = np.flatnonzero(batch[who] == b)
-        if len(mine):
-            family.add(keys[mine], mine)
-    for found in family.twice:
-        mark[found] = True
+    of = level[who]
+    mark = (of == NEW) & (held[who] > 1)
+
+    def array(l: int) -> tuple[np.ndarray, np.ndarray]:
+        mine = np.flatnonzero(of == l)
+        order = np.argsort(keys[mine], kind="stable")
+        return keys[mine][order], mine[order]
+
+    batch = array(NEW)
+    if len(batch[0]):
+        mark[equal_neighbours(*batch)] = True
+        for l in np.unique(level[level != NEW]):
+            mark[equal_neighbours(*merged(array(l), batch))] = True
     return mark
 
 
 def index_shards(entries: DataFrame) -> DataFrame:
-    """(anchor, segment, held, n, batch, body), sharded and sorted by anchor -> (anchor, segment, start, n): runs of repeated windows."""
+    """(anchor, segment, held, n, level, body), sharded and sorted by anchor -> (anchor, segment, start, n): runs of repeated windows."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         todo, windows = [], 0
@@ -145,10 +143,10 @@ def index_shards(entries: DataFrame) -> DataFrame:
 
     def run(batches):
         for rows in groups(batches):
-            anchor, segment, held, n, batch, body = zip(*rows)
+            anchor, segment, held, n, level, body = zip(*rows)
             n = np.array(n)
             start = np.concatenate([[0], np.cumsum([len(x) for x in body])])[:-1]
-            mark = repeated(np.frombuffer(b"".join(body), np.uint8), start, n, np.array(held), np.array(batch))
+            mark = repeated(np.frombuffer(b"".join(body), np.uint8), start, n, np.array(held), np.array(level))
             out: list[list] = [[], [], [], []]
             for i, (hi, k) in enumerate(zip(np.cumsum(n), n)):
                 s, length = runs_of(mark[hi - k : hi])
@@ -161,18 +159,26 @@ def index_shards(entries: DataFrame) -> DataFrame:
     return entries.mapInArrow(run, "anchor long, segment long, start long, n long")
 
 
+def sharded(entries: DataFrame, count: int) -> DataFrame:
+    """Runs of repeated windows of entries of which each shard key has CROWD at most."""
+    # a given number of partitions: sorting 400 bytes a window takes long for the size of the rows
+    tasks = max(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), count // ROWS)
+    return index_shards(entries.repartition(tasks, "anchor").sortWithinPartitions("anchor"))
+
+
 def align_blocks(entries: DataFrame) -> DataFrame:
-    """Entries of crowded anchors -> (anchor, segment, held, first, shard, piece, n, body): aligned blocks of at most BLOCK windows.
+    """Entries of crowded anchors -> (anchor, segment, held, level, first, lead, shard, piece, n, body): aligned blocks of at most BLOCK windows.
 
     A window's block is its distance to the anchor, in steps of BLOCK. All windows of a block hold the same
     SPAN - BLOCK + 1 bytes, the core; equal windows have equal cores. `shard` is a fingerprint of anchor, block
-    and core, `piece` one of the block's whole body, `first` the block's first window in the segment.
+    and core, `piece` one of the block's whole body, `first` the block's first window in the segment, `lead` how far
+    before the core that window starts.
     """
 
     def run(batches):
         for b in (p for whole in batches for p in pieces(whole, 5, 1 << 18)):
-            out: list[list] = [[] for _ in range(8)]
-            for anchor, segment, held, n, _, body in zip(*[c.to_pylist() for c in b.columns]):
+            out: list[list] = [[] for _ in range(10)]
+            for anchor, segment, held, n, level, body in zip(*[c.to_pylist() for c in b.columns]):
                 data = np.frombuffer(body, np.uint8)
                 prefix = rolling(BYTE_CODE[data])
                 at = np.arange(SPAN - ANCHOR + 1)
@@ -180,61 +186,66 @@ def align_blocks(entries: DataFrame) -> DataFrame:
                 lo = 0
                 while lo < n:  # windows lo.. that share (place - window) // BLOCK
                     block = (place - lo) // BLOCK if place >= lo else -((lo - place + BLOCK - 1) // BLOCK)
-                    hi = min(n, place - block * BLOCK + 1)
                     core = place - block * BLOCK
+                    hi = min(n, core + 1)
                     mark = span_hash(prefix, np.array([core, lo]), np.array([core + SPAN - BLOCK + 1, hi - 1 + SPAN]))
                     shard = mix64(mark[:1] + mix64(np.array([anchor, block], np.int64).view(np.uint64)).sum(keepdims=True)).view(np.int64)[0]
-                    for c, x in zip(out, (anchor, segment, held, lo, int(shard), int(mark[1:].view(np.int64)[0]), hi - lo, body[lo : hi - 1 + SPAN])):
+                    for c, x in zip(out, (anchor, segment, held, level, lo, core - lo, int(shard), int(mark[1:].view(np.int64)[0]), hi - lo, body[lo : hi - 1 + SPAN])):
                         c.append(x)
                     lo = hi
-            kinds = [pa.int64()] * 6 + [pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["anchor", "segment", "held", "first", "shard", "piece", "n", "body"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["anchor", "segment", "held", "level", "first", "lead", "shard", "piece", "n", "body"])
 
-    return entries.mapInArrow(run, "anchor long, segment long, held long, first long, shard long, piece long, n int, body binary")
+    return entries.mapInArrow(run, "anchor long, segment long, held long, level int, first int, lead int, shard long, piece long, n int, body binary")
 
 
-def count_windows(entries: DataFrame) -> DataFrame:
-    """As index_shards, for shards that are still crowded: each window's fingerprint is counted over all tasks."""
+def sort_windows(blocks: DataFrame) -> DataFrame:
+    """As index_shards, for blocks (anchor, segment, held, n, level, body, lead) of cores that very many different blocks share.
+
+    Windows of one core at one distance before it differ in the BLOCK - 1 bytes around it alone. These, behind core and distance, are
+    the key by which Spark sorts them over all tasks; windows of one key are one place of the array.
+    """
 
     def run(batches):
         for b in (p for whole in batches for p in pieces(whole, 5, 1 << 18)):
-            n, held = b.column(3).to_numpy(), b.column(2).to_numpy()
-            body = b.column(5).to_pylist()
-            base = np.concatenate([[0], np.cumsum([len(x) for x in body])])[:-1]
-            who = np.repeat(np.arange(len(n)), n)
-            place = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
-            data = np.frombuffer(b"".join(body), np.uint8)
-            at = base[who] + place
-            h, h2 = (span_hash(rolling(c[data]), at, at + SPAN).view(np.int64) for c in (BYTE_CODE, mix64(BYTE_CODE)))
-            take = pa.array(who)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(held[who]), pa.array(place), pa.array(h), pa.array(h2)], ["anchor", "segment", "held", "start", "h", "h2"])
-
-    windows = entries.mapInArrow(run, "anchor long, segment long, held long, start long, h long, h2 long")
-    twice = windows.groupBy("h", "h2").agg(F.sum("held").alias("places")).where("places > 1").select("h", "h2")
-    return windows.join(twice, ["h", "h2"], "left_semi").select("anchor", "segment", "start", F.lit(1).cast("long").alias("n"))
+            out: list[list] = [[] for _ in range(7)]
+            for anchor, segment, held, n, level, body, lead in zip(*[c.to_pylist() for c in b.columns]):
+                core = lead + SPAN - BLOCK + 1
+                for i in range(n):
+                    for c, x in zip(out, (anchor, segment, held, level, i, lead - i, body[i:lead] + body[core : i + SPAN])):
+                        c.append(x)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["anchor", "segment", "held", "level", "start", "before", "edge"])
+
+    windows = blocks.select("anchor", "segment", "held", "n", "level", "body", "lead").mapInArrow(run, "anchor long, segment long, held long, level int, start long, before int, edge binary")
+    key = ["anchor", "before", "edge"]
+    twice = windows.groupBy(*key).agg(F.sum("held").alias("places"), F.max("level").alias("newest")).where((F.col("places") > 1) & (F.col("newest") == NEW))
+    twice = twice.select(*key, F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    windows = windows.withColumn("salt", F.pmod("segment", F.lit(SALT).cast("long")).cast("int"))
+    return windows.join(twice, [*key, "salt"], "left_semi").select("anchor", "segment", "start", F.lit(1).cast("long").alias("n"))
 
 
 def index_crowds(entries: DataFrame) -> DataFrame:
-    """As index_shards, for anchors with more than CROWD segments.
+    """As index_shards, for anchors with more than CROWD segments, which one task should not sort.
 
     Their segments are cut into aligned blocks and sharded by core; equal blocks become one entry with a
-    count. What is then alone in its shard holds no match; the rest goes to index_shards, or to count_windows
-    where a core is still that of more than CROWD different blocks.
+    count. What is then alone in its shard holds no match; the rest is sorted shard by shard, or window by
+    window over all tasks where more than CROWD different blocks share a core.
     """
     blocks = settle(align_blocks(entries))
-    kinds = settle(blocks.groupBy("shard", "piece").agg(F.sum("held").alias("held"), F.first("n").alias("n"), F.first("body").alias("body")))
-    size = kinds.groupBy("shard").agg(F.count("*").alias("kinds"), F.sum("held").alias("places")).where("places > 1")
-    kept = settle(kinds.join(size, "shard").select(F.col("shard").alias("anchor"), F.col("piece").alias("segment"), "held", "n", F.pmod("piece", F.lit(BATCHES).cast("long")).cast("int").alias("batch"), "body", "kinds"))
-    calm = kept.where(F.col("kinds") <= CROWD).drop("kinds").repartition("anchor").sortWithinPartitions("anchor")
-    found = index_shards(calm).unionByName(count_windows(kept.where(F.col("kinds") > CROWD).drop("kinds")))
+    kinds = settle(blocks.groupBy("shard", "piece").agg(F.sum("held").alias("held"), F.max("level").alias("level"), F.first("n").alias("n"), F.first("lead").alias("lead"), F.first("body").alias("body")))
+    size = kinds.groupBy("shard").agg(F.count("*").alias("kinds"), F.sum("held").alias("places"), F.max("level").alias("newest")).where((F.col("places") > 1) & (F.col("newest") == NEW)).drop("newest")
+    kept = settle(kinds.join(size, "shard").select(F.col("shard").alias("anchor"), F.col("piece").alias("segment"), "held", "n", "level", "body", "lead", "kinds"))
+    calm = kept.where(F.col("kinds") <= CROWD).drop("kinds", "lead")
+    found = sharded(calm, calm.count()).unionByName(sort_windows(kept.where(F.col("kinds") > CROWD)))
     found = found.select(F.col("anchor").alias("shard"), F.col("segment").alias("piece"), "start", F.col("n").alias("length"))
     return blocks.select("anchor", "segment", "shard", "piece", "first").join(found, ["shard", "piece"]).select("anchor", "segment", (F.col("first") + F.col("start")).alias("start"), F.col("length").alias("n"))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(key, text), one row per document -> (key, runs): for each text with matches, array<start,n> of window starts that lie in one."""
+def cut(texts: DataFrame) -> DataFrame:
+    """(key, text) -> (key, held, anchor, segment, start, n): the segments of each different text, as arrays; held counts the rows of a text."""
 
-    def cut(batches):
+    def run(batches):
         for b in (p for whole in batches for p in pieces(whole, 1)):
             cols: list[list] = [[], [], [], []]
             for lo, hi, data, off in slices(b.column(1)):
@@ -244,39 +255,112 @@ def repeats(docs: DataFrame) -> DataFrame:
                     c += [x[i:j] for i, j in zip(edge[:-1], edge[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.list_(k)) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))]], ["key", "anchor", "segment", "start", "n"])
 
-    parts = docs.mapInArrow(cut, "key binary, anchor array<long>, segment array<long>, start array<long>, n array<int>")
-    texts = settle(parts.groupBy("key").agg(F.count("*").alias("held"), *[F.first(c).alias(c) for c in ("anchor", "segment", "start", "n")]))
-    each = texts.select("key", "held", F.explode(F.arrays_zip("anchor", "segment", "start", "n")).alias("s")).select("key", "held", "s.*")
-    again = each.groupBy("anchor").agg(F.sum("held").alias("places"), F.min("segment").alias("a"), F.max("segment").alias("b")).where("places > 1").select("anchor", (F.col("a") != F.col("b")).alias("varied"))
-    # both sides of the join are shuffled for it alone, so that Spark can split an anchor with very many rows
-    placed = settle(each.join(settle(again), "anchor"))
-    whole = placed.where("not varied").select("key", F.array(F.struct(F.col("start"), F.col("n").cast("long").alias("n"))).alias("runs"))
-    kinds = settle(placed.where("varied").groupBy("anchor", "segment").agg(F.sum("held").alias("held"), F.first("n").alias("n"), F.min(F.struct("key", "start")).alias("at")))
-    crowds = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > CROWD).select("anchor", F.lit(True).alias("crowded"))
-    wanted = kinds.join(crowds, "anchor", "left").groupBy("at.key").agg(F.collect_list(F.struct("anchor", "segment", "held", "n", F.coalesce("crowded", F.lit(False)).alias("crowded"), F.col("at.start").alias("start"))).alias("want"))
-    wanted = settle(wanted)
+    parts = texts.mapInArrow(run, "key binary, anchor array<long>, segment array<long>, start array<long>, n array<int>")
+    return parts.groupBy("key").agg(F.count("*").alias("held"), *[F.first(c).alias(c) for c in ("anchor", "segment", "start", "n")])
+
+
+def bodies(kinds: DataFrame, texts: DataFrame) -> DataFrame:
+    """Kinds (anchor, segment, held, n, level, crowded, at<key,start>) with the bytes of their windows, read from the texts (key, text)."""
+    wanted = settle(kinds.groupBy("at.key").agg(F.collect_list(F.struct("anchor", "segment", "held", "n", "level", "crowded", F.col("at.start").alias("start"))).alias("want")))
     keys = wanted.select("key")
     few = keys.count() <= BROADCAST_KEYS
-    sources = docs.join(F.broadcast(keys) if few else keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    sources = texts.join(F.broadcast(keys) if few else keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
 
     def fetch(batches):
         for b in (p for whole in batches for p in pieces(whole, 1, 1 << 20)):
             rows = []
-            for key, text, want in zip(*[c.to_pylist() for c in b.columns]):
+            for _, text, want in zip(*[c.to_pylist() for c in b.columns]):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                rows += [(w["anchor"], w["segment"], w["held"], w["n"], key[0] % BATCHES, raw[w["start"] : w["start"] + w["n"] - 1 + SPAN], w["crowded"]) for w in want]
-            kinds_ = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
+                rows += [(w["anchor"], w["segment"], w["held"], w["n"], w["level"], raw[w["start"] : w["start"] + w["n"] - 1 + SPAN], w["crowded"]) for w in want]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
             cols = list(zip(*rows)) if rows else [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds_)], ["anchor", "segment", "held", "n", "batch", "body", "crowded"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)], ["anchor", "segment", "held", "n", "level", "body", "crowded"])
+
+    return settle(sources.join(wanted, "key").mapInArrow(fetch, "anchor long, segment long, held long, n int, level int, body binary, crowded boolean"))
 
-    entries = settle(sources.join(wanted, "key").mapInArrow(fetch, "anchor long, segment long, held long, n int, batch int, body binary, crowded boolean"))
-    calm = entries.where("not crowded").drop("crowded").repartition("anchor").sortWithinPartitions("anchor")
-    crowded = entries.where("crowded").drop("crowded")
-    found = index_shards(calm).unionByName(index_crowds(crowded))
-    found = settle(found.groupBy("anchor", "segment").agg(F.collect_list(F.struct("start", "n")).alias("runs")))  # 201 runs at most
-    some = placed.where("varied").select("anchor", "segment", "key", "start").join(found, ["anchor", "segment"])
-    some = some.select("key", F.transform("runs", lambda r: F.struct((r["start"] + F.col("start")).alias("start"), r["n"].alias("n"))).alias("runs"))
-    return settle(whole.unionByName(some).groupBy("key").agg(F.flatten(F.collect_list("runs")).alias("runs")))
+
+class Index:
+    """A family of sparse suffix arrays over all texts added so far, stored below `path`; a path that holds one is opened.
+
+    levels: (batches in it, folder) from the oldest, each at least twice the next. The marks that each batch found, in
+    itself and in older texts, are stored as well. `texts` is a stored table (key, text) of all texts that are ever added;
+    without it the index keeps a copy of what is added.
+    """
+
+    SCHEMA = "anchor long, segment long, key binary, start long, n int, held long"
+
+    def __init__(self, spark: SparkSession, path: str | None = None, texts: DataFrame | None = None):
+        self.spark, self.texts = spark, texts
+        self.path = path or hold(spark, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}")
+        self.levels: list[tuple[int, str]] = []
+        self.marks: list[str] = []
+        self.copies: list[str] = []
+        if exists(spark, f"{self.path}/state"):
+            found = [json.loads(r.value) for r in spark.read.text(f"{self.path}/state").collect()]  # a line for each batch
+            state = max(found, key=lambda x: len(x["marks"]))
+            self.levels, self.marks, self.copies = [tuple(x) for x in state["levels"]], state["marks"], state["copies"]
+
+    def _write(self, df: DataFrame, kind: str) -> str:
+        name = f"{kind}-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{name}")
+        return name
+
+    def _write_level(self, rows: DataFrame) -> str:
+        """The rows in order of (anchor, segment, key), in ranges: an anchor that many texts share lies in several."""
+        order = ["anchor", "segment", "key", "start"]
+        return self._write(rows.repartitionByRange(*order).sortWithinPartitions(*order), "level")
+
+    def _level(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/{name}")
+
+    def _all_texts(self) -> DataFrame:
+        if self.texts is not None:
+            return self.texts
+        return reduce(DataFrame.unionByName, [self.spark.read.schema("key binary, text string").parquet(f"{self.path}/{c}") for c in self.copies])
+
+    @tidy
+    def add(self, batch: DataFrame) -> None:
+        """Adds the texts (key, text), key a digest of the text; several rows of one key are several places. Empty and short texts hold no windows."""
+        if self.texts is None:
+            self.copies.append(self._write(batch.select("key", "text"), "texts"))
+        own = settle(cut(batch)).select("key", F.inline(F.arrays_zip("anchor", "segment", "start", "n")), "held").select("anchor", "segment", "key", "start", "n", "held")
+        level = self._write_level(own)
+        arrays = [self._level(level).withColumn("level", F.lit(NEW)), *[self._level(name).withColumn("level", F.lit(i)) for i, (_, name) in enumerate(self.levels)]]
+        self.marks.append(self._write(self._scan(reduce(DataFrame.unionByName, arrays)), "marks"))
+        self.levels.append((1, level))
+        gone = []
+        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+            (m, a), (n, b) = self.levels[-2:]
+            self.levels[-2:] = [(m + n, self._write_level(self._level(a).unionByName(self._level(b))))]
+            gone += [a, b]
+        state = json.dumps({"levels": self.levels, "marks": self.marks, "copies": self.copies})
+        put(self.spark, f"{self.path}/state/{len(self.marks):09d}", state)
+        for name in gone:
+            delete(self.spark, f"{self.path}/{name}")
+
+    def _scan(self, rows: DataFrame) -> DataFrame:
+        """(key, runs) for the texts of the batch and of the levels that hold a window with another place in the batch."""
+        fresh = F.max("level") == NEW
+        again = rows.groupBy("anchor").agg(F.sum("held").alias("places"), fresh.alias("fresh")).where("places > 1 and fresh").select("anchor")
+        # both sides of the join are shuffled for it alone, so that Spark can split an anchor with very many rows
+        placed = settle(rows.join(settle(again), "anchor", "left_semi"))
+        kinds = placed.groupBy("anchor", "segment").agg(F.sum("held").alias("held"), F.first("n").alias("n"), F.max("level").alias("level"), F.min(F.struct("key", "start")).alias("at"))
+        kinds = settle(kinds)
+        crowds = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > CROWD).select("anchor", F.lit(True).alias("crowded"))
+        entries = bodies(kinds.join(crowds, "anchor", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))), self._all_texts())
+        count = dict(entries.groupBy("crowded").count().collect())
+        found = sharded(entries.where("not crowded").drop("crowded"), count.get(False, 0))
+        if count.get(True):
+            found = found.unionByName(index_crowds(entries.where("crowded").drop("crowded")))
+        found = settle(found.groupBy("anchor", "segment").agg(F.collect_list(F.struct("start", "n")).alias("runs")))  # 201 runs at most
+        moved = F.transform("runs", lambda r: F.struct((r["start"] + F.col("start")).alias("start"), r["n"].alias("n")))
+        some = placed.select("anchor", "segment", "key", "start").join(found, ["anchor", "segment"]).select("key", moved.alias("runs"))
+        return some.groupBy("key").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+
+    def repeats(self) -> DataFrame:
+        """(key, runs): for each text with matches, array<start,n> of window starts that lie in one; of all batches so far."""
+        each = [self.spark.read.schema("key binary, runs array<struct<start:long,n:long>>").parquet(f"{self.path}/{m}") for m in self.marks]
+        return reduce(DataFrame.unionByName, each).groupBy("key").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def spans_of(runs: list[dict]) -> list[tuple[int, int]]:
@@ -290,16 +374,27 @@ def spans_of(runs: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keyed(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(key, text) as an Index takes them."""
+    return docs.select(F.unhex(F.md5(text_of(text_col).cast("binary"))).alias("key"), text_of(text_col).alias("text"))
+
+
+@tidy
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
     """(id, n_bytes, spans, kept): per document its length in UTF-8 bytes, the spans [start, end) to remove, and what remains as binary.
 
     Removed is every byte covered by a string of SPAN bytes that also starts anywhere else in the documents,
     overlaps and the same document included. Matches do not cross documents; a null text is an empty one;
     documents shorter than SPAN bytes keep everything. Rows with equal texts are places of their own, so a
-    text of SPAN bytes or more that occurs twice is removed from both rows.
+    text of SPAN bytes or more that occurs twice is removed from both rows. The documents are dealt by their id into
+    `batches`, which are added to an Index one after the other; the result does not depend on their number.
     """
+    index = Index(docs.sparkSession, texts=keyed(docs, text_col))
+    deal = F.pmod(F.xxhash64(id_col), F.lit(batches).cast("long"))
+    for i in range(batches):
+        index.add(keyed(docs.where(deal == i), text_col))
+    found = settle(index.repeats(), keep=True)
     texts = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text_of(text_col).cast("binary"))).alias("key"), text_of(text_col).alias("text"))
-    found = repeats(texts.select("key", "text"))
     # a hash join on the small side: the texts are shuffled but not sorted
     joined = texts.join(found.hint("shuffle_hash"), "key", "left").select("id", "text", "runs")
 
@@ -308,11 +403,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             size, spans, kept = [], [], []
             for text, runs in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                cut = spans_of(runs or [])
-                left = [0, *[e for _, e in cut]]
-                right = [*[s for s, _ in cut], len(raw)]
+                gone = spans_of(runs or [])
+                left = [0, *[e for _, e in gone]]
+                right = [*[s for s, _ in gone], len(raw)]
                 size.append(len(raw))
-                spans.append([{"start": s, "end": e} for s, e in cut])
+                spans.append([{"start": s, "end": e} for s, e in gone])
                 kept.append(b"".join(raw[i:j] for i, j in zip(left, right)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], ["id", "n_bytes", "spans", "kept"])
 
