@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, column, mix64, pieces, rolling, settle, slices, span_hash, table, text_of, word_spans
+from .common import BYTE_CODE, column, join_spread, mix64, pieces, rolling, settle, slices, span_hash, table, text_of, tidy, word_spans
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -155,15 +155,22 @@ def verify(pairs: DataFrame, docs: DataFrame, similar: float) -> DataFrame:
     return settle(both.mapInArrow(run, "a binary, b binary"))
 
 
+@tidy
 def components(edges: DataFrame) -> DataFrame:
-    """(key, comp) for each end of an edge (a, b): comp is the least key that can be reached. Labels spread along edges and are then followed once more, until none changes."""
+    """(key, comp) for each end of an edge (a, b): comp is the least key that can be reached. Labels spread along edges and are then followed once more, until none changes.
+
+    Neither a node with very many edges nor a label that very many nodes have is a hot key of a join.
+    """
     edges = settle(edges.union(edges.select("b", "a")).distinct())
+    degree = settle(edges.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("n")))
+    count, nodes = edges.count(), degree.count()
     labels = settle(edges.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
     while True:
-        near = edges.join(labels.select(F.col("key").alias("b"), "comp"), "b").groupBy(F.col("a").alias("key")).agg(F.min("comp").alias("seen"))
-        moved = labels.join(near, "key").select("key", F.col("comp").alias("old"), F.least("comp", "seen").alias("comp"))
-        jump = labels.select(F.col("key").alias("comp"), F.col("comp").alias("next"))
-        new = settle(moved.join(jump, "comp", "left").select("key", "old", F.coalesce(F.least("comp", "next"), "comp").alias("comp")))
+        near = join_spread(edges, labels.select(F.col("key").alias("b"), "comp").join(degree, "b"), "b", "n", count).groupBy(F.col("a").alias("key")).agg(F.min("comp").alias("seen"))
+        moved = settle(labels.join(near, "key").select("key", F.col("comp").alias("old"), F.least("comp", "seen").alias("comp")))
+        held = moved.groupBy("comp").agg(F.count("*").alias("n"))
+        jump = held.join(labels.select(F.col("key").alias("comp"), F.col("comp").alias("next")), "comp")
+        new = settle(join_spread(moved, jump, "comp", "n", nodes).select("key", "old", F.least("comp", "next").alias("comp")), keep=True)
         labels = new.select("key", "comp")
         if new.where(F.col("old") != F.col("comp")).isEmpty():
             return labels
@@ -270,13 +277,15 @@ def remaining(inside: DataFrame, nodes: DataFrame, comps: DataFrame, sources: Da
     return settle(tiles(full, ["items"]).applyInArrow(link, "a binary, b binary").distinct())
 
 
+@tidy
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """(id, key, class_id, class_size): one row per document with its near-duplicate class.
+    """(id, key, comp, class_id, class_size): one row per document with its near-duplicate class.
 
     Two texts are linked if the weighted Jaccard similarity of their multisets of five-word shingles (words are
-    runs without ASCII white space) is at least `similar`; a class is all that links connect, and class_id its
-    smallest id. Equal texts, empty ones included, share a class; a text without words is linked to no other. `key` is the
-    digest of the text.
+    runs without ASCII white space) is at least `similar`; a class is all that links connect. Equal texts, null and empty
+    ones included, share a class; a text without words is linked to no other. `key` is the digest of the text,
+    `comp` the least digest of the class, which names it even where ids repeat or are null; class_id is its smallest
+    id that is not null (null if all are).
 
     Equal texts are one node. Nodes that share a band form a bucket. First each is verified against the
     bucket's centre, the node that shares most bands with others, on the exact multisets; what a bucket then
@@ -285,7 +294,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     """
     texts = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text_of(text_col).cast("binary"))).alias("key"), text_of(text_col).alias("text"))
     signed = settle(sign(texts))
-    nodes = settle(signed.groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands")))
+    nodes = settle(signed.groupBy("key").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.count("*").alias("copies"), F.min("id").alias("least")))
     banded = nodes.select("key", F.posexplode("bands").alias("band", "bucket"))
     full = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     inside = settle(banded.join(full, "bucket"))
@@ -299,29 +308,37 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     found = remaining(inside, nodes, comps, sources, similar)
     if not found.isEmpty():
         comps = components(links.union(found))
-    placed = signed.select("id", "key").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    named = placed.groupBy("comp").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    return placed.join(named, "comp").select("id", "key", "class_id", "class_size")
+    # first each text is named, then each document: neither by a key that a large class or many copies make hot
+    named = nodes.select("key", "copies", "least").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    named = settle(named)
+    per = named.groupBy("comp").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"), F.count("*").alias("n"))
+    named = settle(join_spread(named.drop("least"), per, "comp", "n", named.count()), keep=True)
+    slim = settle(signed.select("id", "key"), keep=True)
+    return join_spread(slim, named, "key", "copies", slim.count()).select("id", "key", "comp", "class_id", "class_size")
 
 
+@tidy
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """The rows of `docs`, with all their columns, of which each class keeps one: that with the smallest id (null first), then key.
 
     Rows that repeat both id and text of the kept one are told apart by the hash of their other columns; rows
-    equal in everything become one.
+    equal in everything become one. Ids may repeat or be null: classes are told apart by their texts.
     """
     row = F.xxhash64(*[column(c) for c in docs.columns if docs.schema[c].dataType.typeName() != "map"])
     tagged = docs.withColumn("__key", F.unhex(F.md5(text_of(text_col).cast("binary")))).withColumn("__row", row)
-    found = settle(classes(docs, id_col, text_col, similar).withColumn("class", F.coalesce(F.col("class_id").cast("string"), F.lit("null"))))
     rows = tagged.select(F.col(id_col).alias("id"), F.col("__key").alias("key"), F.col("__row").alias("row"))
-    one = found.where("class_size > 1").select("id", "key", "class").distinct()
-    rows = settle(rows.join(one, rows.id.eqNullSafe(one.id) & (rows.key == one.key)).select(rows.id, rows.key, "row", "class"))
-    first = rows.groupBy("class").agg(F.min(F.struct("id", "key", "row")).alias("f")).select("f.*")
-    lost = settle(rows.select("id", "key", "row").distinct().join(first, (rows.key == first.key) & (rows.row == first.row) & rows.id.eqNullSafe(first.id), "left_anti"))
-    again = rows.groupBy("id", "key", "row").count().where("count > 1").isEmpty()
+    found = classes(docs, id_col, text_col, similar).where("class_size > 1").groupBy("key", "comp").agg(F.count("*").alias("n"))
+    found = settle(found)
+    total = found.agg(F.sum("n")).first()[0] or 0
+    rows = settle(join_spread(rows, found, "key", "n", total))
+    first = rows.groupBy("comp").agg(F.min(F.struct("id", "key", "row")).alias("f")).select("f.*")
+    lost = rows.select("id", "key", "row").distinct().join(first, (rows.key == first.key) & (rows.row == first.row) & rows.id.eqNullSafe(first.id), "left_anti")
+    lost = settle(lost, keep=True)
     few = lost.count() <= BROADCAST_KEYS
     lost = lost.select(F.col("id").alias("__i"), F.col("key").alias("__k"), F.col("row").alias("__r"))
-    kept = tagged.join(F.broadcast(lost) if few else lost, (F.col("__key") == F.col("__k")) & (F.col("__row") == F.col("__r")) & F.col(id_col).eqNullSafe(F.col("__i")), "left_anti")
+    same = (F.col("__key") == F.col("__k")) & (F.col("__row") == F.col("__r")) & F.col(id_col).eqNullSafe(F.col("__i"))
+    kept = tagged.join(F.broadcast(lost) if few else lost, same, "left_anti")
+    again = rows.groupBy("id", "key", "row").count().where("count > 1").isEmpty()
     kept = kept if again else kept.dropDuplicates([id_col, "__key", "__row"])
     return kept.drop("__key", "__row")
 
