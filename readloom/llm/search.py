@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import settle, table
+from .common import settle, table, tidy
 
 BITS = 64
 
@@ -31,7 +31,13 @@ def segment(code: Column, first: int, width: int) -> Column:
     return F.shiftrightunsigned(code, first).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", width: int = 16) -> DataFrame:
+def width_for(codes: int) -> int:
+    """Bits of a segment for so many distinct codes: about log2 of their number, so that a bucket of the index holds a few at any size."""
+    return min(32, max(4, (max(codes, 1) - 1).bit_length()))
+
+
+@tidy
+def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", width: int | None = None) -> DataFrame:
     """(query, rank, neighbour, distance): for each query row the k rows of `rows` at the least Hamming distance.
 
     Distances are between sign codes; ties go to the smaller id; a query does not find its own id. Rows with a null id or
@@ -42,15 +48,16 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     query still open and each segment, the codes whose segment differs in exactly r bits, so all codes
     within s * (r + 1) - 1 bits have been seen after it (s segments). A query is closed when k verified
     neighbours lie within that distance. Equal query codes are searched once. A bucket of the index holds about
-    2**-width of the distinct codes: for many more than 2**16 codes a larger width keeps the buckets short.
+    2**-width of the distinct codes; without a width given it is width_for their number.
     """
     code = sign_code(vector_col)
     keep = lambda df: df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), code.alias("code")).groupBy("id").agg(F.min("code").alias("code"))
     codes = keep(rows)
     near = Window.partitionBy("code", "part").orderBy("id")
     few = codes.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64))).withColumn("n", F.row_number().over(near)).where(F.col("n") <= k + 1)
-    entries = settle(few.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids")))
-    asked = settle(keep(queries))
+    entries = settle(few.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids")), keep=True)
+    asked = settle(keep(queries), keep=True)
+    width = width or width_for(entries.count())
     parts = segments_of(width)
     listed = F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), segment(F.col("code"), a, w).alias("value")) for i, (a, w) in enumerate(parts)]))
     index = settle(entries.select("code", F.size("ids").alias("held"), listed.alias("at")).select("code", "held", "at.seg", "at.value"))
@@ -73,11 +80,11 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
         hits = hits.groupBy("q", "code").agg(F.min("distance").alias("distance"), F.min("held").alias("held"))
         order = Window.partitionBy("q").orderBy("distance")
         ahead = F.coalesce(F.sum("held").over(order.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        hits = settle(hits.withColumn("ahead", ahead).where(F.col("ahead") <= k).drop("ahead"))
+        hits = settle(hits.withColumn("ahead", ahead).where(F.col("ahead") <= k).drop("ahead"), keep=found is None)
         covered = len(parts) * (r + 1) - 1
         reached = hits.where(F.col("distance") <= covered).groupBy("q").agg(F.sum("held").alias("held")).where(F.col("held") > k)
         done = found.join(open_, "q", "left_anti") if found is not None else None
-        found = settle(done.unionByName(hits)) if done is not None else hits
+        found = settle(done.unionByName(hits), keep=True) if done is not None else hits
         open_ = settle(open_.join(reached, "q", "left_anti"))
         if r == widest or open_.isEmpty():
             break
