@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, settle, table, text_of
+from .common import column, settle, table, text_of, tidy
 
 _EITHER = lambda w: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
 _WORDS = "|".join(_EITHER(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
@@ -23,6 +23,11 @@ LEAST = 20
 CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST},}}"
 FDR = 0.01
 BINS = 400  # tenths of a decade of p that are told apart
+TYPICAL = 32.0  # characters of a token of weight 1 before the weights are scaled to mean 1
+#: The null hypothesis. Coincidence of letters: the known index of English prose, which German, French and Spanish exceed;
+#: of hexadecimal runs in structured text (counters, dates, padded numbers) it is taken as 0.12, twice that of random ones. A change of character
+#: class once in eight places and a serial correlation of 0.3 are bounds that hyphenated words, paths, numbered names and dates keep.
+COINCIDENCE, COINCIDENCE_HEX, CHANGES, SERIAL = 0.066, 0.12, 0.125, 0.3
 SPAN = "struct<kind:int,start:bigint,end:bigint>"
 
 
@@ -40,7 +45,8 @@ def running(lengths: Column) -> Column:
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """array<struct<start,end,part>> of the leftmost non-overlapping matches, in code points; part is the group's text.
 
-    Spark gives the matches and, by split, what lies between them; their lengths give the positions.
+    Spark gives the matches and, by split, what lies between them; their lengths give the positions. A text without a match is
+    scanned once.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
@@ -78,28 +84,43 @@ def battery(token: Column) -> Column:
     change in natural text after about one character in eight; (3) serial correlation of neighbouring
     character codes, of which structured text has 0.3 or more. The z values count equally. A token without digits
     is tested by (1) and (3) only: paths and joined capitalised words change class as often as random letters. The p-value
-    is divided by n / 32: long tokens, which the tests tell apart well, get more of the error budget.
+    is divided by n / TYPICAL: long tokens, which the tests tell apart well, get more of the error budget. scan scales these weights
+    to mean 1 over all candidates, as weighted Benjamini-Hochberg control asks.
     """
     n = F.length(token).cast("double")
     size = F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(16.0)).when(token.rlike("^([a-z]+|[A-Z]+)$"), F.lit(26.0)).when(token.rlike("^[A-Z2-7]+$"), F.lit(32.0)).when(token.rlike("^[A-Za-z]+$"), F.lit(52.0)).when(token.rlike("^[A-Za-z0-9]+$"), F.lit(62.0)).otherwise(F.lit(64.0))
-    coincidence = F.when(size == 16, F.lit(0.12)).otherwise(F.lit(0.066))
+    coincidence = F.when(size == 16, F.lit(COINCIDENCE_HEX)).otherwise(F.lit(COINCIDENCE))
     letters = F.split(token, "")
     squares = F.aggregate(F.array_distinct(letters), F.lit(0.0), lambda s, c: s + F.pow(F.length(token) - F.length(F.replace(token, c, F.lit(""))), F.lit(2.0)))
     chi, df, extra = size / n * squares - n, size - 1, n * (size * coincidence - 1)
     z_chi = (df + extra - chi) / F.sqrt(2 * (df + 2 * extra))
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(token, "[0-9]", "#"), "[A-Z]", "U"), "[a-z]", "l"), "[+/_-]", "/")
     changes = F.length(F.regexp_replace(classes, r"(.)\1+", "$1")) - 1.0
-    z_runs = (changes - (n - 1) * 0.125) / F.sqrt((n - 1) * 0.125 * 0.875)
+    z_runs = (changes - (n - 1) * CHANGES) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES))
     codes = F.transform(letters, lambda c: F.ascii(c).cast("double"))
     mean = F.aggregate(codes, F.lit(0.0), lambda s, x: s + x) / n
     spread = F.aggregate(codes, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean))
     shared = F.aggregate(F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda x, y: (x - mean) * (y - mean)), F.lit(0.0), lambda s, x: s + x)
-    z_serial = (0.3 - F.abs(F.when(spread > 0, shared / spread).otherwise(F.lit(1.0)))) * F.sqrt(n)
+    z_serial = (SERIAL - F.abs(F.when(spread > 0, shared / spread).otherwise(F.lit(1.0)))) * F.sqrt(n)
     z = F.when(~token.rlike("[0-9]"), (z_chi + z_serial) / 1.4142135623730951).otherwise((z_chi + z_runs + z_serial) / 1.7320508075688772)
-    p = upper_tail(z) * 32 / n
+    p = upper_tail(z) * TYPICAL / n
     return F.greatest(F.lit(0), F.least(F.lit(BINS), F.floor(-10 * F.log10(F.greatest(p, F.lit(1e-300)))).cast("int")))
 
 
+def threshold(counts: dict[int, int], length: int, fdr: float) -> int:
+    """The least bin that passes Benjamini-Hochberg over the candidates, counted per bin; `length` is the sum of their lengths.
+
+    The bins hold p * TYPICAL / n; weights n / mean(n) have mean 1, so a bin's p-value is 10 ** (-bin / 10) * mean(n) / TYPICAL, 1 at most.
+    """
+    total, ahead, limit = sum(counts.values()), 0, BINS + 1
+    for b in range(BINS, -1, -1):
+        ahead += counts.get(b, 0)
+        if ahead and min(1.0, 10 ** (-b / 10) * length / total / TYPICAL) <= fdr * ahead / total:
+            limit = b
+    return limit
+
+
+@tidy
 def scan(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, fdr: float = FDR) -> DataFrame:
     """(row, spans): the columns of `carry` as a struct, and all spans as array<kind,start,end> sorted by start, then kind.
 
@@ -119,13 +140,10 @@ def scan(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None
     rows = rows.withColumn("base", F.array_sort(F.concat(*[F.col(n) for n, *_ in BASE]), lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["kind"] - b["kind"])))
     runs = F.flatten(F.transform(matches(t, CANDIDATE), lambda m: left_of(m, F.col("base"))))
     rows = rows.withColumn("tested", F.transform(runs, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), battery(m["part"]).alias("bin"))))
-    rows = settle(rows.select("row", "base", "tested"))
-    counts = dict(rows.select(F.explode("tested.bin").alias("bin")).groupBy("bin").count().collect())
-    total, ahead, limit = sum(counts.values()), 0, BINS + 1
-    for b in range(BINS, -1, -1):
-        ahead += counts.get(b, 0)
-        if ahead and 10 ** (-b / 10) <= fdr * ahead / total:
-            limit = b
+    rows = settle(rows.select("row", "base", "tested"), keep=True)
+    each = rows.select(F.explode("tested").alias("x"))
+    per = each.groupBy("x.bin").agg(F.count("*").alias("n"), F.sum(F.col("x.end") - F.col("x.start")).alias("length")).collect()  # BINS + 1 rows at most
+    limit = threshold({r.bin: r.n for r in per}, sum(r.length for r in per), fdr)
     picked = F.transform(F.filter("tested", lambda x: x["bin"] >= limit), lambda x: F.struct(F.lit(len(BASE)).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     spans = F.array_sort(F.concat("base", picked), lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["kind"] - b["kind"]))
     return rows.select("row", "base", spans.alias("spans"))
