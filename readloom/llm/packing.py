@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, digits_for, order_key, settle, table, with_prefix, word_count
+from .common import column, digits_for, order_key, settle, table, tidy, with_prefix, word_count
 
 EXACT = 1024
 
@@ -20,17 +20,17 @@ def cell_of(length: Column) -> Column:
     return (F.ceil(length / step) * step).cast("long")
 
 
-def best_bounds(cells: np.ndarray, counts: np.ndarray, k: int) -> list[int]:
-    """At most k upper bounds, chosen from `cells` (ascending), with the least total padding.
+def best_bounds(cells: np.ndarray, counts: np.ndarray, k: int, sums: np.ndarray | None = None) -> list[int]:
+    """At most k upper bounds, chosen from `cells` (ascending), with the least total padding; of equal choices that with the lowest last cuts.
 
-    cost[j][i] is the least padding of the first i cells in j buckets. A bucket over cells a..b costs
+    A cell stands for `counts` lengths that are at most its value and add up to `sums` (by default counts times the value). cost[j][i] is the least padding of the first i cells in j buckets. A bucket over cells a..b costs
     cells[b] * n(a..b) - sum(a..b), which satisfies the quadrangle inequality, so the best split never moves
     left and each layer is filled by divide and conquer.
     """
     n = len(cells)
     if not n:
         return []
-    num, tot = np.concatenate([[0], np.cumsum(counts)]).astype(np.float64), np.concatenate([[0], np.cumsum(cells * counts)]).astype(np.float64)
+    num, tot = np.concatenate([[0], np.cumsum(counts)]).astype(np.float64), np.concatenate([[0], np.cumsum(cells * counts if sums is None else sums)]).astype(np.float64)
     cost, back = np.full(n + 1, np.inf), []
     cost[0] = 0
     for _ in range(min(k, n)):
@@ -58,25 +58,28 @@ def best_bounds(cells: np.ndarray, counts: np.ndarray, k: int) -> list[int]:
     return sorted(set(out))
 
 
+@tidy
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 16, budget: int = 65_536, carry: list[str] | None = None) -> DataFrame:
     """One row per document: where it lies in the batches.
 
     Columns: carry (struct `row`), id, length (words), bucket (0 from the shortest), bound (padded length),
     batch (in the bucket), slot (in the batch) and padding. The bounds minimise all padding over the
-    histogram of grid lengths (see cell_of); the histogram, not the rows, goes to the driver. A batch holds
+    histogram of lengths, of which those in one cell of the grid (see cell_of) share a bucket, bounded by the longest of them: up to EXACT
+    words the optimum over all lengths, above it that over the grid. The histogram, not the rows, goes to the driver. A batch holds
     max(1, budget // bound) documents, so bound * documents stays within the budget unless one document alone
     is over it. Inside a bucket documents lie in a fixed pseudo-random order. Empty texts have length 0 and
     lie in the lowest bucket, padded to its bound, which is 1 at least. Every row is placed exactly once.
     """
     slim = docs.select(F.struct(*[column(c).alias(c) for c in (carry or [])], F.col(id_col).alias("__id")).alias("row"), word_count(text_col).alias("length"), order_key(id_col).alias("key"))
-    slim = settle(slim.withColumn("cell", F.greatest(cell_of(F.col("length")), F.lit(1).cast("long"))).withColumn("one", F.lit(1).cast("long")))
-    hist = sorted(slim.groupBy("cell").count().collect())
-    cells, counts = np.array([r[0] for r in hist], np.int64), np.array([r[1] for r in hist], np.int64)
-    bounds = best_bounds(cells, counts, buckets)
+    slim = settle(slim.withColumn("cell", F.greatest(cell_of(F.col("length")), F.lit(1).cast("long"))).withColumn("one", F.lit(1).cast("long")), keep=True)
+    length = F.greatest("length", F.lit(1).cast("long"))
+    hist = sorted(tuple(r) for r in slim.groupBy("cell").agg(F.count("*"), F.max(length), F.sum(length)).collect())
+    counts = np.array([r[1] for r in hist], np.int64)
+    bounds = best_bounds(np.array([r[2] for r in hist], np.int64), counts, buckets, np.array([r[3] for r in hist], np.int64))
     if not bounds:
         bounds = [1]
     edges = F.array(*[F.lit(b).cast("long") for b in bounds])
-    slim = slim.withColumn("bucket", F.size(F.filter(edges, lambda b: b < F.col("cell"))).cast("long"))
+    slim = slim.withColumn("bucket", F.size(F.filter(edges, lambda b: b < F.col("length"))).cast("long"))
     slim = slim.withColumn("group", F.col("bucket").cast("string"))
     placed = with_prefix(slim, "group", "key", ["length"], "one", "nth", digits_for(int(counts.sum())))
     bound = F.element_at(edges, (F.col("bucket") + 1).cast("int"))
