@@ -96,13 +96,23 @@ def encode(payloads: list[bytes]) -> list[bytes]:
 
 @dataclass
 class Frame:
-    """A parsed frame: size in blocks, the DC quantiser, tables of (bits, symbol) by the next 16 bits, and its rows."""
+    """A parsed frame: size in blocks of its luminance, the DC quantiser, and its scan.
+
+    units is the order of the blocks in a coding unit, as numbers of components; tables of (bits, symbol) by the next 16 bits,
+    DC and AC, of each component; across and down are the units in the frame, h and v the luminance blocks in a unit; interval is
+    in units. scans are the parts between restart markers.
+    """
 
     width: int
     rows: int
     quantiser: int
-    dc: np.ndarray
-    ac: np.ndarray
+    units: tuple[int, ...]
+    dc: tuple[np.ndarray, ...]
+    ac: tuple[np.ndarray, ...]
+    across: int
+    down: int
+    h: int
+    v: int
     interval: int
     scans: list[bytes]
 
@@ -122,8 +132,22 @@ def lookup(counts: bytes, symbols: bytes) -> np.ndarray:
 _TABLES: dict[bytes, np.ndarray] = {}
 
 
+def split_scan(scan: bytes) -> list[bytes]:
+    """The parts of a scan between restart markers, stuffed zeros removed."""
+    cuts, i = [], scan.find(b"\xff")
+    while 0 <= i < len(scan) - 1:
+        if RST0 <= scan[i + 1] < RST0 + 8:
+            cuts.append(i)
+        i = scan.find(b"\xff", i + 2)
+    return [scan[a:b].replace(b"\xff\x00", b"\xff") for a, b in zip([0, *[c + 2 for c in cuts]], [*cuts, len(scan)])]
+
+
 def parse(media: bytes) -> list[Frame]:
-    """The frames of a media value; ValueError for anything but one-component baseline frames."""
+    """The frames of a media value; ValueError for anything but 8-bit baseline frames with all components in one scan.
+
+    The first component is the luminance. Its blocks lie in units with those of the others as their sampling factors say; a frame
+    of one component has units of one block.
+    """
     frames, at, n = [], 0, len(media)
     while at < n:
         if media[at : at + 2] != b"\xff\xd8":
@@ -131,13 +155,16 @@ def parse(media: bytes) -> list[Frame]:
         at += 2
         tables: dict[int, np.ndarray] = {}
         quantisers: dict[int, int] = {}
-        size, interval, which = None, 0, 0
+        parts: list[tuple[int, int, int, int]] = []  # id, horizontal and vertical sampling, quantiser
+        pixels, interval = None, 0
         while True:
             if at + 4 > n or media[at] != 0xFF:
                 raise ValueError("no marker")
             kind, length = media[at + 1], struct.unpack(">H", media[at + 2 : at + 4])[0]
             body = media[at + 4 : at + 2 + length]
             at += 2 + length
+            if len(body) != length - 2:
+                raise ValueError("segment cut short")
             if kind == DQT:
                 i = 0
                 while i < len(body):
@@ -156,91 +183,125 @@ def parse(media: bytes) -> list[Frame]:
                     tables[body[i]] = _TABLES[key]
                     i += 17 + k
             elif kind == SOF0:
-                bits, height, width, parts = struct.unpack(">BHHB", body[:6])
-                if bits != 8 or parts != 1:
-                    raise ValueError("not one 8-bit component")
-                size, which = ((width + 7) // 8, (height + 7) // 8), body[8]
+                bits, height, width, count = struct.unpack(">BHHB", body[:6])
+                parts = [(body[6 + 3 * i], body[7 + 3 * i] >> 4, body[7 + 3 * i] & 15, body[8 + 3 * i]) for i in range(count)]
+                if bits != 8 or not width or not height or not parts or not all(1 <= h <= 4 and 1 <= v <= 4 for _, h, v, _ in parts):
+                    raise ValueError("not an 8-bit frame")
+                pixels = width, height
             elif 0xC1 <= kind <= 0xCF and kind != DHT:
                 raise ValueError("not baseline")
             elif kind == DRI:
                 interval = struct.unpack(">H", body[:2])[0]
             elif kind == SOS:
-                dc, ac = tables[body[2] >> 4], tables[0x10 | (body[2] & 15)]
+                if body[0] != len(parts) or [body[1 + 2 * i] for i in range(body[0])] != [p[0] for p in parts]:
+                    raise ValueError("not all components in one scan")
+                try:
+                    used = [(tables[body[2 + 2 * i] >> 4], tables[0x10 | (body[2 + 2 * i] & 15)]) for i in range(len(parts))]
+                    quantiser = quantisers[parts[0][3]]
+                except KeyError:
+                    raise ValueError("table missing") from None
                 break
         end = media.find(b"\xff\xd9", at)  # 0xFF in a scan is followed by 0 or a restart marker
-        if end < 0 or size is None:
+        if end < 0 or pixels is None:
             raise ValueError("no end of image")
-        scan = media[at:end]
-        if interval:
-            cuts, i = [], scan.find(b"\xff")
-            while i >= 0:
-                if RST0 <= scan[i + 1] < RST0 + 8:
-                    cuts.append(i)
-                i = scan.find(b"\xff", i + 2)
-            ends = [*cuts, len(scan)]
-            scans = [scan[a:b] for a, b in zip([0, *[c + 2 for c in cuts]], ends)]
+        high, wide = max(p[1] for p in parts), max(p[2] for p in parts)
+        size = -(-pixels[0] * parts[0][1] // (8 * high)), -(-pixels[1] * parts[0][2] // (8 * wide))
+        if len(parts) == 1:
+            h, v, across, down = 1, 1, *size
         else:
-            scans = [scan]
-        frames.append(Frame(*size, quantisers[which], dc, ac, interval or size[0] * size[1], [s.replace(b"\xff\x00", b"\xff") for s in scans]))
+            h, v, across, down = parts[0][1], parts[0][2], -(-pixels[0] // (8 * high)), -(-pixels[1] // (8 * wide))
+        units = (0,) if len(parts) == 1 else tuple(c for c, p in enumerate(parts) for _ in range(p[1] * p[2]))
+        scans = split_scan(media[at:end]) if interval else [media[at:end].replace(b"\xff\x00", b"\xff")]
+        step = interval or across * down
+        if len(scans) != -(-across * down // step):
+            raise ValueError("restart markers missing")
+        frames.append(Frame(*size, quantiser, units, tuple(d for d, _ in used), tuple(a for _, a in used), across, down, h, v, step, scans))
         at = end + 2
+    if not frames:
+        raise ValueError("no image")
     return frames
 
 
-def decode_lanes(scans: list[bytes], blocks: int, dc: np.ndarray, ac: np.ndarray) -> np.ndarray:
-    """DC levels (scans x blocks) of scans that share their tables, one step of all scans at a time."""
+def decode_lanes(scans: list[bytes], count: int, units: tuple[int, ...], dc: tuple[np.ndarray, ...], ac: tuple[np.ndarray, ...]) -> np.ndarray:
+    """DC levels of component 0 (scans x its blocks) of scans of `count` units that share their tables, one step of all scans at a time."""
     start = np.concatenate([[0], np.cumsum([len(s) + 4 for s in scans])])[:-1]
     data = np.frombuffer(b"".join(s + b"\0\0\0\0" for s in scans), np.uint8)
     wide = (data[:-3].astype(np.uint32) << 24) | (data[1:-2].astype(np.uint32) << 16) | (data[2:-1].astype(np.uint32) << 8) | data[3:]
     limit = np.int64(len(wide) - 1)
     pos = start * 8
-    level = np.zeros(len(scans), np.int32)
-    out = np.zeros((blocks, len(scans)), np.int32)
+    level = np.zeros((len(dc), len(scans)), np.int32)
+    out = np.zeros((count * units.count(0), len(scans)), np.int32)
 
     def peek(p):
         at = np.minimum(p >> 3, limit)
         return (wide[at] << (p & 7).astype(np.uint32)) >> np.uint32(8)  # 24 bits, of which at least the first 16 hold data
 
-    for k in range(blocks):
-        found = dc[peek(pos) >> np.uint32(8)]
-        pos += found >> 8
-        size = found & 255
-        raw = (peek(pos) >> (24 - size).astype(np.uint32)).astype(np.int32)
-        level += np.where(raw >= (1 << size >> 1), raw, raw - (1 << size) + 1)
-        out[k] = level
-        pos += size
-        live, seen = np.arange(len(scans)), np.ones(len(scans), np.int64)
-        while len(live):  # coefficients 1 to 63: their amplitudes are skipped
-            p = pos[live]
-            found = ac[peek(p) >> np.uint32(8)]
-            run, size = (found >> 4) & 15, found & 15
-            pos[live] = p + (found >> 8) + size
-            if not size.any() and not run.any():
-                break
-            seen[live] += run + 1
-            go = ((size > 0) | (run == 15)) & (seen[live] < 64)
-            live = live[go]
+    k = 0
+    for _ in range(count):
+        for c in units:
+            found = dc[c][peek(pos) >> np.uint32(8)]
+            pos += found >> 8
+            size = found & 255
+            raw = (peek(pos) >> (24 - size).astype(np.uint32)).astype(np.int32)
+            level[c] += np.where(raw >= (1 << size >> 1), raw, raw - (1 << size) + 1)
+            if c == 0:
+                out[k] = level[0]
+                k += 1
+            pos += size
+            live, seen = np.arange(len(scans)), np.ones(len(scans), np.int64)
+            while len(live):  # coefficients 1 to 63: their amplitudes are skipped
+                p = pos[live]
+                found = ac[c][peek(p) >> np.uint32(8)]
+                run, size = (found >> 4) & 15, found & 15
+                pos[live] = p + (found >> 8) + size
+                if not size.any() and not run.any():
+                    break
+                seen[live] += run + 1
+                go = ((size > 0) | (run == 15)) & (seen[live] < 64)
+                live = live[go]
     return out.T
 
 
-def thumbnails(media: list[bytes]) -> list[tuple[int, int, bytes]]:
-    """Per media value: width and height in samples (heights of frames added up) and the DC-only luminance thumbnail."""
-    parsed = [parse(m) for m in media]
-    groups: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
+def in_rows(levels: np.ndarray, f: Frame) -> np.ndarray:
+    """Luminance levels in coding order as rows x width: a unit holds v rows of h blocks, and units at the edges may jut out."""
+    grid = levels[: f.across * f.down * f.h * f.v].reshape(f.down, f.across, f.v, f.h)
+    return grid.transpose(0, 2, 1, 3).reshape(f.down * f.v, f.across * f.h)[: f.rows, : f.width]
+
+
+def frames_of(media: bytes | None) -> list[Frame] | None:
+    try:
+        return parse(media) if media else None
+    except (ValueError, IndexError, struct.error):
+        return None
+
+
+def thumbnails(media: list[bytes | None]) -> list[tuple[int, int, bytes] | None]:
+    """Per media value: width and height in samples of its whole blocks (heights of frames added up) and the DC-only luminance thumbnail.
+
+    None for a value that parse does not read, or whose frames differ in width.
+    """
+    parsed = [frames_of(m) for m in media]
+    parsed = [f if f and len({x.width for x in f}) == 1 else None for f in parsed]
+    groups: dict[tuple, list[tuple[int, int, int]]] = {}
     for i, frames in enumerate(parsed):
-        for j, f in enumerate(frames):
-            groups.setdefault((id(f.dc), id(f.ac), f.interval), []).extend((i, j, k) for k in range(len(f.scans)))
+        for j, f in enumerate(frames or []):
+            key = tuple(map(id, f.dc)), tuple(map(id, f.ac)), f.units, f.interval
+            groups.setdefault(key, []).extend((i, j, k) for k in range(len(f.scans)))
     rows: dict[tuple[int, int, int], np.ndarray] = {}
-    for (_, _, blocks), members in groups.items():
+    for (_, _, units, count), members in groups.items():
         for lo in range(0, len(members), LANES):
             part = members[lo : lo + LANES]
             one = parsed[part[0][0]][part[0][1]]
-            got = decode_lanes([parsed[i][j].scans[k] for i, j, k in part], blocks, one.dc, one.ac)
+            got = decode_lanes([parsed[i][j].scans[k] for i, j, k in part], count, units, one.dc, one.ac)
             rows.update(zip(part, got))
-    out = []
+    out: list[tuple[int, int, bytes] | None] = []
     for i, frames in enumerate(parsed):
+        if frames is None:
+            out.append(None)
+            continue
         thumb = []
         for j, f in enumerate(frames):
-            level = np.concatenate([rows[i, j, k] for k in range(len(f.scans))])[: f.width * f.rows]
+            level = in_rows(np.concatenate([rows[i, j, k] for k in range(len(f.scans))]), f)
             thumb.append(np.clip((level * f.quantiser + 4 >> 3) + 128, 0, 255).astype(np.uint8).tobytes())
         out.append((frames[0].width * 8, sum(f.rows for f in frames) * 8, b"".join(thumb)))
     return out
@@ -279,13 +340,20 @@ READ = "n_bytes long, width long, height long, payload_bytes long, payload_sha25
 
 
 def read_column(media: DataFrame, id_col: str = "doc_id", media_col: str = "media", n_col: str = "n_bytes") -> DataFrame:
-    """What the stored media say: dimensions, and digests and the difference hash of their thumbnails."""
+    """What the stored media say: dimensions, and digests and the difference hash of their thumbnails.
+
+    A value that is null, empty or no media of the kind that parse reads has its id and n_bytes and is null in all other columns.
+    """
 
     def run(batches):
         for b in (p for whole in batches for p in pieces(whole, 2)):
             values = [m.as_py() for m in b.column(2)]
             rows = []
-            for m, (w, h, thumb) in zip(values, thumbnails(values) if values else []):
+            for m, found in zip(values, thumbnails(values) if values else []):
+                if found is None:
+                    rows.append((None,) * 8)
+                    continue
+                w, h, thumb = found
                 rows.append((w, h, len(thumb), hashlib.sha256(thumb).hexdigest(), zlib.crc32(thumb[-16:]), len(m), hashlib.sha256(m).hexdigest(), f"{w}x{h}:{difference_hash(w, thumb)}"))
             cols = list(zip(*rows)) if rows else [[]] * 8
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
