@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import math
+from collections import deque
 
 import pyarrow as pa
 import regex
@@ -14,12 +15,15 @@ from .common import table
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's publisher cuts text before its pieces apply; a fixed value.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-NODES = 2_000_000  # nodes after which a task starts a new trie; results do not depend on it
+NODES = 500_000  # nodes that a task's trie grows to before it starts a new one; results do not depend on it
 
 
 def read_pieces(path: str = VOCABULARY) -> dict[bytes, int]:
     """Cost of each piece in millionths of a nat: -log of a Zipf law over the ranks of the vocabulary.
 
+    None of the public vocabularies at hand has unigram scores and none may be trained; ranks, which were given by descending
+    frequency of merges, stand in for them.
+
     A piece of several bytes with rank r costs log(r + 3); single bytes, of which any text can be made, cost
     as much as a piece behind the last one. The table is as large as the vocabulary file, whatever the input.
     """
@@ -38,10 +42,11 @@ def read_pieces(path: str = VOCABULARY) -> dict[bytes, int]:
 class ForwardTrie:
     """A trie of pre-tokens. Each node is a prefix and holds its forward score: the least cost of cutting the
     prefix into pieces, and of the cuts with that cost the least number of pieces. A prefix shared by many
-    pre-tokens is scored once. `counts` maps each inserted pre-token to the pieces at its terminal node."""
+    pre-tokens is scored once. `counts` maps each inserted pre-token to the pieces at its terminal node. The trie grows
+    to `nodes` nodes at most: of a pre-token that does not fit, the rest is scored along the last prefixes without being stored."""
 
-    def __init__(self, pieces: dict[bytes, int]):
-        self.pieces = pieces
+    def __init__(self, pieces: dict[bytes, int], nodes: int = NODES):
+        self.pieces, self.nodes = pieces, nodes
         self.longest = max(map(len, pieces))
         self.clear()
 
@@ -52,25 +57,29 @@ class ForwardTrie:
 
     def insert(self, token: str) -> int:
         raw = token.encode("utf-8", "surrogatepass")
-        children, forward, pieces = self.children, self.forward, self.pieces
-        path, node = [0], 0
+        children, forward, pieces, longest = self.children, self.forward, self.pieces, self.longest
+        recent = deque([forward[0]], maxlen=longest)  # forward scores of the last prefixes
+        node: int | None = 0  # None: beyond what the trie may hold, scores are computed but not stored
         for depth, byte in enumerate(raw, 1):
-            child = children.get((node, byte))
-            if child is None:
+            child = children.get((node, byte)) if node is not None else None
+            if child is not None:
+                best = forward[child]
+            else:
                 best = None
-                for start in range(max(0, depth - self.longest), depth):
-                    cost = pieces.get(raw[start:depth])
+                for back, (score, count) in enumerate(reversed(recent), 1):
+                    cost = pieces.get(raw[depth - back : depth])
                     if cost is not None:
-                        score, count = forward[path[start]]
                         found = (score + cost, count + 1)
                         if best is None or found < best:
                             best = found
-                child = children[node, byte] = len(forward)
-                forward.append(best)
-            path.append(child)
+                if node is not None and len(forward) < self.nodes:
+                    child = children[node, byte] = len(forward)
+                    forward.append(best)
+            recent.append(best)
             node = child
-        self.counts[token] = forward[node][1]
-        return forward[node][1]
+        if node is not None:
+            self.counts[token] = recent[-1][1]
+        return recent[-1][1]
 
     def count(self, tokens: list[str]) -> int:
         counts, total = self.counts, 0
@@ -103,7 +112,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 size.append(len(text.encode("utf-8", "surrogatepass")))
                 pre.append(len(found))
                 tok.append(trie.count(found))
-                if len(trie.forward) > NODES:
+                if len(trie.forward) >= NODES:
                     trie.clear()
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(pre, pa.int64()), pa.array(tok, pa.int64())], ["id", "n_bytes", "n_pretokens", "n_tokens"])
 
