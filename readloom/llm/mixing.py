@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import column, digits_for, order_key, settle, table, with_prefix, word_count
+from .common import column, digits_for, order_key, settle, table, tidy, with_prefix, word_count
 
 LIMIT = 3  # times that a source may be passed over
 
@@ -46,6 +46,7 @@ def when_reached(share: Column, slope: Column) -> Column:
     return F.when(F.abs(slope) < 1e-9, share).otherwise(2 * share / F.greatest(b + root, F.lit(1e-12)))
 
 
+@tidy
 def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: list[str] | None = None, slope: float = 0.5) -> DataFrame:
     """One row per document of `docs`: where and how often the mix takes it.
 
@@ -61,10 +62,10 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("null"))
     rows_ = docs.select(F.struct(*[column(c).alias(c) for c in (carry or [])], F.col(id_col).alias("__id")).alias("row"), F.col(source_col).cast("string").alias("src"), named.alias("group"), word_count(text_col).alias("size"), order_key(id_col).alias("key"))
     # columns to carry, maybe texts, are not written once more: the sums come from the slim columns, the rows are read again
-    slim = settle(rows_ if not carry else rows_.drop("row"))
+    slim = settle(rows_ if not carry else rows_.drop("row"), keep=True)
     rows_ = rows_ if carry else slim
     sums = slim.groupBy("group").agg(F.first("src").alias("src"), F.sum("size").cast("long").alias("source_size"), F.count("*").alias("n"))
-    sums = settle(sums)
+    sums = settle(sums, keep=True)
     rows = sums.agg(F.sum("n")).first()[0] or 0
     plan = targets(sums).withColumn("group", F.coalesce(F.concat(F.lit("s"), F.col("src")), F.lit("null"))).drop("src")
     placed = with_prefix(rows_.drop("src"), "group", "key", ["size"], "size", "before", digits_for(rows), slim).join(F.broadcast(plan) if sums.count() <= 10_000 else plan, "group")
@@ -81,7 +82,12 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def schedule(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The training order: a row of `columns` for each time that a document is due, range-sorted by position."""
+    """The training order: a row of `columns` for each time that a document is due, range-sorted by position.
+
+    Rows are whole: of a pass that `taken` cuts short the row has the full text, so a source's rows hold more words than its target by
+    less than the words of one document. Documents without words are never due. Null sources are one source, repeated rows are
+    documents of their own, ties in position come in any order.
+    """
     mixed = curriculum(docs, id_col, text_col, source_col, carry=columns)
     due = mixed.select("row", F.explode("passes").alias("due"))
     return due.repartitionByRange(F.col("due.position")).sortWithinPartitions("due.position").select(*[column(c, "row").alias(c) for c in columns])

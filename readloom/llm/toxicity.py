@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import labelled
-from .common import crc_mod, mix64, packed, slices, table, word_spans
+from .common import crc_mod, mix64, packed, pieces, slices, table, word_spans
 from .textstats import BANGS, DIGIT, FOLDED, KEPT, LOWER, PLAIN, PLAIN_KEPT, PUNCT, SIGNS, STOPS, UPPER, doc_sums, folded_hashes, word_hash
 
 FOLD = (5, 0)
@@ -217,29 +217,36 @@ def fit(docs: DataFrame, labels: DataFrame, fold: tuple[int, int] = FOLD, max_ro
     """Learns lexicon, trees and calibration from at most max_rows labelled documents outside the held-out fold.
 
     Half of the rows fit the lexicon and so the trees see its densities on rows that did not choose its terms;
-    the trees take the next three tenths, the calibration the rest. Without labels, or with one class only,
-    every score is the share of positives (0 without labels).
+    the trees take the next three tenths, the calibration the rest. Where one of these parts lacks one of the two
+    labels, each part is all rows. Without labels, or with one class only, every score is the share of positives (0 without labels).
     """
     texts, y = labelled.sample(docs, labels, label, fold, id_col, text_col, max_rows)
     none = np.array([float(y.mean()) if len(y) else 0.0])
-    if len(y) < 50 or y.min() == y.max():
+    if not len(y) or y.min() == y.max():
         return Model(Lexicon(), None, none, none)
     a, b = len(y) // 2, len(y) * 8 // 10
-    lexicon = learn_lexicon(texts.slice(0, a), y[:a])
+    parts = [slice(0, a), slice(a, b), slice(b, len(y))]
+    if any(len(set(y[p])) < 2 for p in parts):
+        parts = [slice(0, len(y))] * 3
+    words, grown, scaled = parts
+    lexicon = learn_lexicon(texts.slice(words.start, words.stop - words.start), y[words])
     x = matrix(texts, lexicon)
-    trees = Boosted().fit(x[a:b], y[a:b])
-    at, rate = isotonic(trees.margin(x[b:]), y[b:])
+    trees = Boosted().fit(x[grown], y[grown])
+    at, rate = isotonic(trees.margin(x[scaled]), y[scaled])
     return Model(lexicon, trees, at, rate)
 
 
 def score(docs: DataFrame, model: Model, out: str = "score", text_col: str = "text") -> DataFrame:
-    """All columns of `docs` and the score of each row's whole text in the column `out` (which replaces one of that name)."""
+    """All columns of `docs` and the score of each row's whole text in the column `out` (which replaces one of that name).
+
+    A null text scores as an empty one; equal texts score equally; ids are not used and may repeat or be null.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     bare = docs.select(packed(docs, out).alias("row"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([bare.schema["row"], T.StructField("out", T.DoubleType())])
 
     def run(batches):
-        for b in batches:
+        for b in (p for whole in batches for p in pieces(whole, 1, 8 << 20)):
             s = sent.value.score(b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["row", "out"])
 
