@@ -44,6 +44,26 @@ def neighbours_all(seq: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(1), F.length(seq)), lambda i: F.transform(F.filter(bases, lambda b: b != F.substring(seq, i, F.lit(1))), lambda b: at(i, b))))
 
 
+def with_n(seq: Column) -> Column:
+    """The sequence with an N in each place: what reads whose first N may stand for it look like."""
+    at = lambda i: F.concat(F.substring(seq, F.lit(1), i - 1), F.lit("N"), F.substring(seq, i + 1, F.length(seq)))
+    return F.when(F.length(seq) > 0, F.transform(F.sequence(F.lit(1), F.length(seq)), at)).otherwise(F.array().cast("array<string>"))
+
+
+def wildcards(seq: Column) -> Column:
+    """array<struct<i, rest>>: the sequence without its i-th letter, for each i. Two of one length at distance 1 share exactly one."""
+    at = lambda i: F.struct(i.alias("i"), F.concat(F.substring(seq, F.lit(1), i - 1), F.substring(seq, i + 1, F.length(seq))).alias("rest"))
+    return F.when(F.length(seq) > 0, F.transform(F.sequence(F.lit(1), F.length(seq)), at)).otherwise(F.array().cast("array<struct<i:int,rest:string>>"))
+
+
+def blocks(seq: Column, count: int) -> Column:
+    """array<struct<i, n, piece>>: the sequence in `count` pieces of nearly equal length, the longer ones first, with its length."""
+    n = F.length(seq)
+    size, more = F.floor(n / count).cast("int"), (n % count).cast("int")
+    piece = lambda i: F.struct(F.lit(i).alias("i"), n.alias("n"), F.substring(seq, F.lit(i) * size + F.least(F.lit(i), more) + 1, size + (F.lit(i) < more).cast("int")).alias("piece"))
+    return F.array(*[piece(i) for i in range(count)])
+
+
 def phred(qual: Column) -> Column:
     return F.transform(letters(qual), lambda c: F.ascii(c) - 33)
 
@@ -61,12 +81,12 @@ def is_poly(seq: Column) -> Column:
     return seq == F.repeat(F.substring(seq, 1, 1), F.length(seq))
 
 
-def alteration(raw: Column, corrected: Column) -> Column:
-    """<position><old base> of each mismatch, M if there is none."""
+def alteration(raw: Column, corrected: Column, same: str = "M") -> Column:
+    """<position><old base> of each mismatch, `same` if there is none."""
     n = F.length(raw)
     marks = F.transform(F.sequence(F.lit(1), n), lambda i: F.when(F.substring(raw, i, F.lit(1)) != F.substring(corrected, i, F.lit(1)), F.concat((i - 1).cast("string"), F.substring(raw, i, F.lit(1)))))
     found = F.array_join(F.filter(marks, lambda m: m.isNotNull()), "")
-    return F.when(found == "", F.lit("M")).otherwise(found)
+    return F.when(found == "", F.lit(same)).otherwise(found)
 
 
 def undo_alteration(corrected: Column, alt: Column) -> Column:

@@ -8,9 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .ranking import ranked
+from .ranking import benjamini_hochberg, ranked  # noqa: F401
 
 
 def ordmag(sums: DataFrame, expected: int, quantile: float = 0.99) -> DataFrame:
@@ -53,16 +52,6 @@ def force(sums: DataFrame, n: int) -> DataFrame:
     return sums.orderBy(F.desc("umis"), "cell").limit(n)
 
 
-def benjamini_hochberg(df: DataFrame, p: str, order: list[str]) -> DataFrame:
-    """Adds q: p * n / rank, made monotone from the largest p down, 1 at most. Ranks come from counts per distinct p."""
-    per = df.groupBy(p).agg(F.count("*").alias("k"))
-    up = Window.orderBy(p)
-    per = per.withColumn("rank", F.sum("k").over(up.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.sum("k").over(Window.partitionBy()))
-    down = up.rowsBetween(0, Window.unboundedFollowing)
-    per = per.withColumn("q", F.least(F.lit(1.0), F.min(F.col(p) * F.col("n") / F.col("rank")).over(down)))
-    return df.join(per.select(p, "q"), p)
-
-
 def good_turing(counts: np.ndarray) -> np.ndarray:
     """Shares by simple Good-Turing smoothing (Gale and Sampson); genes with count 0 divide the share of the unseen equally.
 

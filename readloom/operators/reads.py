@@ -15,16 +15,20 @@ def anchor_shift(df: DataFrame, seq: str, pattern: str) -> DataFrame:
     return df.withColumn("start", F.when(at > 0, at)).withColumn("status", F.when(at > 0, "valid").otherwise("no_anchor"))
 
 
-def extract_segments(df: DataFrame, seq: str, structure: list[tuple[str, int]]) -> DataFrame:
-    """Adds barcode, linker, umi (all segments of a kind joined) and rest, what follows the last segment."""
+def extract_segments(df: DataFrame, seq: str, structure: list[tuple[str, int]], start: str | None = None) -> DataFrame:
+    """Adds barcode, linker, umi (all segments of a kind joined) and rest, what follows the last segment.
+
+    The layout begins at the 0-based position in the column `start` (see anchor_shift), or at the first base; null where it is null.
+    """
     parts: dict[str, list[Column]] = {"B": [], "L": [], "U": []}
-    at = 0
+    first, at = F.lit(0) if start is None else F.col(start), 0
+    take = lambda n: F.substring(F.col(seq), first + at + 1, F.lit(n))
     for code, n in structure:
         if code in parts:
-            parts[code].append(S.cut(F.col(seq), at, n))
+            parts[code].append(take(n))
         at += n
     join = lambda p: F.concat(*p) if p else F.lit("")
-    return df.withColumn("barcode", join(parts["B"])).withColumn("linker", join(parts["L"])).withColumn("umi", join(parts["U"])).withColumn("rest", S.cut(F.col(seq), at))
+    return df.withColumns({"barcode": join(parts["B"]), "linker": join(parts["L"]), "umi": join(parts["U"]), "rest": take(1 << 30)})
 
 
 def match_whitelist(raw: DataFrame, whitelist: DataFrame) -> DataFrame:
@@ -40,37 +44,44 @@ def match_whitelist(raw: DataFrame, whitelist: DataFrame) -> DataFrame:
 
 def correct(reads: DataFrame, whitelist: DataFrame) -> DataFrame:
     """Reads with `raw` -> adds status (exact, one, multi, none), n_candidates and corrected (null if multi or none)."""
-    found = match_whitelist(reads.select("raw"), whitelist)
-    per = found.groupBy("raw").agg(F.min("distance").alias("d"), F.count("*").alias("n_candidates"), F.min("candidate").alias("c"))
-    out = reads.join(per, "raw", "left").withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
+    return _corrected(reads, match_whitelist(reads.select("raw"), whitelist)).drop("candidates")
+
+
+def _corrected(reads: DataFrame, found: DataFrame) -> DataFrame:
+    per = found.groupBy("raw").agg(F.min("distance").alias("d"), F.sort_array(F.collect_list("candidate")).alias("candidates"))
+    out = reads.join(per, "raw", "left").withColumn("n_candidates", F.coalesce(F.size("candidates").cast("long"), F.lit(0).cast("long")))
     status = F.when(F.col("d") == 0, "exact").when(F.col("n_candidates") == 1, "one").when(F.col("n_candidates") > 1, "multi").otherwise("none")
-    return out.withColumn("status", status).withColumn("corrected", F.when(F.col("status").isin("exact", "one"), F.col("c"))).drop("c", "d")
+    return out.withColumn("status", status).withColumn("corrected", F.when(F.col("status").isin("exact", "one"), F.col("candidates")[0])).drop("d")
 
 
 def rescue(reads: DataFrame, whitelist: DataFrame, strict: bool = False) -> DataFrame:
     """Reads with several candidates -> the chosen one (null: not corrected).
 
     By raw count: the candidate most often read as it is, the first in text order of equals, none without reads.
-    Strict: by count after correction, which must be above that of the second.
+    Strict: by count after correction, which must be above that of the second. Reads are joined once: counts come from the distinct
+    raw sequences, so all else is as large as these.
     """
-    fixed = correct(reads, whitelist)
-    counts = fixed.where("status in ('exact', 'one')" if strict else "status = 'exact'").groupBy(F.col("corrected").alias("candidate")).agg(F.count("*").alias("n"))
-    multi = fixed.where("status = 'multi'").select("raw").distinct()
-    options = match_whitelist(reads.select("raw"), whitelist).join(multi, "raw", "left_semi").join(counts, "candidate", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    order = Window.partitionBy("raw").orderBy(F.desc("n"), "candidate")
-    ranked = options.withColumn("r", F.row_number().over(order)).withColumn("second", F.coalesce(F.lead("n").over(order), F.lit(0)))
-    ok = (F.col("n") > F.col("second")) if strict else (F.col("n") > 0)
-    best = ranked.where("r = 1").select("raw", F.when(ok, F.col("candidate")).alias("chosen"))
-    return fixed.where("status = 'multi'").drop("corrected").join(best, "raw")
-
-
-def nearest(queries: DataFrame, whitelist: DataFrame, block: int, blocks: int) -> DataFrame:
+    raws = reads.groupBy("raw").agg(F.count("*").alias("n"))
+    found = match_whitelist(raws, whitelist)
+    fixed = _corrected(raws, found)
+    counts = fixed.where("status in ('exact', 'one')" if strict else "status = 'exact'").groupBy(F.col("corrected").alias("candidate")).agg(F.sum("n").alias("n"))
+    options = fixed.where("status = 'multi'").select("raw", "status", "n_candidates", F.explode("candidates").alias("candidate")).join(counts, "candidate", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # at most a few dozen candidates a sequence: their best two without a window
+    per = options.groupBy("raw", "status", "n_candidates").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "candidate"))).alias("o"))
+    first, second = -F.col("o")[0]["less"], F.coalesce(-F.get("o", F.lit(1))["less"], F.lit(0))
+    ok = (first > second) if strict else (first > 0)
+    best = per.select("raw", "status", "n_candidates", F.when(ok, F.col("o")[0]["candidate"]).alias("chosen"))
+    return reads.join(best, "raw")
+
+
+def nearest(queries: DataFrame, whitelist: DataFrame, block: int, blocks: int, length: int | None = None) -> DataFrame:
     """(raw) x (barcode): all entries at the least Hamming distance, if that is below `blocks`.
 
-    Both sides are cut into `blocks` pieces of `block` bases: within `blocks` - 1 mismatches one piece is equal,
-    so candidates come from an equality join on (piece, bases).
+    Both sides are cut into `blocks` pieces of `block` bases, the last of which takes the rest of `length`: within `blocks` - 1
+    mismatches one piece is equal, so candidates come from an equality join on (piece, bases).
     """
-    piece = lambda c: F.explode(F.array(*[F.struct(F.lit(i).alias("i"), S.cut(F.col(c), i * block, block).alias("p")) for i in range(blocks)]))
+    size = lambda i: block if i < blocks - 1 or length is None else length - block * (blocks - 1)
+    piece = lambda c: F.explode(F.array(*[F.struct(F.lit(i).alias("i"), S.cut(F.col(c), i * block, size(i)).alias("p")) for i in range(blocks)]))
     a = queries.select("raw").distinct().select("raw", piece("raw").alias("k"))
     b = whitelist.select("barcode").distinct().select("barcode", piece("barcode").alias("k"))
     pairs = a.join(b, "k").select("raw", "barcode").distinct().withColumn("distance", S.hamming(F.col("raw"), F.col("barcode")))
@@ -119,6 +130,7 @@ def conversion_rates(df: DataFrame, counted: int) -> DataFrame:
     return df.agg(F.coalesce(lines("A"), F.lit(0)).cast("long").alias("line_a"), F.coalesce(lines("B"), F.lit(0)).cast("long").alias("line_b"), rate("A").alias("ct_mean"), rate("B").alias("cc_mean"))
 
 
-def cap_reads(df: DataFrame, barcode: str, ordinal: str, limit: int) -> DataFrame:
-    """The first `limit` reads of each barcode, in file order."""
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(barcode).orderBy(ordinal))).where(F.col("__n") <= limit).drop("__n")
+def cap_reads(df: DataFrame, barcode: str, ordinal: str | list[str], limit: int) -> DataFrame:
+    """The first `limit` reads of each barcode, in file order: by ordinal, or by (file, ordinal) where ordinals restart in every file."""
+    order = [ordinal] if isinstance(ordinal, str) else list(ordinal)
+    return df.withColumn("__n", F.row_number().over(Window.partitionBy(barcode).orderBy(*order))).where(F.col("__n") <= limit).drop("__n")

@@ -1,55 +1,94 @@
-"""UMI clustering per (cell, gene)."""
+"""UMI clustering per (cell, gene). A UMI is a text of any letters: an N differs from each base like another base."""
 
 from __future__ import annotations
 
-import pandas as pd
+from collections import deque
+from collections.abc import Iterator
+from itertools import combinations
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import seq as S
+from ..scratch import settle, tidy
+
+Log = list[tuple[str, int, str, int]]
 
 
-def edges(umis: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, a, b), a < b: UMIs of a group at Hamming distance 1, by listing neighbours and one equality join."""
-    a = umis.select(*keys, F.col("umi").alias("a"), F.explode(S.neighbours(F.col("umi"))).alias("b")).where("a < b")
-    return a.join(umis.select(*keys, F.col("umi").alias("b")), [*keys, "b"], "left_semi")
+def edges(umis: DataFrame, keys: list[str], threshold: int = 1) -> DataFrame:
+    """(keys, a, b), a < b: UMIs of a group, of equal length, at a Hamming distance of 1 up to the threshold.
+
+    At distance 1 two UMIs are equal but for one place, so an equality join on (place, rest) finds each pair once. Further
+    ones share one of threshold + 1 pieces.
+    """
+    if threshold == 1:
+        u = umis.select(*keys, "umi", F.explode(S.wildcards(F.col("umi"))).alias("k"))
+        return u.withColumnRenamed("umi", "a").join(u.withColumnRenamed("umi", "b"), [*keys, "k"]).where("a < b").select(*keys, "a", "b")
+    return blocked_edges(umis, keys, threshold + 1)
 
 
-def blocked_edges(umis: DataFrame, keys: list[str], blocks: int, block: int) -> DataFrame:
-    """The same edges for `blocks` - 1 mismatches: candidates share one of `blocks` pieces."""
-    piece = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), S.cut(F.col("umi"), i * block, block).alias("p")) for i in range(blocks)]))
-    u = umis.select(*keys, "umi", piece.alias("k"))
+def blocked_edges(umis: DataFrame, keys: list[str], blocks: int) -> DataFrame:
+    """The same edges for a threshold of `blocks` - 1: candidates share one of `blocks` pieces."""
+    u = umis.select(*keys, "umi", F.explode(S.blocks(F.col("umi"), blocks)).alias("k"))
     pairs = u.withColumnRenamed("umi", "a").join(u.withColumnRenamed("umi", "b"), [*keys, "k"]).where("a < b").select(*keys, "a", "b").distinct()
     return pairs.where(S.hamming(F.col("a"), F.col("b")) < blocks)
 
 
+@tidy
 def components(edge: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, comp): the least node that edges lead to. Labels spread along edges and are then followed once more, until none changes."""
-
-    def keep(df: DataFrame) -> DataFrame:
-        return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
-
-    both = keep(edge.select("a", "b").union(edge.select("b", "a")).distinct())
-    label = keep(nodes.select("node", F.col("node").alias("comp")))
+    both = settle(edge.select("a", "b").union(edge.select("b", "a")).distinct())
+    label = settle(nodes.select("node", F.col("node").alias("comp")), keep=True)
     while True:
         near = both.join(label.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         moved = label.join(near, "node", "left").select("node", F.col("comp").alias("old"), F.least("comp", F.coalesce("near", "comp")).alias("comp"))
         jump = label.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        new = keep(moved.join(jump, "comp", "left").select("node", "old", F.least("comp", F.coalesce("next", "comp")).alias("comp")))
+        new = settle(moved.join(jump, "comp", "left").select("node", "old", F.least("comp", F.coalesce("next", "comp")).alias("comp")), keep=True)
         label = new.select("node", "comp")
         if new.where(F.col("old") != F.col("comp")).isEmpty():
             return label
 
 
-def cluster_group(counts: dict[str, int], method: str) -> tuple[dict[str, int], list[tuple[str, int, str, int]]]:
+def neighbours(umis: list[str], threshold: int = 1) -> dict[str, list[str]]:
+    """To each UMI those of equal length at a distance of 1 up to the threshold, in text order."""
+    near: dict[str, list[str]] = {u: [] for u in umis}
+    if threshold == 1:
+        same: dict[tuple[int, str], list[str]] = {}
+        for u in umis:
+            for i in range(len(u)):
+                same.setdefault((i, u[:i] + u[i + 1 :]), []).append(u)
+        pairs = (p for group in same.values() if len(group) > 1 for p in combinations(group, 2))
+    else:
+        pieces: dict[tuple, list[str]] = {}
+        for u in umis:
+            size, more = divmod(len(u), threshold + 1)
+            at = 0
+            for i in range(threshold + 1):
+                n = size + (i < more)
+                pieces.setdefault((len(u), i, u[at : at + n]), []).append(u)
+                at += n
+        found = {p for group in pieces.values() if len(group) > 1 for p in combinations(sorted(group), 2)}
+        pairs = (p for p in found if sum(x != y for x, y in zip(*p)) <= threshold)
+    for a, b in pairs:
+        near[a].append(b)
+        near[b].append(a)
+    for u in near:
+        near[u].sort()
+    return near
+
+
+def cluster_group(counts: dict[str, int], method: str, threshold: int = 1) -> tuple[dict[str, int], Log]:
     """UMI counts after clustering, and the log of merges (from, its count, to, its count).
 
     cluster joins connected UMIs; directional links a to b only if count(a) >= 2 * count(b) - 1; adjacency takes
     in each component the shortest prefix of its UMIs, by count, whose neighbours cover it, and each of these
     leads claims the neighbours that no earlier one has. Order is (-count, umi) throughout.
     """
+    near = neighbours(list(counts), threshold)
+    if not any(near.values()):
+        return counts, []
     order = sorted(counts, key=lambda u: (-counts[u], u))
-    near = {u: [v for v in sorted(S_neighbours(u)) if v in counts] for u in order}
     if method == "directional":
         near = {u: [v for v in vs if counts[u] >= 2 * counts[v] - 1] for u, vs in near.items()}
     seen: set[str] = set()
@@ -57,10 +96,10 @@ def cluster_group(counts: dict[str, int], method: str) -> tuple[dict[str, int],
     for start in order:
         if start in seen:
             continue
-        part, todo = [], [start]
+        part, todo = [], deque([start])
         seen.add(start)
         while todo:
-            u = todo.pop(0)
+            u = todo.popleft()
             part.append(u)
             for v in near[u]:
                 if v not in seen:
@@ -69,9 +108,11 @@ def cluster_group(counts: dict[str, int], method: str) -> tuple[dict[str, int],
         part.sort(key=lambda u: (-counts[u], u))
         leads = [part[0]]
         if method == "adjacency":
-            for n in range(1, len(part) + 1):
-                covered = set(part[:n]).union(*[near[u] for u in part[:n]])
-                if covered >= set(part):
+            covered: set[str] = set()
+            for n, u in enumerate(part, 1):
+                covered.add(u)
+                covered.update(near[u])
+                if len(covered) == len(part):
                     leads = part[:n]
                     break
         claimed = set(leads)
@@ -83,35 +124,74 @@ def cluster_group(counts: dict[str, int], method: str) -> tuple[dict[str, int],
     return out, log
 
 
-def S_neighbours(u: str) -> set[str]:
-    return {u[:i] + b + u[i + 1 :] for i in range(len(u)) for b in "ACGT" if b != u[i]}
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, str, dict[str, int]]]]:
+    """Whole groups of rows sorted by (cell, gene), those that a batch completes at a time."""
+    at, group = None, {}
+    for b in batches:
+        done = []
+        for cell, gene, umi, n in zip(*[c.to_pylist() for c in b.columns]):
+            if (cell, gene) != at:
+                if at is not None:
+                    done.append((*at, group))
+                at, group = (cell, gene), {}
+            group[umi] = group.get(umi, 0) + n
+        yield done
+    if at is not None:
+        yield [(*at, group)]
+
 
+def _walk(umis: DataFrame, schema: str, rows) -> DataFrame:
+    """Rows made from each group, many groups to a batch: a group alone is a few rows, too few for a call of its own."""
+    kinds = [pa.string(), pa.string(), *([pa.string(), pa.int64()] if "num" in schema else [pa.string(), pa.string()])]
+    names = [x.split()[0] for x in schema.split(", ")]
 
-def cluster(umis: DataFrame, method: str) -> DataFrame:
-    """(cell, gene, umi, num) -> the same after clustering; groups are the UMIs of one gene in one cell."""
+    def run(batches):
+        for groups in _groups(batches):
+            out = [r for g in groups for r in rows(*g)]
+            cols = list(zip(*out)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        out, _ = cluster_group({u: int(n) for u, n in zip(df["umi"], df["num"])}, method)
-        return pd.DataFrame({"cell": df["cell"].iloc[0], "gene": df["gene"].iloc[0], "umi": list(out), "num": list(out.values())})
+    d = umis.select(F.col("cell").cast("string"), F.col("gene").cast("string"), "umi", F.col("num").cast("long"))
+    return d.repartition("cell", "gene").sortWithinPartitions("cell", "gene").mapInArrow(run, schema)
 
-    return umis.select("cell", "gene", "umi", "num").groupBy("cell", "gene").applyInPandas(run, "cell string, gene string, umi string, num long")
 
+def cluster(umis: DataFrame, method: str, threshold: int = 1) -> DataFrame:
+    """(cell, gene, umi, num) -> the same after clustering; groups are the UMIs of one gene in one cell. Repeated rows add up."""
 
-def merge_log(umis: DataFrame, method: str) -> DataFrame:
+    def rows(cell: str, gene: str, group: dict[str, int]) -> list[tuple]:
+        return [(cell, gene, u, n) for u, n in cluster_group(group, method, threshold)[0].items()]
+
+    return _walk(umis, "cell string, gene string, umi string, num long", rows)
+
+
+def merge_log(umis: DataFrame, method: str, threshold: int = 1) -> DataFrame:
     """(cell, gene, from, to): which UMI was merged into which, as umi:count."""
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        _, log = cluster_group({u: int(n) for u, n in zip(df["umi"], df["num"])}, method)
-        rows = [(df["cell"].iloc[0], df["gene"].iloc[0], f"{a}:{n}", f"{b}:{m}") for a, n, b, m in log]
-        return pd.DataFrame({c: pd.Series([r[i] for r in rows], dtype=object) for i, c in enumerate(["cell", "gene", "from", "to"])})
+    def rows(cell: str, gene: str, group: dict[str, int]) -> list[tuple]:
+        return [(cell, gene, f"{a}:{n}", f"{b}:{m}") for a, n, b, m in cluster_group(group, method, threshold)[1]]
+
+    return _walk(umis, "cell string, gene string, from string, to string", rows)
 
-    return umis.select("cell", "gene", "umi", "num").groupBy("cell", "gene").applyInPandas(run, "cell string, gene string, from string, to string")
+
+def follow_merges(umis: DataFrame, log: DataFrame, recursive: bool = False, most: int = 32) -> DataFrame:
+    """(cell, gene, umi, ...) with corrected: what the log (see merge_log) says the UMI was merged into, itself if nothing.
+
+    recursive follows the log on from there, `most` steps at the furthest.
+    """
+    into = log.select("cell", "gene", F.split_part("from", F.lit(":"), F.lit(1)).alias("__a"), F.split_part("to", F.lit(":"), F.lit(1)).alias("__b"))
+    d = umis.withColumn("corrected", F.col("umi"))
+    for _ in range(most if recursive else 1):
+        hit = d.join(into.withColumnRenamed("__a", "corrected"), ["cell", "gene", "corrected"], "left")
+        if recursive and hit.where("__b is not null").isEmpty():
+            break
+        d = hit.withColumn("corrected", F.coalesce("__b", "corrected")).drop("__b").select(*umis.columns, "corrected")
+    return d
 
 
-def receptor_filter(umis: DataFrame, share: float = 0.1) -> DataFrame:
+def receptor_filter(umis: DataFrame, share: float = 0.1, threshold: int = 1) -> DataFrame:
     """Per cell: UMIs with more than share of the N50 of counts, clustered by adjacency; reads of merged UMIs are dropped with them."""
     from .counts import n50
 
     cut = n50(umis, "num", ["cell"])
     kept = umis.join(cut, "cell").where(F.col("num") > share * F.col("n50"))
-    return umis.join(cluster(kept, "adjacency").select("cell", "gene", "umi"), ["cell", "gene", "umi"], "left_semi")
+    return umis.join(cluster(kept, "adjacency", threshold).select("cell", "gene", "umi"), ["cell", "gene", "umi"], "left_semi")

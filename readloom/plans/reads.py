@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..chemistry import parse_structure
+from ..chemistry import Chemistry, five_prime, parse_structure
 from ..functions import seq as S
+from ..operators import barcodes as B
+from ..operators import names as N
 from ..operators import reads as R
 from .base import READS, WHITE, D, query, reads, t, whitelist
 
@@ -40,10 +42,10 @@ def _(spark, sf):
     return R.anchor_shift(reads(spark, sf), "seq", "AC").select("event_id", "start", "status")
 
 
-@query("extract_segments", f"with {READS} select event_id, substr(seq, 1, 4) || substr(seq, 8, 4) as barcode, substr(seq, 5, 3) as linker, substr(seq, 14, 6) as umi, substr(seq, 20) as rest from reads")
+@query("extract_segments", f"with {READS}, a as (select event_id, seq, nullif(strpos(substr(seq, 1, 7), 'AC'), 0) as p0 from reads) select event_id, substr(seq, p0 + 1, 4) || substr(seq, p0 + 8, 4) as barcode, substr(seq, p0 + 5, 3) as linker, substr(seq, p0 + 14, 6) as umi, substr(seq, p0 + 20) as rest from a")
 def _(spark, sf):
-    return R.extract_segments(reads(spark, sf), "seq", parse_structure("B4L3B4X2U6")).select("event_id", "barcode", "linker", "umi", "rest")
-
+    d = R.anchor_shift(reads(spark, sf), "seq", "AC")
+    return R.extract_segments(d, "seq", parse_structure("B4L3B4X2U6"), "start").select("event_id", "barcode", "linker", "umi", "rest")
 
 @query("read_format", "select p_partkey, cast(p_size + 1 as varchar) || 'C' || cast(p_partkey % 12 + 1 as varchar) || 'M+T' as structure from part")
 def _(spark, sf):
@@ -75,20 +77,18 @@ def _(spark, sf):
 
 @query("tag_projection", f"{ALT} select event_id, fixed as cb, raw as cr, umi as ub, umi as ur, 'read' || event_id as qname from a join reads using (event_id)")
 def _(spark, sf):
-    d = altered(spark, sf).withColumn("name", F.concat_ws("_", "fixed", "umi", "alt", F.concat(F.lit("read"), F.col("event_id").cast("string"))))
-    part = lambda i: F.split("name", "_")[i]
-    return d.select("event_id", part(0).alias("cb"), S.undo_alteration(part(0), part(2)).alias("cr"), part(1).alias("ub"), part(1).alias("ur"), part(3).alias("qname"))
-
+    d = altered(spark, sf).withColumn("qname", F.concat_ws("_", "fixed", "umi", "alt", F.concat(F.lit("read"), F.col("event_id").cast("string"))))
+    return N.tags(d).select("event_id", "cb", "cr", "ub", "ur", "qname")
 
 @query("name_parts", f"with {READS} select event_id, cell as barcode, umi, 'read' || event_id || ':' || cell as renamed from reads")
 def _(spark, sf):
     d = reads(spark, sf).withColumn("name", F.concat_ws("_", "cell", "umi", F.lit("M"), F.concat(F.lit("read"), F.col("event_id").cast("string"))))
-    return d.select("event_id", F.split_part("name", F.lit("_"), F.lit(1)).alias("barcode"), F.split_part("name", F.lit("_"), F.lit(2)).alias("umi"), F.concat_ws(":", F.split_part("name", F.lit("_"), F.lit(4)), F.split_part("name", F.lit("_"), F.lit(1))).alias("renamed"))
-
+    p = N.name_parts("name")
+    return d.select("event_id", p["barcode"].alias("barcode"), p["umi"].alias("umi"), N.barcode_behind("name").alias("renamed"))
 
 @query("name_mate", "select p_partkey, replace(p_name || ' 2:N:0', ' 2:', ' 1:') as name from part")
 def _(spark, sf):
-    return t(spark, sf, "part").select("p_partkey", F.replace(F.concat("p_name", F.lit(" 2:N:0")), F.lit(" 2:"), F.lit(" 1:")).alias("name"))
+    return t(spark, sf, "part").select("p_partkey", N.mate(F.concat("p_name", F.lit(" 2:N:0"))).alias("name"))
 
 
 QUAL = "translate(md5('q' || cast(event_id as varchar)), '0123456789abcdef', '!#%+/59;?ACEFGHI')"
@@ -135,8 +135,7 @@ def _(spark, sf):
 
 @query("length_filter", "select doc_id, case when length(text) < 300 or n_chars < 300 then 'too_short' else 'valid' end as status from documents")
 def _(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", F.when((F.length("text") < 300) | (F.col("n_chars") < 300), "too_short").otherwise("valid").alias("status"))
-
+    return t(spark, sf, "documents").select("doc_id", B.length_status(F.length("text"), F.col("n_chars"), (300, 300)).alias("status"))
 
 @query("correct_exact_one_multi", CORRECT + " select event_id, raw, status, n_candidates, corrected from fixed")
 def _(spark, sf):
@@ -164,11 +163,60 @@ def _(spark, sf):
     return d.select("event_id", F.concat_ws("_", "corrected", F.substring("seq", 9, 6), S.alteration(F.col("raw"), F.col("corrected"))).alias("header"))
 
 
-@query("read_counters", CORRECT + " select count(*) as total, count(*) filter (status <> 'none') as valid, count(*) filter (status = 'one') as corrected, count(*) filter (status = 'multi') as multi, count(*) filter (status = 'none') as no_correction, count(*) filter (strpos(substr(seq, 1, 7), 'AC') = 0) as no_anchor from fixed join reads using (event_id)")
+#: A layout with everything in it: an anchor, two barcode segments with lists of their own, a linker between them.
+LAYOUT = Chemistry("B4L2B3U5", True, "AC")
+LEAST = (14, 30)
+STATES = f"""with {READS}, w1 as (select distinct substr({D('p_partkey')}, 1, 4) as b from part where p_partkey <= 60), w2 as (select distinct substr({D('p_partkey')}, 1, 3) as b from part where p_partkey <= 12), lk as (select distinct substr({D('s_suppkey')}, 1, 2) as b from supplier where s_suppkey <= 3),
+places as (select unnest(range(1, 5)) as i), bases as (select unnest(['A', 'C', 'G', 'T']) as c),
+n1 as (select distinct substr(b, 1, i - 1) || c || substr(b, i + 1) as raw, b from w1, places, bases where i <= 4 and substr(b, i, 1) <> c),
+n2 as (select distinct substr(b, 1, i - 1) || c || substr(b, i + 1) as raw, b from w2, places, bases where i <= 3 and substr(b, i, 1) <> c),
+nl as (select distinct substr(b, 1, i - 1) || c || substr(b, i + 1) as raw from lk, places, bases where i <= 2 and substr(b, i, 1) <> c union select b from lk),
+m1 as (select b as raw, true as exact, [b] as cs from w1 union all select raw, false, list_sort(list(b)) from n1 where raw not in (select b from w1) group by raw),
+m2 as (select b as raw, true as exact, [b] as cs from w2 union all select raw, false, list_sort(list(b)) from n2 where raw not in (select b from w2) group by raw),
+a as (select event_id, seq, strpos(substr(seq, 1, 7), 'AC') as p0 from reads),
+g as (select event_id, p0, substr(seq, p0 + 1, 4) as b1, substr(seq, p0 + 5, 2) as l, substr(seq, p0 + 7, 3) as b2, substr(seq, p0 + 10, 5) as umi, substr(seq, p0 + 15) as rest from a),
+j as (select g.*, m1.raw as r1, m2.raw as r2, nl.raw as rl, m1.cs as c1, m2.cs as c2, (not m1.exact and len(m1.cs) = 1) or (not m2.exact and len(m2.cs) = 1) as fixed from g left join m1 on m1.raw = b1 left join m2 on m2.raw = b2 left join nl on nl.raw = l),
+st as (select *, case when p0 = 0 then 'no_anchor' when r1 is null then 'no_barcode' when rl is null then 'no_linker' when r2 is null then 'no_barcode' when len(c1) > 1 or len(c2) > 1 then 'multi' else 'valid' end as status from j),
+live as (select event_id, status, case when status in ('valid', 'multi') then b1 || b2 end as raw, case when status in ('valid', 'multi') then umi end as umi, case when status in ('valid', 'multi') then rest end as rest,
+  case when status in ('valid', 'multi') then flatten(list_transform(c1, lambda x: list_transform(c2, lambda y: x || y))) end as candidates, coalesce(status in ('valid', 'multi') and fixed, false) as corrected from st),
+alts as (select event_id, candidates[1] as barcode, string_agg((i - 1) || substr(raw, i, 1), '' order by i) filter (substr(raw, i, 1) <> substr(candidates[1], i, 1)) as diff from live, (select unnest(range(1, 8)) as i) where status = 'valid' group by all),
+assigned as (select live.*, barcode, case when status = 'valid' then case when corrected then diff else 'M' end end as alt from live left join alts using (event_id)),
+seen as (select raw as c, count(*) as n from assigned where raw is not null group by raw),
+options as (select distinct raw, unnest(candidates) as c from assigned where status = 'multi'),
+best as (select raw, arg_min(c, (-n, c)) as chosen from options join seen using (c) group by raw),
+rescued as (select event_id, case when status <> 'multi' then status when chosen is null then 'no_rescue' else 'rescued' end as status, raw, umi, rest, corrected, case when status = 'multi' then chosen else barcode end as barcode, alt from assigned left join best using (raw)),
+outcome as (select *, case when barcode is null then null when length(rest) < {LEAST[0]} or 30 < {LEAST[1]} then 'too_short' else 'kept' end as outcome from rescued)"""
+
+
+def states(spark, sf):
+    cut = lambda table, key, n, top: t(spark, sf, table).where(F.col(key) <= top).select(F.substring(S.dna(F.col(key)), 1, n).alias("barcode"))
+    lists = [cut("part", "p_partkey", 4, 60), cut("part", "p_partkey", 3, 12)]
+    return B.assign(reads(spark, sf).select("event_id", "seq"), LAYOUT, lists, [cut("supplier", "s_suppkey", 2, 3)], seq="seq")
+
+
+@query("read_states", STATES + " select event_id, status, raw, umi, rest, array_to_string(candidates, ':') as candidates, corrected, barcode, alt from assigned")
+def _(spark, sf):
+    return states(spark, sf).select("event_id", "status", "raw", "umi", "rest", F.array_join("candidates", ":").alias("candidates"), "corrected", "barcode", "alt")
+
+
+@query("read_rescue", STATES + " select event_id, status, barcode from rescued")
 def _(spark, sf):
-    d = R.correct(reads(spark, sf).withColumn("raw", F.substring("seq", 1, 8)), whitelist(spark, sf))
-    n = lambda c: F.count_if(c)
-    return d.agg(F.count("*").alias("total"), n(F.col("status") != "none").alias("valid"), n(F.col("status") == "one").alias("corrected"), n(F.col("status") == "multi").alias("multi"), n(F.col("status") == "none").alias("no_correction"), n(F.locate("AC", F.substring("seq", 1, 7)) == 0).alias("no_anchor"))
+    return B.rescue_multi(states(spark, sf)).select("event_id", "status", "barcode")
+
+
+@query("multi_candidates", STATES + " select event_id, raw || '_' || array_to_string(candidates, ':') || '_' || umi || '_r' || event_id as header from assigned where status = 'multi'")
+def _(spark, sf):
+    from ..sinks import multi_candidates
+
+    d = states(spark, sf).withColumn("name", F.concat(F.lit("r"), F.col("event_id").cast("string")))
+    return multi_candidates(d).select("event_id", "header")
+
+
+@query("read_counters", STATES + """ select count(*) as total, count(*) filter (status in ('valid', 'rescued')) as valid, count(*) filter (status = 'no_anchor') as no_anchor, count(*) filter (outcome = 'too_short') as too_short, count(*) filter (outcome = 'trimmed') as trimmed,
+count(*) filter (corrected and (status in ('rescued', 'no_rescue') or (status = 'valid' and outcome <> 'too_short'))) as B_corrected, count(*) filter (status in ('no_barcode', 'no_rescue')) as B_no_correction, count(*) filter (status = 'no_linker') as L_no_correction from outcome""")
+def _(spark, sf):
+    d = B.rescue_multi(states(spark, sf)).withColumn("r2_seq", F.repeat(F.lit("A"), F.lit(30)))
+    return B.counters(B.finish(d, LAYOUT, adapters=False, least=LEAST))
 
 
 @query("valid_share", CORRECT + " select round(cast(count(*) filter (status <> 'none') as double) / count(*), 9) as valid_share from fixed")
@@ -228,8 +276,7 @@ def _(spark, sf):
 
 @query("det_umi", f"with {READS} select event_id, substr(translate(md5('umi' || event_id), '0123456789abcdef', 'ABCDEFGHIJKLMNOP'), 1, 12) as umi from reads")
 def _(spark, sf):
-    return reads(spark, sf).select("event_id", F.substring(F.translate(F.md5(F.concat(F.lit("umi"), F.col("event_id").cast("string"))), "0123456789abcdef", "ABCDEFGHIJKLMNOP"), 1, 12).alias("umi"))
-
+    return reads(spark, sf).select("event_id", N.made_umi("event_id").alias("umi"))
 
 @query("hamming_expr", f"with {READS} select event_id, cast(hamming(substr(seq, 1, 16), substr(seq, 17, 16)) as integer) as distance from reads")
 def _(spark, sf):
@@ -272,23 +319,26 @@ def _(spark, sf):
     return with_quality(spark, sf).select("event_id", F.array_max(q).alias("kept"))
 
 
-@query("chemistry_choice", CORRECT + """, v as (select round(cast(count(*) filter (status <> 'none') as double) / count(*), 9) as mm from fixed),
-w as (select round(cast(count(*) filter (substr(seq, 9, 8) in (select barcode from white)) as double) / count(*), 9) as dd from reads)
-select mm, dd, case when mm > dd then 'MM' else 'DDV2' end as chemistry, case when mm > 2 * dd then 'true' when mm < 0.5 * dd then 'false' else 'none' end as five_prime from v, w""")
+def _rate(name: str, start: int) -> str:
+    """SQL of the share of reads whose eight bases from `start` lead to a barcode, rescue included."""
+    return f"""{name}raw as (select substr(seq, {start}, 8) as raw, count(*) as n from head group by 1),
+{name}near as (select distinct raw, substr(raw, 1, i - 1) || b || substr(raw, i + 1) as candidate from {name}raw, (select unnest(range(1, 9)) as i), (select unnest(['A', 'C', 'G', 'T']) as b) where raw not in (select barcode from white) and substr(raw, i, 1) <> b),
+{name}hit as (select raw, count(*) as k, count(*) filter (candidate in (select raw from {name}raw)) as seen from {name}near where candidate in (select barcode from white) group by raw),
+{name} as (select cast(sum(case when raw in (select barcode from white) or k = 1 or seen > 0 then n else 0 end) as double) / cast(sum(n) as double) as rate from {name}raw left join {name}hit using (raw))"""
+
+
+@query("chemistry_choice", f"with {READS}, {WHITE}, head as (select seq from reads order by event_id limit 5000), {_rate('mm', 1)}, {_rate('dd', 9)} select round(mm.rate, 9) as mm, round(dd.rate, 9) as dd, case when dd.rate > mm.rate then 'DDV2' else 'MM' end as chemistry, case when mm.rate > 2 * dd.rate then 'true' when mm.rate < 0.5 * dd.rate then 'false' else 'none' end as five_prime from mm, dd")
 def _(spark, sf):
     w = whitelist(spark, sf)
-    a = R.correct(raws(spark, sf), w).agg(F.round(F.count_if(F.col("status") != "none") / F.count("*"), 9).alias("mm"))
-    seen = reads(spark, sf).withColumn("barcode", F.substring("seq", 9, 8)).join(w.withColumn("hit", F.lit(1)), "barcode", "left")
-    b = seen.agg(F.round(F.count("hit") / F.count("*"), 9).alias("dd"))
-    both = a.withColumn("k", F.lit(1)).join(b.withColumn("k", F.lit(1)), "k")
-    side = F.when(F.col("mm") > 2 * F.col("dd"), "true").when(F.col("mm") < 0.5 * F.col("dd"), "false").otherwise("none")
-    return both.select("mm", "dd", F.when(F.col("mm") > F.col("dd"), "MM").otherwise("DDV2").alias("chemistry"), side.alias("five_prime"))
+    options = {"MM": (Chemistry("B8U4"), [w]), "DDV2": (Chemistry("X8B8U4"), [w])}
+    best, rates = B.autodetect(reads(spark, sf), options, 5000, ["event_id"], "seq")
+    side = five_prime(rates["MM"] / rates["DDV2"]) if rates["DDV2"] else None
+    text = {True: "true", False: "false", None: "none"}[side]
+    return spark.createDataFrame([(round(rates["MM"], 9), round(rates["DDV2"], 9), best, text)], "mm double, dd double, chemistry string, five_prime string")
 
 
-@query("remap_barcode", f"with {WHITE}, n as (select barcode, row_number() over (order by barcode) as i from white), s as (select s_suppkey, substr({D('s_suppkey')}, 1, 8) as bc from supplier) select s_suppkey, coalesce('NEW' || lpad(cast(i as varchar), 6, '0'), 'AAAAAAAA') as barcode, substr(bc, 1, 4) as umi from s left join n on bc = barcode")
+@query("remap_barcode", f"with s as (select s_suppkey, substr({D('s_suppkey')}, 1, 8) as bc from supplier), o as (select bc, row_number() over (order by bc) as i from (select distinct bc from s)), n as (select name, row_number() over (order by name) as i from (select 'NEW' || lpad(cast(p_partkey as varchar), 6, '0') as name from part where p_partkey <= 8)) select s_suppkey, coalesce(name, 'AAAAAAAA') as barcode, substr(bc, 1, 4) as umi from s join o using (bc) left join n using (i)")
 def _(spark, sf):
-    from pyspark.sql.window import Window
-
-    new = whitelist(spark, sf).withColumn("i", F.row_number().over(Window.orderBy("barcode"))).select("barcode", F.concat(F.lit("NEW"), F.lpad(F.col("i").cast("string"), 6, "0")).alias("new"))
-    s = t(spark, sf, "supplier").select("s_suppkey", F.substring(S.dna(F.col("s_suppkey")), 1, 8).alias("barcode"))
-    return s.join(new, "barcode", "left").select("s_suppkey", F.coalesce("new", F.lit("AAAAAAAA")).alias("new"), F.substring("barcode", 1, 4).alias("umi")).withColumnRenamed("new", "barcode")
+    new = t(spark, sf, "part").where("p_partkey <= 8").select(F.concat(F.lit("NEW"), F.lpad(F.col("p_partkey").cast("string"), 6, "0")).alias("barcode"))
+    s = t(spark, sf, "supplier").select("s_suppkey", F.substring(S.dna(F.col("s_suppkey")), 1, 8).alias("barcode")).withColumn("umi", F.col("barcode"))
+    return N.remap(s, "barcode", new, "umi", 4)
