@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .ranking import ranked
+from ..scratch import tidy
+from .ranking import PART, PLACE, in_ranges, ranked
 
 
 def accept_reads(aln: DataFrame, unique_mapq: int = 255) -> DataFrame:
@@ -56,20 +57,68 @@ def n50(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     return run.where(F.col("run") * 2 >= F.col("total")).groupBy(*keys).agg(F.max(value).alias("n50"))
 
 
-def downsample(det: DataFrame, steps: int = 10, seed: str = "s") -> DataFrame:
-    """Saturation in percent of the first p tenths of the reads, in a fixed pseudo-random order.
+def downsample(det: DataFrame, steps: int = 10, seed: str = "s", cells: DataFrame | None = None) -> DataFrame:
+    """(step, reads, saturation, median_genes): the first 1, 2, ... of `steps` equal parts of the reads, in a fixed pseudo-random order.
 
-    Each read draws a tenth from its hash; the prefix sums of reads per tenth and the first tenth of each
-    (cell, gene, umi) give all prefixes from one pass, without sorting the reads.
+    Saturation is the percentage of reads that add no new (cell, gene, UMI), median_genes the median over cells with reads in
+    the part. Only `cells` (cell) count, if given. The parts differ by one read at most: a read's place in the order is its hash; the hashes are
+    counted in 65,536 ranges, so that only reads of the ranges that a boundary cuts are ordered exactly. All prefixes come from
+    one pass: the first part of each (cell, gene, UMI) and of each (cell, gene) tells where it counts.
     """
-    each = det.select("cell", "gene", "umi", F.explode(F.sequence(F.lit(1).cast("long"), "num")).alias("i"))
+    d = det if cells is None else det.join(cells.select("cell").distinct(), "cell", "left_semi")
+    each = d.select("cell", "gene", "umi", F.explode(F.sequence(F.lit(1).cast("long"), "num")).alias("i"))
     key = F.md5(F.concat_ws("|", F.lit(seed), "cell", "gene", "umi", F.col("i").cast("string")))
-    each = each.withColumn("step", F.conv(F.substring(key, 1, 8), 16, 10).cast("long") % steps + 1)
-    reads = each.groupBy("step").agg(F.count("*").alias("n"))
-    new = each.groupBy("cell", "gene", "umi").agg(F.min("step").alias("step")).groupBy("step").agg(F.count("*").alias("d"))
-    up = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    both = reads.join(new, "step", "left").withColumn("n", F.sum("n").over(up)).withColumn("d", F.sum(F.coalesce("d", F.lit(0))).over(up))
-    return both.select("step", F.col("n").alias("reads"), F.round((F.col("n") - F.col("d")) / F.col("n") * 100, 6).alias("saturation"))
+    each = each.withColumn("key", key).withColumn("range", F.conv(F.substring("key", 1, 4), 16, 10).cast("int"))
+    up = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = each.groupBy("range").agg(F.count("*").alias("k"))
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("k").over(up), F.lit(0))).withColumn("total", F.sum("k").over(Window.partitionBy()))
+    part = lambda place: F.floor(place * steps / F.col("total")).cast("long") + 1
+    ranges = ranges.withColumn("cut", part(F.col("before")) != part(F.col("before") + F.col("k") - 1))
+    placed = each.join(F.broadcast(ranges), "range")
+    exact = placed.where("cut").withColumn("place", F.col("before") + F.row_number().over(Window.partitionBy("range").orderBy("key")) - 1)
+    placed = placed.where("not cut").withColumn("place", F.col("before")).unionByName(exact).withColumn("step", part(F.col("place")))
+    reads = placed.groupBy("step").agg(F.count("*").alias("n"))
+    umis = placed.groupBy("cell", "gene", "umi").agg(F.min("step").alias("step"))
+    new = umis.groupBy("step").agg(F.count("*").alias("d"))
+    genes = umis.groupBy("cell", "gene").agg(F.min("step").alias("step")).groupBy("cell", "step").agg(F.count("*").alias("g"))
+    grown = genes.groupBy("cell").agg(F.collect_list(F.struct("step", "g")).alias("s"))  # `steps` entries at most
+    upto = lambda k: F.aggregate(F.filter("s", lambda x: x["step"] <= k), F.lit(0).cast("long"), lambda a, x: a + x["g"])
+    medians = grown.select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda k: F.struct(k.cast("long").alias("step"), upto(k).alias("g")))).alias("x")).select("x.*").where("g > 0")
+    medians = medians.groupBy("step").agg(F.floor(F.median("g")).cast("long").alias("median_genes"))
+    run = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    both = reads.join(new, "step", "left").join(medians, "step", "left").withColumn("n", F.sum("n").over(run)).withColumn("d", F.sum(F.coalesce("d", F.lit(0))).over(run))
+    return both.select("step", F.col("n").alias("reads"), F.round((F.col("n") - F.col("d")) / F.col("n") * 100, 6).alias("saturation"), "median_genes")
+
+
+@tidy
+def running(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """Adds the sum of `value` over all rows before, in the order of a column without repeats: ranges of rows are summed first."""
+    d = in_ranges(df, [order])
+    per = d.groupBy(PART).agg(F.sum(value).alias("__s"))  # a row for each range
+    per = per.select(PART, F.coalesce(F.sum("__s").over(Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__lead"))
+    inside = F.coalesce(F.sum(value).over(Window.partitionBy(PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # the settled ranges must outlive this call: in_ranges keeps them one level up
+    return d.withColumn(name, inside).join(F.broadcast(per), PART).withColumn(name, F.col(name) + F.col("__lead")).drop("__lead", PART, PLACE)
+
+
+def top_barcodes(reads: DataFrame, limit: int = 12_000, skip: Column | None = None) -> DataFrame:
+    """(cell, n): the barcodes with most reads, those of `skip` (first mates) not counted."""
+    d = reads if skip is None else reads.where(~skip)
+    return d.groupBy("cell").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cell").limit(limit)
+
+
+def barcode_distinct(reads: DataFrame, missing: str = "missing_barcode") -> DataFrame:
+    """(cell, umis, reads): distinct UMIs and reads of each barcode, most reads first; reads without a barcode are left out."""
+    d = reads.where(F.col("cell") != missing)
+    per = d.groupBy("cell", "umi").agg(F.count("*").alias("n")).groupBy("cell")
+    return per.agg(F.count("umi").alias("umis"), F.sum("n").alias("reads")).orderBy(F.desc("reads"), "cell")
+
+
+def quantile_steps(df: DataFrame, by: str, value: str, steps: int = 20) -> DataFrame:
+    """(by, pct, value): quantiles in equal steps from the least to the largest value, linear between rows."""
+    at = F.array(*[F.lit(i / steps) for i in range(steps + 1)])
+    d = df.groupBy(by).agg(F.percentile(value, at).alias("v"))
+    return d.select(by, F.posexplode("v").alias("i", "value")).select(by, (F.col("i") * (100 // steps)).alias("pct"), F.round("value", 6).alias("value"))
 
 
 def barcode_rank(sums: DataFrame, cells: DataFrame) -> DataFrame:

@@ -18,6 +18,52 @@ def position_key(ref: str, pos: str) -> Column:
     return F.concat_ws("_", F.col(ref), F.floor((F.col(pos) + 1) / 100).cast("string"))
 
 
+def pileup(allc: DataFrame) -> DataFrame:
+    """Calls (cell, chrom, pos, strand, context, mc, cov) added up per site."""
+    return allc.groupBy("cell", "chrom", "pos", "strand", "context").agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
+
+
+def is_cpg(context: str = "context") -> Column:
+    return F.col(context).startswith("CG")
+
+
+def bins(allc: DataFrame, width: int, cpg: bool = True) -> DataFrame:
+    """(cell, chrom, bin, mc, cov) over bins of `width` positions from 1."""
+    d = allc.where(is_cpg()) if cpg else allc
+    return d.groupBy("cell", "chrom", F.floor((F.col("pos") - 1) / width).alias("bin")).agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
+
+
+def cpg_counts(allc: DataFrame) -> DataFrame:
+    """(cell, cpg, lines): sites in CpG context, and all."""
+    return allc.groupBy("cell").agg(F.count_if(is_cpg()).alias("cpg"), F.count("*").alias("lines"))
+
+
+def cpg_bed(allc: DataFrame) -> DataFrame:
+    """(chrom, start, end), from 0 and half-open, of each CpG site."""
+    return allc.where(is_cpg()).select("chrom", (F.col("pos") - 1).alias("start"), F.col("pos").alias("end")).distinct()
+
+
+def mean_rate(allc: DataFrame, by: str) -> DataFrame:
+    """(by, mean_mc): mean over sites of mc / cov; sites without reads are left out."""
+    return allc.groupBy(by).agg(F.round(F.avg(F.try_divide("mc", "cov")), 9).alias("mean_mc"))
+
+
+def position_counts(aln: DataFrame, order: list[str] = ("nth",), ref: str = "ref", pos: str = "pos", gene: str = "gene") -> DataFrame:
+    """(cell, gene, umis, reads) of reads without UMI: the first alignment of each (cell, qname), its position bin as UMI. A gene of several names is
+    skipped, none counts as its own position bin."""
+    first = aln.groupBy("qname").agg(F.min_by(F.struct("cell", gene, ref, pos), F.struct(*order)).alias("f")).select("f.*")
+    key = position_key(ref, pos)
+    d = first.where(F.col(gene).isNull() | ~F.col(gene).contains(",")).select("cell", F.coalesce(gene, key).alias("gene"), key.alias("umi"))
+    return d.groupBy("cell", "gene", "umi").agg(F.count("*").alias("num")).groupBy("cell", "gene").agg(F.count("*").alias("umis"), F.sum("num").alias("reads"))
+
+
+def covered_features(df: DataFrame, cells: DataFrame, least: float = 0.0) -> DataFrame:
+    """Rows (cell, chrom, bin, mc, cov) of bins whose mean coverage over all cells, those without reads included, is above `least`."""
+    n = cells.agg(F.count("*").alias("n"))  # one row
+    good = df.groupBy("chrom", "bin").agg(F.sum("cov").alias("c")).crossJoin(F.broadcast(n)).where(F.col("c") / F.col("n") > least).select("chrom", "bin")
+    return df.join(good, ["chrom", "bin"], "left_semi")
+
+
 def hypo_score(df: DataFrame, cell: list[str], cutoff: float = 0.9) -> DataFrame:
     """Adds score: the chance of more than mc methylated reads of cov at the cell's mean rate; below the cutoff 0."""
     w = Window.partitionBy(*cell)

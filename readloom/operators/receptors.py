@@ -60,11 +60,15 @@ def consensus(contigs: DataFrame) -> DataFrame:
 
 def clone_groups(contigs: DataFrame, identity: float) -> DataFrame:
     """(contig, v, j, junction) -> (contig, clone): same V, J and junction length, single linkage at the identity over a
-    group's distinct junctions."""
+    group's distinct junctions. A contig without a junction or a call has no clone (null).
+
+    Junctions that share no piece of their length cannot be alike enough, so only those that share one are compared."""
     import numpy as np
     import pandas as pd
 
     def link(df: pd.DataFrame) -> pd.DataFrame:
+        if df["junction"].isna().any() or df["v"].isna().any() or df["j"].isna().any():
+            return pd.DataFrame({"contig": df["contig"], "clone": None})
         seqs = sorted(df["junction"].unique())
         n = len(seqs)
         mat = np.frombuffer("".join(seqs).encode("ascii", "replace"), np.uint8).reshape(n, -1) if n and seqs[0] else np.zeros((n, 0), np.uint8)
@@ -77,11 +81,23 @@ def clone_groups(contigs: DataFrame, identity: float) -> DataFrame:
             return i
 
         width = max(mat.shape[1], 1)
-        for i in range(n):
-            for j in np.flatnonzero((mat[i + 1 :] == mat[i]).sum(1) >= identity * width) + i + 1:
-                a, b = root(i), root(int(j))
-                if a != b:
-                    top[max(a, b)] = min(a, b)
+        most = int(np.floor(width * (1 - identity) + 1e-9))  # mismatches allowed: one of most + 1 pieces is free of them
+        cuts = np.linspace(0, mat.shape[1], most + 2).astype(int)
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if lo == hi:  # an empty piece: all are compared
+                blocks = [np.arange(n)]
+            else:
+                piece = np.ascontiguousarray(mat[:, lo:hi]).view(f"V{hi - lo}").ravel()
+                order = np.argsort(piece, kind="stable") if n else np.zeros(0, int)
+                blocks = np.split(order, np.flatnonzero(piece[order][1:] != piece[order][:-1]) + 1)
+            for block in blocks:
+                block = np.sort(block)
+                for k, i in enumerate(block[:-1]):
+                    rest = block[k + 1 :]
+                    for j in rest[(mat[rest] == mat[i]).sum(1) >= identity * width]:
+                        a, b = root(int(i)), root(int(j))
+                        if a != b:
+                            top[max(a, b)] = min(a, b)
         name = {s: f"{df['v'].iloc[0]}|{df['j'].iloc[0]}|{len(s)}|{seqs[root(i)]}" for i, s in enumerate(seqs)}
         return pd.DataFrame({"contig": df["contig"], "clone": df["junction"].map(name)})
 

@@ -53,12 +53,12 @@ def _(spark, sf):
 
 @query("barcode_reads_top", f"with {READS} select cell, count(*) as n from reads where gene <> 'click' group by cell order by n desc, cell limit 12000")
 def _(spark, sf):
-    return reads(spark, sf).where("gene != 'click'").groupBy("cell").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cell").limit(12000)
+    return C.top_barcodes(reads(spark, sf), 12000, F.col("gene") == "click")
 
 
 @query("barcode_distinct", f"with {READS} select cell, count(distinct umi) as umis, count(*) as reads from reads where cell <> 'missing_barcode' group by cell")
 def _(spark, sf):
-    return reads(spark, sf).where("cell != 'missing_barcode'").groupBy("cell").agg(F.countDistinct("umi").alias("umis"), F.count("*").alias("reads")).orderBy(F.desc("reads"), "cell")
+    return C.barcode_distinct(reads(spark, sf))
 
 
 @query("distinct_genes", f"with {DET} select cell, count(distinct gene) as genes from cnt group by cell union all select 'all', count(distinct gene) from cnt")
@@ -104,18 +104,23 @@ def _(spark, sf):
     return cnt(spark, sf).select("cell", "gene", "reads", F.round(run / F.sum("reads").over(w), 9).alias("share"))
 
 
-@query("downsample_hash", f"""with {DET}, e as (select cell, gene, umi, unnest(range(1, num + 1)) as i from det),
-s as (select *, cast('0x' || substr(md5('s|' || cell || '|' || gene || '|' || umi || '|' || i), 1, 8) as bigint) % 10 + 1 as step from e),
-g as (select unnest(range(1, 11)) as step),
+def _downsample(seed: str, of: str = "det") -> str:
+    """SQL: reads in the order of their hashes, cut into ten equal parts."""
+    return f"""e as (select cell, gene, umi, unnest(range(1, num + 1)) as i from {of}), k as (select *, md5('{seed}|' || cell || '|' || gene || '|' || umi || '|' || i) as key from e),
+s as (select *, cast(floor((row_number() over (order by key) - 1) * 10 / (count(*) over ())) as bigint) + 1 as step from k),
+g as (select unnest(range(1, 11)) as step), c as (select g.step, cell, count(distinct gene) as genes from g join s on s.step <= g.step group by g.step, cell), m as (select step, cast(floor(median(genes)) as bigint) as median_genes from c group by step),
 n as (select g.step, (select count(*) from s where s.step <= g.step) as reads, (select count(distinct (cell, gene, umi)) from s where s.step <= g.step) as d from g)
-select step, reads, round(cast(reads - d as double) / reads * 100, 6) as saturation from n where step in (select step from s)""")
+select step, reads, round(cast(reads - d as double) / reads * 100, 6) as saturation, median_genes from n join m using (step) where step in (select step from s)"""
+
+
+@query("downsample_hash", f"with {DET}, {_downsample('s')}")
 def _(spark, sf):
     return C.downsample(det(spark, sf))
 
 
-@query("downsample_random")
+@query("downsample_cells", f"with {DET}, {CELLS}, called as (select * from det where cell in (select cell from cells)), {_downsample('other', 'called')}")
 def _(spark, sf):
-    return C.downsample(det(spark, sf), seed="other")
+    return C.downsample(det(spark, sf), seed="other", cells=cells(spark, sf))
 
 
 @query("norm_counts", f"with {DET} select cell, gene, round(ln(1 + 10000 * cast(umis as double) / cast(sum(umis) over (partition by cell) as double)), 9) as norm from cnt")
@@ -142,7 +147,9 @@ def _(spark, sf):
 
 @query("feature_index", f"with {DET} select gene, row_number() over (order by gene) as idx, 'Gene Expression' as kind from (select distinct gene from cnt)")
 def _(spark, sf):
-    return cnt(spark, sf).select("gene").distinct().select("gene", F.row_number().over(Window.orderBy("gene")).cast("long").alias("idx"), F.lit("Gene Expression").alias("kind"))
+    from ..sinks import indexed
+
+    return indexed(cnt(spark, sf), "gene", "idx").withColumn("kind", F.lit("Gene Expression"))
 
 
 RANK = DET + ", " + CELLS + ", ranked as (select sums.cell, umis, cells.cell is not null as is_cell, row_number() over (order by umis desc, cells.cell is not null desc, sums.cell) - 1 as idx from sums left join cells using (cell))"
@@ -153,15 +160,26 @@ def _(spark, sf):
     return C.barcode_rank(sums(spark, sf).select("cell", "umis"), cells(spark, sf))
 
 
-@query("rank_segments", f"""with {RANK}, a as (select min(idx) filter (is_cell) as c0, max(idx) filter (is_cell) as last from ranked),
+SEGMENTS = f"""with {RANK}, a as (select min(idx) filter (is_cell) as c0, max(idx) filter (is_cell) as last from ranked),
 b as (select coalesce(min(idx), max(a.last) + 1) as start from ranked, a where not is_cell and idx > c0),
 s as (select ranked.*, case when c0 is null then 'background' when idx < start then 'leading' when idx > last then 'background'
-  when idx - start < 10 then 'mixed0' when idx - start < 50 then 'mixed1' when idx - start < 210 then 'mixed2' when idx - start < 850 then 'mixed3' when idx - start < 3410 then 'mixed4' when idx - start < 13650 then 'mixed5' else 'mixed6' end as segment from ranked, a, b)
-select segment, min(idx) as first_rank, count(*) as barcodes, count(*) filter (is_cell) as cells from s group by segment""")
+  when idx - start < 10 then 'mixed0' when idx - start < 50 then 'mixed1' when idx - start < 210 then 'mixed2' when idx - start < 850 then 'mixed3' when idx - start < 3410 then 'mixed4' when idx - start < 13650 then 'mixed5' else 'mixed6' end as segment from ranked, a, b),
+g as (select segment, min(idx) as first_rank, count(*) as barcodes, count(*) filter (is_cell) as cells from s group by segment)"""
+
+
+@query("rank_segments", SEGMENTS + " select * from g")
 def _(spark, sf):
     return C.rank_segments(C.barcode_rank(sums(spark, sf).select("cell", "umis"), cells(spark, sf)), first=10)
 
 
+@query("rank_blocks", SEGMENTS + """ select first_rank as x, case when segment = 'background' then 'Background' else format('{:.0f}% Cells<br>{}/{}', cast(cells as double) / barcodes * 100, cells, barcodes) end as text,
+case when segment = 'background' then 'rgba(221, 221, 221, 1.0)' else format('rgba(80, 80, 201, {:.2f})', case when segment = 'leading' then 1.0 else greatest(0.1, cast(cells as double) / barcodes) end) end as color, barcodes, cells from g""")
+def _(spark, sf):
+    from ..operators.reports import rank_blocks
+
+    return rank_blocks(C.barcode_rank(sums(spark, sf).select("cell", "umis"), cells(spark, sf)), first=10)
+
+
 @query("order_id", f"with {DET} select cell, umis, cast(row_number() over (order by umis desc, cell) as integer) as order_id from sums")
 def _(spark, sf):
     return ranked(sums(spark, sf).select("cell", "umis"), "umis", ["cell"], "order_id")
@@ -186,9 +204,7 @@ def _(spark, sf):
 
 @query("quantile_steps", f"with {READS}, q as (select gene, unnest(range(0, 21)) as i from (select distinct gene from reads)) select q.gene, cast(i * 5 as integer) as pct, (select round(quantile_cont(value, i / 20.0), 6) from reads r where r.gene = q.gene) as value from q".replace("(select round(quantile_cont(value, i / 20.0), 6) from reads r where r.gene = q.gene)", "round(v[i + 1], 6)").replace("from q", "from (select gene, unnest(range(0, 21)) as i, v from (select gene, quantile_cont(value, [0, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95, 1]) as v from reads group by gene)) q"))
 def _(spark, sf):
-    steps = F.array(*[F.lit(i / 20) for i in range(21)])
-    d = reads(spark, sf).groupBy("gene").agg(F.percentile("value", steps).alias("v"))
-    return d.select("gene", F.posexplode("v").alias("i", "value")).select("gene", (F.col("i") * 5).alias("pct"), F.round("value", 6).alias("value"))
+    return C.quantile_steps(reads(spark, sf), "gene", "value")
 
 
 BH = f"with {DET}, p as (select cell, cast(umis % 97 + 1 as double) / 1000 as p from sums), r as (select *, count(*) over () as n, count(*) over (order by p) as rank from p)"

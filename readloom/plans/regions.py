@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators import intervals as I
+from ..operators import methyl as M
 from .base import ALN, alignments, query, t
 
 IV = "iv as (select o_orderkey as gene, case cast(o_orderkey % 3 as integer) when 0 then 'chrA' when 1 then 'chrN' else 'chrR' end as chrom, cast(date_diff('day', date '1992-01-01', cast(o_orderdate as date)) as bigint) as start, cast(date_diff('day', date '1992-01-01', cast(o_orderdate as date)) as bigint) + o_orderkey % 4 as \"end\" from orders)"
@@ -34,9 +35,9 @@ def _(spark, sf):
     return I.overlap(a, b, 8, 0.5).groupBy("chrom", "a_start").agg(F.count("*").alias("hits"), F.sum("shared").alias("bases"))
 
 
-@query("split_point_test", f"""with {IV}, p as (select chrom, unnest(range(0, 2400, 5)) as pos from (select distinct chrom from iv)) select chrom, pos from p where not exists (select 1 from iv where iv.chrom = p.chrom and pos >= start and pos < greatest("end", start + 1))""")
+@query("split_point_test", f"""with {IV}, p as (select chrom, unnest(range(0, last + 1)) as pos from (select chrom, max("end") as last from iv group by chrom)) select chrom, pos from p where not exists (select 1 from iv where iv.chrom = p.chrom and pos >= start and pos < greatest("end", start + 1))""")
 def _(spark, sf):
-    p = iv(spark, sf).select("chrom").distinct().select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2399).cast("long"), F.lit(5).cast("long"))).alias("pos"))
+    p = iv(spark, sf).groupBy("chrom").agg(F.max("end").alias("last")).select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("pos"))
     return I.split_points(p, iv(spark, sf), 8)
 
 
@@ -64,16 +65,12 @@ def _(spark, sf):
 
 @query("tail_share", f"with {ALN}, d as (select ref, pos, count(*) as depth from aln group by all), m as (select ref, avg(depth) as mean from d group by ref) select ref, round(avg(case when depth > 0.2 * mean then 1.0 else 0.0 end), 9) as share from d join m using (ref) group by ref")
 def _(spark, sf):
-    d = alignments(spark, sf).groupBy("ref", "pos").agg(F.count("*").alias("depth"))
-    d = d.withColumn("mean", F.avg("depth").over(Window.partitionBy("ref")))
-    return d.groupBy("ref").agg(F.round(F.avg((F.col("depth") > 0.2 * F.col("mean")).cast("double")), 9).alias("share"))
+    return I.tail_share(alignments(spark, sf).groupBy("ref", "pos").agg(F.count("*").alias("depth")))
 
 
 @query("middle_share", f"with {ALN}, p as (select cast(pos % 100 as integer) as i, cast(sum(cov) as double) as v from aln group by 1) select i, round(v / sum(v) over (), 9) as curve, round(sum(case when i between 24 and 75 then v else 0 end) over () / sum(v) over (), 9) as middle from p")
 def _(spark, sf):
-    p = alignments(spark, sf).groupBy((F.col("pos") % 100).cast("int").alias("i")).agg(F.sum("cov").cast("double").alias("v"))
-    w = Window.partitionBy()
-    return p.select("i", F.round(F.col("v") / F.sum("v").over(w), 9).alias("curve"), F.round(F.sum(F.when(F.col("i").between(24, 75), F.col("v")).otherwise(0.0)).over(w) / F.sum("v").over(w), 9).alias("middle"))
+    return I.middle_share(alignments(spark, sf).groupBy((F.col("pos") % 100).cast("int").alias("i")).agg(F.sum("cov").cast("double").alias("v")))
 
 
 ALLC = ALN + ", allc as (select supp as cell, ref as chrom, pos + 1 as pos, strand, case cast(part % 3 as integer) when 0 then 'CGN' when 1 then 'CHG' else 'CHH' end as context, mc, cov from aln)"
@@ -87,65 +84,69 @@ def allc(spark, sf):
 
 @query("allc_pileup", f"with {ALLC} select cell, chrom, pos, strand, context, cast(sum(mc) as bigint) as mc, cast(sum(cov) as bigint) as cov from allc group by cell, chrom, pos, strand, context")
 def _(spark, sf):
-    return allc(spark, sf).groupBy("cell", "chrom", "pos", "strand", "context").agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
+    return M.pileup(allc(spark, sf))
 
 
 @query("bin_matrix", f"with {ALLC} select cell, chrom, cast(floor((pos - 1) / 100) as bigint) as bin, cast(sum(mc) as bigint) as mc, cast(sum(cov) as bigint) as cov from allc where context like 'CG%' group by all")
 def _(spark, sf):
-    return allc(spark, sf).where("context like 'CG%'").groupBy("cell", "chrom", F.floor((F.col("pos") - 1) / 100).alias("bin")).agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
+    return M.bins(allc(spark, sf), 100)
 
 
 @query("cpg_count", f"with {ALLC} select cell, count(*) filter (context like 'CG%') as cpg, count(*) as lines from allc group by cell")
 def _(spark, sf):
-    return allc(spark, sf).groupBy("cell").agg(F.count_if(F.col("context").startswith("CG")).alias("cpg"), F.count("*").alias("lines"))
+    return M.cpg_counts(allc(spark, sf))
 
 
 @query("bed_rows", f"with {ALLC} select distinct chrom, pos - 1 as start, pos as \"end\" from allc where context like 'CG%'")
 def _(spark, sf):
-    return allc(spark, sf).where("context like 'CG%'").select("chrom", (F.col("pos") - 1).alias("start"), F.col("pos").alias("end")).distinct()
+    return M.cpg_bed(allc(spark, sf))
 
 
-@query("hypo_score")
+@query("hypo_score", f"""with {ALLC}, b as (select cell, chrom, cast(floor((pos - 1) / 100) as bigint) as bin, cast(sum(mc) as bigint) as mc, cast(sum(cov) as bigint) as cov from allc where context like 'CG%' group by all),
+r as (select *, cast(sum(mc) over (partition by cell) as double) / cast(sum(cov) over (partition by cell) as double) as rate from b),
+u as (select distinct rate, cov from r), pm as (select rate, cov, k, exp(lgamma(cov + 1) - lgamma(k + 1) - lgamma(cov - k + 1) + k * ln(greatest(rate, 1e-300)) + (cov - k) * ln(greatest(1 - rate, 1e-300))) as m from (select *, unnest(range(0, cov + 1)) as k from u)),
+tails as (select rate, cov, k, coalesce(sum(m) over (partition by rate, cov order by k desc rows between unbounded preceding and 1 preceding), 0) as above from pm)
+select cell, chrom, bin, mc, r.cov, round(case when above >= 0.9 then above else 0 end, 6) as score from r join tails t on t.rate = r.rate and t.cov = r.cov and t.k = least(mc, r.cov)""")
 def _(spark, sf):
-    from ..operators.methyl import hypo_score
+    return M.hypo_score(M.bins(allc(spark, sf), 100), ["cell"]).withColumn("score", F.round("score", 6))
 
-    d = allc(spark, sf).groupBy("cell", F.floor((F.col("pos") - 1) / 100).alias("bin")).agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
-    return hypo_score(d, ["cell"])
+
+@query("covered_features", f"""with {ALLC}, b as (select cell, chrom, cast(floor((pos - 1) / 100) as bigint) as bin, cast(sum(mc) as bigint) as mc, cast(sum(cov) as bigint) as cov from allc where context like 'CG%' group by all), n as (select count(distinct cell) as n from allc),
+g as (select chrom, bin from b, n group by chrom, bin, n having cast(sum(cov) as double) / n > 100) select b.* from b join g using (chrom, bin)""")
+def _(spark, sf):
+    a = allc(spark, sf)
+    return M.covered_features(M.bins(a, 100), a.select("cell").distinct(), 100)
 
 
 @query("mean_per_gene", f"with {ALLC} select chrom, round(avg(cast(mc as double) / cov), 9) as mean_mc from allc group by chrom")
 def _(spark, sf):
-    return allc(spark, sf).groupBy("chrom").agg(F.round(F.avg(F.col("mc") / F.col("cov")), 9).alias("mean_mc"))
+    return M.mean_rate(allc(spark, sf), "chrom")
 
 
-@query("methyl_counts", f"with {ALN}, f as (select *, row_number() over (partition by qname order by nth) as r from aln), k as (select supp as cell, case when part % 4 = 0 then 'no_feature' else strand end as gene, ref || '_' || cast(floor((pos + 1) / 100) as bigint) as umi from f where r = 1) select cell, gene, count(distinct umi) as umis, count(*) as reads from k group by all")
+@query("methyl_counts", f"with {ALN}, f as (select *, row_number() over (partition by qname order by nth, part, supp, pos) as r from aln), k as (select supp as cell, case when part % 4 = 0 then null when part % 4 = 1 then strand || ',x' else strand end as g, ref || '_' || cast(floor((pos + 1) / 100) as bigint) as umi from f where r = 1) select cell, coalesce(g, umi) as gene, count(distinct umi) as umis, count(*) as reads from k where g is null or g not like '%,%' group by all")
 def _(spark, sf):
-    from ..operators.methyl import position_key
-
-    w = Window.partitionBy("qname").orderBy("nth")
-    f = alignments(spark, sf).withColumn("r", F.row_number().over(w)).where("r = 1")
-    k = f.select(F.col("supp").alias("cell"), F.when(F.col("part") % 4 == 0, "no_feature").otherwise(F.col("strand")).alias("gene"), position_key("ref", "pos").alias("umi"))
-    return k.groupBy("cell", "gene", "umi").agg(F.count("*").alias("num")).groupBy("cell", "gene").agg(F.count("*").alias("umis"), F.sum("num").alias("reads"))
+    gene = F.when(F.col("part") % 4 == 0, None).when(F.col("part") % 4 == 1, F.concat("strand", F.lit(",x"))).otherwise(F.col("strand"))
+    return M.position_counts(alignments(spark, sf).withColumn("cell", F.col("supp")).withColumn("gene", gene), ["nth", "part", "supp", "pos"])
 
 
 @query("pos_bin_key", f"with {ALN} select qname, nth, ref || '_' || cast(floor((pos + 1) / 100) as bigint) as key from aln")
 def _(spark, sf):
-    from ..operators.methyl import position_key
-
-    return alignments(spark, sf).select("qname", "nth", position_key("ref", "pos").alias("key"))
+    return alignments(spark, sf).select("qname", "nth", M.position_key("ref", "pos").alias("key"))
 
 
 @query("dedup_positions", f"with {ALN}, r as (select *, row_number() over (partition by supp, ref, pos, strand order by qname, nth) as r from aln) select supp as cell, ref, pos, strand, qname from r where r = 1")
 def _(spark, sf):
-    w = Window.partitionBy("supp", "ref", "pos", "strand").orderBy("qname", "nth")
-    return alignments(spark, sf).withColumn("r", F.row_number().over(w)).where("r = 1").select(F.col("supp").alias("cell"), "ref", "pos", "strand", "qname")
+    return I.deduplicated(alignments(spark, sf), ["supp", "ref", "pos", "strand"], ["qname", "nth"]).select(F.col("supp").alias("cell"), "ref", "pos", "strand", "qname")
 
 
-@query("region_shares", f"with {ALN} select round(cast(count(*) filter (strand = 'F') as double) / count(*), 9) as exonic, round(cast(count(*) filter (strand <> 'F' and ref = 'chrR') as double) / count(*), 9) as intronic, round(cast(count(*) filter (strand <> 'F' and ref <> 'chrR') as double) / count(*), 9) as intergenic from aln")
+@query("region_shares", f"""with {IV}, {ALN}, f as (select chrom, start, greatest("end", start + 1) as "end", case when gene % 5 = 0 then 'exon' when gene % 5 = 1 then 'intron' else 'gene' end as feature from iv where gene % 2 = 0),
+p as (select distinct ref, pos from aln), h as (select ref, pos, min(case feature when 'exon' then 0 when 'intron' then 1 else 2 end) as r from p join f on f.chrom = ref and pos >= start and pos < "end" group by all),
+k as (select coalesce(r, 2) as r from aln left join h using (ref, pos)) select round(cast(count(*) filter (r = 0) as double) / count(*), 9) as exon, round(cast(count(*) filter (r = 1) as double) / count(*), 9) as intron, round(cast(count(*) filter (r = 2) as double) / count(*), 9) as intergenic from k""")
 def _(spark, sf):
-    kind = F.when(F.col("strand") == "F", "exonic").when(F.col("ref") == "chrR", "intronic").otherwise("intergenic")
-    d = alignments(spark, sf).withColumn("kind", kind)
-    return d.agg(*[F.round(F.count_if(F.col("kind") == k) / F.count("*"), 9).alias(k) for k in ("exonic", "intronic", "intergenic")])
+    g = F.col("gene") % 5
+    f = iv(spark, sf).where("gene % 2 = 0").withColumn("feature", F.when(g == 0, "exon").when(g == 1, "intron").otherwise("gene"))
+    d = I.region_kinds(alignments(spark, sf).withColumnRenamed("ref", "chrom"), f, 8)
+    return I.kind_shares(d, ["exon", "intron", "intergenic"])
 
 
 @query("coord_sort_rank", f"with {ALN} select qname, nth, row_number() over (partition by ref order by pos, qname, nth) as rank from aln")
@@ -178,19 +179,24 @@ def _(spark, sf):
     return knn(e.where("vec_id % 100 = 0"), e, "vec_id", "embedding", 10)
 
 
-@query("split_plan")
+LONG = {"chrA": 3000, "chrN": 1700, "chrR": 700}
+SPARSE = IV + ", few as (select * from iv where gene % 97 = 0)"
+
+
+@query("split_plan", f"""with recursive {SPARSE}, lens(chrom, length) as (values ('chrA', 3000), ('chrN', 1700), ('chrR', 700)),
+c(chrom, length, pos) as (select chrom, length, 0 from lens where length > 800 union all
+  select chrom, length, (select max(x) from (select unnest(range(c.pos, c.pos + 801, 1)) as x) where (c.pos + 800 - x) % 5 = 0 and not exists (select 1 from few where few.chrom = c.chrom and x >= start and x < greatest("end", start + 1))) from c where length - pos > 800)
+select chrom, pos from c where pos > 0""")
 def _(spark, sf):
-    w = Window.partitionBy("chrom", "part").orderBy("off", "pos")
-    p = QUERY_POINTS(spark, sf).withColumn("part", F.floor(F.col("pos") / 800)).withColumn("off", F.abs(F.col("pos") - F.col("part") * 800))
-    return p.withColumn("r", F.row_number().over(w)).where("r = 1 and part > 0").select("chrom", "part", "pos")
+    lengths = spark.createDataFrame(list(LONG.items()), "chrom string, length long")
+    return I.split_plan(lengths, iv(spark, sf).where("gene % 97 = 0"), 800, 5)
 
 
-def QUERY_POINTS(spark, sf):
-    p = iv(spark, sf).groupBy("chrom").agg(F.max("end").alias("last")).select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("pos"))
-    return I.split_points(p, iv(spark, sf), 8)
+CUTS = [("chrA", 900), ("chrA", 1700), ("chrN", 1200)]
 
 
-@query("split_shift", f"with {ALN} select qname, nth, case when pos >= 1200 then ref || '_s2' else ref || '_s1' end as ref, case when pos >= 1200 then pos - 1200 else pos end as pos from aln")
+@query("split_shift", f"""with {ALN}, cuts(chrom, cut) as (values ('chrA', 900), ('chrA', 1700), ('chrN', 1200)), n as (select qname, nth, ref, pos, len, count(cut) filter (cut <= pos + len) as k, max(cut) filter (cut <= pos + len) as shift, count(cut) as all_ from aln left join cuts on ref = chrom group by qname, nth, ref, pos, len)
+select qname, nth, case when all_ > 0 then ref || '_s' || k else ref end as chrom, pos - coalesce(shift, 0) as start, pos + len - coalesce(shift, 0) as "end" from n""")
 def _(spark, sf):
-    late = F.col("pos") >= 1200
-    return alignments(spark, sf).select("qname", "nth", F.concat("ref", F.when(late, "_s2").otherwise("_s1")).alias("ref"), F.when(late, F.col("pos") - 1200).otherwise(F.col("pos")).alias("pos"))
+    d = alignments(spark, sf).select("qname", "nth", F.col("ref").alias("chrom"), F.col("pos").alias("start"), (F.col("pos") + F.col("len")).alias("end"))
+    return I.split_shift(d, spark.createDataFrame(CUTS, "chrom string, pos long"))

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators import clones as V
+from ..operators import intervals as I
 from ..operators import markers as K
+from ..operators import reports as P
+from ..operators.ranking import ordinals
 from ..sources import annotation as G
 from ..sources.text import ascii_only
 from .base import READS, query, reads, t
@@ -36,7 +40,7 @@ def _(spark, sf):
 
 @query("gtf_feature_stat", f"with {GTF} select feature, chrom, count(*) as n from g group by all order by n")
 def _(spark, sf):
-    return gtf(spark, sf).groupBy("feature", "chrom").agg(F.count("*").alias("n")).orderBy("n")
+    return G.feature_stats(gtf(spark, sf))
 
 
 @query("gtf_group", f"with {GTF} select line, chrom, cast(sum(cast(feature = 'gene' as integer)) over (partition by chrom order by line rows between unbounded preceding and current row) as bigint) as block from g")
@@ -65,25 +69,23 @@ def _(spark, sf):
 
 @query("gene_id_clean", f"with {GTF} select line, 'gene_id ' || gene_id || '; gene_name \"' || name || '\"; gene_type \"' || regexp_extract(attributes, 'gene_type \"([^\"]*)\"', 1) || '\";' as attributes from g")
 def _(spark, sf):
-    return gtf(spark, sf).select("line", F.regexp_replace("attributes", 'gene_id "([^"]*)"', "gene_id $1").alias("attributes"))
+    return gtf(spark, sf).select("line", G.unquoted_ids().alias("attributes"))
 
 
 @query("feature_fallback", f"with {GTF} select case when count(*) filter (feature = 'transcript') > 0 then 'transcript' else 'gene' end as feature, count(*) filter (feature = 'exon') > 0 as has_exon from g")
 def _(spark, sf):
-    has = lambda f: F.coalesce(F.max((F.col("feature") == f).cast("int")), F.lit(0)) > 0
-    return gtf(spark, sf).agg(F.when(has("transcript"), "transcript").otherwise("gene").alias("feature"), has("exon").alias("has_exon"))
+    return G.counted_feature(gtf(spark, sf))
 
 
 @query("biotype_blocks", f"with {BLOCK}, k as (select chrom, block from b where feature = 'gene' and attributes like '%protein_coding%') select line, b.chrom, cast(b.block as bigint) as block from b join k using (chrom, block)")
 def _(spark, sf):
-    b = G.gene_blocks(gtf(spark, sf))
-    keep = F.max(((F.col("feature") == "gene") & (G.attribute("gene_type") == "protein_coding")).cast("int")).over(Window.partitionBy("chrom", "block"))
-    return b.withColumn("keep", keep).where("keep = 1").select("line", "chrom", "block")
+    return G.blocks_of_biotypes(G.gene_blocks(gtf(spark, sf)), ["protein_coding"]).select("line", "chrom", "block")
 
 
 @query("long_sequences", "select doc_id, length(text) as length from documents where length(text) > 5000")
 def _(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", F.length("text").cast("long").alias("length")).where("length > 5000")
+    d = t(spark, sf, "documents").select(F.col("doc_id").alias("name"), F.col("text").alias("seq"))
+    return I.long_sequences(d, 5000).withColumnRenamed("name", "doc_id")
 
 
 @query("fasta_lengths", "with r as (select doc_id, string_split(text, chr(10)) as lines from documents) select doc_id, cast(len(lines) as integer) as lines, cast(list_sum(list_transform(lines, lambda x: length(x))) as bigint) as length from r")
@@ -148,9 +150,8 @@ def _(spark, sf):
 
 @query("flags", f"with {DET}, {CELLS}, o as (select distinct cast(o_custkey as varchar) as cell from orders) select cells.cell, o.cell is not null as tcr, s.cell is not null as bcr from cells left join o using (cell) left join (select distinct cell from cnt) s using (cell)")
 def _(spark, sf):
-    o = t(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("cell")).distinct().withColumn("a", F.lit(1))
-    s = cnt(spark, sf).select("cell").distinct().withColumn("b", F.lit(1))
-    return cells(spark, sf).join(o, "cell", "left").join(s, "cell", "left").select("cell", F.col("a").isNotNull().alias("tcr"), F.col("b").isNotNull().alias("bcr"))
+    o = t(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("cell"))
+    return V.flags(cells(spark, sf), tcr=o, bcr=cnt(spark, sf))
 
 
 @query("sets_union", "select c_nationkey as k from customer union all select s_nationkey from supplier")
@@ -188,7 +189,7 @@ def _(spark, sf):
 def _(spark, sf):
     name = F.concat(F.lit("clonotype"), F.col("c_custkey").cast("string"))
     d = t(spark, sf, "customer").select("c_custkey", F.regexp_extract(name, r"(\d+)$", 1).cast("long").alias("suffix"))
-    return d.withColumn("rank", F.row_number().over(Window.orderBy("suffix")))
+    return ordinals(d, "suffix", "rank", "int")
 
 
 @query("drop_empty", "select l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where l_discount > 0")
@@ -292,8 +293,7 @@ def _(spark, sf):
 
 @query("marker_map", "with m as (select p_type, trim(unnest(string_split(p_name || ',' || p_brand, ','))) as gene from part) select gene, array_to_string(list_sort(list(distinct p_type)), ';') as types from m group by gene")
 def _(spark, sf):
-    m = t(spark, sf, "part").select("p_type", F.explode(F.split(F.concat_ws(",", "p_name", "p_brand"), ",")).alias("g")).select("p_type", F.trim("g").alias("gene"))
-    return m.groupBy("gene").agg(F.array_join(F.sort_array(F.collect_set("p_type")), ";").alias("types"))
+    return P.marker_map(t(spark, sf, "part"), "p_type", ["p_name", "p_brand"])
 
 
 @query("head10", "select l_returnflag, l_orderkey, l_linenumber, l_extendedprice from lineitem order by l_returnflag, l_extendedprice desc, l_orderkey, l_linenumber limit 10")
@@ -309,16 +309,16 @@ RT = "select round(cast(count(*) filter (o_orderstatus = 'F') + count(*) filter
 
 @query("mapping_rates", RT)
 def _(spark, sf):
-    n = F.count("*")
-    return t(spark, sf, "orders").agg(F.round((F.count_if(F.col("o_orderstatus") == "F") + F.count_if(F.col("o_orderstatus") == "O")) / n, 9).alias("mapped"), F.round(F.count_if(F.col("o_orderpriority") < "3") / n, 9).alias("confident"), F.floor(n / 2).alias("pairs"))
+    s = F.col("o_orderstatus")
+    return P.mapping_rates(t(spark, sf, "orders"), s == "F", s == "O", F.col("o_orderpriority") < "3")
 
 
-BIO = "case when p_type like '%SMALL%' then 'rRNA' when p_type like '%STANDARD%' then 'protein_coding' when p_type like '%PROMO%' then 'lncRNA' when p_type like '%LARGE%' then 'Mt_rRNA' else 'others' end"
+KINDS = ["protein_coding", "lincRNA", "antisense", "rRNA", "Mt_rRNA", "snoRNA", "rRNA_pseudogene"]
+BIO = "case ['protein_coding', 'lincRNA', 'antisense', 'rRNA', 'Mt_rRNA', 'snoRNA', 'rRNA_pseudogene'][p_partkey % 7 + 1] when 'protein_coding' then 'protein_coding' when 'lincRNA' then 'lncRNA' when 'antisense' then 'lncRNA' when 'rRNA' then 'rRNA' when 'Mt_rRNA' then 'Mt_rRNA' else 'others' end"
 
 
 def biotype():
-    c = F.col("p_type")
-    return F.when(c.contains("SMALL"), "rRNA").when(c.contains("STANDARD"), "protein_coding").when(c.contains("PROMO"), "lncRNA").when(c.contains("LARGE"), "Mt_rRNA").otherwise("others")
+    return P.biotype_class(F.element_at(F.array(*[F.lit(k) for k in KINDS]), (F.col("p_partkey") % 7 + 1).cast("int")))
 
 
 @query("biotype_class", f"select p_partkey, {BIO} as class from part")
@@ -328,26 +328,22 @@ def _(spark, sf):
 
 @query("biotype_share", f"with b as (select {BIO} as class, sum(p_size) as n from part group by 1) select class, cast(n as bigint) as n, round(cast(n as double) / cast(sum(n) over () as double), 9) as share from b")
 def _(spark, sf):
-    b = t(spark, sf, "part").groupBy(biotype().alias("class")).agg(F.sum("p_size").alias("n"))
-    return b.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 9))
+    return P.shares(t(spark, sf, "part"), biotype(), "p_size")
 
 
-@query("format_row", "select o_orderkey, format('{:.2f}%', cast(o_orderkey % 1000 as double) / 10) as pct, format('{:,}', o_orderkey) as num from orders")
+@query("format_row", "select o_orderkey, format('{:.2f}%', cast(o_orderkey % 1000 as double) / 1000 * 100) as pct, format('{:,}', o_orderkey) as num from orders")
 def _(spark, sf):
-    return t(spark, sf, "orders").select("o_orderkey", F.format_string("%.2f%%", (F.col("o_orderkey") % 1000) / 10).alias("pct"), F.format_number("o_orderkey", 0).alias("num"))
+    return t(spark, sf, "orders").select("o_orderkey", P.percent((F.col("o_orderkey") % 1000) / 1000).alias("pct"), P.comma(F.col("o_orderkey")).alias("num"))
 
 
 @query("shade_bucket", "select c_custkey, cast(case when c_custkey % 101 = 100 then 10 when c_custkey % 101 = 0 then -1 else floor((c_custkey % 101) / 10) end as bigint) as shade from customer")
 def _(spark, sf):
-    p = F.col("c_custkey") % 101
-    return t(spark, sf, "customer").select("c_custkey", F.when(p == 100, 10).when(p == 0, -1).otherwise(F.floor(p / 10)).cast("long").alias("shade"))
+    return t(spark, sf, "customer").select("c_custkey", P.shade_percent(F.col("c_custkey") % 101).alias("shade"))
 
 
 @query("joint_summary", f"with {DET}, a as (select count(distinct cell) as cells, cast(sum(reads) as bigint) as reads, cast(sum(umis) as bigint) as umis from cnt), b as (select count(*) as lines, round(avg(l_discount), 9) as rate from lineitem) select * from a, b")
 def _(spark, sf):
-    a = cnt(spark, sf).agg(F.countDistinct("cell").alias("cells"), F.sum("reads").alias("reads"), F.sum("umis").alias("umis")).withColumn("k", F.lit(1))
-    b = t(spark, sf, "lineitem").agg(F.count("*").alias("lines"), F.round(F.avg("l_discount"), 9).alias("rate")).withColumn("k", F.lit(1))
-    return a.join(b, "k").drop("k")
+    return P.joint_summary(cnt(spark, sf), t(spark, sf, "lineitem"), "l_discount")
 
 
 # scalar functions
@@ -370,18 +366,59 @@ def _(spark, sf):
     return reads(spark, sf).groupBy("gene").agg(F.floor(n / 7).alias("q"), F.round(F.log2(n), 9).alias("l"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.median("value"), 6).alias("med"), F.round(F.stddev_samp("value"), 6).alias("sd"), F.round(F.sum("value"), 4).alias("total"), F.greatest(F.lit(15).cast("long"), F.floor(2 * F.log2(n))).alias("k"))
 
 
-@query("empty_clones", "select 'x' as clonotype_id, 1 as frequency where false")
+@query("empty_clones", "select cast(null as varchar) as cell_id, c_mktsegment as clone_id, cast(null as integer) as clone_id_by_size, cast(null as varchar) as locus_VDJ, cast(null as varchar) as locus_VJ, cast(null as varchar) as productive_VDJ, cast(null as varchar) as productive_VJ, cast(null as varchar) as junction_VDJ, cast(null as varchar) as junction_VJ, cast(null as varchar) as junction_aa_VDJ, cast(null as varchar) as junction_aa_VJ from customer group by c_mktsegment having count(*) > 1")
 def _(spark, sf):
-    return spark.createDataFrame([], "clonotype_id string, frequency int")
+    from ..sinks import CLONE_COLUMNS, with_header
+
+    found = t(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("clone_id")).count().where("count > 1")
+    return with_header(found, CLONE_COLUMNS)
 
 
-@query("json_payload")
+@query("json_payload", f"""with {MK}, g as (select cluster, count(*) as genes from mk group by cluster) select '{{"cards":[' || string_agg('{{"cluster":"' || cluster || '","genes":' || genes || '}}', ',' order by cluster) || ']}}' as payload from g""")
 def _(spark, sf):
     from ..sinks import json_section
 
     return json_section(marks(spark, sf).groupBy("cluster").agg(F.count("*").alias("genes")), "cards")
 
 
+PAGE = """with o as (select o_orderpriority as label, count(*) as n from orders group by 1),
+c as (select '"summary":{{"id":0,"name":"Card","title":"Sequencing","data":{{"Number of Reads":"' || format('{:,}', count(*)) || '","Fulfilled":"' || format('{:.2f}%', cast(count(*) filter (o_orderstatus = 'F') as double) / count(*) * 100) || '"}},"description":{{"Number of Reads":"all","Fulfilled":""}}}}' as x from orders),
+p as (select '"biotypes":{{"id":1,"name":"PlotlyPie","title":"Pie","data":{{"values":[' || string_agg(n, ',' order by label) || '],"labels":[' || string_agg('"' || label || '"', ',' order by label) || ']}},"description":"parts"}}' as x from o),
+b as (select '"top":[' || string_agg('{{"label":"' || label || '","n":' || n || '}}', ',' order by n desc, label) || ']' as x from (select * from o order by n desc, label limit 3))
+select '{{' || p.x || ',' || c.x || ',' || b.x || '}}' as payload from c, p, b""".replace("{{", "{").replace("}}", "}")
+
+
+@query("report_payload", PAGE)
+def _(spark, sf):
+    o = t(spark, sf, "orders")
+    parts = o.groupBy(F.col("o_orderpriority").alias("label")).agg(F.count("*").alias("n"))
+    fields = {"Number of Reads": P.comma(F.count("*")), "Fulfilled": P.percent(F.count_if(F.col("o_orderstatus") == "F") / F.count("*"))}
+    card = o.agg(P.card("Sequencing", fields, 0, texts={"Number of Reads": "all"}).alias("item"))
+    return P.payload(summary=card, biotypes=P.pie(parts, "Pie", "label", "n", 1, "parts"), top=P.top_table(parts, ["label", "n"], [F.desc("n"), "label"], 3))
+
+
+@query("sparse_columns", f"""with {DET}, g as (select gene, row_number() over (order by gene) - 1 as i from (select distinct gene from cnt)), b as (select cell, row_number() over (order by cell) - 1 as j from (select distinct cell from cnt)),
+m as (select j, count(*) as n, string_agg(i, ',' order by i) as index, string_agg(umis, ',' order by i) as vals from cnt join g using (gene) join b using (cell) group by j)
+select j as cell_idx, cast(coalesce(sum(n) over (order by j rows between unbounded preceding and 1 preceding), 0) as bigint) as ptr, index, vals as values from m""")
+def _(spark, sf):
+    from ..sinks import sparse_columns
+
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return sparse_columns(cnt(spark, sf), "gene", "cell", "umis").select("cell_idx", "ptr", text("index"), text("values"))
+
+
+@query("metrics_table", """with a as (select count(*) as n, count(*) filter (o_orderstatus = 'F') as f, format('{:,}', count(*)) as text from orders) select 'n,"done, in all",text' as line from a union all select n || ',' || f || ',' || case when contains(text, ',') then '"' || text || '"' else text end from a""")
+def _(spark, sf):
+    from ..sinks import metrics_table
+
+    return metrics_table(t(spark, sf, "orders").agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("done, in all"), F.format_number(F.count("*"), 0).alias("text")))
+
+
+@query("image_uri", "select s_suppkey, 'data:image/png;base64, ' || base64(encode(s_name)) as uri from supplier")
+def _(spark, sf):
+    return t(spark, sf, "supplier").select("s_suppkey", P.image(F.col("s_name").cast("binary")).alias("uri"))
+
+
 @query("metrics_line", "with a as (select count(*) as n, format('{:,}', count(*)) as text from orders) select n || ',' || case when contains(text, ',') then '\"' || text || '\"' else text end as line from a")
 def _(spark, sf):
     from ..sinks import metrics_row
