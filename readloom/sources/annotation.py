@@ -77,6 +77,35 @@ def bed12(rows: DataFrame) -> DataFrame:
     return d.select("chrom", "start", "end", F.col("tx"), "strand", F.coalesce(F.col("cs") - 1, "end").alias("thick_start"), F.coalesce("ce", "end").alias("thick_end"), F.size("ex").alias("blocks"), text(lambda e: e["end"] - e["start"] + 1).alias("sizes"), text(lambda e: e["start"] - 1 - F.col("start")).alias("starts"))
 
 
+def unquoted_ids(col: str = "attributes") -> Column:
+    """The attributes with the quotes around gene_id removed."""
+    return F.regexp_replace(col, 'gene_id "([^"]*)"', "gene_id $1")
+
+
+def with_gene_ids(gtf: DataFrame, other: str = "gene") -> DataFrame:
+    """Attributes without a gene_id get one in front, from another attribute if they have that."""
+    mine, spare = attribute("gene_id"), attribute(other)
+    return gtf.withColumn("attributes", F.when(mine.isNull() & spare.isNotNull(), F.concat(F.lit('gene_id "'), spare, F.lit('"; '), "attributes")).otherwise(F.col("attributes")))
+
+
+def counted_feature(gtf: DataFrame, wanted: str = "transcript", fallback: str = "gene") -> DataFrame:
+    """One row: the feature that reads are counted on, the fallback if the wanted one is absent, and whether there are exons at all."""
+    has = lambda f: F.coalesce(F.max((F.col("feature") == f).cast("int")), F.lit(0)) > 0
+    return gtf.agg(F.when(has(wanted), wanted).otherwise(fallback).alias("feature"), has("exon").alias("has_exon"))
+
+
+def feature_stats(gtf: DataFrame, by: list[str] = ("feature", "chrom")) -> DataFrame:
+    """(by, n): rows of each kind, fewest first."""
+    return gtf.groupBy(*by).agg(F.count("*").alias("n")).orderBy("n")
+
+
+def blocks_of_biotypes(blocks: DataFrame, biotypes_: list[str], keys: list[str] = ("chrom", "block")) -> DataFrame:
+    """The rows of blocks (see gene_blocks) whose gene row has one of the biotypes."""
+    b = F.coalesce(attribute("gene_type"), attribute("gene_biotype"))
+    good = blocks.where((F.col("feature") == "gene") & b.isin(*biotypes_)).select(*keys).distinct()
+    return blocks.join(good, list(keys), "left_semi")
+
+
 def problems(gtf: DataFrame) -> DataFrame:
     """(gene_id, problem): ids of several gene rows, and gene rows without one."""
     g = gtf.where("feature = 'gene'").select(attribute("gene_id").alias("gene_id"))

@@ -1,38 +1,50 @@
-"""File sources: FASTQ pairs, SAM and BAM records, FASTA, 10x folders, tables, logs, settings."""
+"""File sources: FASTQ pairs, SAM records, FASTA, 10x folders, cell stores, tables, logs, settings. BAM is in bam.py."""
 
 from __future__ import annotations
 
-import gzip
-import struct
+import io
 from collections.abc import Iterator
+from itertools import islice, zip_longest
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..shipping import ship
+from .bam import read_bam  # noqa: F401
+from .paths import open_input
 from .text import ascii_only
 
 PAIR = "name string, r1_seq string, r1_qual string, r2_seq string, r2_qual string, ordinal bigint, file int"
+RECORDS = 10_000  # records of an Arrow batch
 
 
-class _Pair(InputPartition):
-    def __init__(self, one: str, two: str, number: int):
-        self.one, self.two, self.number = one, two, number
+class _Files(InputPartition):
+    def __init__(self, paths: list[str], number: int):
+        self.paths, self.number = paths, number
+
 
+def _text(path: str) -> io.TextIOWrapper:
+    return io.TextIOWrapper(open_input(path), encoding="ascii", errors="replace", newline="\n")
 
-def _records(path: str) -> Iterator[tuple[str, str, str]]:
-    opener = gzip.open if path.endswith(".gz") else open
-    with opener(path, "rt") as f:
-        while True:
-            name = f.readline()
-            if not name:
-                return
-            seq, _, qual = f.readline(), f.readline(), f.readline()
-            yield name.rstrip("\n")[1:], seq.rstrip("\n"), qual.rstrip("\n")
+
+def fastq_chunks(path: str, size: int = RECORDS) -> Iterator[tuple[list[str], list[str], list[str]]]:
+    """Names, sequences and qualities of a file, so many records at a time; ValueError for one that is cut short or not FASTQ."""
+    with _text(path) as f:
+        while lines := list(islice(f, 4 * size)):
+            lines = [x.rstrip("\r\n") for x in lines]
+            names, seqs, quals = lines[0::4], lines[1::4], lines[3::4]
+            if len(lines) % 4 or not all(n.startswith("@") for n in names) or any(len(s) != len(q) for s, q in zip(seqs, quals)):
+                raise ValueError(f"{path} is not FASTQ, or cut short")
+            yield [n[1:] for n in names], seqs, quals
 
 
 class FastqPairs(DataSource):
-    """Read pairs of files given as comma-separated lists r1 and r2; one partition a pair, as mates match by position."""
+    """Read pairs of files given as comma-separated lists r1 and r2, plain or compressed, at paths or URIs.
+
+    One partition a pair: mates match by position, which a file cut at an offset no longer tells.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -52,23 +64,25 @@ class _Reader(DataSourceReader):
     def partitions(self):
         if len(self.one) != len(self.two):
             raise ValueError("r1 and r2 name different numbers of files")
-        return [_Pair(a, b, i) for i, (a, b) in enumerate(zip(self.one, self.two))]
+        return [_Files([a, b], i) for i, (a, b) in enumerate(zip(self.one, self.two))]
 
     def read(self, part):
-        for i, (a, b) in enumerate(zip(_records(part.one), _records(part.two), strict=True)):
-            yield a[0].split(" ")[0], a[1], a[2], b[1], b[2], i, part.number
+        at, kinds = 0, [pa.string()] * 5 + [pa.int64(), pa.int32()]
+        for one, two in zip_longest(*map(fastq_chunks, part.paths), fillvalue=([], [], [])):
+            n = len(one[0])
+            if n != len(two[0]):
+                raise ValueError(f"{part.paths} hold different numbers of records")
+            cols = [[x.split(" ")[0] for x in one[0]], one[1], one[2], two[1], two[2], range(at, at + n), [part.number] * n]
+            at += n
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [c.split()[0] for c in PAIR.split(", ")])
 
 
 def read_fastq_pairs(spark: SparkSession, r1: list[str], r2: list[str]) -> DataFrame:
+    ship(spark)
     spark.dataSource.register(FastqPairs)
     return spark.read.format("fastq_pairs").option("r1", ",".join(r1)).option("r2", ",".join(r2)).load()
 
 
-class _Files(InputPartition):
-    def __init__(self, paths: list[str], number: int):
-        self.paths, self.number = paths, number
-
-
 class ZippedRecords(DataSource):
     """Records of several FASTA or FASTQ files that belong together by position (barcode, UMI, mates): one row of all of
     them, never a join on made-up ids. Option `files`: groups separated by ;, files of a group by commas."""
@@ -92,18 +106,21 @@ class _ZippedReader(DataSourceReader):
         return [_Files(g, i) for i, g in enumerate(self.groups)]
 
     def read(self, part):
-        for i, together in enumerate(zip(*map(_sequences, part.paths), strict=True)):
-            yield together[0][0], [s for _, s in together], i, part.number
+        rows = enumerate(zip(*map(_sequences, part.paths), strict=True))
+        while together := list(islice(rows, RECORDS)):
+            cols = [[x[0][0] for _, x in together], [[s for _, s in x] for _, x in together], [i for i, _ in together], [part.number] * len(together)]
+            kinds = [pa.string(), pa.list_(pa.string()), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["name", "seqs", "ordinal", "file"])
 
 
 def _sequences(path: str) -> Iterator[tuple[str, str]]:
-    opener = gzip.open if path.endswith(".gz") else open
-    with opener(path, "rt") as f:
+    with _text(path) as f:
         first = f.read(1)
     if first == "@":
-        yield from ((n.split(" ")[0], s) for n, s, _ in _records(path))
+        for names, seqs, _ in fastq_chunks(path):
+            yield from zip((n.split(" ")[0] for n in names), seqs)
         return
-    with opener(path, "rt") as f:
+    with _text(path) as f:
         name, parts = None, []
         for line in f:
             if line.startswith(">"):
@@ -117,71 +134,25 @@ def _sequences(path: str) -> Iterator[tuple[str, str]]:
 
 
 def read_zipped(spark: SparkSession, groups: list[list[str]]) -> DataFrame:
+    ship(spark)
     spark.dataSource.register(ZippedRecords)
     return spark.read.format("zipped_records").option("files", ";".join(",".join(g) for g in groups)).load()
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignment records of SAM text: qname, ref, pos (0-based), mapq, is_read1 and tags."""
+    """Alignment records of SAM text, with the columns of bam.SCHEMA; pos counts from 0."""
     f = F.split("value", "\t")
     rows = spark.read.text(path).where(~F.col("value").startswith("@"))
-    pairs = F.transform(F.slice(f, 12, F.greatest(F.size(f) - 11, F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, 6, 1 << 30)))
-    return rows.select(f[0].alias("qname"), f[2].alias("ref"), (f[3].cast("long") - 1).alias("pos"), f[4].cast("int").alias("mapq"), (f[1].cast("int").bitwiseAND(F.lit(64)) != 0).alias("is_read1"), F.map_from_entries(pairs).alias("tags"))
-
-
-def read_bam(spark: SparkSession, path: str) -> DataFrame:
-    """The same of BAM files, each decoded by one task."""
-
-    def run(batches):
-        import pandas as pd
-
-        for df in batches:
-            for raw in df["content"]:
-                yield pd.DataFrame(list(_bam(gzip.decompress(raw))), columns=["qname", "ref", "pos", "mapq", "is_read1", "tags"])
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInPandas(run, "qname string, ref string, pos long, mapq int, is_read1 boolean, tags map<string,string>")
-
-
-def _bam(raw: bytes) -> Iterator[tuple]:
-    if raw[:4] != b"BAM\1":
-        raise ValueError("not a BAM file")
-    at = 8 + struct.unpack_from("<i", raw, 4)[0]
-    (n,) = struct.unpack_from("<i", raw, at)
-    at, refs = at + 4, []
-    for _ in range(n):
-        (k,) = struct.unpack_from("<i", raw, at)
-        refs.append(raw[at + 4 : at + 3 + k].decode())
-        at += 8 + k
-    while at < len(raw):
-        (size,) = struct.unpack_from("<i", raw, at)
-        ref, pos, l_name, mapq, _, n_cigar, flag, l_seq = struct.unpack_from("<iiBBHHHi", raw, at + 4)
-        p = at + 36
-        name = raw[p : p + l_name - 1].decode()
-        p += l_name + 4 * n_cigar + (l_seq + 1) // 2 + l_seq
-        yield name, refs[ref] if ref >= 0 else None, pos, mapq, bool(flag & 64), _tags(raw[p : at + 4 + size])
-        at += 4 + size
-
-
-def _tags(raw: bytes) -> dict[str, str]:
-    sizes, out, p = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I", "f": "<f"}, {}, 0
-    while p < len(raw):
-        tag, kind = raw[p : p + 2].decode(), chr(raw[p + 2])
-        p += 3
-        if kind == "A":
-            out[tag], p = chr(raw[p]), p + 1
-        elif kind in "ZH":
-            end = raw.index(b"\0", p)
-            out[tag], p = raw[p:end].decode(), end + 1
-        elif kind == "B":
-            sub, k = sizes[chr(raw[p])], struct.unpack_from("<i", raw, p + 1)[0]
-            w = struct.calcsize(sub)
-            out[tag] = ",".join(str(struct.unpack_from(sub, raw, p + 5 + i * w)[0]) for i in range(k))
-            p += 5 + k * w
-        else:
-            out[tag] = str(struct.unpack_from(sizes[kind], raw, p)[0])
-            p += struct.calcsize(sizes[kind])
-    return out
+    tags = F.slice(f, 12, F.greatest(F.size(f) - 11, F.lit(0)))
+    pairs = lambda at, n: F.map_from_entries(F.transform(tags, lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, at, n))))
+    name = lambda i: F.when(f[i] != "*", f[i])
+    flag = f[1].cast("int")
+    mate = F.when(f[6] == "=", name(2)).otherwise(name(6))
+    return rows.select(
+        f[0].alias("qname"), flag.alias("flag"), name(2).alias("ref"), (f[3].cast("long") - 1).alias("pos"), f[4].cast("int").alias("mapq"), f[5].alias("cigar"),
+        mate.alias("mate_ref"), (f[7].cast("long") - 1).alias("mate_pos"), f[8].cast("long").alias("template"), f[9].alias("seq"), f[10].alias("qual"),
+        (flag.bitwiseAND(F.lit(64)) != 0).alias("is_read1"), pairs(6, 1 << 30).alias("tags"), pairs(4, 1).alias("tag_types"),
+    )
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -211,13 +182,20 @@ def read_genomecov(spark: SparkSession, path: str) -> DataFrame:
 def read_tenx(spark: SparkSession, folder: str) -> DataFrame:
     """(gene, cell, value) of a matrix folder with matrix.mtx, barcodes.tsv and features.tsv, plain or gzip."""
     m = spark.read.text(f"{folder}/matrix.mtx*").where(~F.col("value").startswith("%")).select(F.transform(F.split("value", " "), lambda x: x.cast("long")).alias("v"))
+    # the size line is the first that is no comment: with the comments before it, it lies at the head of the file
     m = m.withColumn("line", F.monotonically_increasing_id())
-    size = m.agg(F.min("line").alias("first"))
-    m = m.join(F.broadcast(size), F.col("line") != F.col("first")).select(F.col("v")[0].alias("i"), F.col("v")[1].alias("j"), F.col("v")[2].alias("value"))
+    size = m.agg(F.min("line").alias("first")).first().first
+    m = m.where(F.col("line") != F.lit(size)).select(F.col("v")[0].alias("i"), F.col("v")[1].alias("j"), F.col("v")[2].alias("value"))
     names = lambda f, k: spark.read.text(f"{folder}/{f}*").coalesce(1).select(F.split("value", "\t")[0].alias(k), (F.monotonically_increasing_id() + 1).alias("n"))
     return m.join(names("features.tsv", "gene"), F.col("i") == F.col("n")).drop("n").join(names("barcodes.tsv", "cell"), F.col("j") == F.col("n")).select("gene", "cell", "value")
 
 
+def read_cells(spark: SparkSession, path: str, cells: DataFrame | None = None) -> DataFrame:
+    """A cell store (cell, region, mc, cov, ...) of write_cells, of all or of the given cells (cell) only."""
+    d = spark.read.parquet(path)
+    return d if cells is None else d.join(cells.select("cell").distinct(), "cell", "left_semi")
+
+
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,12 @@ def annotation_headers(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value").startswith(">")).select(f[0].alias("id"), f[1].cast("int").alias("length"), f[2].cast("double").alias("coverage"), hits(3).alias("v"), hits(4).alias("d"), hits(5).alias("j"), hits(6).alias("c"))
 
 
+def read_pileups(spark: SparkSession, path: str) -> DataFrame:
+    """pileups of a file of six-line records, each of which begins with a line that starts with >; records never cross tasks."""
+    rec = spark.read.option("lineSep", "\n>").text(path).where(F.trim("value") != "")
+    return pileups(rec.select(F.regexp_replace("value", "^>", "").alias("value")))
+
+
 def pileups(records: DataFrame) -> DataFrame:
     """Six-line contig records (value: the lines joined by newlines) -> contig and four count vectors."""
     line = F.split("value", "\n")
