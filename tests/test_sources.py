@@ -1,11 +1,12 @@
 import gzip
-import struct
-import zlib
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from readloom import sinks
 from readloom.sources import annotation as G
+from readloom.sources import bam as B
 from readloom.sources import files as S
 from readloom.sources import receptors as V
 
@@ -26,14 +27,82 @@ def test_fastq_round_trip(spark, tmp_path):
 
 
 def test_sam_and_bam(spark, tmp_path):
-    (tmp_path / "a.sam").write_text("@HD\tVN:1\nq1\t64\tchr1\t11\t255\t4M\t*\t0\t0\tACGT\tIIII\tXT:Z:g1\tNH:i:1\n")
-    want = ("q1", "chr1", 10, 255, True, {"XT": "g1", "NH": "1"})
-    assert tuple(S.read_sam(spark, str(tmp_path / "a.sam")).first()) == want
-    body = struct.pack("<iiBBHHHi", 0, 10, 3, 255, 0, 1, 64, 4) + struct.pack("<iii", -1, -1, 0) + b"q1\0" + struct.pack("<I", 4 << 4) + b"\x12\x48" + b"IIII" + b"XTZg1\0" + b"NHC\x01"
-    raw = b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", 1) + struct.pack("<i", 5) + b"chr1\0" + struct.pack("<i", 100) + struct.pack("<i", len(body)) + body
-    (tmp_path / "a.bam").write_bytes(gzip.compress(raw))
-    assert tuple(S.read_bam(spark, str(tmp_path / "a.bam")).first()) == want
-    assert zlib.crc32(raw) > 0
+    """The same records as text and as BAM, here and back."""
+    lines = ["q1\t64\tchr1\t11\t255\t2M1I1M\t=\t31\t25\tACGT\tIIH#\tXT:Z:g1\tNH:i:1", "q2\t4\t*\t0\t0\t*\t*\t0\t0\tNACGT\t*\tCB:Z:AC\tXF:f:1.5\tXA:A:k\tXB:B:s,1,-2"]
+    (tmp_path / "a.sam").write_text("@HD\tVN:1\n" + "\n".join(lines) + "\n")
+    sam = S.read_sam(spark, str(tmp_path / "a.sam"))
+    want = [("q1", 64, "chr1", 10, 255, "2M1I1M", "chr1", 30, 25, "ACGT", "IIH#", True, {"XT": "g1", "NH": "1"}), ("q2", 4, None, -1, 0, "*", None, -1, 0, "NACGT", "*", False, {"CB": "AC", "XF": "1.5", "XA": "k", "XB": "s,1,-2"})]
+    assert [tuple(r)[:13] for r in sam.collect()] == want
+    assert [r[0] for r in sam.select(B.reference_end()).collect()] == [13, -1]
+    # SAM writes an array as <type>,<values>; BAM holds the type beside them
+    d = sam.withColumn("tag_types", F.map_zip_with("tag_types", "tags", lambda k, a, b: F.when(a == "B", F.concat(a, F.substring(b, 1, 1))).otherwise(a)))
+    d = d.withColumn("tags", F.map_zip_with("tags", "tag_types", lambda k, a, b: F.when(b.startswith("B"), F.substring(a, 3, 100)).otherwise(a)))
+    done = B.write_bam(d.coalesce(1), f"file://{tmp_path}/out", [("chr1", 1000)])
+    assert rows(done) == [("part-00000", 2)]
+    back = B.read_bam(spark, f"file://{tmp_path}/out/part-00000.bam")
+    assert [tuple(r) for r in back.collect()] == [tuple(r) for r in d.collect()]
+    raw = (tmp_path / "out" / "part-00000.bam").read_bytes()
+    assert gzip.decompress(raw)[:4] == b"BAM\1" and raw.endswith(B.END)
+
+
+def test_bam_per_barcode(spark, tmp_path):
+    d = spark.range(30_000).select(F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("qname"), F.element_at(F.array(F.lit("AA"), F.lit("CC"), F.lit(None).cast("string")), (F.col("id") % 3 + 1).cast("int")).alias("cb"), F.repeat(F.lit("ACGT"), 30).alias("seq"), F.repeat(F.lit("I"), 120).alias("qual"), F.lit("chr1").alias("ref"), F.col("id").alias("pos"), F.lit("120M").alias("cigar"), F.lit(0).alias("flag"))
+    done = B.write_bam(d, str(tmp_path / "cells"), [("chr1", 10**6)], by="cb")
+    assert rows(done) == [("AA", 10_000), ("CC", 10_000), ("null", 10_000)]
+    got = B.read_bam(spark, str(tmp_path / "cells"))
+    assert got.count() == 30_000 and got.select("qname").distinct().count() == 30_000
+    one = B.read_bam(spark, str(tmp_path / "cells" / "CC.bam"))
+    assert one.agg(F.min("qname"), F.max("qname")).first() == ("r000001", "r029998")
+    names = [r.qname for r in one.coalesce(1).collect()]
+    assert names == sorted(names)
+
+
+def test_bad_files_are_errors(spark, tmp_path):
+    (tmp_path / "cut.fq").write_text("@a\nACGT\n+\n")
+    (tmp_path / "ok.fq").write_text("@a\nACGT\n+\nIIII\n@b\nAC\n+\nII\n")
+    (tmp_path / "one.fq").write_text("@a\nACGT\n+\nIIII\n")
+    for one, two in (("cut.fq", "ok.fq"), ("ok.fq", "one.fq")):
+        with pytest.raises(Exception, match="cut short|different numbers"):
+            S.read_fastq_pairs(spark, [str(tmp_path / one)], [str(tmp_path / two)]).count()
+    (tmp_path / "x.bam").write_bytes(b"no bam")
+    with pytest.raises(Exception, match="BGZF"):
+        B.read_bam(spark, str(tmp_path / "x.bam")).count()
+
+
+def test_two_pairs_stay_in_step(spark, tmp_path):
+    """Ordinals restart in every file: order is by (file, ordinal), for both mates alike."""
+    for f in "ab":
+        for m in "12":
+            with gzip.open(tmp_path / f"{f}{m}.fq.gz", "wt") as out:
+                out.write("".join(f"@{f}{i} x\n{'ACGT'[: i % 4 + 1]}\n+\n{'IIII'[: i % 4 + 1]}\n" for i in range(2500)))
+    at = lambda f, m: f"file://{tmp_path}/{f}{m}.fq.gz"
+    d = S.read_fastq_pairs(spark, [at("a", 1), at("b", 1)], [at("a", 2), at("b", 2)])
+    assert d.count() == 5000 and rows(d.groupBy("file").agg(F.max("ordinal"))) == [(0, 2499), (1, 2499)]
+    want = [f"@{f}{i}" for f in "ab" for i in range(2500)]
+    lines = lambda p: [x for f in sorted(Path(p).glob("*.gz")) for x in gzip.open(f, "rt").read().splitlines()]
+    sinks.write_fastq(d.repartition(7), str(tmp_path / "out"), seq="r1_seq", qual="r1_qual")
+    assert lines(tmp_path / "out")[0::4] == want
+    sinks.write_pairs(d.repartition(7), str(tmp_path / "both"), ("name", "r1_seq", "r1_qual"), ("name", "r2_seq", "r2_qual"))
+    assert lines(tmp_path / "both" / "1")[0::4] == want == lines(tmp_path / "both" / "2")[0::4]
+    from readloom.operators.reads import cap_reads
+
+    capped = cap_reads(d.withColumn("bc", F.lit("x")), "bc", ["file", "ordinal"], 3)
+    assert rows(capped.select("name")) == [("a0",), ("a1",), ("a2",)]
+
+
+def test_cell_store_and_files(spark, tmp_path):
+    d = spark.createDataFrame([(f"c{i % 5}", f"r{i}", i, i + 1) for i in range(40)], "cell string, region string, mc int, cov int")
+    sinks.write_cells(d, str(tmp_path / "store"))
+    some = S.read_cells(spark, str(tmp_path / "store"), spark.createDataFrame([("c1",), ("c9",)], "cell string"))
+    assert rows(some) == sorted(tuple(r) for r in d.where("cell = 'c1'").collect())
+    sinks.write_embedding(d.select("cell", "mc").distinct(), str(tmp_path / "e"))
+    sinks.copy(spark, str(tmp_path / "e"), str(tmp_path / "f"))
+    sinks.move(spark, str(tmp_path / "f"), str(tmp_path / "g"))
+    assert spark.read.parquet(str(tmp_path / "g")).count() == 40 and not (tmp_path / "f").exists()
+    (tmp_path / "p.out").write_text(">c1 x\nACG\n3 1 0\n0 2 0\n0 1 2\n0 1 4\n>c2\nA\n7\n0\n0\n0\n")
+    from readloom.sources.receptors import contig_totals, read_pileups
+
+    assert rows(contig_totals(read_pileups(spark, str(tmp_path / "p.out")))) == [("c1", 6), ("c2", 7)]
 
 
 def test_fasta_tsv_logs(spark, tmp_path):
@@ -106,4 +175,4 @@ def test_split_sequences(spark):
     from readloom.operators.intervals import split_sequences
 
     f = spark.createDataFrame([("c1", "AACCGGTT"), ("c2", "GG")], "name string, seq string")
-    assert rows(split_sequences(f, spark.createDataFrame([("c1", 2), ("c1", 5)], "name string, pos long"))) == [("c1_s1", "AA"), ("c1_s2", "CCG"), ("c1_s3", "GTT"), ("c2", "GG")]
+    assert rows(split_sequences(f, spark.createDataFrame([("c1", 2), ("c1", 5)], "name string, pos long"))) == [("c1_s0", "AA"), ("c1_s1", "CCG"), ("c1_s2", "GTT"), ("c2", "GG")]

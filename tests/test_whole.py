@@ -1,17 +1,11 @@
 """Whole jobs: results that an earlier version cut."""
 
-import random
-import string
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import functions as F
 
-from readloom.llm import common, neardup, secrets
 from readloom.operators import cells as L
 from readloom.operators import methyl as Y
 from readloom.operators import umi as U
-from readloom.plans import regions
 
 
 def test_methyl_matrix_has_every_bin(spark):
@@ -32,17 +26,6 @@ def test_methyl_matrix_has_every_bin(spark):
     assert all(len(r[1]) == 2 for r in Y.methyl_matrix(d, d.select("cell").distinct(), 2).collect())
 
 
-def test_earlier_bands_are_whole_hashes():
-    """Two nodes that agree in the bytes of an earlier band but not in its hash were skipped in the band they share."""
-    sig = bytes(range(128))
-    rows = [{"key": bytes([k]), "comp": bytes([k]), "sig": sig, "band": 2, "earlier": e, "left": k == 0} for k, e in enumerate([[5, 6], [7, 8], [9, 6]])]
-    schema = pa.schema([("key", pa.binary()), ("comp", pa.binary()), ("sig", pa.binary()), ("band", pa.int32()), ("earlier", pa.list_(pa.int64())), ("left", pa.bool_())])
-    left, others, _ = neardup.likely(pa.Table.from_pylist(rows, schema))
-    assert left.tolist() == [0] and others[0].tolist() == [1]
-    first = [r | {"band": 0, "earlier": []} for r in rows]
-    assert neardup.likely(pa.Table.from_pylist(first, schema))[1][0].tolist() == [1, 2]
-
-
 def test_components_of_a_long_chain(spark):
     names = [f"n{i:02d}" for i in range(12)]
     order = [0, 5, 11, 3, 8, 1, 10, 4, 7, 2, 9, 6]
@@ -51,21 +34,6 @@ def test_components_of_a_long_chain(spark):
     assert dict(map(tuple, U.components(e, nodes).collect())) == {n: "n00" for n in names} | {"x": "x", "y": "x", "z": "z"}
 
 
-def test_secrets_without_digits_and_beside_base_spans(spark):
-    common.find_package(spark)
-    r = random.Random(4)
-    token = lambda a, n: "".join(r.choice(a) for _ in range(n))
-    letters, more = string.ascii_letters, string.ascii_letters + string.digits
-    dense = "0a1b2c3d" * 4
-    kept = ["internationalisation_of_the_whole_collection", "Donaudampfschifffahrtsgesellschaft", "-" * 40, "pneumonoultramicroscopicsilicovolcanoconiosis", "the/quick/brown/fox/jumps/over/it", "AllTheseWordsInOneLongCamelCaseName"]
-    found = [token(letters, 48), token(letters, 40), dense + "-" + token(more, 48), token(string.ascii_lowercase, 120)]
-    d = spark.createDataFrame(list(enumerate(f"see {x} here" for x in kept + found)), "doc_id long, text string")
-    spans = {x.row.doc_id: [(s.kind, s.start, s.end) for s in x.spans] for x in secrets.scan(d, carry=["doc_id"]).collect()}
-    assert not any(spans[i] for i in range(len(kept)))
-    at = [spans[len(kept) + i] for i in range(len(found))]
-    assert at == [[(3, 4, 52)], [(3, 4, 44)], [(2, 4, 36), (3, 36, 85)], [(3, 4, 124)]]
-
-
 def test_cell_call_of_the_reference(spark):
     p = L.good_turing(np.array([0, 0, 1, 1, 1, 2, 2, 3, 5, 9]))
     assert abs(p.sum() - 1) < 1e-9 and abs(p[:2].sum() - 3 / 24) < 1e-9 and (np.diff(p[[2, 5, 7, 8, 9]]) > 0).all()
@@ -78,10 +46,3 @@ def test_cell_call_of_the_reference(spark):
     sums = spark.createDataFrame([(i, 1000 if i < 50 else 1) for i in range(500)], "cell long, umis long")
     got = {r.cell for r in L.ordmag_resampled(sums, 300).collect()}
     assert got == set(range(len(got))) and 45 <= len(got) <= 55
-
-
-def test_split_points_reach_the_last_interval(spark):
-    sf = "/root/testdata/sf0.001"
-    last = {r[0]: r[1] for r in regions.iv(spark, sf).groupBy("chrom").agg(F.max("end")).collect()}
-    pos = [(r.chrom, r.pos) for r in regions.QUERY_POINTS(spark, sf).collect()]
-    assert max(p for _, p in pos) > 2399 and all(p <= last[c] for c, p in pos)
