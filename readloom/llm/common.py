@@ -8,12 +8,6 @@ repeated rows are rows of their own unless an operator says otherwise.
 
 from __future__ import annotations
 
-import atexit
-import functools
-import logging
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import delete, exists, hold, put, settle, shared_dir, sweep, tidy  # noqa: F401
 from ..shipping import ship
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,86 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where none is set, a local session gets one of our own; a cluster must name one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        own = tempfile.mkdtemp(prefix="readloom-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        found = "file://" + own
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-#: Folders to delete, of each running operator (see tidy) from the outermost; the first list lives as long as the session.
-_HELD: list[list[tuple[SparkSession, str]]] = [[]]
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Deletes a folder on whatever file system it lies; one that is gone already is no error."""
-    try:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception as e:  # a scratch folder that cannot be deleted costs space, not results
-        logging.getLogger(__name__).warning("could not delete %s: %s", path, e)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
-def put(spark: SparkSession, path: str, text: str) -> None:
-    """Writes a small file of text."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-
-
-def hold(spark: SparkSession, path: str, keep: bool = False) -> str:
-    """Has the folder deleted when the running operator ends or, if kept, when its caller does; at the latest with the session."""
-    _HELD[-2 if keep and len(_HELD) > 1 else -1].append((spark, path))
-    return path
-
-
-def _sweep(held: list[tuple[SparkSession, str]]) -> None:
-    for spark, path in held:
-        delete(spark, path)
-
-
-@atexit.register
-def _sweep_all() -> None:
-    while _HELD:
-        _sweep(_HELD.pop())
-
-
-def tidy(operator):
-    """Deletes what an operator has settled once it returns, but for the tables that its result reads: those it settles with keep."""
-
-    @functools.wraps(operator)
-    def run(*args, **kwargs):
-        _HELD.append([])
-        try:
-            return operator(*args, **kwargs)
-        finally:
-            _sweep(_HELD.pop())
-
-    return run
-
-
-def settle(df: DataFrame, keep: bool = False) -> DataFrame:
-    """The rows, written to the shared folder and read back: lineage ends here and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = hold(spark, f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}", keep)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def column(name: str, of: str = "") -> Column:
     """A column, or a field of the struct `of`, whatever signs its name has."""
     quoted = "`" + name.replace("`", "``") + "`"
