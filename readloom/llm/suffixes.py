@@ -23,7 +23,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BYTE_CODE, delete, exists, hold, mix64, pieces, put, rolling, settle, shared_dir, slices, span_hash, table, text_of, tidy
@@ -374,9 +374,15 @@ def spans_of(runs: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
+def digest(text: Column) -> Column:
+    """16 bytes that stand for a text: two hashes of it, of different seeds."""
+    half = lambda *of: F.lpad(F.hex(F.xxhash64(*of)), 16, "0")
+    return F.unhex(F.concat(half(text), half(F.lit("other seed"), text)))
+
+
 def keyed(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(key, text) as an Index takes them."""
-    return docs.select(F.unhex(F.md5(text_of(text_col).cast("binary"))).alias("key"), text_of(text_col).alias("text"))
+    return docs.select(digest(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
 
 
 @tidy
@@ -389,12 +395,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch
     text of SPAN bytes or more that occurs twice is removed from both rows. The documents are dealt by their id into
     `batches`, which are added to an Index one after the other; the result does not depend on their number.
     """
-    index = Index(docs.sparkSession, texts=keyed(docs, text_col))
     deal = F.pmod(F.xxhash64(id_col), F.lit(batches).cast("long"))
+    index = Index(docs.sparkSession, texts=docs.limit(0))
     for i in range(batches):
+        index.texts = keyed(docs.where(deal <= i), text_col)  # those added so far are stored in the documents
         index.add(keyed(docs.where(deal == i), text_col))
     found = settle(index.repeats(), keep=True)
-    texts = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text_of(text_col).cast("binary"))).alias("key"), text_of(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), digest(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
     # a hash join on the small side: the texts are shuffled but not sorted
     joined = texts.join(found.hint("shuffle_hash"), "key", "left").select("id", "text", "runs")
 
