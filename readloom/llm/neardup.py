@@ -159,18 +159,26 @@ def verify(pairs: DataFrame, docs: DataFrame, similar: float) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(key, comp) for each end of an edge (a, b): comp is the least key that can be reached. Labels spread along edges and are then followed once more, until none changes.
 
-    Neither a node with very many edges nor a label that very many nodes have is a hot key of a join.
+    Labels are broadcast while there are BROADCAST_KEYS at most. Beyond that neither a node with very many edges nor a
+    label that very many nodes have is a hot key of a join.
     """
     edges = settle(edges.union(edges.select("b", "a")).distinct())
-    degree = settle(edges.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("n")))
-    count, nodes = edges.count(), degree.count()
     labels = settle(edges.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
+    nodes = labels.count()
+    few = nodes <= BROADCAST_KEYS
+    if not few:
+        count, degree = edges.count(), settle(edges.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("n")))
     while True:
-        near = join_spread(edges, labels.select(F.col("key").alias("b"), "comp").join(degree, "b"), "b", "n", count).groupBy(F.col("a").alias("key")).agg(F.min("comp").alias("seen"))
-        moved = settle(labels.join(near, "key").select("key", F.col("comp").alias("old"), F.least("comp", "seen").alias("comp")))
-        held = moved.groupBy("comp").agg(F.count("*").alias("n"))
-        jump = held.join(labels.select(F.col("key").alias("comp"), F.col("comp").alias("next")), "comp")
-        new = settle(join_spread(moved, jump, "comp", "n", nodes).select("key", "old", F.least("comp", "next").alias("comp")), keep=True)
+        ends, follow = labels.select(F.col("key").alias("b"), "comp"), labels.select(F.col("key").alias("comp"), F.col("comp").alias("next"))
+        seen = edges.join(F.broadcast(ends), "b") if few else join_spread(edges, ends.join(degree, "b"), "b", "n", count)
+        near = seen.groupBy(F.col("a").alias("key")).agg(F.min("comp").alias("seen"))
+        moved = labels.join(near, "key").select("key", F.col("comp").alias("old"), F.least("comp", "seen").alias("comp"))
+        if few:
+            jumped = moved.join(F.broadcast(follow), "comp")
+        else:
+            moved = settle(moved)
+            jumped = join_spread(moved, moved.groupBy("comp").agg(F.count("*").alias("n")).join(follow, "comp"), "comp", "n", nodes)
+        new = settle(jumped.select("key", "old", F.least("comp", "next").alias("comp")), keep=True)
         labels = new.select("key", "comp")
         if new.where(F.col("old") != F.col("comp")).isEmpty():
             return labels
