@@ -319,18 +319,20 @@ def test_index_grows_batch_by_batch(spark):
         batch += [texts[4]] if texts else []  # a text that an older batch holds
         texts += batch
         index = suffixes.Index(spark, path)
-        index.add(suffixes.keyed(spark.createDataFrame([(t,) for t in batch], "text string")))
+        new = spark.createDataFrame([(t,) for t in batch], "text string")
+        index.add(suffixes.keyed(new))
         assert [size for size, _ in index.levels] == [[1], [2], [2, 1], [4], [4, 1]][n]
         raws = [t.encode() for t in texts]
         seen = collections.Counter(x[i : i + 400] for x in raws for i in range(len(x) - 399))
         got = {bytes(x.key): suffixes.spans_of(x.runs) for x in index.repeats().collect()}
+        keys = {t: bytes(k) for t, k in suffixes.keyed(spark.createDataFrame([(t,) for t in texts], "text string")).select("text", "key").collect()}
         for x in raws:
             gone = np.zeros(len(x), bool)
             for k in range(len(x) - 399):
                 if seen[x[k : k + 400]] > 1:
                     gone[k : k + 400] = True
             marked = np.zeros(len(x), bool)
-            for a, b in got.get(hashlib.md5(x).digest(), []):
+            for a, b in got.get(keys[x.decode()], []):
                 marked[a:b] = True
             assert (marked == gone).all()
     common.delete(spark, path)
@@ -347,8 +349,7 @@ def test_scratch_tables_go(spark):
         op(d).count()
         assert len(set(os.listdir(folder)) - before) <= left
         before = set(os.listdir(folder))
-    common._sweep(common._HELD[0])
-    common._HELD[0].clear()
+    common.sweep()
     assert not [x for x in os.listdir(folder) if x.startswith(("settled", "index"))]
 
     class Far:
