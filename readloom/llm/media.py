@@ -366,3 +366,19 @@ def read_column(media: DataFrame, id_col: str = "doc_id", media_col: str = "medi
 def op7_media(spark, sf_dir: str) -> DataFrame:
     """Per document: the digests that read_column takes from the media of encode_column."""
     return read_column(encode_column(table(spark, sf_dir, "documents"))).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height")
+
+
+def media_payloads(spark, sf_dir: str) -> DataFrame:
+    """What op7_media reads back of the payloads alone, which SQL can say without a decoder."""
+    return op7_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32")
+
+
+PAYLOAD_SQL = """
+with b as (select doc_id, encode(coalesce(text, '')) as raw from documents),
+n as (select *, octet_length(raw) as n, greatest(1, (octet_length(raw) + 191) // 192) * 192 as size from b),
+p as (select doc_id, n, size, hex(raw) || repeat('20', cast(size - n as integer)) as h from n),
+t as (select *, list_transform(range(0, 16), lambda i: cast('0x' || substr(h, 2 * (size - 16 + i) + 1, 2) as bigint)) as tail from p)
+select doc_id, cast(n as bigint) as n_bytes, cast(size as bigint) as payload_bytes, sha256(unhex(h)) as payload_sha256,
+  xor(list_reduce(list_prepend(cast(4294967295 as bigint), tail), lambda c, b: list_reduce(list_prepend(xor(c, b), [cast(0 as bigint) for x in range(8)]), lambda a, z: xor(a >> 1, case when a & 1 = 1 then cast(3988292384 as bigint) else cast(0 as bigint) end))), cast(4294967295 as bigint)) as tail_crc32
+from t
+"""

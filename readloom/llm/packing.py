@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from .common import column, digits_for, order_key, settle, table, tidy, with_prefix, word_count
 
-EXACT = 1024
+EXACT = 1024  # words up to which the grid has a cell for every length
+GRID = 9  # log2 of half the cells to each doubling above that
+BUCKETS, BUDGET = 16, 65_536
 
 
 def cell_of(length: Column) -> Column:
@@ -16,7 +18,7 @@ def cell_of(length: Column) -> Column:
 
     The grid has under 17,000 cells below 2**42 and is the same for any input.
     """
-    step = F.when(length <= EXACT, F.lit(1).cast("long")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double"))) - 9).cast("long"))
+    step = F.when(length <= EXACT, F.lit(1).cast("long")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double"))) - GRID).cast("long"))
     return (F.ceil(length / step) * step).cast("long")
 
 
@@ -59,7 +61,7 @@ def best_bounds(cells: np.ndarray, counts: np.ndarray, k: int, sums: np.ndarray
 
 
 @tidy
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 16, budget: int = 65_536, carry: list[str] | None = None) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, budget: int = BUDGET, carry: list[str] | None = None) -> DataFrame:
     """One row per document: where it lies in the batches.
 
     Columns: carry (struct `row`), id, length (words), bucket (0 from the shortest), bound (padded length),
@@ -90,3 +92,27 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
 def op5_packing(spark, sf_dir: str) -> DataFrame:
     """Per document: length, bucket, bound, batch, slot, padding."""
     return pack(table(spark, sf_dir, "documents")).drop("row")
+
+
+#: The histogram, the programme over it layer by layer, the way back, and the places in each bucket.
+ORACLE = rf"""
+with recursive d as (select doc_id, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as length, md5(coalesce(cast(doc_id as varchar), '')) as key from documents),
+m as (select *, greatest(length, 1) as m from d),
+s as (select *, case when m <= {EXACT} then 1 else cast(pow(2, floor(log2(m)) - {GRID}) as bigint) end as step from m),
+g as (select *, (m + step - 1) // step as units, step from s),
+h as (select units * step as cell, count(*) as n, max(m) as bound, sum(m) as total from g group by 1),
+r as (select 0 as i, 0 as bound, 0 as n, 0 as total union all
+      select row_number() over w, bound, cast(sum(n) over w as bigint), cast(sum(total) over w as bigint) from h window w as (order by cell)),
+k as (select least({BUCKETS}, max(i)) as k, max(i) as cells from r),
+dp as (select 0 as j, 0 as i, cast(0 as bigint) as cost, 0 as cut
+       union all
+       select j + 1, i, cost, cut from (
+         select dp.j, b.i, min(dp.cost + b.bound * (b.n - a.n) - (b.total - a.total)) as cost, arg_min(a.i, (dp.cost + b.bound * (b.n - a.n) - (b.total - a.total), a.i)) as cut
+         from dp join r a on a.i = dp.i join r b on b.i > a.i, k where dp.j < k.k group by dp.j, b.i
+         union all select dp.j, 0, 0, 0 from dp, k where dp.i = 0 and dp.j < k.k)),
+way as (select k.k as j, cells as i from k union all select way.j - 1, dp.cut from way join dp on dp.j = way.j and dp.i = way.i where dp.cut > 0),
+bounds as (select bound, row_number() over (order by bound) - 1 as bucket from (select distinct r.bound from way join r using (i) where i > 0)),
+p as (select doc_id, length, key, (select count(*) from bounds where bounds.bound < length) as bucket from d),
+q as (select p.*, bound, row_number() over (partition by p.bucket order by key, length) - 1 as nth, greatest(1, {BUDGET} // bound) as room from p join bounds using (bucket))
+select doc_id, length, bucket, bound, cast(nth // room as bigint) as batch, cast(nth % room as bigint) as slot, bound - length as padding from q
+"""

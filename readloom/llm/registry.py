@@ -13,11 +13,15 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_quality": quality.op9_quality,
     "op10_search": search.op10_search,
+    "media_payloads": media.media_payloads,
 }
 
 ORACLE = {
     "op3_mixing": mixing.ORACLE,
     "op4_suffixes": suffixes.ORACLE,
+    "op5_packing": packing.ORACLE,
     "op6_neardup": neardup.ORACLE,
+    "op8_secrets": secrets.ORACLE,
+    "media_payloads": media.PAYLOAD_SQL,
     "op10_search": search.ORACLE,
 }

@@ -173,3 +173,43 @@ def op8_secrets(spark, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return found.select("row.doc_id", *[count(k).alias(f"n_{n}") for k, (n, *_) in enumerate(BASE)], F.sha2(written("base").cast("binary"), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+def _found(kind: int, pattern: str, group: int, least: int) -> str:
+    """SQL of the matches of a pattern and of what lies between them."""
+    p = pattern.replace("'", "''")
+    return f"select doc_id, {kind} as kind, {least} as least, regexp_extract_all(t, '{p}', 0) as w, regexp_extract_all(t, '{p}', {group}) as part, string_split_regex(t, '{p}') as b from d"
+
+
+_FOUND = " union all ".join([_found(k, *x[1:]) for k, x in enumerate(BASE)] + [_found(9, CANDIDATE, 0, 0)])
+ORACLE = f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+found as ({_FOUND}),
+u as (select doc_id, kind, least, unnest(w) as w, unnest(part) as part, unnest(b[1:len(w)]) as gap, unnest(range(1, len(w) + 1)) as i from found where len(w) > 0),
+placed as (select *, cast(coalesce(sum(length(gap) + length(w)) over (partition by doc_id, kind order by i rows between unbounded preceding and 1 preceding), 0) as bigint) + length(gap) as a from u),
+spans as (select doc_id, kind, a, a + length(w) as z, w from placed where length(part) >= least),
+base as (select doc_id, kind, a, z from spans where kind < 9),
+runs as (select doc_id, a, z, w from spans where kind = 9),
+hit as (select r.doc_id, r.a, r.z, r.w, b.a as ba, b.z as bz, greatest(r.a, coalesce(max(b.z) over (partition by r.doc_id, r.a order by b.a, b.kind rows between unbounded preceding and 1 preceding), r.a)) as at_, max(b.z) over (partition by r.doc_id, r.a) as far from runs r join base b on b.doc_id = r.doc_id and b.a < r.z and r.a < b.z),
+cand as (select doc_id, a, z, w as tok from runs where not exists (select 1 from hit where hit.doc_id = runs.doc_id and hit.a = runs.a)
+  union all select doc_id, at_, ba, substr(w, at_ - a + 1, ba - at_) from hit where ba - at_ >= {LEAST}
+  union all select distinct doc_id, greatest(a, far), z, substr(w, greatest(a, far) - a + 1, z - greatest(a, far)) from hit where z - greatest(a, far) >= {LEAST}),
+c1 as (select *, cast(length(tok) as double) as n, string_split(tok, '') as ch, cast(case when regexp_full_match(tok, '[0-9a-f]+|[0-9A-F]+') then 16 when regexp_full_match(tok, '[a-z]+|[A-Z]+') then 26 when regexp_full_match(tok, '[A-Z2-7]+') then 32 when regexp_full_match(tok, '[A-Za-z]+') then 52 when regexp_full_match(tok, '[A-Za-z0-9]+') then 62 else 64 end as double) as size from cand),
+c2 as (select *, case when size = 16 then {COINCIDENCE_HEX} else {COINCIDENCE} end as co, list_sum(list_transform(list_distinct(ch), lambda x: cast(pow(len(list_filter(ch, lambda y: y = x)), 2) as double))) as sq,
+  list_transform(ch, lambda x: case when x between '0' and '9' then 1 when x between 'A' and 'Z' then 2 when x between 'a' and 'z' then 3 else 4 end) as cls, list_transform(ch, lambda x: cast(ascii(x) as double)) as codes from c1),
+c3 as (select *, size / n * sq - n as chi, size - 1 as df, n * (size * cast(co as double) - 1) as extra, cast(len(list_filter(list_zip(cls[1:len(cls) - 1], cls[2:]), lambda p: p[1] <> p[2])) as double) as changes, list_sum(codes) / n as mean from c2),
+c4 as (select *, list_sum(list_transform(codes, lambda x: (x - mean) * (x - mean))) as spread, list_sum(list_transform(list_zip(codes[1:len(codes) - 1], codes[2:]), lambda p: (p[1] - mean) * (p[2] - mean))) as shared from c3),
+c5 as (select *, (df + extra - chi) / sqrt(2 * (df + 2 * extra)) as z1, (changes - (n - 1) * {CHANGES}e0) / sqrt((n - 1) * {CHANGES}e0 * (1 - {CHANGES}e0)) as z2, ({SERIAL}e0 - abs(case when spread > 0 then shared / spread else 1 end)) * sqrt(n) as z3 from c4),
+c6 as (select *, case when not regexp_matches(tok, '[0-9]') then (z1 + z3) / 1.4142135623730951e0 else (z1 + z2 + z3) / 1.7320508075688772e0 end as zz from c5),
+c7 as (select *, least(abs(zz), 12e0) as x, 1 / (1 + 0.2316419e0 * least(abs(zz), 12e0)) as k from c6),
+c8 as (select *, exp(-x * x / 2) * 0.3989422804014327e0 * k * (0.319381530e0 + k * (-0.356563782e0 + k * (1.781477937e0 + k * (-1.821255978e0 + k * 1.330274429e0)))) as tail from c7),
+c9 as (select doc_id, a, z, n, cast(greatest(0, least({BINS}, floor(-10 * log10(greatest((case when zz >= 0 then tail else 1 - tail end) * {TYPICAL} / n, 1e-300))))) as integer) as bin from c8),
+per as (select bin, count(*) as m, sum(n) as length from c9 group by bin),
+tot as (select cast(sum(m) as double) as total, cast(sum(length) as double) as length from per),
+ahead as (select bin, cast(sum(m) over (order by bin desc) as double) as ahead from per),
+lim as (select min(bin) as lim from ahead, tot where least(1.0, pow(10, -bin / 10.0) * length / total / {TYPICAL}) <= {FDR}e0 * ahead / total),
+every as (select doc_id, kind, a, z from base union all select doc_id, 3, a, z from c9, lim where bin >= lim),
+txt as (select doc_id, string_agg(['assign', 'access', 'hex', 'random'][kind + 1] || ':' || a || ':' || z, ',' order by a, kind) as spans, coalesce(string_agg(['assign', 'access', 'hex', 'random'][kind + 1] || ':' || a || ':' || z, ',' order by a, kind) filter (kind < 3), '') as base,
+  count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex from every group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join txt using (doc_id)
+"""

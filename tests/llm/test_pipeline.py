@@ -61,6 +61,32 @@ def test_every_query_of_the_subpackage(spark):
         assert got == n or name.startswith("op10_"), name
 
 
+@pytest.mark.parametrize("name", ["op3_mixing", "op5_packing", "op6_neardup", "op8_secrets", "op10_search", "media_payloads"])
+def test_queries_against_their_sql(spark, tmp_path, name):
+    """On the smallest tables and on texts full of tokens, runs and nulls."""
+    import random
+
+    import duckdb
+
+    from readloom.llm import registry
+
+    r = random.Random(7)
+    token = lambda a, lo, hi: "".join(r.choice(a) for _ in range(r.randint(lo, hi)))
+    mixed, hex_ = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "0123456789abcdef"
+    bits = [lambda: token(mixed, 20, 90), lambda: token(hex_, 20, 60), lambda: "token=" + token(mixed, 3, 40), lambda: token(hex_, 24, 40) + "-" + token(mixed, 10, 50), lambda: "the-name-of-a-page-" + str(r.randint(1, 9999)), lambda: "é naïve words here", lambda: "w " * r.randint(1, 1500)]
+    rows = [(i, " ".join(r.choice(bits)() for _ in range(r.randint(0, 12))) if i % 40 else None, "en", r.choice(["a", "a", "a", "b", None]), 1) for i in range(240)]
+    odd = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{odd}/documents.parquet")
+    spark.read.parquet(f"{SF}/embeddings.parquet").coalesce(1).write.parquet(f"{odd}/embeddings.parquet")
+    for folder, pattern in ((SF, ""), (odd, "/*.parquet")):
+        con = duckdb.connect()
+        for t in ("documents", "embeddings"):
+            con.sql(f"create view {t} as select * from '{folder}/{t}.parquet{pattern}'")
+        want = con.sql(registry.ORACLE[name])
+        got = registry.QUERIES[name](spark, folder).select(*want.columns)
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want.fetchall())), folder
+
+
 def test_odd_rows_pass_every_stage(spark):
     docs = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, "calm words here", None, None, 3)], "doc_id long, text string, lang string, source string, n_chars long")
     for d in (docs, docs.where("false")):
