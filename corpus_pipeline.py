@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.llm import mixing, neardup, packing, secrets, toxicity
-from readloom.llm.common import find_package, settle, table
+from readloom.llm.common import find_package, settle, table, tidy
+from readloom.scratch import release
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below one half; the model learns outside its held-out fold of the labels."""
+    """Documents whose toxicity score is below one half; the model learns outside its held-out fold of the labels. Null texts count as
+    empty ones, repeated rows are scored alike, null ids do not matter."""
     find_package(spark)
     return toxicity.reject(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class."""
+    """One document of each near-duplicate class, that with the smallest id, null first. Empty and null texts are one class."""
     find_package(spark)
     return neardup.keep_one(docs)
 
@@ -28,7 +30,8 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order: as often as the mix takes them, so some several times and some never."""
+    """Documents in training order: as often as the mix takes them, so some several times and some never; those without words never.
+    Null sources are one source. Rows have whole texts, also where the mix takes a part of the last one."""
     return mixing.schedule(docs, docs.columns)
 
 
@@ -43,11 +46,18 @@ STAGES = [("toxicity", drop_toxic), ("neardup", drop_copies), ("secrets", hide_s
 ORACLE_SQL = None
 
 
+@tidy
+def settled(stage, spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The stage's rows, written; what its operator had to keep until then goes."""
+    return settle(stage(spark, docs, sf_dir), keep=True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir, each written as Parquet and read again by the next."""
+    """All stages over the documents of sf_dir, each written as Parquet and read again by the next, which deletes it once it is written itself."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = settle(docs)
+        # packing has written what it needs of its documents by the time it returns
+        done = stage(spark, docs, sf_dir) if name == STAGES[-1][0] else settled(stage, spark, docs, sf_dir)
+        release(docs)
+        docs = done
     return docs

@@ -94,4 +94,13 @@ def settle(df: DataFrame, keep: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = hold(spark, f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}", keep)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Deletes a table of settle that nothing reads any more; other DataFrames are left alone."""
+    path = getattr(df, "scratch_path", None)
+    if path:
+        delete(df.sparkSession, path)
