@@ -27,6 +27,14 @@ def tags(df: DataFrame, name: str = "qname", corrected: str | None = None) -> Da
     return d.withColumn(name, p["read"])
 
 
+def tagged(df: DataFrame, name: str = "qname", corrected: str | None = None, tags_col: str = "tags") -> DataFrame:
+    """Alignment records with the tags CB, CR, UB and UR beside their own, under their original read names."""
+    d = tags(df, name, corrected)
+    own = F.create_map(*[x for t in ("cb", "cr", "ub", "ur") for x in (F.lit(t.upper()), F.col(t))])
+    rest = F.map_filter(F.coalesce(tags_col, F.create_map().cast("map<string,string>")), lambda k, v: ~k.isin("CB", "CR", "UB", "UR"))
+    return d.withColumn(tags_col, F.map_concat(rest, own)).drop("cb", "cr", "ub", "ur")
+
+
 def barcode_behind(name: str | Column) -> Column:
     """<read>:<barcode>, for tools that remove duplicates by what ends a read name."""
     p = name_parts(name)

@@ -159,8 +159,8 @@ def _(spark, sf):
 
 @query("read_pass", CORRECT + " select event_id, case when status = 'exact' then corrected || '_' || substr(seq, 9, 6) || '_M' else corrected || '_' || substr(seq, 9, 6) || '_' || (select min(i) - 1 from (select unnest(range(1, 9)) as i) where substr(fixed.raw, i, 1) <> substr(corrected, i, 1)) || substr(fixed.raw, cast((select min(i) from (select unnest(range(1, 9)) as i) where substr(fixed.raw, i, 1) <> substr(corrected, i, 1)) as bigint), 1) end as header from fixed join reads using (event_id) where corrected is not null")
 def _(spark, sf):
-    d = R.correct(reads(spark, sf).withColumn("raw", F.substring("seq", 1, 8)), whitelist(spark, sf)).where("corrected is not null")
-    return d.select("event_id", F.concat_ws("_", "corrected", F.substring("seq", 9, 6), S.alteration(F.col("raw"), F.col("corrected"))).alias("header"))
+    d = B.assign(reads(spark, sf), Chemistry("B8U6"), [whitelist(spark, sf)], seq="seq").where("barcode is not null")
+    return d.select("event_id", F.concat_ws("_", "barcode", "umi", "alt").alias("header"))
 
 
 #: A layout with everything in it: an anchor, two barcode segments with lists of their own, a linker between them.

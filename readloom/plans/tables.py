@@ -256,6 +256,21 @@ def _(spark, sf):
 
 
 @query("cluster_cells")
+def _(spark, sf):
+    """Communities of the graph of shared neighbours of the embeddings, at the resolution that names clusters."""
+    from ..operators import clusters as U
+
+    return U.communities(neighbour_graph(spark, sf)).withColumnRenamed("node", "vec_id")
+
+
+def neighbour_graph(spark, sf):
+    from ..operators import clusters as U
+
+    e = t(spark, sf, "embeddings")
+    return U.shared_neighbours(K.knn(e, e, "vec_id", "embedding", U.neighbours_for(e.count())), "vec_id")
+
+
+@query("k_means")
 def _(spark, sf):
     from ..operators.methyl import principal_components
 
@@ -263,6 +278,39 @@ def _(spark, sf):
     return K.cluster_rows(p, "vec_id", "components", 10)
 
 
+@query("marker_filter", f"""with {DET}, {CELLS}, grp as (select cell, case when cast(cell as bigint) % 2 = 0 then 'even' else 'odd' end as cluster from (select distinct cell from cnt)),
+nm as (select cell, gene, 10000 * cast(umis as double) / cast(sum(umis) over (partition by cell) as double) as x from cnt),
+sz as (select cluster, count(*) as cells from grp group by 1), al as (select sum(cells) as total from sz),
+p as (select gene, cluster, count(*) as w, sum(x) as s from nm join grp using (cell) group by all), q as (select *, sum(w) over (partition by gene) as wa, sum(s) over (partition by gene) as sa from p),
+m as (select gene, cluster, round(cast(w as double) / cells, 6) as pct_1, round(cast(wa - w as double) / cast(total - cells as double), 6) as pct_2, round(log2((s / cells + 1) / ((sa - s) / cast(total - cells as double) + 1)), 6) as log2_fc from q join sz using (cluster), al)
+select * from m where greatest(pct_1, coalesce(pct_2, 0)) >= 0.1 and log2_fc >= 0.001""")
+def _(spark, sf):
+    from ..operators.clusters import filtered_markers
+
+    c = cnt(spark, sf)
+    return filtered_markers(K.marker_table(c, halves(c)), 0.1, 0.001)
+
+
+@query("regressed_scaling", f"""with {DET}, x as (select cell, gene, ln(1 + 10000 * cast(umis as double) / cast(sum(umis) over (partition by cell) as double)) as x from cnt), c as (select cell, cast(sum(umis) as double) as c from cnt group by cell),
+g as (select distinct gene from cnt), full_ as (select c.cell, g.gene, c, coalesce(x, 0) as y from c cross join g left join x on x.cell = c.cell and x.gene = g.gene),
+f as (select gene, regr_slope(y, c) as b, regr_intercept(y, c) as a from full_ group by gene), r as (select cell, gene, y - a - coalesce(b, 0) * c as r from full_ join f using (gene)), d as (select gene, sqrt(sum(r * r) / (count(*) - 1)) as sd from r group by gene)
+select cell, string_agg(format('{{:.4f}}', round(greatest(-10, least(10, r / (case when sd < 1e-9 then 1 else sd end))) + 1e-9, 4)), ',' order by gene) as features from r join d using (gene) group by cell""")
+def _(spark, sf):
+    from ..operators.clusters import scaled
+
+    c = cnt(spark, sf)
+    x = c.select("cell", "gene", F.log1p(10000 * F.col("umis") / F.sum("umis").over(Window.partitionBy("cell"))).alias("x"))
+    d = scaled(x, c.select("gene").distinct(), c.groupBy("cell").agg(F.sum("umis").cast("double").alias("c")))
+    return d.select("cell", F.array_join(F.transform("features", lambda v: F.format_string("%.4f", F.round(v + 1e-9, 4))), ",").alias("features"))
+
+
+@query("standardised_variance")
+def _(spark, sf):
+    from ..operators.clusters import standardised_variance
+
+    return standardised_variance(cnt(spark, sf), 2000)
+
+
 @query("methyl_trim")
 def _(spark, sf):
     from ..operators.matching import methyl_trim

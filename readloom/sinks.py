@@ -138,6 +138,41 @@ def with_header(df: DataFrame, schema: str) -> DataFrame:
     return df.select(*[(F.col(n) if n in df.columns else F.lit(None)).cast(k).alias(n) for n, k in kinds])
 
 
+def remap_file(spark: SparkSession, source: str, target: str, barcodes: DataFrame, column: str | int = 0, umi: str | None = None, umi_length: int | None = None) -> None:
+    """A file with its barcodes replaced by entries of another list (see operators.names.remap), in its own format, told by its name.
+
+    csv and tsv have a header and the barcode in the named column; bed has none and a number for it; json holds objects, a line each; fastq, fasta
+    and bam have it in front of the first underscore of their names.
+    """
+    from .operators.names import remap
+    from .sources.bam import read_bam
+    from .sources.files import fastq_frame, read_fasta
+
+    kind = next((k for k in ("csv", "tsv", "bed", "json", "fastq", "fq", "fasta", "fa", "bam") if f".{k}" in source.rsplit("/", 1)[-1]), None)
+    if kind in ("csv", "tsv", "bed"):
+        sep, head = {"csv": ",", "tsv": "\t", "bed": "\t"}[kind], kind != "bed"
+        d = spark.read.option("sep", sep).option("header", head).csv(source)
+        name = d.columns[column] if isinstance(column, int) else column
+        remap(d, name, barcodes, umi, umi_length).select(*d.columns).write.option("sep", sep).option("header", head).csv(target)
+    elif kind == "json":
+        d = spark.read.json(source)
+        remap(d, d.columns[column] if isinstance(column, int) else column, barcodes, umi, umi_length).select(*d.columns).write.json(target)
+    elif kind in ("fastq", "fq", "fasta", "fa", "bam"):
+        d, name = (read_bam(spark, source), "qname") if kind == "bam" else (fastq_frame(spark, source), "name") if kind in ("fastq", "fq") else (read_fasta(spark, source), "name")
+        d = d.withColumns({"__bc": F.split_part(name, F.lit("_"), F.lit(1)), "__rest": F.regexp_extract(name, "^[^_]*(.*)$", 1)})
+        d = remap(d, "__bc", barcodes).withColumn(name, F.concat("__bc", "__rest")).drop("__bc", "__rest")
+        if kind == "bam":
+            from .sources.bam import references, write_bam
+
+            write_bam(d, target, references(source))
+        elif kind in ("fastq", "fq"):
+            write_fastq(d, target)
+        else:
+            write_fasta(d, target)
+    else:
+        raise ValueError(f"{source}: no format known by that name")
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Renames a file or folder; the target must not exist."""
     at, fs = _file_system(spark, source)

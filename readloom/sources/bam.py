@@ -184,6 +184,12 @@ def read_bam(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.format("bam_files").option("paths", ",".join(x for p in paths for x in listed(p))).load()
 
 
+def references(path: str) -> list[tuple[str, int]]:
+    """(reference, length) of a file's header."""
+    with open_input(listed(path)[0], plain=True) as f:
+        return header_of(_Stream(inflate(f)))[1]
+
+
 def parsed_cigar(cigar: str = "cigar") -> Column:
     """array<struct<n,op>>."""
     n, op = (F.regexp_extract_all(cigar, F.lit(r"(\d+)([MIDNSHP=X])"), F.lit(g)) for g in (1, 2))

@@ -13,7 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..shipping import ship
 from .bam import read_bam  # noqa: F401
-from .paths import open_input
+from .paths import listed, open_input
 from .text import ascii_only
 
 PAIR = "name string, r1_seq string, r1_qual string, r2_seq string, r2_qual string, ordinal bigint, file int"
@@ -83,6 +83,13 @@ def read_fastq_pairs(spark: SparkSession, r1: list[str], r2: list[str]) -> DataF
     return spark.read.format("fastq_pairs").option("r1", ",".join(r1)).option("r2", ",".join(r2)).load()
 
 
+def fastq_frame(spark: SparkSession, *paths: str) -> DataFrame:
+    """(name, seq, qual, ordinal, file) of single FASTQ files; a folder or pattern stands for its files."""
+    files = [x for p in paths for x in listed(p)]
+    d = read_fastq_pairs(spark, files, files)
+    return d.select("name", F.col("r1_seq").alias("seq"), F.col("r1_qual").alias("qual"), "ordinal", "file")
+
+
 class ZippedRecords(DataSource):
     """Records of several FASTA or FASTQ files that belong together by position (barcode, UMI, mates): one row of all of
     them, never a join on made-up ids. Option `files`: groups separated by ;, files of a group by commas."""
