@@ -738,7 +738,7 @@ def test_search_is_exact(spark):
     d = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     bits = {i: sum(1 << k for k, v in enumerate(e) if v > 0) for i, e in rows if e is not None}
     asked = d.where("vec_id % 50 = 0")
-    for width in (None, 16, 11):
+    for width in (search.WIDTH, 16, 11):
         got = collections.defaultdict(list)
         for x in search.search(d, asked, 10, width=width).collect():
             got[x.query].append((x.rank, x.distance, x.neighbour))
