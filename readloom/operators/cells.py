@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .ranking import benjamini_hochberg, ranked  # noqa: F401
 
 
@@ -102,6 +103,7 @@ def ambient_test(counts: DataFrame, cands: DataFrame, profile: DataFrame, simula
     The profile has a row for each gene and goes to the workers; all candidates of one total share their
     simulations, drawn from a seed that depends on the total alone, so reruns and other partitionings agree.
     """
+    ship(counts.sparkSession)
     rows = profile.orderBy("gene").collect()
     genes, p = {r[0]: i for i, r in enumerate(rows)}, np.array([r[1] for r in rows])
     lgam = np.vectorize(math.lgamma)

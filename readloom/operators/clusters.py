@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..scratch import settle, tidy
+from ..shipping import ship
 
 #: Fixed values of the workflow: share of points in a local fit, places it is made at, least overlap of neighbours, largest scaled value.
 SPAN, PLACES, OVERLAP, LARGEST = 0.3, 200, 1 / 15, 10.0
@@ -69,6 +70,7 @@ def scaled(values: DataFrame, genes: DataFrame, covariate: DataFrame) -> DataFra
 
     The regression of a gene needs sums over its cells alone. What goes to the driver is a row for each of the genes, a few thousand.
     """
+    ship(values.sparkSession)
     total = covariate.agg(F.count("*"), F.sum("c"), F.sum(F.col("c") * F.col("c"))).first()
     n, sx, sxx = total[0], float(total[1] or 0), float(total[2] or 0)
     d = values.join(genes.select("gene"), "gene", "left_semi").join(covariate, "cell")

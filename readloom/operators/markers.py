@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..shipping import ship
+
 
 def top_markers(df: DataFrame, by: str, order: list, n: int) -> DataFrame:
     return df.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("r") <= n).drop("r")
@@ -35,6 +37,7 @@ def knn(queries: DataFrame, rows: DataFrame, key: str, vec: str, k: int, block:
     Queries and rows meet in blocks: a task holds one block of each and keeps k rows per query, whose best k
     over all blocks are the answer.
     """
+    ship(rows.sparkSession)
     nq = max(1, -(-queries.count() // block))
     nr = max(1, -(-rows.count() // (10 * block)))
     q = queries.select(F.col(key).alias("id"), F.col(vec).alias("v"), F.lit(True).alias("ask"), F.pmod(F.xxhash64(key), F.lit(nq).cast("long")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nr - 1).cast("long"))).alias("j"))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..shipping import ship
+
 
 def chain_counts(hits: DataFrame) -> DataFrame:
     """(qname, chain) hits -> (chain, reads): the chain most hits of a read have; unknown where two tie."""
@@ -66,6 +68,8 @@ def clone_groups(contigs: DataFrame, identity: float) -> DataFrame:
     import numpy as np
     import pandas as pd
 
+    ship(contigs.sparkSession)
+
     def link(df: pd.DataFrame) -> pd.DataFrame:
         if df["junction"].isna().any() or df["v"].isna().any() or df["j"].isna().any():
             return pd.DataFrame({"contig": df["contig"], "clone": None})

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import seq as S
 from ..scratch import settle, tidy
+from ..shipping import ship
 
 Log = list[tuple[str, int, str, int]]
 
@@ -142,6 +143,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, str,
 
 def _walk(umis: DataFrame, schema: str, rows) -> DataFrame:
     """Rows made from each group, many groups to a batch: a group alone is a few rows, too few for a call of its own."""
+    ship(umis.sparkSession)
     kinds = [pa.string(), pa.string(), *([pa.string(), pa.int64()] if "num" in schema else [pa.string(), pa.string()])]
     names = [x.split()[0] for x in schema.split(", ")]
 

@@ -270,14 +270,6 @@ def neighbour_graph(spark, sf):
     return U.shared_neighbours(K.knn(e, e, "vec_id", "embedding", U.neighbours_for(e.count())), "vec_id")
 
 
-@query("k_means")
-def _(spark, sf):
-    from ..operators.methyl import principal_components
-
-    p = principal_components(t(spark, sf, "embeddings"), "vec_id", "embedding", 8)
-    return K.cluster_rows(p, "vec_id", "components", 10)
-
-
 @query("marker_filter", f"""with {DET}, {CELLS}, grp as (select cell, case when cast(cell as bigint) % 2 = 0 then 'even' else 'odd' end as cluster from (select distinct cell from cnt)),
 nm as (select cell, gene, 10000 * cast(umis as double) / cast(sum(umis) over (partition by cell) as double) as x from cnt),
 sz as (select cluster, count(*) as cells from grp group by 1), al as (select sum(cells) as total from sz),
