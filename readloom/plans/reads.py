@@ -183,7 +183,7 @@ alts as (select event_id, candidates[1] as barcode, string_agg((i - 1) || substr
 assigned as (select live.*, barcode, case when status = 'valid' then case when corrected then diff else 'M' end end as alt from live left join alts using (event_id)),
 seen as (select raw as c, count(*) as n from assigned where raw is not null group by raw),
 options as (select distinct raw, unnest(candidates) as c from assigned where status = 'multi'),
-best as (select raw, arg_min(c, (-n, c)) as chosen from options join seen using (c) group by raw),
+best as (select raw, c as chosen from (select raw, c, row_number() over (partition by raw order by n desc, c) as r from options join seen using (c)) where r = 1),
 rescued as (select event_id, case when status <> 'multi' then status when chosen is null then 'no_rescue' else 'rescued' end as status, raw, umi, rest, corrected, case when status = 'multi' then chosen else barcode end as barcode, alt from assigned left join best using (raw)),
 outcome as (select *, case when barcode is null then null when length(rest) < {LEAST[0]} or 30 < {LEAST[1]} then 'too_short' else 'kept' end as outcome from rescued)"""
 

@@ -271,7 +271,9 @@ def _(spark, sf):
 #: adjacency: leads are the shortest prefix of the component's order whose neighbours cover it; of these the first next to the UMI.
 CLAIMS = {
     "cluster": f"with recursive {NODES}, s as (select * from e), {CC}, ranked as (select n.*, comp, row_number() over (partition by comp order by num desc, umi) as r from n join comp using (node)), claim as (select x.node, y.node as lead from ranked x join ranked y on x.comp = y.comp and y.r = 1)",
-    "directional": f"with recursive {NODES}, s as (select e.a, e.b from e join n x on x.node = e.a join n y on y.node = e.b where x.num >= 2 * y.num - 1), reach as (select node, node as other from n union select reach.node, s.b from reach join s on s.a = reach.other), claim as (select reach.other as node, arg_min(n.node, (-n.num, n.umi)) as lead from reach join n on n.node = reach.node group by reach.other)",
+    "directional": f"""with recursive {NODES}, o as (select *, row_number() over (partition by cell, gene order by num desc, umi) as r, row_number() over () as id from n),
+s as (select x.id as a, y.id as b from e join o x on x.node = e.a join o y on y.node = e.b where x.num >= 2 * y.num - 1), reach as (select id, id as other from o union select reach.id, s.b from reach join s on s.a = reach.other),
+firsts as (select reach.other as id, min(o.r) as r from reach join o on o.id = reach.id group by reach.other), claim as (select o.node, l.node as lead from firsts join o on o.id = firsts.id join o l on l.cell = o.cell and l.gene = o.gene and l.r = firsts.r)""",
     "adjacency": f"""with recursive {NODES}, s as (select * from e), {CC}, ranked as (select n.*, comp, row_number() over (partition by comp order by num desc, umi) as r from n join comp using (node)),
 near as (select x.node, min(y.r) as first from ranked x join e on e.a = x.node join ranked y on y.node = e.b group by x.node), need as (select comp, max(least(r, coalesce(first, r))) as k from ranked left join near using (node) group by comp),
 claim as (select ranked.node, case when r <= k then ranked.node else (select arg_min(y.node, y.r) from e join ranked y on y.node = e.b where e.a = ranked.node and y.r <= k) end as lead from ranked join need using (comp))""",
