@@ -186,7 +186,7 @@ SPARSE = IV + ", few as (select * from iv where gene % 97 = 0)"
 @query("split_plan", f"""with recursive {SPARSE}, lens(chrom, length) as (values ('chrA', 3000), ('chrN', 1700), ('chrR', 700)),
 c(chrom, length, pos) as (select chrom, length, 0 from lens where length > 800 union all
   select chrom, length, (select max(x) from (select unnest(range(c.pos, c.pos + 801, 1)) as x) where (c.pos + 800 - x) % 5 = 0 and not exists (select 1 from few where few.chrom = c.chrom and x >= start and x < greatest("end", start + 1))) from c where length - pos > 800)
-select chrom, pos from c where pos > 0""")
+select chrom, cast(pos as bigint) as pos from c where pos > 0""")
 def _(spark, sf):
     lengths = spark.createDataFrame(list(LONG.items()), "chrom string, length long")
     return I.split_plan(lengths, iv(spark, sf).where("gene % 97 = 0"), 800, 5)
