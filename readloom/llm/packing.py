@@ -107,12 +107,13 @@ k as (select least({BUCKETS}, max(i)) as k, max(i) as cells from r),
 dp as (select 0 as j, 0 as i, cast(0 as bigint) as cost, 0 as cut
        union all
        select j + 1, i, cost, cut from (
-         select dp.j, b.i, min(dp.cost + b.bound * (b.n - a.n) - (b.total - a.total)) as cost, arg_min(a.i, (dp.cost + b.bound * (b.n - a.n) - (b.total - a.total), a.i)) as cut
-         from dp join r a on a.i = dp.i join r b on b.i > a.i, k where dp.j < k.k group by dp.j, b.i
+         select j, i, cast(packed // 16777216 as bigint) as cost, cast(packed % 16777216 as bigint) as cut from (
+           select dp.j, b.i, min(cast(dp.cost + b.bound * (b.n - a.n) - (b.total - a.total) as hugeint) * 16777216 + a.i) as packed
+           from dp join r a on a.i = dp.i join r b on b.i > a.i, k where dp.j < k.k group by dp.j, b.i)
          union all select dp.j, 0, 0, 0 from dp, k where dp.i = 0 and dp.j < k.k)),
 way as (select k.k as j, cells as i from k union all select way.j - 1, dp.cut from way join dp on dp.j = way.j and dp.i = way.i where dp.cut > 0),
 bounds as (select bound, row_number() over (order by bound) - 1 as bucket from (select distinct r.bound from way join r using (i) where i > 0)),
 p as (select doc_id, length, key, (select count(*) from bounds where bounds.bound < length) as bucket from d),
 q as (select p.*, bound, row_number() over (partition by p.bucket order by key, length) - 1 as nth, greatest(1, {BUDGET} // bound) as room from p join bounds using (bucket))
-select doc_id, length, bucket, bound, cast(nth // room as bigint) as batch, cast(nth % room as bigint) as slot, bound - length as padding from q
+select doc_id, length, bucket, cast(bound as bigint) as bound, cast(nth // room as bigint) as batch, cast(nth % room as bigint) as slot, cast(bound - length as bigint) as padding from q
 """
