@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import math
-from collections import deque
 
 import pyarrow as pa
 import regex
@@ -15,7 +14,8 @@ from .common import table
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's publisher cuts text before its pieces apply; a fixed value.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-NODES = 500_000  # nodes that a task's trie grows to before it starts a new one; results do not depend on it
+NODES = 1_000_000  # nodes that a task's trie grows to before it starts a new one; results do not depend on it
+RECENT = 65_536  # scores of one very long pre-token that are kept before those out of any piece's reach go
 
 
 def read_pieces(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -58,7 +58,7 @@ class ForwardTrie:
     def insert(self, token: str) -> int:
         raw = token.encode("utf-8", "surrogatepass")
         children, forward, pieces, longest = self.children, self.forward, self.pieces, self.longest
-        recent = deque([forward[0]], maxlen=longest)  # forward scores of the last prefixes
+        scores, base = [forward[0]], 0  # forward scores of the prefixes from length `base` on
         node: int | None = 0  # None: beyond what the trie may hold, scores are computed but not stored
         for depth, byte in enumerate(raw, 1):
             child = children.get((node, byte)) if node is not None else None
@@ -66,20 +66,24 @@ class ForwardTrie:
                 best = forward[child]
             else:
                 best = None
-                for back, (score, count) in enumerate(reversed(recent), 1):
-                    cost = pieces.get(raw[depth - back : depth])
+                for start in range(max(0, depth - longest), depth):
+                    cost = pieces.get(raw[start:depth])
                     if cost is not None:
+                        score, count = scores[start - base]
                         found = (score + cost, count + 1)
                         if best is None or found < best:
                             best = found
                 if node is not None and len(forward) < self.nodes:
                     child = children[node, byte] = len(forward)
                     forward.append(best)
-            recent.append(best)
+            scores.append(best)
+            if len(scores) > RECENT:
+                base += len(scores) - longest
+                del scores[:-longest]
             node = child
         if node is not None:
-            self.counts[token] = recent[-1][1]
-        return recent[-1][1]
+            self.counts[token] = scores[-1][1]
+        return scores[-1][1]
 
     def count(self, tokens: list[str]) -> int:
         counts, total = self.counts, 0
