@@ -38,12 +38,13 @@ def clonotypes(cells: DataFrame) -> DataFrame:
     per = cells.groupBy("clone", "nt").agg(F.count("*").alias("n"), F.min("aa").alias("aa"))
     key = F.struct(F.col("nt").contains(";").cast("int").alias("paired"), "n", "nt")
     out = per.groupBy("clone").agg(F.sum("n").alias("frequency"), F.max_by("aa", key).alias("cdr3s_aa"), F.max_by("nt", key).alias("cdr3s_nt"))
-    return out.withColumn("proportion", F.round(F.col("frequency") / F.sum("frequency").over(Window.partitionBy()), 9))
+    total = out.agg(F.sum("frequency").alias("__all"))  # one row
+    return out.crossJoin(F.broadcast(total)).withColumn("proportion", F.round(F.col("frequency") / F.col("__all"), 9)).drop("__all")
 
 
 def diversity(clones: DataFrame) -> DataFrame:
-    p = F.col("frequency") / F.sum("frequency").over(Window.partitionBy())
-    return clones.select(p.alias("p")).agg(F.round(F.coalesce(F.try_divide(F.lit(1.0), F.sum(F.pow("p", F.lit(2)))), F.lit(0.0)), 6).alias("diversity"))
+    total = clones.agg(F.sum("frequency").alias("__all"))  # one row
+    return clones.crossJoin(F.broadcast(total)).select((F.col("frequency") / F.col("__all")).alias("p")).agg(F.round(F.coalesce(F.try_divide(F.lit(1.0), F.sum(F.pow("p", F.lit(2)))), F.lit(0.0)), 6).alias("diversity"))
 
 
 def ranked_ids(df: DataFrame, by: list[str], key: str, order: list, name: str) -> DataFrame:
