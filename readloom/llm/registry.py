@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from . import fim, media, mixing, neardup, packing, quality, resampling, search, secrets, suffixes, token_counts, toxicity
+from . import anchors, fim, media, mixing, neardup, packing, quality, resampling, search, secrets, suffixes, token_counts, toxicity
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_quality": quality.op9_quality,
     "op10_search": search.op10_search,
+    "op11_substrings": anchors.op11_substrings,
     "op12_fim": fim.op12_fim,
     "op13_resampling": resampling.op13_resampling,
     "media_payloads": media.media_payloads,
@@ -26,6 +27,7 @@ ORACLE = {
     "op8_secrets": secrets.ORACLE,
     "media_payloads": media.PAYLOAD_SQL,
     "op10_search": search.ORACLE,
+    "op11_substrings": anchors.ORACLE,
     "op12_fim": fim.ORACLE,
     "op13_resampling": resampling.ORACLE,
 }
