@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -97,33 +98,61 @@ def called_cells(first: DataFrame, tested: DataFrame, limit: float = 0.01) -> Da
     return first.select("cell").union(tested.where(F.col("q") < limit).select("cell")).distinct()
 
 
+def log_factorial(n: np.ndarray) -> np.ndarray:
+    return np.fromiter((math.lgamma(x + 1.0) for x in n), float, len(n))
+
+
+def trajectory(rng: np.random.Generator, edges: np.ndarray, logp: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Multinomial log-likelihoods of one simulated barcode as it grows molecule by molecule, after 1, 2, ... of them.
+
+    The n-th molecule, the k-th of its gene, adds log p + log(n / k). edges: cumulative shares; logs: logarithms of 1, 2, ...
+    """
+    n = len(logs)
+    gene = np.minimum(np.searchsorted(edges, rng.random(n) * edges[-1], "right"), len(edges) - 1)
+    order = np.argsort(gene.astype(np.uint16) if len(edges) <= 1 << 16 else gene, kind="stable")
+    run = gene[order]
+    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    nth = np.empty(n, np.int64)  # how many of its gene came before
+    nth[order] = np.arange(n) - np.repeat(first, np.diff(np.concatenate([first, [n]])))
+    return np.cumsum(logp[gene] + logs - logs[nth])
+
+
 def ambient_test(counts: DataFrame, cands: DataFrame, profile: DataFrame, simulations: int = 10_000, seed: int = 1) -> DataFrame:
-    """(cell, umis, loglik, p): multinomial log-likelihood against the profile and its rank among simulations.
+    """(cell, umis, loglik, p): multinomial log-likelihood against the profile, and (1 + simulations strictly below) / (1 + simulations).
+
+    Each simulation is one barcode that grows through all totals, so the work is simulations x the largest total however many totals
+    there are; tasks own blocks of simulations, and send on how many lie below each candidate. A simulation is drawn from a
+    seed of its own, so reruns and other partitionings agree. Log-likelihoods that differ by a part in 10**9 are equal.
 
-    The profile has a row for each gene and goes to the workers; all candidates of one total share their
-    simulations, drawn from a seed that depends on the total alone, so reruns and other partitionings agree.
+    The profile has a row for each gene, and `cands` one for each tested barcode (20,000 of `candidates`): both go to the workers. A gene
+    of a candidate must be in the profile.
     """
-    ship(counts.sparkSession)
-    rows = profile.orderBy("gene").collect()
-    genes, p = {r[0]: i for i, r in enumerate(rows)}, np.array([r[1] for r in rows])
-    lgam = np.vectorize(math.lgamma)
-
-    def test(df: pd.DataFrame) -> pd.DataFrame:
-        total = int(df["total"].iloc[0])
-        rng = np.random.default_rng([seed, total])
-        logp = np.log(p)
-        table = lgam(np.arange(total + 2, dtype=float) + 1)
-        block, sims = max(1, 1_000_000 // len(p)), []
-        for lo in range(0, simulations, block):
-            draws = rng.multinomial(total, p, min(block, simulations - lo))
-            sims.append(table[total] + draws @ logp - table[draws].sum(1))
-        sims = np.sort(np.concatenate(sims))
-        out = []
-        for cell, g in df.groupby("cell", sort=True):
-            x, at = g["umis"].to_numpy(), g["gene"].map(genes).to_numpy()
-            ll = table[total] + float(x @ logp[at]) - table[x].sum()
-            out.append((cell, total, ll, (1 + int(np.searchsorted(sims, ll, "right"))) / (1 + simulations)))
-        return pd.DataFrame(out, columns=["cell", "umis", "loglik", "p"])
-
-    own = counts.join(cands.select("cell", F.col("umis").alias("total")), "cell")
-    return own.select("cell", "gene", F.col("umis"), "total").groupBy("total").applyInPandas(test, "cell string, umis long, loglik double, p double")
+    spark = counts.sparkSession
+    ship(spark)
+    share = np.array([r.p for r in profile.select("p").orderBy("gene").collect()])
+
+    @F.pandas_udf("double")
+    def factorial(n: pd.Series) -> pd.Series:
+        return pd.Series(log_factorial(n.to_numpy()))
+
+    own = counts.join(cands.select("cell", F.col("umis").alias("total")), "cell").join(profile.select("gene", "p"), "gene")
+    found = own.groupBy("cell", F.col("total").cast("long").alias("umis")).agg(F.sum(F.col("umis") * F.log("p") - factorial("umis")).alias("part"))
+    found = found.select("cell", "umis", (F.col("part") + factorial("umis")).alias("loglik"))
+    cells = found.orderBy("umis", "cell").toPandas()
+    if not len(cells):
+        return spark.createDataFrame([], found.schema.add("p", "double"))
+    total, bar = cells["umis"].to_numpy(), cells["loglik"].to_numpy()
+    bar = bar - 1e-9 * np.abs(bar)
+    largest = int(total.max())
+
+    def grow(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        edges, logp, logs, lower = np.cumsum(share), np.log(share), np.log(np.arange(1, largest + 1)), np.zeros(len(total), np.int64)
+        for frame in frames:
+            for number in frame["id"]:
+                lower += trajectory(np.random.default_rng([seed, int(number)]), edges, logp, logs)[total - 1] < bar
+        yield pd.DataFrame({"at": np.flatnonzero(lower), "n": lower[lower > 0]})
+
+    blocks = spark.range(0, simulations, 1, min(simulations, 4 * spark.sparkContext.defaultParallelism))
+    lower = {r["at"]: r.n for r in blocks.mapInPandas(grow, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
+    cells["p"] = [(1 + lower.get(i, 0)) / (1 + simulations) for i in range(len(cells))]
+    return spark.createDataFrame(cells, found.schema.add("p", "double"))

@@ -8,6 +8,9 @@ import logging
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,37 +57,69 @@ def delete(spark: SparkSession, path: str) -> None:
         logging.getLogger(__name__).warning("could not delete %s: %s", path, e)
 
 
-#: Folders to delete, of each running operator (see tidy) from the outermost; the first list lives as long as the session.
-_HELD: list[list[tuple[SparkSession, str]]] = [[]]
+class Scope:
+    """What a running operator has settled: `held` goes when it ends, `kept` is read by its result and goes with its caller's."""
+
+    def __init__(self):
+        self.held: list[tuple[SparkSession, str]] = []
+        self.kept: list[tuple[SparkSession, str]] = []
+
+
+#: Held at top level, by no operator: tables that results read, until they are released or the session ends.
+_TOP = Scope()
+#: The scope of the operator that runs in this thread (or task of asyncio); each thread has its own.
+_SCOPE: ContextVar[Scope] = ContextVar("readloom_scope", default=_TOP)
 
 
 def hold(spark: SparkSession, path: str, keep: bool = False) -> str:
-    """Has the folder deleted when the running operator ends or, if kept, when its caller does; at the latest with the session."""
-    _HELD[-2 if keep and len(_HELD) > 1 else -1].append((spark, path))
+    """Has the folder deleted when the running operator ends or, if kept, when its caller does; at top level with the session."""
+    scope = _SCOPE.get()
+    (scope.kept if keep and scope is not _TOP else scope.held).append((spark, path))
     return path
 
 
 def sweep() -> None:
-    """Deletes what is still held: tables that results of finished operators read. Those results can no longer be read."""
-    for held in _HELD:
-        while held:
-            delete(*held.pop())
+    """Deletes what is held at top level: tables that results of finished operators read. Those results can no longer be read.
+
+    Operators that are running, in whatever thread, keep theirs.
+    """
+    while _TOP.held:
+        delete(*_TOP.held.pop())
 
 
 atexit.register(sweep)
 
 
+@contextmanager
+def scope() -> Iterator[Scope]:
+    """Tables settled inside are deleted at the end, but for those settled with keep, which the scope around takes over; after an error all are."""
+    own, around = Scope(), _SCOPE.get()
+    token = _SCOPE.set(own)
+    try:
+        yield own
+        around.held.extend(own.kept)
+    except BaseException:
+        own.held.extend(own.kept)
+        raise
+    finally:
+        _SCOPE.reset(token)
+        for spark, path in own.held:
+            delete(spark, path)
+
+
 def tidy(operator):
-    """Deletes what an operator has settled once it returns, but for the tables that its result reads: those it settles with keep."""
+    """Deletes what an operator has settled once it returns, but for the tables that its result reads: those it settles with keep.
+
+    Where the result is a DataFrame, release(result) deletes these before the session ends.
+    """
 
     @functools.wraps(operator)
     def run(*args, **kwargs):
-        _HELD.append([])
-        try:
-            return operator(*args, **kwargs)
-        finally:
-            for spark, path in _HELD.pop():
-                delete(spark, path)
+        with scope() as own:
+            out = operator(*args, **kwargs)
+        if isinstance(out, DataFrame):
+            out.scratch_paths = [path for _, path in own.kept]
+        return out
 
     return run
 
@@ -95,12 +130,13 @@ def settle(df: DataFrame, keep: bool = False) -> DataFrame:
     path = hold(spark, f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}", keep)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    out.scratch_path = path
+    out.scratch_paths = [path]
     return out
 
 
 def release(df: DataFrame) -> None:
-    """Deletes a table of settle that nothing reads any more; other DataFrames are left alone."""
-    path = getattr(df, "scratch_path", None)
-    if path:
+    """Deletes the tables behind a result of settle or of an operator that nothing reads any more; other DataFrames are left alone."""
+    for path in df.__dict__.pop("scratch_paths", ()):
         delete(df.sparkSession, path)
+        for held in (_TOP.held, _SCOPE.get().held):
+            held[:] = [x for x in held if x[1] != path]
