@@ -86,3 +86,10 @@ def remap(df: DataFrame, barcode: str, barcodes: DataFrame, umi: str | None = No
     spare = F.repeat(F.lit("A"), F.length(barcode))
     d = d.withColumn(barcode, F.when(F.col(barcode).isNotNull(), F.coalesce("__new", spare))).drop("__old", "__new")
     return d.withColumn(umi, F.substring(umi, 1, umi_length)) if umi and umi_length else d
+
+
+def natural_key(name: str) -> Column:
+    """Orders names as sorting by name does: runs of digits as numbers, all other characters by their code."""
+    parts = F.regexp_extract_all(name, F.lit(r"(?s)(\d+|\D)"), F.lit(1))
+    digits = lambda x: F.ltrim(x, F.lit("0"))
+    return F.transform(parts, lambda x: F.when(x.rlike(r"^\d"), F.struct(F.lit(48).alias("code"), F.length(digits(x)).alias("size"), digits(x).alias("number"))).otherwise(F.struct(F.ascii(x).alias("code"), F.lit(0).alias("size"), F.lit("").alias("number"))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 from typing import BinaryIO
 
@@ -36,6 +37,17 @@ def open_input(path: str, plain: bool = False) -> BinaryIO:
     return system.open_input_stream(at, compression=None if plain else kind, buffer_size=1 << 20)
 
 
+def size_of(path: str) -> int:
+    system, at = located(path)
+    return system.get_file_info(at).size
+
+
+def open_seekable(path: str) -> BinaryIO:
+    """The file's bytes as they are, to be read from any place; small reads are served from a buffer."""
+    system, at = located(path)
+    return io.BufferedReader(system.open_input_file(at), 1 << 18)
+
+
 def open_output(path: str) -> BinaryIO:
     system, at = located(path)
     system.create_dir(at.rsplit("/", 1)[0], recursive=True)
