@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, delete, exists, hold, mix64, pieces, put, rolling, settle, shared_dir, slices, span_hash, table, text_of, tidy
+from .common import BYTE_CODE, delete, exists, hold, join_spread, mix64, pieces, put, rolling, settle, shared_dir, slices, span_hash, table, text_of, tidy
 
 SPAN = 400
 ANCHOR = 200
@@ -36,7 +36,6 @@ WINDOWS = 16_000  # windows, of SPAN bytes each, that a task sorts at once
 ROWS = 2_000  # entries to a task of the scan, about
 CROWD = 128  # entries to one shard beyond which they are cut finer
 BLOCK = 16  # windows in an aligned block of a crowded anchor
-SALT = 16  # parts in which a window that very many segments hold is joined back
 PLACES = np.uint64((1 << 24) - 1)  # bits of a packed minimum that hold the place
 PIECE = 8 << 20  # window starts handled at once in one very long text
 BROADCAST_KEYS = 200_000
@@ -218,11 +217,12 @@ def sort_windows(blocks: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["anchor", "segment", "held", "level", "start", "before", "edge"])
 
     windows = blocks.select("anchor", "segment", "held", "n", "level", "body", "lead").mapInArrow(run, "anchor long, segment long, held long, level int, start long, before int, edge binary")
-    key = ["anchor", "before", "edge"]
-    twice = windows.groupBy(*key).agg(F.sum("held").alias("places"), F.max("level").alias("newest")).where((F.col("places") > 1) & (F.col("newest") == NEW))
-    twice = twice.select(*key, F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
-    windows = windows.withColumn("salt", F.pmod("segment", F.lit(SALT).cast("long")).cast("int"))
-    return windows.join(twice, [*key, "salt"], "left_semi").select("anchor", "segment", "start", F.lit(1).cast("long").alias("n"))
+    windows = windows.select("segment", "held", "level", "start", F.struct("anchor", "before", "edge").alias("key"))
+    twice = windows.groupBy("key").agg(F.count("*").alias("rows"), F.sum("held").alias("places"), F.max("level").alias("newest")).where((F.col("places") > 1) & (F.col("newest") == NEW))
+    total = blocks.agg(F.sum("n")).first()[0] or 0
+    # a window that very many segments hold is no hot key: such windows are few, and broadcast
+    found = join_spread(windows, settle(twice.select("key", "rows")), "key", "rows", total)
+    return found.select("key.anchor", "segment", "start", F.lit(1).cast("long").alias("n"))
 
 
 def index_crowds(entries: DataFrame) -> DataFrame:
