@@ -1,10 +1,9 @@
-"""File sources: FASTQ pairs, SAM records, FASTA, 10x folders, cell stores, tables, logs, settings. BAM is in bam.py."""
+"""File sources: FASTQ groups, SAM records, FASTA, 10x folders, cell stores, tables, logs, settings. BAM is in bam.py."""
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
-from itertools import islice, zip_longest
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,104 +12,35 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..shipping import ship
 from .bam import read_bam  # noqa: F401
-from .paths import listed, open_input
+from .fastq import BEGIN, RECORDS, SPLIT, Range, fastq_frame, fastq_text, read_fastq_pairs, records, source_of, zipped  # noqa: F401
+from .paths import open_input
 from .text import ascii_only
 
-PAIR = "name string, r1_seq string, r1_qual string, r2_seq string, r2_qual string, ordinal bigint, file int"
-RECORDS = 10_000  # records of an Arrow batch
-
-
-class _Files(InputPartition):
+class _Group(InputPartition):
     def __init__(self, paths: list[str], number: int):
         self.paths, self.number = paths, number
 
 
-def _text(path: str) -> io.TextIOWrapper:
-    return io.TextIOWrapper(open_input(path), encoding="ascii", errors="replace", newline="\n")
-
-
-def fastq_chunks(path: str, size: int = RECORDS) -> Iterator[tuple[list[str], list[str], list[str]]]:
-    """Names, sequences and qualities of a file, so many records at a time; ValueError for one that is cut short or not FASTQ."""
-    with _text(path) as f:
-        while lines := list(islice(f, 4 * size)):
-            lines = [x.rstrip("\r\n") for x in lines]
-            names, seqs, quals = lines[0::4], lines[1::4], lines[3::4]
-            if len(lines) % 4 or not all(n.startswith("@") for n in names) or any(len(s) != len(q) for s, q in zip(seqs, quals)):
-                raise ValueError(f"{path} is not FASTQ, or cut short")
-            yield [n[1:] for n in names], seqs, quals
-
-
-class FastqPairs(DataSource):
-    """Read pairs of files given as comma-separated lists r1 and r2, plain or compressed, at paths or URIs.
-
-    One partition a pair: mates match by position, which a file cut at an offset no longer tells.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "fastq_pairs"
-
-    def schema(self) -> str:
-        return PAIR
-
-    def reader(self, schema):
-        return _Reader(self.options)
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options):
-        self.one, self.two = options["r1"].split(","), options["r2"].split(",")
-
-    def partitions(self):
-        if len(self.one) != len(self.two):
-            raise ValueError("r1 and r2 name different numbers of files")
-        return [_Files([a, b], i) for i, (a, b) in enumerate(zip(self.one, self.two))]
-
-    def read(self, part):
-        at, kinds = 0, [pa.string()] * 5 + [pa.int64(), pa.int32()]
-        for one, two in zip_longest(*map(fastq_chunks, part.paths), fillvalue=([], [], [])):
-            n = len(one[0])
-            if n != len(two[0]):
-                raise ValueError(f"{part.paths} hold different numbers of records")
-            cols = [[x.split(" ")[0] for x in one[0]], one[1], one[2], two[1], two[2], range(at, at + n), [part.number] * n]
-            at += n
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [c.split()[0] for c in PAIR.split(", ")])
-
-
-def read_fastq_pairs(spark: SparkSession, r1: list[str], r2: list[str]) -> DataFrame:
-    ship(spark)
-    spark.dataSource.register(FastqPairs)
-    return spark.read.format("fastq_pairs").option("r1", ",".join(r1)).option("r2", ",".join(r2)).load()
-
-
-def fastq_frame(spark: SparkSession, *paths: str) -> DataFrame:
-    """(name, seq, qual, ordinal, file) of single FASTQ files; a folder or pattern stands for its files."""
-    files = [x for p in paths for x in listed(p)]
-    d = read_fastq_pairs(spark, files, files)
-    return d.select("name", F.col("r1_seq").alias("seq"), F.col("r1_qual").alias("qual"), "ordinal", "file")
-
-
-class ZippedRecords(DataSource):
-    """Records of several FASTA or FASTQ files that belong together by position (barcode, UMI, mates): one row of all of
-    them, never a join on made-up ids. Option `files`: groups separated by ;, files of a group by commas."""
+class FastaGroups(DataSource):
+    """Records of several FASTA files that belong together by position. Option `files`: groups separated by ;, files of a group by commas."""
 
     @classmethod
     def name(cls) -> str:
-        return "zipped_records"
+        return "fasta_groups"
 
     def schema(self) -> str:
         return "name string, seqs array<string>, ordinal bigint, file int"
 
     def reader(self, schema):
-        return _ZippedReader(self.options)
+        return _GroupReader(self.options)
 
 
-class _ZippedReader(DataSourceReader):
+class _GroupReader(DataSourceReader):
     def __init__(self, options):
         self.groups = [g.split(",") for g in options["files"].split(";")]
 
     def partitions(self):
-        return [_Files(g, i) for i, g in enumerate(self.groups)]
+        return [_Group(g, i) for i, g in enumerate(self.groups)]
 
     def read(self, part):
         rows = enumerate(zip(*map(_sequences, part.paths), strict=True))
@@ -121,13 +51,14 @@ class _ZippedReader(DataSourceReader):
 
 
 def _sequences(path: str) -> Iterator[tuple[str, str]]:
-    with _text(path) as f:
+    """(name, sequence) of FASTA or FASTQ."""
+    with fastq_text(path) as f:
         first = f.read(1)
     if first == "@":
-        for names, seqs, _ in fastq_chunks(path):
+        for names, seqs, _ in records(Range(source_of(path), BEGIN, 0, None)):
             yield from zip((n.split(" ")[0] for n in names), seqs)
         return
-    with _text(path) as f:
+    with fastq_text(path) as f:
         name, parts = None, []
         for line in f:
             if line.startswith(">"):
@@ -140,10 +71,20 @@ def _sequences(path: str) -> Iterator[tuple[str, str]]:
             yield name, "".join(parts)
 
 
-def read_zipped(spark: SparkSession, groups: list[list[str]]) -> DataFrame:
+def _is_fastq(path: str) -> bool:
+    with open_input(path) as f:
+        return f.read(1) == b"@"
+
+
+def read_zipped(spark: SparkSession, groups: list[list[str]], split: int = SPLIT) -> DataFrame:
+    """(name, seqs, ordinal, file): records of several FASTA or FASTQ files that belong together by position (barcode, UMI, mates), one row of all of
+    them, never a join on made-up ids. Groups of FASTQ files alone, equally many in each, are read in parts; others are a task each."""
+    if len({len(g) for g in groups}) == 1 and all(_is_fastq(p) for g in groups for p in g):
+        d = zipped(spark, groups, split)
+        return d.select("name", F.array(*[f"seq_{i}" for i in range(len(groups[0]))]).alias("seqs"), "ordinal", "file")
     ship(spark)
-    spark.dataSource.register(ZippedRecords)
-    return spark.read.format("zipped_records").option("files", ";".join(",".join(g) for g in groups)).load()
+    spark.dataSource.register(FastaGroups)
+    return spark.read.format("fasta_groups").option("files", ";".join(",".join(g) for g in groups)).load()
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
