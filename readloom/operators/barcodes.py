@@ -50,15 +50,18 @@ def assign(reads: DataFrame, chemistry: Chemistry, whitelists: list[DataFrame] =
     rest is what follows the layout.
     """
     cols = reads.columns
-    d = reads
+    d, own = reads, "__"
+    while any(c.startswith(own) for c in cols):  # the names of columns on the way are those of no column that is there
+        own += "_"
+    at_col = f"{own}at"
     if chemistry.shift:
         at = F.locate(chemistry.pattern, F.substring(seq, 1, 7))
-        d = d.withColumn("__at", at)
+        d = d.withColumn(at_col, at)
     else:
-        d = d.withColumn("__at", F.lit(0))
+        d = d.withColumn(at_col, F.lit(0))
     start, steps, umis, raws, parts, fixed = 0, [], [], [], [], []
     none = F.array().cast("array<string>")
-    here = lambda column, at, n: F.substring(F.col(column), F.col("__at") + at + 1, F.lit(n))
+    here = lambda column, at, n: F.substring(F.col(column), F.col(at_col) + at + 1, F.lit(n))
     nth = {"B": 0, "L": 0}
     for code, n in chemistry.segments:
         if code == "U":
@@ -66,7 +69,7 @@ def assign(reads: DataFrame, chemistry: Chemistry, whitelists: list[DataFrame] =
         elif code in nth:
             i, lists = nth[code], (whitelists if code == "B" else linkers)
             nth[code] += 1
-            name = f"__{code}{i}"
+            name = f"{own}{code}{i}"
             d = d.withColumn(name, here(seq, start, n))
             if code == "B":
                 raws.append(F.col(name))
@@ -90,7 +93,7 @@ def assign(reads: DataFrame, chemistry: Chemistry, whitelists: list[DataFrame] =
         start += n
     bad = F.coalesce(*steps, F.lit(None).cast("string")) if steps else F.lit(None).cast("string")
     several = reduce(lambda a, b: a | b, [F.size(p) > 1 for p in parts], F.lit(False))
-    status = F.when(F.col("__at") < 0, "no_anchor") if not chemistry.shift else F.when(F.coalesce(F.col("__at"), F.lit(0)) == 0, "no_anchor")
+    status = F.when(F.col(at_col) < 0, "no_anchor") if not chemistry.shift else F.when(F.coalesce(F.col(at_col), F.lit(0)) == 0, "no_anchor")
     join = lambda p: F.concat(*p) if p else F.lit("")
     d = d.withColumn("status", status.when(bad.isNotNull(), bad).when(several, "multi").otherwise("valid"))
     one = F.col("status") == "valid"
@@ -101,11 +104,11 @@ def assign(reads: DataFrame, chemistry: Chemistry, whitelists: list[DataFrame] =
     d = d.withColumn("corrected", F.coalesce(live & reduce(lambda a, b: a | b, fixed, F.lit(False)), F.lit(False)))
     d = d.withColumn("umi", F.when(live, join(umis)))
     d = d.withColumn("alt", F.when(one, F.when(F.col("corrected"), S.alteration(F.col("raw"), F.col("barcode"))).otherwise(F.lit("M"))))
-    rest = lambda c: F.when(live, F.substring(F.col(c), F.col("__at") + start + 1, F.lit(1 << 30)))
+    rest = lambda c: F.when(live, F.substring(F.col(c), F.col(at_col) + start + 1, F.lit(1 << 30)))
     d = d.withColumn("rest", rest(seq))
     if qual in cols:
         d = d.withColumn("rest_qual", rest(qual))
-    return d.drop("__at", *[c for c in d.columns if c.startswith("__")])
+    return d.drop(*[c for c in d.columns if c.startswith(own)])
 
 
 def rescue_multi(assigned: DataFrame) -> DataFrame:

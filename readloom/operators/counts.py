@@ -107,10 +107,14 @@ def top_barcodes(reads: DataFrame, limit: int = 12_000, skip: Column | None = No
     return d.groupBy("cell").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cell").limit(limit)
 
 
+def with_barcode(reads: DataFrame, missing: str = "missing_barcode", cell: str = "cell") -> DataFrame:
+    """The reads that have a barcode."""
+    return reads.where(F.col(cell) != missing)
+
+
 def barcode_distinct(reads: DataFrame, missing: str = "missing_barcode") -> DataFrame:
     """(cell, umis, reads): distinct UMIs and reads of each barcode, most reads first; reads without a barcode are left out."""
-    d = reads.where(F.col("cell") != missing)
-    per = d.groupBy("cell", "umi").agg(F.count("*").alias("n")).groupBy("cell")
+    per = with_barcode(reads, missing).groupBy("cell", "umi").agg(F.count("*").alias("n")).groupBy("cell")
     return per.agg(F.count("umi").alias("umis"), F.sum("n").alias("reads")).orderBy(F.desc("reads"), "cell")
 
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.bam import coordinate_order
+from .ranking import ordinals
+
 
 def binned(iv: DataFrame, width: int, start: str = "start", end: str = "end") -> DataFrame:
     """A row for each bin that an interval touches."""
@@ -151,3 +154,14 @@ def split_sequences(fasta: DataFrame, cuts: DataFrame) -> DataFrame:
     start = F.when(F.col("i") > 0, F.try_element_at("ends", F.col("i"))).otherwise(F.lit(0).cast("long"))
     name = F.when(F.size("ends") > 1, F.concat("name", F.lit("_s"), F.col("i").cast("string"))).otherwise(F.col("name"))
     return d.select(name.alias("name"), F.substring(F.col("seq"), (start + 1).cast("int"), (F.col("end") - start).cast("int")).alias("seq"))
+
+
+def coordinate_rank(records: DataFrame, refs: list[tuple[str, int]], ties: list[str], name: str, ref: str = "ref", pos: str = "pos") -> DataFrame:
+    """Adds the place of each record, from 1, among those of its reference in coordinate order; a reference is sorted by all tasks together.
+
+    References come as in `refs` (name, length), records without one last; records at one position come in the order of `ties`.
+    """
+    d = ordinals(records, [*coordinate_order(refs, ref, pos), *ties], "__all")
+    least = d.groupBy(ref).agg(F.min("__all").alias("__first"))  # a row for each reference
+    least = least.withColumnRenamed(ref, "__ref")
+    return d.join(F.broadcast(least), F.col(ref).eqNullSafe(F.col("__ref"))).withColumn(name, F.col("__all") - F.col("__first") + 1).drop("__all", "__first", "__ref")

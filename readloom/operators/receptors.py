@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..shipping import ship
+from .ranking import ordinals
 
 
 def chain_counts(hits: DataFrame) -> DataFrame:
@@ -50,6 +51,8 @@ def diversity(clones: DataFrame) -> DataFrame:
 def ranked_ids(df: DataFrame, by: list[str], key: str, order: list, name: str) -> DataFrame:
     """Numbers keys from 1 by descending size inside `by`, then by `order`."""
     per = df.groupBy(*by, key).agg(F.count("*").alias("n"))
+    if not by:  # all keys are one list: ranges of it are sorted over all tasks
+        return ordinals(per, [F.desc("n"), *order], name, "int")
     w = Window.partitionBy(*by).orderBy(F.desc("n"), *order)
     return per.withColumn(name, F.row_number().over(w))
 

@@ -175,19 +175,28 @@ def merge_log(umis: DataFrame, method: str, threshold: int = 1) -> DataFrame:
     return _walk(umis, "cell string, gene string, from string, to string", rows)
 
 
-def follow_merges(umis: DataFrame, log: DataFrame, recursive: bool = False, most: int = 32) -> DataFrame:
+@tidy
+def follow_merges(umis: DataFrame, log: DataFrame, recursive: bool = False) -> DataFrame:
     """(cell, gene, umi, ...) with corrected: what the log (see merge_log) says the UMI was merged into, itself if nothing.
 
-    recursive follows the log on from there, `most` steps at the furthest.
+    recursive follows the log on from there to its end: each round doubles how far every entry of the log leads, so a chain of n
+    merges takes log2(n) rounds. A log that leads in a circle is an error. Of several entries for one UMI the least `to` counts.
     """
-    into = log.select("cell", "gene", F.split_part("from", F.lit(":"), F.lit(1)).alias("__a"), F.split_part("to", F.lit(":"), F.lit(1)).alias("__b"))
-    d = umis.withColumn("corrected", F.col("umi"))
-    for _ in range(most if recursive else 1):
-        hit = d.join(into.withColumnRenamed("__a", "corrected"), ["cell", "gene", "corrected"], "left")
-        if recursive and hit.where("__b is not null").isEmpty():
+    place = ["cell", "gene"]
+    into = log.select(*place, F.split_part("from", F.lit(":"), F.lit(1)).alias("__a"), F.split_part("to", F.lit(":"), F.lit(1)).alias("__b"))
+    into = settle(into.where("__a != __b").groupBy(*place, "__a").agg(F.min("__b").alias("__b")), keep=True)
+    rounds = into.count().bit_length() + 1 if recursive else 0
+    for _ in range(rounds):
+        further = into.select(*place, F.col("__a").alias("__b"), F.col("__b").alias("__c"))
+        ahead = settle(into.join(further, [*place, "__b"], "left"), keep=True)
+        if ahead.where("__c is not null").isEmpty():
             break
-        d = hit.withColumn("corrected", F.coalesce("__b", "corrected")).drop("__b").select(*umis.columns, "corrected")
-    return d
+        into = ahead.select(*place, "__a", F.coalesce("__c", "__b").alias("__b"))
+    else:
+        if recursive and rounds > 1:
+            raise ValueError("the log of merges leads in a circle")
+    ends = into.withColumnRenamed("__a", "umi")
+    return umis.join(ends, [*place, "umi"], "left").withColumn("corrected", F.coalesce("__b", "umi")).select(*umis.columns, "corrected")
 
 
 def receptor_filter(umis: DataFrame, share: float = 0.1, threshold: int = 1) -> DataFrame:

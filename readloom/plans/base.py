@@ -12,7 +12,9 @@ ORACLE: dict = {}
 
 
 def query(name: str, sql: str | None = None):
-    """Registers a query and its SQL."""
+    """Registers a query and its SQL, once for each name."""
+    if name in QUERIES:
+        raise ValueError(f"there is a query {name} already")
 
     def put(f):
         QUERIES[name] = f

@@ -111,7 +111,7 @@ def _(spark, sf):
     return K.clone_matrix(meta(spark, sf, "IGH", "IGK", "IGL", "B"), "IG")
 
 
-@query("clone_matrix", "with " + META.format(h="TRB", a="TRA", b="TRG") + " " + _shares(TR))
+@query("clone_matrix_tr", "with " + META.format(h="TRB", a="TRA", b="TRG") + " " + _shares(TR))
 def _(spark, sf):
     return K.clone_matrix(meta(spark, sf, "TRB", "TRA", "TRG", "abT"), "TR")
 

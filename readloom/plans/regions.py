@@ -7,7 +7,9 @@ from pyspark.sql.window import Window
 
 from ..operators import intervals as I
 from ..operators import methyl as M
-from .base import ALN, alignments, query, t
+from ..operators import pileup as U
+from ..functions.seq import dna
+from .base import ALN, D, alignments, query, t
 
 IV = "iv as (select o_orderkey as gene, case cast(o_orderkey % 3 as integer) when 0 then 'chrA' when 1 then 'chrN' else 'chrR' end as chrom, cast(date_diff('day', date '1992-01-01', cast(o_orderdate as date)) as bigint) as start, cast(date_diff('day', date '1992-01-01', cast(o_orderdate as date)) as bigint) + o_orderkey % 4 as \"end\" from orders)"
 
@@ -112,10 +114,10 @@ def _(spark, sf):
 
 
 @query("covered_features", f"""with {ALLC}, b as (select cell, chrom, cast(floor((pos - 1) / 100) as bigint) as bin, cast(sum(mc) as bigint) as mc, cast(sum(cov) as bigint) as cov from allc where context like 'CG%' group by all), n as (select count(distinct cell) as n from allc),
-g as (select chrom, bin from b, n group by chrom, bin, n having cast(sum(cov) as double) / n > 100) select b.* from b join g using (chrom, bin)""")
+g as (select chrom, bin from b, n group by chrom, bin, n having cast(sum(cov) as double) / n > 68) select b.* from b join g using (chrom, bin)""")
 def _(spark, sf):
     a = allc(spark, sf)
-    return M.covered_features(M.bins(a, 100), a.select("cell").distinct(), 100)
+    return M.covered_features(M.bins(a, 100), a.select("cell").distinct(), 68)
 
 
 @query("mean_per_gene", f"with {ALLC} select chrom, round(avg(cast(mc as double) / cov), 9) as mean_mc from allc group by chrom")
@@ -151,7 +153,19 @@ def _(spark, sf):
 
 @query("coord_sort_rank", f"with {ALN} select qname, nth, row_number() over (partition by ref order by pos, qname, nth) as rank from aln")
 def _(spark, sf):
-    return alignments(spark, sf).select("qname", "nth", F.row_number().over(Window.partitionBy("ref").orderBy("pos", "qname", "nth")).cast("long").alias("rank"))
+    from ..operators.intervals import coordinate_rank
+
+    return coordinate_rank(alignments(spark, sf), [("chrA", 0), ("chrN", 0), ("chrR", 0)], ["qname", "nth"], "rank").select("qname", "nth", "rank")
+
+
+@query("name_sort_rank", """with n as (select distinct 'r' || (l_partkey % 1000) || ':' || l_linenumber || case when l_suppkey % 2 = 0 then 'x' else '' end as name from lineitem)
+select name, row_number() over (order by cast(regexp_extract(name, 'r(\\d+):(\\d+)', 1) as integer), cast(regexp_extract(name, 'r(\\d+):(\\d+)', 2) as integer), name) as rank from n""")
+def _(spark, sf):
+    from ..operators.names import natural_key
+    from ..operators.ranking import ordinals
+
+    name = F.concat(F.lit("r"), (F.col("l_partkey") % 1000).cast("string"), F.lit(":"), F.col("l_linenumber").cast("string"), F.when(F.col("l_suppkey") % 2 == 0, "x").otherwise(""))
+    return ordinals(t(spark, sf, "lineitem").select(name.alias("name")).distinct(), [natural_key("name")], "rank")
 
 
 @query("pca")
@@ -200,3 +214,44 @@ select qname, nth, case when all_ > 0 then ref || '_s' || k else ref end as chro
 def _(spark, sf):
     d = alignments(spark, sf).select("qname", "nth", F.col("ref").alias("chrom"), F.col("pos").alias("start"), (F.col("pos") + F.col("len")).alias("end"))
     return I.split_shift(d, spark.createDataFrame(CUTS, "chrom string, pos long"))
+
+
+#: Line items as records with bases: two clipped, some matched, a deletion or a skip, eight matched; and a reference made of hashes.
+PILE = f"""rec as (select l_orderkey * 8 + l_linenumber as id, l_suppkey % 20 as cell, 'chr' || l_returnflag as ref, cast(date_diff('day', date '1992-01-01', cast(l_shipdate as date)) as bigint) as pos, l_linenumber + 5 as a, l_suppkey % 4 + 1 as d, l_partkey % 60 as mapq, case when l_partkey % 2 = 0 then '+' else '-' end as strand from lineitem),
+base as (select *, {D("id")} as seq, md5(cast(id * 2 as varchar)) as qual from rec),
+w as (select *, pos + i as rp, 2 + i as nth from base, range(12) g(i) where i < a union all select *, pos + a + d + i, 2 + a + i from base, range(8) g(i)),
+ref as (select chrom, p, substr({D("chrom || '_' || (p // 32)")}, cast(p % 32 as integer) + 1, 1) as b from (values ('chrA'), ('chrN'), ('chrR')) c(chrom), range(3200) g(p))"""
+
+
+def pile(spark, sf):
+    li = t(spark, sf, "lineitem")
+    key = F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber")
+    a, d = F.col("l_linenumber").cast("int") + 5, F.col("l_suppkey") % 4 + 1
+    cigar = F.concat(F.lit("2S"), a.cast("string"), F.lit("M"), d.cast("string"), F.when(F.col("l_linestatus") == "O", "D").otherwise("N"), F.lit("8M"))
+    part = lambda c: F.substr(c, F.lit(1), a + 10)
+    return li.select((F.col("l_suppkey") % 20).alias("cell"), F.concat(F.lit("chr"), F.col("l_returnflag")).alias("ref"), F.datediff(F.to_date("l_shipdate"), F.lit("1992-01-01").cast("date")).cast("long").alias("pos"), (F.col("l_partkey") % 60).alias("mapq"), cigar.alias("cigar"), part(dna(key)).alias("seq"), part(F.md5((key * 2).cast("string"))).alias("qual"), F.when(F.col("l_partkey") % 2 == 0, "+").otherwise("-").alias("strand"))
+
+
+def genome(spark):
+    chunks = F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: dna(F.concat(F.col("name"), F.lit("_"), i.cast("string"))))
+    return spark.createDataFrame([("chrA",), ("chrN",), ("chrR",)], "name string").select("name", F.array_join(chunks, "").alias("seq"))
+
+
+@query("allc_from_alignments", f"""with {PILE}, three as (select r.chrom, r.p, r.b, coalesce(u1.b, 'N') as up1, coalesce(u2.b, 'N') as up2, coalesce(d1.b, 'N') as dn1, coalesce(d2.b, 'N') as dn2 from ref r left join ref u1 on u1.chrom = r.chrom and u1.p = r.p + 1 left join ref u2 on u2.chrom = r.chrom and u2.p = r.p + 2 left join ref d1 on d1.chrom = r.chrom and d1.p = r.p - 1 left join ref d2 on d2.chrom = r.chrom and d2.p = r.p - 2),
+c as (select cell, chrom, rp + 1 as pos, strand, case when strand = '+' then b || up1 || up2 else translate(b || dn1 || dn2, 'ACGT', 'TGCA') end as context, substr(seq, cast(nth as integer) + 1, 1) as s from w join three on chrom = ref and p = rp
+  where mapq >= 10 and ascii(substr(qual, cast(nth as integer) + 1, 1)) - 33 >= 20 and b = case when strand = '+' then 'C' else 'G' end)
+select cell, chrom, pos, strand, context, cast(sum(case when s in ('C', 'G') then 1 else 0 end) as bigint) as mc, count(*) as cov from c where s in (case when strand = '+' then 'C' else 'G' end, case when strand = '+' then 'T' else 'A' end) group by cell, chrom, pos, strand, context""")
+def _(spark, sf):
+    return U.methylation_calls(pile(spark, sf), U.cytosines(genome(spark)), ["cell"])
+
+
+@query("depth_from_alignments", f"with {PILE}, n as (select ref as chrom, rp, count(*) as depth from w group by all), h as (select chrom, depth, count(*) as bases from n group by all) select chrom, depth, bases, cast(3200 as bigint) as size from h union all select chrom, 0, 3200 - sum(bases), 3200 from h group by chrom")
+def _(spark, sf):
+    d = pile(spark, sf)
+    return I.depth_histogram(U.covered(d), d.select(F.col("ref").alias("chrom"), F.lit(3200).cast("long").alias("size")).distinct())
+
+
+@query("region_tail_share", f"""with {PILE}, {IV}, n as (select ref as chrom, rp, count(*) as depth from w group by all), r as (select distinct chrom, start, "end" from iv), x as (select chrom, depth from r join n using (chrom) where rp >= start and rp < "end"), m as (select chrom, avg(depth) as mean from x group by chrom)
+select chrom, round(mean, 9) as mean, round(avg(case when depth > 0.2 * mean then 1.0 else 0.0 end), 9) as share from x join m using (chrom) group by chrom, mean""")
+def _(spark, sf):
+    return U.region_tail_share(U.region_depth(U.covered(pile(spark, sf)), iv(spark, sf).select("chrom", "start", "end").where("start < end"), 64), ["chrom"])

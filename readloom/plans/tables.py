@@ -94,12 +94,17 @@ def _(spark, sf):
     return t(spark, sf, "documents").select("doc_id", F.size(lines).alias("lines"), F.aggregate(lines, F.lit(0).cast("long"), lambda s, x: s + F.length(x)).alias("length"))
 
 
-@query("bed12", """with r as (select l_orderkey as tx, case when l_linenumber % 4 = 3 then 'CDS' else 'exon' end as feature, l_linenumber * 1000 + l_partkey % 100 as s, l_linenumber * 1000 + l_partkey % 100 + cast(floor(l_quantity) as bigint) as e, l_returnflag as f from lineitem),
-a as (select tx, min(f) as chrom, min(s) filter (feature = 'exon') - 1 as start, max(e) filter (feature = 'exon') as "end", min(s) filter (feature = 'CDS') - 1 as cs, max(e) filter (feature = 'CDS') as ce, list(struct_pack(s := s, e := e) order by s, e) filter (feature = 'exon') as ex from r group by tx)
-select chrom, start, "end", tx, '+' as strand, coalesce(cs, "end") as thick_start, coalesce(ce, "end") as thick_end, cast(len(ex) as integer) as blocks, array_to_string(list_transform(ex, lambda x: cast(x.e - x.s + 1 as varchar)), ',') as sizes, array_to_string(list_transform(ex, lambda x: cast(x.s - 1 - start as varchar)), ',') as starts from a where ex is not null and len(ex) > 0""")
-def _(spark, sf):
-    s = F.col("l_linenumber").cast("long") * 1000 + F.col("l_partkey") % 100
-    r = t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("tx"), F.col("l_returnflag").alias("chrom"), F.lit("+").alias("strand"), F.when(F.col("l_linenumber") % 4 == 3, "CDS").otherwise("exon").alias("feature"), s.alias("start"), (s + F.floor("l_quantity")).alias("end"))
+#: Codons, miRNA and exons by line number; on both strands, with and without either codon.
+@query("bed12", """with r as (select l_orderkey as tx, (l_linenumber * 1000 + l_partkey % 100) * 100 + cast(floor(l_quantity) as bigint) as line, case when l_linenumber = 3 then 'start_codon' when l_linenumber = 5 then 'stop_codon' when l_linenumber = 7 then 'miRNA' when l_partkey % 11 = 0 then 'CDS' else 'exon' end as feature,
+ l_linenumber * 1000 + l_partkey % 100 as s, l_linenumber * 1000 + l_partkey % 100 + cast(floor(l_quantity) as bigint) as e, l_returnflag as f, case when l_orderkey % 2 = 0 then '+' else '-' end as strand from lineitem),
+x as (select tx, arg_min(f, line) as chrom, any_value(strand) as strand, min(s) as b, arg_max(e, (s, line)) as e, list(struct_pack(s := s, line := line, e := e) order by s, line) as ex from r where feature in ('exon', 'miRNA') group by tx),
+c as (select tx, arg_max(s, line) filter (feature = 'start_codon') as sc, arg_max(e, line) filter (feature = 'stop_codon') as tc from r group by tx),
+k as (select x.*, case when strand = '-' then tc - 2 else sc end as cds, case when strand = '-' then sc + 2 else tc end as cde from x join c using (tx))
+select chrom, b - 1 as start, e as "end", tx, strand, coalesce(cds, b) - 1 as thick_start, coalesce(cde, e) as thick_end, cast(len(ex) as integer) as blocks, array_to_string(list_transform(ex, lambda q: cast(q.e - q.s + 1 as varchar)), ',') as sizes, array_to_string(list_transform(ex, lambda q: cast(q.s - b as varchar)), ',') as starts from k""")
+def _(spark, sf):
+    s, n = F.col("l_linenumber").cast("long") * 1000 + F.col("l_partkey") % 100, F.col("l_linenumber")
+    feature = F.when(n == 3, "start_codon").when(n == 5, "stop_codon").when(n == 7, "miRNA").when(F.col("l_partkey") % 11 == 0, "CDS").otherwise("exon")
+    r = t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("tx"), F.col("l_returnflag").alias("chrom"), F.when(F.col("l_orderkey") % 2 == 0, "+").otherwise("-").alias("strand"), feature.alias("feature"), s.alias("start"), (s + F.floor("l_quantity")).alias("end"), (s * 100 + F.floor("l_quantity")).alias("line"))
     return G.bed12(r)
 
 

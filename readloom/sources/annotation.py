@@ -68,13 +68,23 @@ def exons_from_cds(blocks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def bed12(rows: DataFrame) -> DataFrame:
-    """(tx, chrom, strand, feature, start, end) 1-based closed -> one BED12 row a transcript from its exon rows; thick part from CDS, else empty at the end."""
-    ex = F.sort_array(F.collect_list(F.when(F.col("feature") == "exon", F.struct("start", "end"))))
-    d = rows.groupBy("tx").agg(F.min("chrom").alias("chrom"), F.min("strand").alias("strand"), ex.alias("ex"), F.min(F.when(F.col("feature") == "CDS", F.col("start"))).alias("cs"), F.max(F.when(F.col("feature") == "CDS", F.col("end"))).alias("ce")).where(F.size("ex") > 0)
-    start, end = F.array_min(F.transform("ex", lambda e: e["start"])) - 1, F.array_max(F.transform("ex", lambda e: e["end"]))
-    d = d.withColumn("start", start).withColumn("end", end)
+    """(tx, chrom, strand, feature, start, end, line) 1-based closed -> one BED12 row a transcript that has exon or miRNA rows, these being its blocks.
+
+    The thick part goes from the start codon to the stop codon, on the - strand from the stop codon to the start codon; where one of them is
+    missing it reaches to that end of the transcript, so that it is the whole one without either. Of several codon rows the last line counts,
+    chromosome and strand are those of the first block in line order, and the transcript ends with the block that begins last.
+    """
+    block = F.col("feature").isin("exon", "miRNA")
+    first = lambda c: F.min_by(c, F.when(block, F.col("line")))
+    last = lambda c, feature: F.max_by(c, F.when(F.col("feature") == feature, F.col("line")))
+    ex = F.sort_array(F.collect_list(F.when(block, F.struct("start", "line", "end"))))
+    d = rows.groupBy("tx").agg(first("chrom").alias("chrom"), first("strand").alias("strand"), ex.alias("ex"), last("start", "start_codon").alias("up"), last("end", "stop_codon").alias("down")).where(F.size("ex") > 0)
+    d = d.withColumn("start", F.col("ex")[0]["start"] - 1).withColumn("end", F.element_at("ex", -1)["end"])
+    back = F.col("strand") == "-"
+    thick_start = F.coalesce(F.when(back, F.col("down") - 2).otherwise(F.col("up")) - 1, F.col("start"))
+    thick_end = F.coalesce(F.when(back, F.col("up") + 2).otherwise(F.col("down")), F.col("end"))
     text = lambda f: F.array_join(F.transform("ex", lambda e: f(e).cast("string")), ",")
-    return d.select("chrom", "start", "end", F.col("tx"), "strand", F.coalesce(F.col("cs") - 1, "end").alias("thick_start"), F.coalesce("ce", "end").alias("thick_end"), F.size("ex").alias("blocks"), text(lambda e: e["end"] - e["start"] + 1).alias("sizes"), text(lambda e: e["start"] - 1 - F.col("start")).alias("starts"))
+    return d.select("chrom", "start", "end", F.col("tx"), "strand", thick_start.alias("thick_start"), thick_end.alias("thick_end"), F.size("ex").alias("blocks"), text(lambda e: e["end"] - e["start"] + 1).alias("sizes"), text(lambda e: e["start"] - 1 - F.col("start")).alias("starts"))
 
 
 def unquoted_ids(col: str = "attributes") -> Column:

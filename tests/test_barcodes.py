@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from readloom.chemistry import CHEMISTRIES, Chemistry, five_prime
 from readloom.operators import barcodes as B
 from readloom.operators import names as N
+from readloom.operators import umi as U
 
 
 def rows(df):
@@ -171,3 +172,21 @@ def test_merges_are_followed(spark):
     d = spark.createDataFrame([("c", "g", "A"), ("c", "g", "C"), ("c", "h", "A")], "cell string, gene string, umi string")
     assert rows(U.follow_merges(d, log)) == [("c", "g", "A", "B"), ("c", "g", "C", "C"), ("c", "h", "A", "A")]
     assert rows(U.follow_merges(d, log, recursive=True)) == [("c", "g", "A", "C"), ("c", "g", "C", "C"), ("c", "h", "A", "A")]
+
+
+def test_a_long_chain_of_merges_is_followed_to_its_end(spark):
+    names = [f"u{i:02d}" for i in range(41)]
+    d = spark.createDataFrame([("c", "g", n) for n in names], "cell string, gene string, umi string")
+    log = spark.createDataFrame([("c", "g", f"{a}:1", f"{b}:2") for a, b in zip(names, names[1:])], "cell string, gene string, from string, to string")
+    assert {r.corrected for r in U.follow_merges(d, log, recursive=True).collect()} == {"u40"}
+    circle = log.union(spark.createDataFrame([("c", "g", "u40:1", "u00:2")], log.schema))
+    with pytest.raises(ValueError, match="circle"):
+        U.follow_merges(d, circle, recursive=True)
+
+
+def test_columns_of_the_user_stay(spark):
+    """Names that begin as those of columns on the way do."""
+    white = spark.createDataFrame([("ACGT",)], "barcode string")
+    d = spark.createDataFrame([("ACGTAAAATT", 1, 2, 3)], "r1_seq string, __at int, __B0 int, __x int")
+    got = B.assign(d, Chemistry("B4U4"), [white]).first()
+    assert (got["__at"], got["__B0"], got["__x"], got.barcode, got.umi) == (1, 2, 3, "ACGT", "AAAA")

@@ -176,3 +176,14 @@ def test_split_sequences(spark):
 
     f = spark.createDataFrame([("c1", "AACCGGTT"), ("c2", "GG")], "name string, seq string")
     assert rows(split_sequences(f, spark.createDataFrame([("c1", 2), ("c1", 5)], "name string, pos long"))) == [("c1_s0", "AA"), ("c1_s1", "CCG"), ("c1_s2", "GTT"), ("c2", "GG")]
+
+
+def test_bed12_codons(spark):
+    """Codons on both strands, one or none of them, miRNA, a repeated codon, and a block that begins last but ends first."""
+    row = lambda tx, strand, *parts: [(tx, "chr1", strand, f, s, e, i) for i, (f, s, e) in enumerate(parts)]
+    exons = [("exon", 101, 200), ("exon", 301, 400)]
+    data = [*row("plus", "+", *exons, ("start_codon", 151, 153), ("stop_codon", 348, 350)), *row("minus", "-", *exons[::-1], ("stop_codon", 151, 153), ("start_codon", 348, 350)), *row("start", "+", *exons, ("start_codon", 151, 153), ("CDS", 160, 170)), *row("back", "-", *exons, ("start_codon", 348, 350)), *row("none", "-", *exons, ("CDS", 151, 350)), *row("mi", "+", ("miRNA", 5, 9)), *row("two", "+", *exons, ("start_codon", 110, 112), ("start_codon", 120, 122)), *row("inside", "+", ("exon", 101, 500), ("exon", 301, 400)), *row("cds", "+", ("CDS", 1, 2))]
+    got = {r.tx: r for r in G.bed12(spark.createDataFrame(data, "tx string, chrom string, strand string, feature string, start long, end long, line long")).collect()}
+    thick = {k: (r.thick_start, r.thick_end) for k, r in got.items()}
+    assert thick == {"plus": (150, 350), "minus": (150, 350), "start": (150, 400), "back": (100, 350), "none": (100, 400), "mi": (4, 9), "two": (119, 400), "inside": (100, 400)}
+    assert (got["minus"].start, got["minus"].end, got["minus"].sizes, got["minus"].starts, got["mi"].blocks) == (100, 400, "100,100", "0,200", 1)
