@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..scratch import settle, tidy
+from ..scratch import release, scope, settle, tidy
 from ..shipping import ship
+from .umi import components
 
 #: Fixed values of the workflow: share of points in a local fit, places it is made at, least overlap of neighbours, largest scaled value.
 SPAN, PLACES, OVERLAP, LARGEST = 0.3, 200, 1 / 15, 10.0
@@ -111,47 +112,108 @@ def shared_neighbours(knn: DataFrame, key: str, least: float = OVERLAP) -> DataF
     return both.select("a", "b", (F.col("shared") / (F.col("k") + F.col("k2") - F.col("shared"))).alias("w")).where(F.col("w") >= least)
 
 
+def improving_moves(graph: DataFrame, label: DataFrame, resolution: float, m2: float) -> DataFrame:
+    """(node, mine, to, gain): for each node (node, k, c) the community that gains most modularity over staying, if any does.
+
+    Joins on a community are of one row a community with many; where one is hot, adaptive execution splits its rows.
+    """
+    total = label.groupBy("c").agg(F.sum("k").alias("t"))
+    near = graph.where("a != b").join(label.select(F.col("node").alias("b"), "c"), "b").groupBy(F.col("a").alias("node"), "c").agg(F.sum("w").alias("w"))
+    both = near.join(total, "c").join(label.select("node", "k", F.col("c").alias("mine")), "node")
+    own = F.col("c") == F.col("mine")
+    value = F.col("w") - resolution * F.col("k") * (F.col("t") - F.when(own, F.col("k")).otherwise(0.0)) / m2
+    # a node without an edge into its own community has no row of it: staying then costs only its share of the total
+    best = both.withColumn("v", value).groupBy("node", "mine", "k").agg(F.max(F.when(~own, F.struct("v", "c"))).alias("o"), F.max(F.when(own, F.col("v"))).alias("stay"))
+    alone = -resolution * F.col("k") * (F.col("t") - F.col("k")) / m2
+    best = best.join(total.withColumnRenamed("c", "mine"), "mine").withColumn("gain", F.col("o.v") - F.coalesce("stay", alone))
+    return best.where(F.col("gain") > 1e-9).select("node", "mine", F.col("o.c").alias("to"), "gain")
+
+
+def local_moving(graph: DataFrame, label: DataFrame, resolution: float, m2: float) -> DataFrame:
+    """Moves nodes (node, k, c) to neighbouring communities until no move of a single node gains modularity.
+
+    In a turn half of the nodes, by a hash, go where they gain most, all at once. Where that does not lead to fewer possible moves any more, only
+    moves are made that are the best for both communities they touch: these do not disturb each other, so modularity rises with each turn
+    and the end is reached.
+    """
+    fewest, stuck, turn, state = None, 0, 0, None
+    while True:
+        old, state = state, settle(label.join(improving_moves(graph, label, resolution, m2).select("node", "to", "gain"), "node", "left"))
+        if old is not None:
+            release(old)
+        n = state.where("to is not null").count()
+        if not n:
+            return state.select("node", "k", "c")
+        if stuck < 3:
+            go = F.col("to").isNotNull() & (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0)
+            label = state.select("node", "k", F.when(go, F.col("to")).otherwise(F.col("c")).alias("c"))
+        else:
+            touched = state.where("to is not null").select(F.explode(F.array("c", "to")).alias("x"), F.struct("gain", "node").alias("m"))
+            top = touched.groupBy("x").agg(F.max("m").alias("m")).groupBy("m").agg(F.count("*").alias("sides")).where("sides = 2")
+            label = state.join(top.select(F.col("m.node").alias("node"), F.lit(True).alias("go")), "node", "left").select("node", "k", F.when(F.col("go"), F.col("to")).otherwise(F.col("c")).alias("c"))
+        fewest, stuck = (n, 0) if fewest is None or n < fewest else (fewest, stuck + 1)
+        turn += 1
+
+
+def refined(graph: DataFrame, label: DataFrame, resolution: float, m2: float) -> DataFrame:
+    """(node, s): parts of the communities, each held together by its own edges.
+
+    Every node is a part at first; by the toss of a hash parts are centres or join the centre beside them, of their community, that gains most
+    modularity, until no two parts of a community gain by joining.
+    """
+    mine = label.select("node", "c")
+    inside = graph.where("a != b").join(mine.select(F.col("node").alias("a"), "c"), "a").join(mine.select(F.col("node").alias("b"), F.col("c").alias("d")), "b").where("c = d").select("a", "b", "w")
+    inside, total = settle(inside, keep=True), label.select(F.col("node").alias("s"), F.col("k").alias("t"))
+    part, turn = label.select("node", F.col("node").alias("s")), 0
+    while True:
+        with scope():
+            ends = inside.join(total.select(F.col("s").alias("a"), F.col("t").alias("ta")), "a").join(total.select(F.col("s").alias("b"), F.col("t").alias("tb")), "b")
+            good = settle(ends.withColumn("gain", F.col("w") - resolution * F.col("ta") * F.col("tb") / m2).where("gain > 1e-9").select("a", "b", "gain"))
+            if good.isEmpty():
+                return part
+            centre = lambda c: F.pmod(F.xxhash64(c, F.lit(turn)), F.lit(2)) == 0
+            join = settle(good.where(~centre("a") & centre("b")).groupBy("a").agg(F.max(F.struct("gain", "b")).alias("o")).select(F.col("a").alias("s"), F.col("o.b").alias("to")))
+            moved = lambda d, c: d.join(join.withColumnRenamed("s", c), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
+            part = settle(moved(part, "s").select("node", "s"), keep=True)
+            total = settle(moved(total, "s").groupBy("s").agg(F.sum("t").alias("t")), keep=True)
+            inside = settle(moved(moved(inside, "a"), "b").where("a != b").groupBy("a", "b").agg(F.sum("w").alias("w")), keep=True)
+        turn += 1
+
+
 @tidy
-def communities(edges: DataFrame, resolution: float = RESOLUTION, passes: int = 12, levels: int = 4) -> DataFrame:
+def communities(edges: DataFrame, resolution: float = RESOLUTION) -> DataFrame:
     """(node, cluster) of the nodes of weighted edges (a, b, w): communities of high modularity at the resolution, numbered from 0 by size, then least node.
 
-    Local moving, then the same over the graph of communities, until nothing moves: in a pass each node whose turn it is goes to the neighbouring
-    community that gains most modularity. Turns alternate by a hash, so that two neighbours do not swap for ever; all moves
-    of a pass are one set of joins. `passes` and `levels` bound the work: a further pass would gain less than the one before.
+    Leiden (Traag et al., 2019) by joins: nodes move until no move gains, communities are refined into connected parts, and the same begins again over the
+    graph of the parts, which start in their communities; until each community is one part. A community that its last moves have
+    parted falls into its pieces, which modularity does not lose by: every cluster is connected. Nodes without edges to others are not in the result.
     """
-    graph = settle(edges.select("a", "b", "w").union(edges.select("b", "a", "w")).groupBy("a", "b").agg(F.sum("w").alias("w")))
-    m2 = graph.agg(F.sum("w")).first()[0]
-    nodes = settle(graph.select(F.col("a").alias("node")).distinct())
-    of = settle(nodes.select("node", F.col("node").alias("group")))  # of the nodes given
+    whole = settle(edges.select("a", "b", "w").union(edges.select("b", "a", "w")).groupBy("a", "b").agg(F.sum("w").alias("w")))
+    m2 = whole.agg(F.sum("w")).first()[0]
+    of = settle(whole.select(F.col("a").alias("node")).distinct().withColumn("group", F.col("node")))  # of the nodes given
     if not m2:
-        return of.select("node", F.lit(0).alias("cluster")).where("false")
-    for _ in range(levels):
-        degree = settle(graph.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k")))
-        label = settle(degree.select("node", "k", F.col("node").alias("c")))
-        any_moved = False
-        for turn in range(passes):
-            total = label.groupBy("c").agg(F.sum("k").alias("t"))
-            near = graph.where("a != b").join(label.select(F.col("node").alias("b"), "c"), "b").groupBy(F.col("a").alias("node"), "c").agg(F.sum("w").alias("w"))
-            here = label.select("node", F.col("c").alias("mine"), "k")
-            options = near.join(here, "node").join(total, "c")
-            stay = here.join(total.withColumnRenamed("c", "mine"), "mine").join(near.withColumnRenamed("c", "mine"), ["node", "mine"], "left").select("node", (F.coalesce("w", F.lit(0.0)) - resolution * F.col("k") * (F.col("t") - F.col("k")) / m2).alias("stay"))
-            gain = F.col("w") - resolution * F.col("k") * F.col("t") / m2
-            best = options.where("c != mine").groupBy("node").agg(F.max(F.struct(gain.alias("g"), F.col("c").alias("c"))).alias("o"))
-            turns = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0
-            move = best.join(stay, "node").where((F.col("o.g") > F.col("stay") + 1e-9) & turns).select("node", F.col("o.c").alias("to"))
-            new = settle(label.join(move, "node", "left").select("node", "k", F.coalesce("to", "c").alias("c"), F.col("to").isNotNull().alias("moved")))
-            label = new.drop("moved")
-            moved = new.where("moved").count()
-            any_moved |= moved > 0
-            if not moved and turn:
-                break
-        if not any_moved:
+        return edges.select(F.col("a").alias("node"), F.lit(0).alias("cluster")).where("false")
+    graph = whole
+    label = settle(graph.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k")).select("node", "k", F.col("node").alias("c")))
+    while True:
+        label = local_moving(graph, label, resolution, m2)
+        nodes, groups = label.agg(F.count("*"), F.count_distinct("c")).first()
+        if nodes == groups:
             break
-        named = label.select(F.col("node").alias("group"), "c")
-        of = settle(of.join(named, "group").select("node", F.col("c").alias("group")))
-        ends = named.withColumnRenamed("group", "a").withColumnRenamed("c", "x")
-        other = named.withColumnRenamed("group", "b").withColumnRenamed("c", "y")
+        part = refined(graph, label, resolution, m2)
+        if part.select("s").distinct().count() == nodes:  # nothing joins: the communities are the parts
+            part = label.select("node", F.col("c").alias("s"))
+        part = settle(part)
+        of = settle(of.join(part.select(F.col("node").alias("group"), "s"), "group").select("node", F.col("s").alias("group")))
+        ends, other = (part.select(F.col("node").alias(x), F.col("s").alias(y)) for x, y in (("a", "x"), ("b", "y")))
         graph = settle(graph.join(ends, "a").join(other, "b").groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.sum("w").alias("w")))
+        joined = part.join(label, "node").groupBy("s").agg(F.sum("k").alias("k"), F.first("c").alias("c"))
+        first = joined.groupBy("c").agg(F.min("s").alias("first"))  # a community is named after one of its parts
+        label = settle(joined.join(first, "c").select(F.col("s").alias("node"), "k", F.col("first").alias("c")))
+    of = settle(of.join(label.select(F.col("node").alias("group"), "c"), "group").select("node", "c"))
+    x, y = (of.select(F.col("node").alias(n), F.col("c").alias(c)) for n, c in (("a", "c1"), ("b", "c2")))
+    inner = whole.where("a < b").join(x, "a").join(y, "b").where("c1 = c2").select("a", "b")
+    of = components(inner, of.select("node")).withColumnRenamed("comp", "group")
     sizes = of.groupBy("group").agg(F.count("*").alias("n"), F.min("node").alias("first"))
     numbered = sizes.select("group", (F.row_number().over(Window.orderBy(F.desc("n"), "first")) - 1).alias("cluster"))  # a row for each community
     return settle(of.join(numbered, "group").select("node", "cluster"), keep=True)

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..scratch import tidy
+from ..scratch import settle, tidy
 from .ranking import PART, PLACE, in_ranges, ranked
+from .spread import quantiles
 
 
 def accept_reads(aln: DataFrame, unique_mapq: int = 255) -> DataFrame:
@@ -57,28 +58,45 @@ def n50(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     return run.where(F.col("run") * 2 >= F.col("total")).groupBy(*keys).agg(F.max(value).alias("n50"))
 
 
+@tidy
 def downsample(det: DataFrame, steps: int = 10, seed: str = "s", cells: DataFrame | None = None) -> DataFrame:
     """(step, reads, saturation, median_genes): the first 1, 2, ... of `steps` equal parts of the reads, in a fixed pseudo-random order.
 
     Saturation is the percentage of reads that add no new (cell, gene, UMI), median_genes the median over cells with reads in
-    the part. Only `cells` (cell) count, if given. The parts differ by one read at most: a read's place in the order is its hash; the hashes are
-    counted in 65,536 ranges, so that only reads of the ranges that a boundary cuts are ordered exactly. All prefixes come from
+    the part. Only `cells` (cell) count, if given. The parts differ by one read at most: a read's place in the order is its hash. The hashes are
+    counted in 65,536 ranges; of the few ranges that a boundary cuts all hashes are looked at, and the one at the boundary is its end. All prefixes come from
     one pass: the first part of each (cell, gene, UMI) and of each (cell, gene) tells where it counts.
     """
     d = det if cells is None else det.join(cells.select("cell").distinct(), "cell", "left_semi")
+    d = settle(d.select("cell", "gene", "umi", "num"))  # reads are made of it three times, never written
     each = d.select("cell", "gene", "umi", F.explode(F.sequence(F.lit(1).cast("long"), "num")).alias("i"))
-    key = F.md5(F.concat_ws("|", F.lit(seed), "cell", "gene", "umi", F.col("i").cast("string")))
-    each = each.withColumn("key", key).withColumn("range", F.conv(F.substring("key", 1, 4), 16, 10).cast("int"))
-    up = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = each.groupBy("range").agg(F.count("*").alias("k"))
-    ranges = ranges.withColumn("before", F.coalesce(F.sum("k").over(up), F.lit(0))).withColumn("total", F.sum("k").over(Window.partitionBy()))
-    part = lambda place: F.floor(place * steps / F.col("total")).cast("long") + 1
-    ranges = ranges.withColumn("cut", part(F.col("before")) != part(F.col("before") + F.col("k") - 1))
-    placed = each.join(F.broadcast(ranges), "range")
-    exact = placed.where("cut").withColumn("place", F.col("before") + F.row_number().over(Window.partitionBy("range").orderBy("key")) - 1)
-    placed = placed.where("not cut").withColumn("place", F.col("before")).unionByName(exact).withColumn("step", part(F.col("place")))
-    reads = placed.groupBy("step").agg(F.count("*").alias("n"))
-    umis = placed.groupBy("cell", "gene", "umi").agg(F.min("step").alias("step"))
+    each = each.select("cell", "gene", "umi", F.md5(F.concat_ws("|", F.lit(seed), "cell", "gene", "umi", F.col("i").cast("string"))).alias("key"))
+    range_ = F.substring("key", 1, 4).alias("range")
+    sizes = dict(each.groupBy(range_).agg(F.count("*").alias("k")).collect())  # 65,536 rows at most
+    total, seen, first = sum(sizes.values()), 0, {}
+    ends = [-(-total * k // steps) for k in range(1, steps)]  # reads before the end of part k
+    for name in sorted(sizes):
+        if any(seen < e < seen + sizes[name] for e in ends):
+            first[name] = seen
+        seen += sizes[name]
+    cut = each.select("key", range_).where(F.col("range").isin(list(first))) if first else each.select("key", range_).where("false")
+    place = F.row_number().over(Window.partitionBy("range").orderBy("key"))
+    inner = {}
+    if first:
+        lead = F.create_map(*[F.lit(x) for kv in first.items() for x in kv])[F.col("range")]
+        inner = {r.place: r.key for r in cut.withColumn("place", (lead + place).cast("long")).where(F.col("place").isin(ends)).select("place", "key").collect()}
+    last, seen = {}, 0  # the largest key of the parts 1 to k: of a boundary between ranges the end of the range before
+    for name in sorted(sizes):
+        seen += sizes[name]
+        last[seen] = name + "g"  # behind every key that begins so
+    bounds = [inner.get(e, last.get(e, "")) for e in ends]
+    step = F.lit(1).cast("long")
+    for b in bounds:
+        step = step + (F.col("key") > b).cast("long")
+    placed = each.withColumn("step", step)
+    tally = F.array(*[F.count_if(F.col("step") == k) for k in range(1, steps + 1)])
+    umis = settle(placed.groupBy("cell", "gene", "umi").agg(F.min("step").alias("step"), tally.alias("n")))
+    reads = umis.select(F.posexplode("n").alias("step", "n")).groupBy((F.col("step") + 1).cast("long").alias("step")).agg(F.sum("n").alias("n")).where("n > 0")
     new = umis.groupBy("step").agg(F.count("*").alias("d"))
     genes = umis.groupBy("cell", "gene").agg(F.min("step").alias("step")).groupBy("cell", "step").agg(F.count("*").alias("g"))
     grown = genes.groupBy("cell").agg(F.collect_list(F.struct("step", "g")).alias("s"))  # `steps` entries at most
@@ -87,7 +105,7 @@ def downsample(det: DataFrame, steps: int = 10, seed: str = "s", cells: DataFram
     medians = medians.groupBy("step").agg(F.floor(F.median("g")).cast("long").alias("median_genes"))
     run = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
     both = reads.join(new, "step", "left").join(medians, "step", "left").withColumn("n", F.sum("n").over(run)).withColumn("d", F.sum(F.coalesce("d", F.lit(0))).over(run))
-    return both.select("step", F.col("n").alias("reads"), F.round((F.col("n") - F.col("d")) / F.col("n") * 100, 6).alias("saturation"), "median_genes")
+    return settle(both.select("step", F.col("n").alias("reads"), F.round((F.col("n") - F.col("d")) / F.col("n") * 100, 6).alias("saturation"), "median_genes"), keep=True)  # a row for each part
 
 
 @tidy
@@ -120,9 +138,8 @@ def barcode_distinct(reads: DataFrame, missing: str = "missing_barcode") -> Data
 
 def quantile_steps(df: DataFrame, by: str, value: str, steps: int = 20) -> DataFrame:
     """(by, pct, value): quantiles in equal steps from the least to the largest value, linear between rows."""
-    at = F.array(*[F.lit(i / steps) for i in range(steps + 1)])
-    d = df.groupBy(by).agg(F.percentile(value, at).alias("v"))
-    return d.select(by, F.posexplode("v").alias("i", "value")).select(by, (F.col("i") * (100 // steps)).alias("pct"), F.round("value", 6).alias("value"))
+    d = quantiles(df, by, value, [i / steps for i in range(steps + 1)])
+    return d.select(by, (F.col("i") * (100 // steps)).alias("pct"), F.round("value", 6).alias("value"))
 
 
 def barcode_rank(sums: DataFrame, cells: DataFrame) -> DataFrame:

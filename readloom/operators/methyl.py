@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..shipping import ship
+from .ranking import PART, PLACE, in_ranges
 
 
 def position_key(ref: str, pos: str) -> Column:
@@ -141,17 +142,57 @@ def methyl_matrix(df: DataFrame, cells: DataFrame, top: int = 2500) -> DataFrame
     per = frac.join(F.broadcast(at), ["chrom", "bin"]).groupBy("cell").agg(F.collect_list(F.struct("i", x.alias("x"))).alias("m"))
     wide = len(bins)
 
-    @F.udf("array<double>")
-    def dense(m):
-        out = [0.0] * wide
-        for i, v in m or []:
-            out[i] = v
-        return out
+    @F.pandas_udf("array<double>")
+    def dense(i: pd.Series, x: pd.Series) -> pd.Series:
+        out = []
+        for where, what in zip(i, x):
+            row = np.zeros(wide)
+            if where is not None:
+                row[where] = what
+            out.append(row)
+        return pd.Series(out)
 
-    return cells.join(per, "cell", "left").select("cell", dense("m").alias("features"))
+    field = lambda name: F.transform("m", lambda y: y[name])
+    return cells.join(per, "cell", "left").select("cell", dense(field("i"), field("x")).alias("features"))
 
 
 def principal_components(df: DataFrame, key: str, features: str, k: int) -> DataFrame:
     vec = df.select(key, array_to_vector(F.transform(features, lambda x: x.cast("double"))).alias("v"))
     model = PCA(k=k, inputCol="v", outputCol="p").fit(vec)
     return model.transform(vec).select(key, vector_to_array("p").alias("components"))
+
+
+def component_gaps(scores: DataFrame, key: str, components: str = "components") -> DataFrame:
+    """(i, d, p): for each component but the last the largest distance d between the distributions of its scores and of the next one's, and the p of
+    two equal ones (two-sample Kolmogorov-Smirnov, asymptotic).
+
+    Scores of neighbours are merged in one order, each pair's in ranges over all tasks: running differences need no task that holds a component.
+    """
+    long = scores.select(F.posexplode(components).alias("i", "x"))
+    n = scores.count()
+    last = F.size(components) - 1
+    wide = scores.select(last.alias("k")).agg(F.max("k")).first()[0] or 0
+    up = long.where(F.col("i") < wide).select("i", "x", F.lit(1).alias("d"))
+    down = long.where(F.col("i") > 0).select((F.col("i") - 1).alias("i"), "x", F.lit(-1).alias("d"))
+    steps = up.unionByName(down).groupBy("i", "x").agg(F.sum("d").alias("d"))
+    placed = in_ranges(steps, ["i", "x"])
+    per = placed.groupBy("i", PART).agg(F.sum("d").alias("s"))
+    before = Window.partitionBy("i").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)  # a row for each range that a pair touches
+    per = per.select("i", PART, F.coalesce(F.sum("s").over(before), F.lit(0)).alias("lead"))
+    inside = Window.partitionBy("i", PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
+    run = placed.withColumn("run", F.sum("d").over(inside)).join(F.broadcast(per), ["i", PART])
+    gap = run.groupBy("i").agg((F.max(F.abs(F.col("run") + F.col("lead"))) / n).alias("d"))
+    # Kolmogorov's series, which settles within a few terms; below 0.2 it is 1 to all digits
+    t = F.col("d") * float(np.sqrt(n / 2))
+    tail = sum((F.lit(2.0 * (-1) ** (k + 1)) * F.exp(-2.0 * k * k * t * t) for k in range(1, 101)), F.lit(0.0))
+    return gap.select("i", "d", F.when(t < 0.2, 1.0).otherwise(F.greatest(F.least(tail, F.lit(1.0)), F.lit(0.0))).alias("p"))
+
+
+def significant_components(scores: DataFrame, key: str, cutoff: float = 0.1, components: str = "components") -> tuple[int, DataFrame]:
+    """How many components there are up to the first whose scores are distributed as the next one's (p above the cutoff; without one all but the last), and
+    (key, components) of these over the deviation that all their scores have together."""
+    gaps = sorted(tuple(r) for r in component_gaps(scores, key, components).select("i", "p").collect())  # a row for each component
+    n = max(next((i + 1 for i, p in gaps if p > cutoff), len(gaps)), 1)
+    some = scores.select(key, F.slice(components, 1, n).alias(components))
+    sd = some.select(F.explode(components).alias("x")).agg(F.stddev_pop("x")).first()[0] or 1.0
+    return n, some.select(key, F.transform(components, lambda x: x / sd).alias(components))

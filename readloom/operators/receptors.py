@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..shipping import ship
+from ..functions.seq import hamming
+from ..scratch import settle, tidy
 from .ranking import ordinals
+from .umi import components
+
+CANDIDATES = 50  # pairs to compare for each junction, beyond which pieces are cut finer
 
 
 def chain_counts(hits: DataFrame) -> DataFrame:
@@ -64,49 +68,52 @@ def consensus(contigs: DataFrame) -> DataFrame:
     return per.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
 
 
+def piece_keys(text: Column, mismatches: Column, shared: int) -> Column:
+    """array<struct<which,what>>: all choices of `shared` of the mismatches + shared pieces that a text is cut into.
+
+    Two texts of one length with no more mismatches agree in `shared` pieces at least, so in one of these.
+    """
+    count = (mismatches + shared).cast("int")
+    cut = lambda i: F.floor(i * F.length(text) / count).cast("int")
+    piece = lambda i: F.substring(text, cut(i) + 1, cut(i + 1) - cut(i))
+    out = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.struct(F.array(i).alias("which"), piece(i).alias("what")))
+    for _ in range(shared - 1):
+        more = lambda x: F.transform(F.sequence(F.element_at(x["which"], -1) + 1, count - 1), lambda i: F.struct(F.concat(x["which"], F.array(i)).alias("which"), F.concat(x["what"], piece(i)).alias("what")))
+        out = F.flatten(F.transform(F.filter(out, lambda x: F.element_at(x["which"], -1) < count - 1), more))
+    return out
+
+
+@tidy
 def clone_groups(contigs: DataFrame, identity: float) -> DataFrame:
-    """(contig, v, j, junction) -> (contig, clone): same V, J and junction length, single linkage at the identity over a
-    group's distinct junctions. A contig without a junction or a call has no clone (null).
-
-    Junctions that share no piece of their length cannot be alike enough, so only those that share one are compared."""
-    import numpy as np
-    import pandas as pd
-
-    ship(contigs.sparkSession)
-
-    def link(df: pd.DataFrame) -> pd.DataFrame:
-        if df["junction"].isna().any() or df["v"].isna().any() or df["j"].isna().any():
-            return pd.DataFrame({"contig": df["contig"], "clone": None})
-        seqs = sorted(df["junction"].unique())
-        n = len(seqs)
-        mat = np.frombuffer("".join(seqs).encode("ascii", "replace"), np.uint8).reshape(n, -1) if n and seqs[0] else np.zeros((n, 0), np.uint8)
-        top = list(range(n))
-
-        def root(i):
-            while top[i] != i:
-                top[i] = top[top[i]]
-                i = top[i]
-            return i
-
-        width = max(mat.shape[1], 1)
-        most = int(np.floor(width * (1 - identity) + 1e-9))  # mismatches allowed: one of most + 1 pieces is free of them
-        cuts = np.linspace(0, mat.shape[1], most + 2).astype(int)
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            if lo == hi:  # an empty piece: all are compared
-                blocks = [np.arange(n)]
-            else:
-                piece = np.ascontiguousarray(mat[:, lo:hi]).view(f"V{hi - lo}").ravel()
-                order = np.argsort(piece, kind="stable") if n else np.zeros(0, int)
-                blocks = np.split(order, np.flatnonzero(piece[order][1:] != piece[order][:-1]) + 1)
-            for block in blocks:
-                block = np.sort(block)
-                for k, i in enumerate(block[:-1]):
-                    rest = block[k + 1 :]
-                    for j in rest[(mat[rest] == mat[i]).sum(1) >= identity * width]:
-                        a, b = root(int(i)), root(int(j))
-                        if a != b:
-                            top[max(a, b)] = min(a, b)
-        name = {s: f"{df['v'].iloc[0]}|{df['j'].iloc[0]}|{len(s)}|{seqs[root(i)]}" for i, s in enumerate(seqs)}
-        return pd.DataFrame({"contig": df["contig"], "clone": df["junction"].map(name)})
-
-    return contigs.withColumn("len", F.length("junction")).groupBy("v", "j", "len").applyInPandas(link, "contig long, clone string")
+    """(contig, v, j, junction) -> (contig, clone): same V, J and junction length, single linkage at the identity over the
+    distinct junctions. A contig without a junction or a call has no clone (null); clone is v|j|length|the least junction.
+
+    Junctions that are alike enough have pieces in common: an equality join on these finds the candidates, which are verified, and components
+    link them, over all tasks. Pieces are cut finer, and more of them must agree, while that leaves many candidates to a junction.
+    """
+    whole = F.col("junction").isNotNull() & F.col("v").isNotNull() & F.col("j").isNotNull()
+    name = F.concat_ws("|", "v", "j", F.length("junction").cast("string"), "junction")
+    named = settle(contigs.withColumn("node", F.when(whole, name)).select("contig", "node", "v", "j", "junction"))
+    nodes = settle(named.where("node is not null").select("node", "v", "j", "junction").distinct())
+    size = F.length("junction")
+    most = F.floor(size * (1 - F.lit(identity)) + 1e-9)
+    count = nodes.count()
+    for shared in (1, 2, 3):
+        keys = nodes.select("node", "junction", most.alias("most"), F.explode(piece_keys(F.col("junction"), most, shared)).alias("k"))
+        keys = keys.select("node", "junction", "most", F.struct("k", F.regexp_replace("node", r"\|[^|]*$", "").alias("group")).alias("key"))
+        per = settle(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+        pairs = per.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+        if pairs <= CANDIDATES * count:
+            break
+    some = settle(keys.join(per.select("key"), "key", "left_semi"))
+    other = some.select("key", F.col("node").alias("b"), F.col("junction").alias("right"))
+    near = some.select("key", F.col("node").alias("a"), F.col("junction").alias("left"), "most").join(other, "key").where("a < b")
+    edges = near.where(hamming(F.col("left"), F.col("right")) <= F.col("most")).select("a", "b").distinct()
+    linked = components(edges, nodes.select("node"))
+    return settle(named.join(linked, "node", "left").select("contig", F.col("comp").alias("clone")), keep=True)
+
+
+def clone_names(contigs: DataFrame) -> DataFrame:
+    """As clone_groups at full identity: (contig, clone) by V, J and the very junction."""
+    whole = F.col("junction").isNotNull() & F.col("v").isNotNull() & F.col("j").isNotNull()
+    return contigs.select("contig", F.when(whole, F.concat_ws("|", "v", "j", F.length("junction").cast("string"), "junction")).alias("clone"))

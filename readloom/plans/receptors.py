@@ -228,8 +228,7 @@ def _(spark, sf):
 
 @query("clone_identity_tr", f"with {READS} select event_id as contig, gene || '|' || substr(seq, 1, 1) || '|5|' || substr(seq, 2, 5) as clone from reads")
 def _(spark, sf):
-    r = reads(spark, sf).select("event_id", "gene", F.substring("seq", 1, 1).alias("j"), F.substring("seq", 2, 5).alias("cdr3"))
-    return r.select(F.col("event_id").alias("contig"), F.concat_ws("|", "gene", "j", F.length("cdr3").cast("string"), "cdr3").alias("clone"))
+    return V.clone_names(reads(spark, sf).select(F.col("event_id").alias("contig"), F.col("gene").alias("v"), F.substring("seq", 1, 1).alias("j"), F.substring("seq", 2, 5).alias("junction")))
 
 
 #: Every seventh read has an N in its UMI, a letter like another.

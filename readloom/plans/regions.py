@@ -175,6 +175,15 @@ def _(spark, sf):
     return principal_components(t(spark, sf, "embeddings"), "vec_id", "embedding", 8)
 
 
+@query("component_gaps", """with e as (select unnest(range(len(embedding))) as i, unnest(embedding) as x from embeddings), c as (select cast(count(*) as double) as n, max(len(embedding)) as k from embeddings),
+steps as (select i, x, sum(d) as d from (select i, x, 1 as d from e, c where i < k - 1 union all select i - 1, x, -1 from e where i > 0) group by all),
+run as (select i, sum(d) over (partition by i order by x) as r from steps), g as (select i, cast(max(abs(r)) as double) / any_value(n) as d, any_value(n) as n from run, c group by i), t as (select i, d, d * sqrt(n / 2) as t from g)
+select cast(i as integer) as i, round(d, 9) as d, round(case when t < 0.2 then 1 else greatest(0, least(1, list_sum(list_transform(range(1, 101), lambda k: 2 * pow(-1, k + 1) * exp(-2 * k * k * t * t))))) end, 9) as p from t""")
+def _(spark, sf):
+    d = M.component_gaps(t(spark, sf, "embeddings").withColumnRenamed("embedding", "components"), "vec_id")
+    return d.select("i", F.round("d", 9).alias("d"), F.round("p", 9).alias("p"))
+
+
 @query("methyl_pca")
 def _(spark, sf):
     from ..operators.methyl import methyl_matrix, principal_components

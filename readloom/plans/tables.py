@@ -260,6 +260,23 @@ def _(spark, sf):
     return K.rank_test(c, halves(c))
 
 
+@query("find_markers", f"""with {DET}, {GRP}, tot as (select cell, sum(umis) as t from cnt group by cell), nm as (select c.cell, gene, 10000 * cast(umis as double) / cast(t as double) as v from cnt c join tot using (cell)),
+full_ as (select g.gene, grp.cell, cluster, coalesce(ln(1 + v), 0) as u, coalesce(v, 0) as v, v is not null as has from (select distinct gene from cnt) g cross join grp left join nm on nm.gene = g.gene and nm.cell = grp.cell),
+r as (select *, rank() over (partition by gene order by u) as lo, count(*) over (partition by gene, u) as m from full_),
+a as (select gene, cluster, sum(lo + (m - 1) / 2.0) as r, cast(count(*) as double) as n1, count_if(has) as w, sum(v) as s from r group by all),
+ti as (select gene, sum(cast(m * m - 1 as double)) as ties, cast(count(*) as double) as n, count_if(has) as wa, sum(v) as sa from r group by gene),
+m as (select gene, cluster, round(w / n1, 6) as pct_1, round((wa - w) / (n - n1), 6) as pct_2, round(log2((s / n1 + 1) / ((sa - s) / (n - n1) + 1)), 6) as log2_fc, r - n1 * (n + 1) / 2 as above, sqrt(n1 * (n - n1) / 12 * (n + 1 - ties / (n * (n - 1)))) as sd from a join ti using (gene)),
+z as (select *, case when abs(above) <= 0.5 then 0 else (above - sign(above) * 0.5) / sd end as z from m where greatest(pct_1, pct_2) >= 0.1 and log2_fc >= 0.001),
+y as (select *, abs(z) as x from z),
+p as (select *, least(0, ln(2) + case when x < 3 then ln(0.5 - exp(-x * x / 2) / sqrt(2 * pi()) * list_reduce(range(120, 0, -1), lambda f, k: x + f * x * x / (2 * k + 1), x))
+  else -x * x / 2 - ln(2 * pi()) / 2 - ln(list_reduce(range(400, 0, -1), lambda f, k: x + k / f, x)) end) as log_p from y)
+select cluster, gene, pct_1, pct_2, log2_fc, round(z, 6) as z, round(log_p, 6) as log_p, round(least(0, log_p + ln((select count(distinct gene) from cnt))), 6) as log_p_adj from p where exp(log_p) < 0.9""")
+def _(spark, sf):
+    c = cnt(spark, sf)
+    d = K.find_markers(c, halves(c), least_change=0.001, keep=0.9)
+    return d.select("cluster", "gene", "pct_1", "pct_2", "log2_fc", *[F.round(x, 6).alias(x) for x in ("z", "log_p", "log_p_adj")])
+
+
 @query("cluster_cells")
 def _(spark, sf):
     """Communities of the graph of shared neighbours of the embeddings, at the resolution that names clusters."""

@@ -1,5 +1,6 @@
 """Clustering steps against plain numpy, and remapped files."""
 
+import collections
 import random
 
 import numpy as np
@@ -36,6 +37,45 @@ def test_communities_find_the_blocks(spark):
     assert U.resolutions(e, (0.01, 1.0)).orderBy("resolution").collect()[-1].clusters == 4
 
 
+def test_clusters_are_connected(spark):
+    """A sparse random graph, a ring of cliques, a chain and a star: every cluster hangs together, and no whole is worse than its parts."""
+    r = random.Random(7)
+    edges = {(min(a, b), max(a, b)) for a, b in ((r.randrange(60), r.randrange(60)) for _ in range(80)) if a != b}
+    for k in range(6):
+        edges |= {(1000 + 5 * k + i, 1000 + 5 * k + j) for i in range(5) for j in range(i + 1, 5)}
+        edges.add(tuple(sorted((1000 + 5 * k, 1000 + (5 * k + 5) % 30))))
+    edges |= {(2000 + i, 2001 + i) for i in range(12)} | {(3000, 3001 + i) for i in range(9)}
+    e = spark.createDataFrame([(f"n{a:04d}", f"n{b:04d}", 1.0) for a, b in sorted(edges)], "a string, b string, w double")
+    found = U.communities(e, 1.0)
+    of = {int(x.node[1:]): x.cluster for x in found.collect()}
+    assert set(of) == {x for ab in edges for x in ab}
+    for c in set(of.values()):
+        left = {n for n, d in of.items() if d == c}
+        todo = [left.pop()]
+        while todo:
+            x = todo.pop()
+            near = {b if a == x else a for a, b in edges if x in (a, b)} & left
+            left -= near
+            todo += near
+        assert not left
+    assert all(len({of[1000 + 5 * k + i] for i in range(5)}) == 1 for k in range(6)) and len({of[3000 + i] for i in range(10)}) == 1
+    sizes = collections.Counter(of.values())
+    assert [sizes[c] for c in range(len(sizes))] == sorted(sizes.values(), reverse=True)
+    pieces = spark.createDataFrame([(f"n{n:04d}", n) for n in of], "node string, cluster int")
+    assert U.modularity(e, found, 1.0) > U.modularity(e, pieces, 1.0) and U.modularity(e, found, 1.0) > 0.7
+
+
+def test_moves_that_only_one_at_a_time_can_make(spark, monkeypatch):
+    """With the halves switched off, single best moves alone reach a place from which no move gains."""
+    r = random.Random(3)
+    edges = [(a, b, 1.0) for a in range(30) for b in range(a) if r.random() < (0.5 if a // 10 == b // 10 else 0.05)]
+    e = spark.createDataFrame(edges, "a long, b long, w double")
+    g = e.union(e.select("b", "a", "w")).toDF("a", "b", "w").cache()
+    label = g.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k")).withColumn("c", F.col("node"))
+    done = U.local_moving(g, label, 1.0, 2.0 * len(edges))
+    assert U.improving_moves(g, done, 1.0, 2.0 * len(edges)).count() == 0
+
+
 def test_shared_neighbours(spark):
     r = np.random.default_rng(1)
     x = r.normal(size=(40, 3))
