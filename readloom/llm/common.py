@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.spread import join_spread  # noqa: F401
 from ..scratch import delete, exists, hold, put, settle, shared_dir, sweep, tidy  # noqa: F401
 from ..shipping import ship
 
@@ -50,6 +51,14 @@ def packed(docs: DataFrame, without: str = "") -> Column:
     return F.struct(*[column(c).alias(c) for c in docs.columns if c.lower() != without.lower()])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with signs behind it while df has a column so called in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
@@ -100,18 +109,6 @@ def with_prefix(df: DataFrame, group: str, key: str, tie: list[str], value: str,
     return df.join(leads, [group, cut]).withColumn(out, F.col(out) + F.col(lead)).drop(cut, lead)
 
 
-def join_spread(left: DataFrame, right: DataFrame, on: str, weight: str, total: int, how: str = "inner") -> DataFrame:
-    """left joined with right, which has one row a key and in `weight` how many rows of left hold it, of `total` rows.
-
-    Keys that hold more than a thousandth of all rows are fewer than a thousand, so their rows are broadcast; what is
-    left to be shuffled has no hot key. `weight` is dropped.
-    """
-    hot = F.col(weight) * 1000 > total
-    few = F.broadcast(right.where(hot).drop(weight))
-    rest = left.join(few.select(on), on, "left_anti")
-    return left.join(few, on).unionByName(rest.join(right.where(~hot).drop(weight), on, how), allowMissingColumns=True)
-
-
 def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about `size` bytes: first row, row past the last, bytes, offsets of the run's rows."""
     if isinstance(texts, pa.ChunkedArray):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, column, join_spread, mix64, pieces, rolling, settle, slices, span_hash, table, text_of, tidy, word_spans
+from .common import BYTE_CODE, column, free_name, join_spread, mix64, pieces, rolling, settle, slices, span_hash, table, text_of, tidy, word_spans
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -332,9 +332,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     Rows that repeat both id and text of the kept one are told apart by the hash of their other columns; rows
     equal in everything become one. Ids may repeat or be null: classes are told apart by their texts.
     """
+    key_col, row_col = free_name(docs, "__key"), free_name(docs, "__row")
     row = F.xxhash64(*[column(c) for c in docs.columns if docs.schema[c].dataType.typeName() != "map"])
-    tagged = docs.withColumn("__key", F.unhex(F.md5(text_of(text_col).cast("binary")))).withColumn("__row", row)
-    rows = tagged.select(F.col(id_col).alias("id"), F.col("__key").alias("key"), F.col("__row").alias("row"))
+    tagged = docs.withColumn(key_col, F.unhex(F.md5(text_of(text_col).cast("binary")))).withColumn(row_col, row)
+    rows = tagged.select(F.col(id_col).alias("id"), F.col(key_col).alias("key"), F.col(row_col).alias("row"))
     found = classes(docs, id_col, text_col, similar).where("class_size > 1").groupBy("key", "comp").agg(F.count("*").alias("n"))
     found = settle(found)
     total = found.agg(F.sum("n")).first()[0] or 0
@@ -343,12 +344,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     lost = rows.select("id", "key", "row").distinct().join(first, (rows.key == first.key) & (rows.row == first.row) & rows.id.eqNullSafe(first.id), "left_anti")
     lost = settle(lost, keep=True)
     few = lost.count() <= BROADCAST_KEYS
-    lost = lost.select(F.col("id").alias("__i"), F.col("key").alias("__k"), F.col("row").alias("__r"))
-    same = (F.col("__key") == F.col("__k")) & (F.col("__row") == F.col("__r")) & F.col(id_col).eqNullSafe(F.col("__i"))
+    i, k, r = (free_name(docs, n) for n in ("__i", "__k", "__r"))
+    lost = lost.select(F.col("id").alias(i), F.col("key").alias(k), F.col("row").alias(r))
+    same = (F.col(key_col) == F.col(k)) & (F.col(row_col) == F.col(r)) & F.col(id_col).eqNullSafe(F.col(i))
     kept = tagged.join(F.broadcast(lost) if few else lost, same, "left_anti")
     again = rows.groupBy("id", "key", "row").count().where("count > 1").isEmpty()
-    kept = kept if again else kept.dropDuplicates([id_col, "__key", "__row"])
-    return kept.drop("__key", "__row")
+    kept = kept if again else kept.dropDuplicates([id_col, key_col, row_col])
+    return kept.drop(key_col, row_col)
 
 
 def op6_neardup(spark, sf_dir: str) -> DataFrame:

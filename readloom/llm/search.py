@@ -10,6 +10,7 @@ from .common import settle, table, tidy
 
 BITS = 64
 WIDTH = 13  # bits of a segment: five segments, of which each bucket holds one in 8,192 of the distinct codes
+CODES = 1 << 20  # distinct codes beyond which segments get a bit more for each doubling
 
 
 def sign_code(vector: str | Column, bits: int = BITS) -> Column:
@@ -28,12 +29,17 @@ def segments_of(width: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def width_for(codes: int) -> int:
+    """Bits of a segment for so many distinct codes."""
+    return min(WIDTH + max((codes - 1) // CODES, 0).bit_length(), BITS // 2)
+
+
 def segment(code: Column, first: int, width: int) -> Column:
     return F.shiftrightunsigned(code, first).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
 
 
 @tidy
-def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", width: int = WIDTH) -> DataFrame:
+def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", width: int | None = None) -> DataFrame:
     """(query, rank, neighbour, distance): for each query row the k rows of `rows` at the least Hamming distance.
 
     Distances are between sign codes; ties go to the smaller id; a query does not find its own id. Rows with a null id or
@@ -44,8 +50,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     query still open and each segment, the codes whose segment differs in exactly r bits, so all codes
     within s * (r + 1) - 1 bits have been seen after it (s segments). A query is closed when k verified
     neighbours lie within that distance. Equal query codes are searched once. A bucket of the index holds about
-    2**-width of the distinct codes: for far more than 2**20 codes a width near log2 of their number keeps the buckets short. It does not
-    follow the number of codes by itself, as each bit more multiplies the probes of a query.
+    2**-width of the distinct codes. The width, if none is given, is 13 up to 2**20 of them and grows by a bit for each doubling above, so that buckets
+    stay at 128 codes or so; below, each bit more would multiply the probes of a query for buckets that are short already.
     """
     code = sign_code(vector_col)
     keep = lambda df: df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), code.alias("code")).groupBy("id").agg(F.min("code").alias("code"))
@@ -54,7 +60,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     few = codes.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64))).withColumn("n", F.row_number().over(near)).where(F.col("n") <= k + 1)
     entries = settle(few.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids")), keep=True)
     asked = settle(keep(queries), keep=True)
-    parts = segments_of(width)
+    parts = segments_of(width or width_for(entries.count()))
     listed = F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), segment(F.col("code"), a, w).alias("value")) for i, (a, w) in enumerate(parts)]))
     index = settle(entries.select("code", F.size("ids").alias("held"), listed.alias("at")).select("code", "held", "at.seg", "at.value"))
     widest = max(w for _, w in parts)

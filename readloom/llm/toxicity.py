@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import labelled
-from .common import crc_mod, mix64, packed, pieces, slices, table, word_spans
+from .common import crc_mod, free_name, mix64, packed, pieces, slices, table, word_spans
 from .textstats import BANGS, DIGIT, FOLDED, KEPT, LOWER, PLAIN, PLAIN_KEPT, PUNCT, SIGNS, STOPS, UPPER, doc_sums, folded_hashes, word_hash
 
 FOLD = (5, 0)
@@ -255,7 +255,8 @@ def score(docs: DataFrame, model: Model, out: str = "score", text_col: str = "te
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose score is below the threshold, with all their columns."""
-    return score(docs, model, "__toxicity", text_col).where(F.col("__toxicity") < threshold).drop("__toxicity")
+    out = free_name(docs, "__toxicity")
+    return score(docs, model, out, text_col).where(F.col(out) < threshold).drop(out)
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import string
 
 import pyarrow as pa
 
-from readloom.llm import common, neardup, secrets
+from readloom.llm import common, neardup, search, secrets, toxicity
 
 
 def test_earlier_bands_are_whole_hashes():
@@ -32,3 +32,25 @@ def test_secrets_without_digits_and_beside_base_spans(spark):
     assert not any(spans[i] for i in range(len(kept)))
     at = [spans[len(kept) + i] for i in range(len(found))]
     assert at == [[(3, 4, 52)], [(3, 4, 44)], [(2, 4, 36), (3, 36, 85)], [(3, 4, 124)]]
+
+
+def test_columns_named_as_those_on_the_way_stay(spark):
+    common.find_package(spark)
+    text = "the same words of a text that is long enough to be compared with another one"
+    rows = [(i, text if i < 3 else f"{i} quite other words {i} that nobody else has {i}", i, f"r{i}", 0.25, "I") for i in range(6)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, __key long, __ROW string, __toxicity double, __i string")
+    kept = neardup.keep_one(d)
+    assert kept.columns == d.columns and sorted(tuple(r) for r in kept.collect()) == sorted(r for r in rows if r[0] not in (1, 2))
+    none = toxicity.fit(d, spark.createDataFrame([(1, 0)], "doc_id long, toxic int"))
+    left = toxicity.reject(d, none)
+    assert left.columns == d.columns and {r["__toxicity"] for r in left.collect()} <= {0.25}
+
+
+def test_segments_widen_with_the_codes(spark, monkeypatch):
+    assert [search.width_for(n) for n in (0, 1, 1 << 20, (1 << 20) + 1, 1 << 21, (1 << 21) + 1, 1 << 24)] == [13, 13, 13, 14, 14, 15, 17]
+    r = random.Random(8)
+    v = spark.createDataFrame([(i, [r.gauss(0, 1) for _ in range(64)]) for i in range(400)], "vec_id long, embedding array<double>")
+    few = search.search(v, v.where("vec_id < 5"), k=3)
+    monkeypatch.setattr(search, "CODES", 20)
+    wide = search.search(v, v.where("vec_id < 5"), k=3)
+    assert search.width_for(400) == 18 and sorted(map(tuple, few.collect())) == sorted(map(tuple, wide.collect()))
