@@ -24,8 +24,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced by a mark, n_chars counted anew where that is so."""
+    """All documents, secrets in their texts replaced by a mark, n_chars, if there is such a column, counted anew where there is a text.
+
+    Null texts stay null and keep their n_chars, empty ones are empty; long texts are whole; repeated rows and ids are rows of their own, changed alike.
+    """
     clean = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
 
 
@@ -36,7 +41,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document lies in the token-budget batches of its length bucket."""
+    """Where each document lies in the token-budget batches of its length bucket.
+
+    Null and empty texts have length 0 and lie in the first bucket; a text longer than a batch has one of its own. Repeated rows have slots of their own,
+    equal lengths are in the order of a hash of the id. Null sources and ids stay null.
+    """
     return packing.pack(docs, carry=["source"]).select("doc_id", "row.source", "length", "bucket", "bound", "batch", "slot", "padding")
 
 
