@@ -96,3 +96,17 @@ def undo_alteration(corrected: Column, alt: Column) -> Column:
     marks = F.arrays_zip(at.alias("at"), base.alias("base"))
     put = lambda s, m: F.concat(F.substring(s, F.lit(1), m["at"]), m["base"], F.substring(s, m["at"] + 2, F.length(s)))
     return F.when(alt == "M", corrected).otherwise(F.aggregate(marks, corrected, put))
+
+
+def structure(text: Column) -> Column:
+    """array<struct<code,length>> of a read structure such as B8L10U8 (see chemistry.parse_structure)."""
+    code, n = (F.regexp_extract_all(text, F.lit(r"([BLUXT])(\d+)"), F.lit(g)) for g in (1, 2))
+    return F.zip_with(code, n, lambda c, k: F.struct(c.alias("code"), k.cast("int").alias("length")))
+
+
+def read_structure(text: Column) -> Column:
+    """bc:0:16,um:17:28 -> 17C12M+T; ends count, other parts than bc and um do not (see chemistry.read_structure)."""
+    part = lambda p, i: F.get(F.split(p, ":"), F.lit(i))
+    parts = F.filter(F.split(text, ","), lambda p: part(p, 0).isin("bc", "um"))
+    parts = F.transform(parts, lambda p: F.struct(part(p, 1).cast("int").alias("first"), part(p, 2).cast("int").alias("last"), F.when(part(p, 0) == "bc", "C").otherwise("M").alias("code")))
+    return F.concat(F.array_join(F.transform(F.array_sort(parts), lambda p: F.concat((p["last"] - p["first"] + 1).cast("string"), p["code"])), ""), F.lit("+T"))

@@ -119,10 +119,14 @@ def running(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
     return d.withColumn(name, inside).join(F.broadcast(per), PART).withColumn(name, F.col(name) + F.col("__lead")).drop("__lead", PART, PLACE)
 
 
+def barcode_reads(reads: DataFrame) -> DataFrame:
+    """(cell, n): reads of each barcode, as many as its file of write_bam(by="cell") has records."""
+    return reads.groupBy("cell").agg(F.count("*").alias("n"))
+
+
 def top_barcodes(reads: DataFrame, limit: int = 12_000, skip: Column | None = None) -> DataFrame:
     """(cell, n): the barcodes with most reads, those of `skip` (first mates) not counted."""
-    d = reads if skip is None else reads.where(~skip)
-    return d.groupBy("cell").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cell").limit(limit)
+    return barcode_reads(reads if skip is None else reads.where(~skip)).orderBy(F.desc("n"), "cell").limit(limit)
 
 
 def with_barcode(reads: DataFrame, missing: str = "missing_barcode", cell: str = "cell") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..shipping import ship
+from .intervals import stab
 from .ranking import PART, PLACE, in_ranges
 
 
@@ -36,6 +37,17 @@ def bins(allc: DataFrame, width: int, cpg: bool = True) -> DataFrame:
     return d.groupBy("cell", "chrom", F.floor((F.col("pos") - 1) / width).alias("bin")).agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
 
 
+def region_counts(allc: DataFrame, regions: DataFrame, width: int = 1 << 14, cpg: bool = True) -> DataFrame:
+    """(cell, region, mc, cov) over named regions (chrom, start, end, name), from 0 and half-open; a site in several regions counts in each.
+
+    Sites are added up over cells' repeated rows first and meet regions by an equality join on (chrom, bin).
+    """
+    d = allc.where(is_cpg()) if cpg else allc
+    d = d.groupBy("cell", "chrom", (F.col("pos") - 1).alias("pos")).agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
+    hit = stab(d, regions.select("chrom", "start", "end", F.col("name").alias("region")).where("start < end"), width)
+    return hit.groupBy("cell", "region").agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
+
+
 def cpg_counts(allc: DataFrame) -> DataFrame:
     """(cell, cpg, lines): sites in CpG context, and all."""
     return allc.groupBy("cell").agg(F.count_if(is_cpg()).alias("cpg"), F.count("*").alias("lines"))

@@ -130,6 +130,11 @@ def conversion_rates(df: DataFrame, counted: int) -> DataFrame:
     return df.agg(F.coalesce(lines("A"), F.lit(0)).cast("long").alias("line_a"), F.coalesce(lines("B"), F.lit(0)).cast("long").alias("line_b"), rate("A").alias("ct_mean"), rate("B").alias("cc_mean"))
 
 
+def first_reads(df: DataFrame, ordinal: str | list[str], n: int) -> DataFrame:
+    """The first n reads in file order (see cap_reads): each task keeps n at most, then they are merged."""
+    return df.orderBy(*([ordinal] if isinstance(ordinal, str) else ordinal)).limit(n)
+
+
 def cap_reads(df: DataFrame, barcode: str, ordinal: str | list[str], limit: int) -> DataFrame:
     """The first `limit` reads of each barcode, in file order: by ordinal, or by (file, ordinal) where ordinals restart in every file."""
     order = [ordinal] if isinstance(ordinal, str) else list(ordinal)

@@ -137,7 +137,7 @@ def _(spark, sf):
 
 @query("per_cell_partition_counts", f"with {READS} select cell, count(*) as n from reads group by cell")
 def _(spark, sf):
-    return reads(spark, sf).groupBy("cell").agg(F.count("*").alias("n"))
+    return C.barcode_reads(reads(spark, sf))
 
 
 @query("matrix_colsum", f"with {DET} select cell, cast(sum(umis) as bigint) as umis from cnt group by cell")

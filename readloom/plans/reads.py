@@ -33,9 +33,8 @@ e as (select p_partkey, unnest(regexp_extract_all(structure, '([BLUXT])(\\d+)',
 select p_partkey, cast(i as integer) as nth, code, cast(len as integer) as length from e""")
 def _(spark, sf):
     s = F.concat(F.lit("B"), F.col("p_size").cast("string"), F.lit("U"), (F.col("p_partkey") % 12 + 1).cast("string"), F.lit("X3"))
-    x = lambda g: F.regexp_extract_all(s, F.lit(r"([BLUXT])(\d+)"), F.lit(g))
-    d = t(spark, sf, "part").select("p_partkey", F.posexplode(F.arrays_zip(x(1).alias("code"), x(2).alias("len"))).alias("nth", "s"))
-    return d.select("p_partkey", "nth", "s.code", F.col("s.len").cast("int").alias("length"))
+    d = t(spark, sf, "part").select("p_partkey", F.posexplode(S.structure(s)).alias("nth", "s"))
+    return d.select("p_partkey", "nth", "s.code", "s.length")
 
 
 @query("anchor_shift", f"with {READS} select event_id, cast(case when strpos(substr(seq, 1, 7), 'AC') > 0 then strpos(substr(seq, 1, 7), 'AC') end as integer) as start, case when strpos(substr(seq, 1, 7), 'AC') > 0 then 'valid' else 'no_anchor' end as status from reads")
@@ -52,9 +51,7 @@ def _(spark, sf):
 def _(spark, sf):
     size, umi = F.col("p_size"), F.col("p_partkey") % 12
     text = F.concat(F.lit("um:"), (size + 1).cast("string"), F.lit(":"), (size + 1 + umi).cast("string"), F.lit(",bc:0:"), size.cast("string"))
-    parts = F.transform(F.split(text, ","), lambda p: F.struct(F.split(p, ":")[1].cast("int").alias("a"), F.split(p, ":")[2].cast("int").alias("b"), F.when(p.startswith("bc"), "C").otherwise("M").alias("k")))
-    joined = F.array_join(F.transform(F.array_sort(parts), lambda p: F.concat((p["b"] - p["a"] + 1).cast("string"), p["k"])), "")
-    return t(spark, sf, "part").select("p_partkey", F.concat(joined, F.lit("+T")).alias("structure"))
+    return t(spark, sf, "part").select("p_partkey", S.read_structure(text).alias("structure"))
 
 
 ALT = f"with {READS}, a as (select event_id, substr(seq, 1, 6) as raw, substr(seq, 1, 2) || 'G' || substr(seq, 4, 2) || 'A' as fixed from reads)"
@@ -306,13 +303,15 @@ def _(spark, sf):
 @query("candidate_product", f"with {WHITE}, a as (select distinct substr(barcode, 1, 2) as x from white), b as (select distinct substr(barcode, 3, 2) as y from white) select x || y as candidate from a, b")
 def _(spark, sf):
     w = whitelist(spark, sf).agg(F.collect_set(F.substring("barcode", 1, 2)).alias("x"), F.collect_set(F.substring("barcode", 3, 2)).alias("y"))
-    return w.select(F.explode("x").alias("x"), "y").select("x", F.explode("y").alias("y")).select(F.concat("x", "y").alias("candidate"))
+    return w.select(F.explode(B.product([F.col("x"), F.col("y")])).alias("candidate"))
 
 
 @query("adapter_exact", f"with {READS} select event_id, strpos(seq, 'ACGT') > 0 as trimmed, case when strpos(seq, 'ACGT') > 0 then substr(seq, 1, strpos(seq, 'ACGT') - 1) else seq end as kept from reads")
 def _(spark, sf):
-    at = F.locate("ACGT", F.col("seq"))
-    return reads(spark, sf).select("event_id", (at > 0).alias("trimmed"), F.when(at > 0, F.substring(F.col("seq"), F.lit(1), at - 1)).otherwise(F.col("seq")).alias("kept"))
+    from ..operators.matching import trim
+
+    # an adapter without errors that must lie in the read as a whole
+    return trim(reads(spark, sf).select("event_id", "seq"), "seq", [("ACGT", "3")], rate=0.0, overlap=4).select("event_id", "trimmed", "kept")
 
 
 @query("quality_tail", f"""with {READS}, q as (select event_id, unnest(range(1, 33)) as i, {QUAL} as q from reads) select event_id, cast(coalesce(max(case when ascii(substr(q, i, 1)) - 33 >= 3 then i end), 0) as integer) as kept from q group by 1""")

@@ -94,6 +94,13 @@ def _(spark, sf):
     return M.bins(allc(spark, sf), 100)
 
 
+@query("region_matrix", f"""with {ALLC}, {IV}, s as (select cell, chrom, pos - 1 as pos, sum(mc) as mc, sum(cov) as cov from allc where context like 'CG%' group by all), r as (select chrom, start, "end", 'g' || (gene % 50) as region from iv where start < "end" and gene % 11 = 0)
+select cell, region, cast(sum(mc) as bigint) as mc, cast(sum(cov) as bigint) as cov from s join r on s.chrom = r.chrom and s.pos >= r.start and s.pos < r."end" group by cell, region""")
+def _(spark, sf):
+    r = iv(spark, sf).where("gene % 11 = 0").withColumn("name", F.concat(F.lit("g"), (F.col("gene") % 50).cast("string")))
+    return M.region_counts(allc(spark, sf), r, 64)
+
+
 @query("cpg_count", f"with {ALLC} select cell, count(*) filter (context like 'CG%') as cpg, count(*) as lines from allc group by cell")
 def _(spark, sf):
     return M.cpg_counts(allc(spark, sf))

@@ -333,14 +333,18 @@ def _(spark, sf):
     return methyl_trim(d, "r1", "r2", "TYGTCGGYAG", "CTRCCGACRA").select("event_id", "r1_kept", "r2_kept")
 
 
-@query("hash_sample", f"with {READS} select event_id from reads where cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) % 10 < 3")
+@query("hash_sample", f"with {READS} select event_id from reads where cast('0x' || substr(md5(cast(event_id as varchar)), 1, 8) as bigint) < floor(0.3 * 4294967296)")
 def _(spark, sf):
-    return reads(spark, sf).where(F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 8), 16, 10).cast("long") % 10 < 3).select("event_id")
+    from ..operators.names import sampled
+
+    return sampled(reads(spark, sf), "event_id", 0.3).select("event_id")
 
 
 @query("first_reads", f"with {READS} select event_id, cell from reads order by event_id limit 1000")
 def _(spark, sf):
-    return reads(spark, sf).select("event_id", "cell").orderBy("event_id").limit(1000)
+    from ..operators.reads import first_reads
+
+    return first_reads(reads(spark, sf).select("event_id", "cell"), "event_id", 1000)
 
 
 @query("clone_matrix", "with c as (select o_orderkey as cell, case when o_orderkey % 3 = 0 then 'TRB' when o_orderkey % 3 = 1 then 'TRA' end as vdj, case when o_orderkey % 2 = 0 then 'TRA' end as vj, o_orderstatus = 'F' as p_vdj, o_orderstatus <> 'P' as p_vj, o_custkey % 9 as umis from orders) select round(cast(count(*) filter (vdj = 'TRB' and vj = 'TRA') as double) / count(*), 9) as pair, round(cast(count(*) filter (p_vdj and vj = 'TRA') as double) / count(*), 9) as tra, round(cast(count(*) filter (p_vj and vdj = 'TRB') as double) / count(*), 9) as trb, coalesce(median(case when vdj = 'TRB' then umis end), 0) as trb_umis from c")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.ranking import ordinals
-from .scratch import _file_system
+from .scratch import _file_system, settle, tidy
+from .sources.fastq import SPLIT, read_fastq_pairs
 
 
 def indexed(df: DataFrame, col: str, name: str) -> DataFrame:
@@ -55,6 +58,20 @@ def write_pairs(reads: DataFrame, path: str, one: tuple[str, str, str], two: tup
         ranged.select(rec).write.option("compression", "gzip").text(f"{path}/{i}")
 
 
+@tidy
+def process_pairs(spark: SparkSession, r1: list[str], r2: list[str], worker: Callable[[DataFrame], DataFrame], path: str, split: int = SPLIT) -> DataFrame:
+    """Runs a worker over the read pairs of files and returns (status, reads), how many reads got each status.
+
+    worker: a function from the pairs (see sources.fastq.PAIR) to rows that keep these columns and add `status`, such as operators.barcodes.assign; its rows of
+    status valid are written below `path` and those of status multi below `path`-multi, both mates in step and in file order. It may be any
+    composition of Spark operations, Arrow or pandas functions included; it runs once over each part of the files.
+    """
+    done = settle(worker(read_fastq_pairs(spark, r1, r2, split)))
+    for status, where in (("valid", path), ("multi", f"{path}-multi")):
+        write_pairs(done.where(F.col("status") == status), where, ("name", "r1_seq", "r1_qual"), ("name", "r2_seq", "r2_qual"))
+    return settle(done.groupBy("status").agg(F.count("*").alias("reads")), keep=True)
+
+
 def multi_candidates(assigned: DataFrame, name: str = "name") -> DataFrame:
     """Reads of status multi (see operators.barcodes.assign) with the header that the later rescue takes apart: raw barcode, candidates joined by :, UMI and name."""
     header = F.concat_ws("_", "raw", F.array_join("candidates", ":"), "umi", name)

@@ -91,3 +91,30 @@ def test_what_is_no_fastq_is_an_error(spark, tmp_path, kind):
             Q.read_fastq_pairs(spark, [good], [short], split=split).collect()
     none = put(tmp_path / "none.fq", b"", kind)
     assert Q.read_fastq_pairs(spark, [none], [none], split=600).count() == 0
+
+
+def test_a_worker_over_pairs(spark, tmp_path):
+    """A worker of the user's, with a pandas function in it, over files read in parts; mates stay in step."""
+    from pyspark.sql import functions as F
+
+    from readloom import sinks
+
+    r = random.Random(9)
+    one, two = text(r, 120, tag="a").encode(), text(r, 120, tag="a").encode()
+    files = [put(tmp_path / f"{i}.fq", raw, "plain") for i, raw in enumerate((one, two))]
+
+    def worker(d):
+        @F.pandas_udf("string")
+        def status(s):
+            return s.str.len().map(lambda n: ["valid", "multi", "no_barcode"][n % 3])
+
+        return d.withColumn("status", status("r1_seq")).withColumn("r1_seq", F.reverse("r1_seq"))
+
+    got = dict(map(tuple, sinks.process_pairs(spark, files[:1], files[1:], worker, str(tmp_path / "out"), split=3000).collect()))
+    a, b = parsed(one), parsed(two)
+    kind = [["valid", "multi", "no_barcode"][len(x[1]) % 3] for x in a]
+    assert got == {k: kind.count(k) for k in set(kind)}
+    for k, folder in (("valid", "out"), ("multi", "out-multi")):
+        lines = [[x for f in sorted((tmp_path / folder / m).glob("*.gz")) for x in gzip.open(f, "rt").read().splitlines()] for m in "12"]
+        assert lines[0][1::4] == [x[1][::-1] for x, s in zip(a, kind) if s == k] and lines[1][1::4] == [x[1] for x, s in zip(b, kind) if s == k]
+        assert lines[0][0::4] == lines[1][0::4]
