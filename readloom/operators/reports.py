@@ -14,6 +14,9 @@ BIOTYPES = {
     "rRNA": ["rRNA"],
     "Mt_rRNA": ["Mt_rRNA"],
 }
+#: Texts and colours of the report page.
+NO_CLONES, BACKGROUND, CELL_TEXT = "No clonotype data available", "Background", "%.0f%% Cells<br>%d/%d"
+BACKGROUND_COLOR, CELL_COLOR = "rgba(221, 221, 221, 1.0)", "rgba(80, 80, 201, %.2f)"
 
 
 def percent(share: Column, digits: int = 2) -> Column:
@@ -102,7 +105,7 @@ def bars(rows: DataFrame, title: str, x: str, y: str, x_title: str, y_title: str
     pair = F.collect_list(F.struct(F.col(x).cast("string").alias("x"), F.col(y).cast("double").alias("y")))
     axis = lambda t: F.struct(F.lit(t).alias("title"))
     data = F.struct(F.transform("p", lambda v: v["x"]).alias("x"), F.transform("p", lambda v: v["y"]).alias("y"), axis(x_title).alias("xaxis"), axis(y_title).alias("yaxis"))
-    text = F.when(F.size("p") > 0, F.lit(about)).otherwise(F.lit("No clonotype data available"))
+    text = F.when(F.size("p") > 0, F.lit(about)).otherwise(F.lit(NO_CLONES))
     return top.agg(pair.alias("p")).select(F.struct(F.lit(id_).alias("id"), F.lit("PlotlyBar").alias("name"), F.lit(title).alias("title"), data.alias("data"), text.alias("description")).alias("item"))
 
 
@@ -119,10 +122,10 @@ def rank_blocks(ranked: DataFrame, first: int = 1000, factor: int = 4) -> DataFr
     from .counts import rank_segments
 
     s = rank_segments(ranked, first, factor).withColumn("share", F.col("cells") / F.col("barcodes"))
-    cells = F.format_string("%.0f%% Cells<br>%d/%d", F.col("share") * 100, F.col("cells"), F.col("barcodes"))
+    cells = F.format_string(CELL_TEXT, F.col("share") * 100, F.col("cells"), F.col("barcodes"))
     strong = F.greatest(F.col("share"), F.lit(0.1))
-    text = F.when(F.col("segment") == "background", "Background").otherwise(cells)
-    color = F.when(F.col("segment") == "background", "rgba(221, 221, 221, 1.0)").otherwise(F.format_string("rgba(80, 80, 201, %.2f)", F.when(F.col("segment") == "leading", 1.0).otherwise(strong)))
+    text = F.when(F.col("segment") == "background", BACKGROUND).otherwise(cells)
+    color = F.when(F.col("segment") == "background", BACKGROUND_COLOR).otherwise(F.format_string(CELL_COLOR, F.when(F.col("segment") == "leading", 1.0).otherwise(strong)))
     return s.select(F.col("first_rank").alias("x"), text.alias("text"), color.alias("color"), "barcodes", "cells")
 
 
