@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..scratch import release, scope, settle, tidy
 from ..shipping import ship
+from .spread import join_spread
 from .umi import components
 
 #: Fixed values of the workflow: share of points in a local fit, places it is made at, least overlap of neighbours, largest scaled value.
@@ -103,13 +104,23 @@ def scaled(values: DataFrame, genes: DataFrame, covariate: DataFrame) -> DataFra
 
 def shared_neighbours(knn: DataFrame, key: str, least: float = OVERLAP) -> DataFrame:
     """(a, b, w), a < b: rows of a nearest-neighbour table (key, neighbour) whose neighbourhoods, themselves included, overlap; w is their
-    Jaccard similarity, at least `least`. Every row has the same number of neighbours."""
+    Jaccard similarity, at least `least`.
+
+    Sets of n that are alike share ceil(least * n) members at least, so one of those that remain when each set leaves out one less of its most frequent:
+    rows meet by these alone, and what very many have as their neighbour makes no pairs. Pairs are then compared set by set.
+    """
     own = knn.select(F.col(key).alias("a"), F.col("neighbour").alias("n"))
-    whole = own.unionByName(own.select("a", F.col("a").alias("n")).distinct())
-    size = whole.groupBy("a").agg(F.count("*").alias("k"))
-    both = whole.join(whole.withColumnRenamed("a", "b"), "n").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    both = both.join(size, "a").join(size.withColumnRenamed("a", "b").withColumnRenamed("k", "k2"), "b")
-    return both.select("a", "b", (F.col("shared") / (F.col("k") + F.col("k2") - F.col("shared"))).alias("w")).where(F.col("w") >= least)
+    whole = own.unionByName(own.select("a", F.col("a").alias("n"))).distinct()
+    often = whole.groupBy("n").agg(F.count("*").alias("f"))
+    often = often.select("n", F.col("f").alias("held"), F.col("f").alias("f"))
+    placed = join_spread(whole, often, "n", "held", max(whole.count(), 1))
+    sets = placed.groupBy("a").agg(F.transform(F.sort_array(F.collect_list(F.struct("f", "n"))), lambda x: x["n"]).alias("set"))
+    size = F.size("set")
+    rare = sets.select("a", F.explode(F.slice("set", F.lit(1), (size - F.ceil(least * size - 1e-9) + 1).cast("int"))).alias("n"))
+    pairs = rare.join(rare.withColumnRenamed("a", "b"), "n").where("a < b").select("a", "b").distinct()
+    both = pairs.join(sets, "a").join(sets.select(F.col("a").alias("b"), F.col("set").alias("other")), "b")
+    shared = F.size(F.array_intersect("set", "other"))
+    return both.select("a", "b", (shared / (size + F.size("other") - shared)).alias("w")).where(F.col("w") >= least)
 
 
 def improving_moves(graph: DataFrame, label: DataFrame, resolution: float, m2: float) -> DataFrame:

@@ -118,26 +118,25 @@ def variable_features(frac: DataFrame, cells: int, top: int) -> list[tuple]:
     """(chrom, bin, scale) of the `top` bins whose dispersion over all cells lies highest above its trend, sorted.
 
     Dispersion is deviation over mean, its trend a quadratic in the logarithms of mean and coverage. scale is the
-    deviation of log f. A bin without reads in a cell counts as 1. One row per bin comes to the driver.
+    deviation of log f. A bin without reads in a cell counts as 1. The trend is solved from sums over all bins; the driver gets
+    these sums and the `top` rows.
     """
-    log = F.log("f")
-    sums = frac.groupBy("chrom", "bin").agg(F.sum("f"), F.sum(F.col("f") * F.col("f")), F.count("*"), F.sum("cov"), F.sum(log), F.sum(log * log))
-    rows = sorted(tuple(r) for r in sums.collect())
-    if not rows:
-        return []
-    f, ff, n, cov, g, gg = np.array([r[2:] for r in rows], float).T
-    mean = (f + cells - n) / cells
-    sd = np.sqrt(np.maximum((ff + cells - n) / cells - mean**2, 0))
-    scale = np.sqrt(np.maximum(gg / cells - (g / cells) ** 2, 0))
-    scale[scale < 1e-9] = 1.0
-    pick = np.arange(len(rows))
-    if len(rows) > top:
-        x, y = np.log2(mean), np.log2(cov / cells)
-        design = np.stack([np.ones(len(x)), x, y, x * x, x * y, y * y], 1)
-        spread = np.log2(np.maximum(sd / mean, 1e-9))
-        above = spread - design @ np.linalg.lstsq(design, spread, rcond=None)[0]
-        pick = np.sort(np.argsort(-above, kind="stable")[:top])
-    return [(rows[i][0], rows[i][1], float(scale[i])) for i in pick]
+    log, n = F.log("f"), F.lit(float(cells))
+    sums = frac.groupBy("chrom", "bin").agg(F.sum("f").alias("f"), F.sum(F.col("f") * F.col("f")).alias("ff"), F.count("*").alias("n"), F.sum("cov").alias("cov"), F.sum(log).alias("g"), F.sum(log * log).alias("gg"))
+    mean = (F.col("f") + n - F.col("n")) / n
+    scale = F.sqrt(F.greatest(F.col("gg") / n - F.pow(F.col("g") / n, F.lit(2.0)), F.lit(0.0)))
+    sd = F.sqrt(F.greatest((F.col("ff") + n - F.col("n")) / n - mean * mean, F.lit(0.0)))
+    rows = sums.select("chrom", "bin", F.when(scale < 1e-9, 1.0).otherwise(scale).alias("scale"), F.log2(mean).alias("x"), F.log2(F.col("cov") / n).alias("y"), F.log2(F.greatest(sd / mean, F.lit(1e-9))).alias("spread"))
+    if rows.count() > top:
+        x, y, spread = F.col("x"), F.col("y"), F.col("spread")
+        terms = [F.lit(1.0), x, y, x * x, x * y, y * y]
+        k = len(terms)
+        # all sums of products of two terms, and of a term with the dispersion
+        moments = rows.agg(*[F.sum(terms[i] * terms[j]) for i in range(k) for j in range(k)], *[F.sum(t * spread) for t in terms]).first()
+        fit = np.linalg.lstsq(np.array(moments[: k * k], float).reshape(k, k), np.array(moments[k * k :], float), rcond=None)[0]
+        above = spread - sum((F.lit(float(c)) * t for c, t in zip(fit, terms)), F.lit(0.0))
+        rows = rows.orderBy(F.desc(above), "chrom", "bin").limit(top)
+    return sorted((r.chrom, r.bin, r.scale) for r in rows.select("chrom", "bin", "scale").collect())
 
 
 def methyl_matrix(df: DataFrame, cells: DataFrame, top: int = 2500) -> DataFrame:

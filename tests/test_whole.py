@@ -46,3 +46,21 @@ def test_cell_call_of_the_reference(spark):
     sums = spark.createDataFrame([(i, 1000 if i < 50 else 1) for i in range(500)], "cell long, umis long")
     got = {r.cell for r in L.ordmag_resampled(sums, 300).collect()}
     assert got == set(range(len(got))) and 45 <= len(got) <= 55
+
+
+def test_variable_bins_lie_above_the_trend(spark):
+    """The bins chosen and their scales against numpy's least squares."""
+    r = np.random.default_rng(6)
+    cells, bins = 40, 60
+    rows = [(f"c{i}", "chr1", b, float(r.gamma(2 if b % 9 else 0.5, 0.5) + 0.05), int(r.integers(1, 4 + b))) for i in range(cells) for b in range(bins) if r.random() < 0.8]
+    got = Y.variable_features(spark.createDataFrame(rows, "cell string, chrom string, bin long, f double, cov long"), cells, 10)
+    f, cov = np.ones((cells, bins)), np.zeros(bins)
+    for c, _, b, x, n in rows:
+        f[int(c[1:]), b] = x
+        cov[b] += n
+    mean, sd, scale = f.mean(0), f.std(0), np.log(f).std(0)
+    x, y, spread = np.log2(mean), np.log2(cov / cells), np.log2(sd / mean)
+    design = np.stack([np.ones(bins), x, y, x * x, x * y, y * y], 1)
+    above = spread - design @ np.linalg.lstsq(design, spread, rcond=None)[0]
+    pick = sorted(np.argsort(-above)[:10])
+    assert [(c, b) for c, b, _ in got] == [("chr1", b) for b in pick] and np.allclose([s for *_, s in got], scale[pick])
