@@ -9,8 +9,8 @@ A suffix array here is sparse: it holds the suffixes at the starts of segments,
 by the segment, both as 64-bit fingerprints. Matches need no more of an order than that equal beginnings lie
 together, and fingerprints spread evenly over the ranges of a table. An Index keeps such arrays as levels, tables
 of Parquet in ranges. A new batch of texts is sorted into an array of its own and merge-scanned against every
-level: where an anchor occurs again, the windows of its segments are sorted by all their bytes and equal
-neighbours are marked, in the batch and in the levels. Then levels of equal size are merged, so n batches
+level: where an anchor occurs again, the windows of its segments are sorted by a fingerprint, equal neighbours are
+compared byte by byte and marked, in the batch and in the levels. Then levels of equal size are merged, so n batches
 leave log2(n) + 1 levels at most and each suffix is rewritten log2(n) times at most.
 """
 
@@ -37,6 +37,7 @@ ROWS = 2_000  # entries to a task of the scan, about
 CROWD = 128  # entries to one shard beyond which they are cut finer
 BLOCK = 16  # windows in an aligned block of a crowded anchor
 PLACES = np.uint64((1 << 24) - 1)  # bits of a packed minimum that hold the place
+PAIRS = 4096  # windows compared byte by byte at once
 PIECE = 8 << 20  # window starts handled at once in one very long text
 BROADCAST_KEYS = 200_000
 
@@ -100,15 +101,28 @@ def runs_of(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.flatnonzero(edge == -1) - start
 
 
+def window_keys(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Keys that are equal where the windows at these places are: 64-bit fingerprints, once the bytes of all that share one were found equal; else the bytes themselves."""
+    keys = span_hash(rolling(BYTE_CODE[text]), at, at + SPAN)
+    windows = np.lib.stride_tricks.sliding_window_view(text, SPAN)
+    order = np.argsort(keys, kind="stable")
+    pairs = np.flatnonzero(keys[order][1:] == keys[order][:-1])
+    for lo in range(0, len(pairs), PAIRS):
+        i = pairs[lo : lo + PAIRS]
+        if not np.array_equal(windows[at[order[i]]], windows[at[order[i + 1]]]):
+            return np.ascontiguousarray(windows[at]).view(f"S{SPAN}").ravel()
+    return keys
+
+
 def repeated(text: np.ndarray, start: np.ndarray, n: np.ndarray, held: np.ndarray, level: np.ndarray) -> np.ndarray:
     """Which windows of a shard occur twice or more with a place in the new batch.
 
-    The batch's windows are sorted by their bytes, compared among themselves, and merge-scanned against the windows of each
+    The batch's windows are sorted by their keys, compared among themselves, and merge-scanned against the windows of each
     level in turn. An entry stands for `held` places of the same bytes.
     """
     who = np.repeat(np.arange(len(n)), n)
     at = start[who] + np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
-    keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, SPAN)[at]).view(f"S{SPAN}").ravel()
+    keys = window_keys(text, at)
     of = level[who]
     mark = (of == NEW) & (held[who] > 1)
 

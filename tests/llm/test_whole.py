@@ -3,9 +3,10 @@
 import random
 import string
 
+import numpy as np
 import pyarrow as pa
 
-from readloom.llm import common, neardup, search, secrets, toxicity
+from readloom.llm import common, neardup, search, secrets, suffixes, toxicity
 
 
 def test_earlier_bands_are_whole_hashes():
@@ -54,3 +55,19 @@ def test_segments_widen_with_the_codes(spark, monkeypatch):
     monkeypatch.setattr(search, "CODES", 20)
     wide = search.search(v, v.where("vec_id < 5"), k=3)
     assert search.width_for(400) == 18 and sorted(map(tuple, few.collect())) == sorted(map(tuple, wide.collect()))
+
+
+def test_windows_of_one_fingerprint_are_told_apart(monkeypatch):
+    """Where different windows share a fingerprint their bytes are the keys."""
+    r = np.random.default_rng(4)
+    half = r.integers(97, 100, 700).astype(np.uint8)
+    text = np.concatenate([half, half, r.integers(97, 100, 700).astype(np.uint8)])
+    start, n = np.array([0, 700, 1400]), np.array([301, 301, 301])
+    held, level = np.array([1, 1, 1]), np.array([suffixes.NEW, 0, suffixes.NEW])
+    mark = suffixes.repeated(text, start, n, held, level)
+    assert mark[:602].all() and not mark[602:].any()
+    at = np.arange(300)
+    assert suffixes.window_keys(text, at).dtype == np.uint64
+    monkeypatch.setattr(suffixes, "rolling", lambda codes: np.zeros(len(codes) + 1, np.uint64))
+    assert suffixes.window_keys(text, at).dtype == "S400"
+    assert (suffixes.repeated(text, start, n, held, level) == mark).all()
