@@ -102,6 +102,19 @@ def log_factorial(n: np.ndarray) -> np.ndarray:
     return np.fromiter((math.lgamma(x + 1.0) for x in n), float, len(n))
 
 
+def log_likelihoods(counts: DataFrame, cands: DataFrame, profile: DataFrame) -> DataFrame:
+    """(cell, umis, loglik): of each candidate (cell, umis) the multinomial log-likelihood of its counts (cell, gene, umis) under the shares (gene, p), all of which are above 0."""
+    ship(counts.sparkSession)
+
+    @F.pandas_udf("double")
+    def factorial(n: pd.Series) -> pd.Series:
+        return pd.Series(log_factorial(n.to_numpy()))
+
+    own = counts.join(cands.select("cell", F.col("umis").alias("total")), "cell").join(profile.select("gene", "p"), "gene")
+    found = own.groupBy("cell", F.col("total").cast("long").alias("umis")).agg(F.sum(F.col("umis") * F.log("p") - factorial("umis")).alias("part"))
+    return found.select("cell", "umis", (F.col("part") + factorial("umis")).alias("loglik"))
+
+
 def trajectory(rng: np.random.Generator, edges: np.ndarray, logp: np.ndarray, logs: np.ndarray) -> np.ndarray:
     """Multinomial log-likelihoods of one simulated barcode as it grows molecule by molecule, after 1, 2, ... of them.
 
@@ -131,13 +144,7 @@ def ambient_test(counts: DataFrame, cands: DataFrame, profile: DataFrame, simula
     ship(spark)
     share = np.array([r.p for r in profile.select("p").orderBy("gene").collect()])
 
-    @F.pandas_udf("double")
-    def factorial(n: pd.Series) -> pd.Series:
-        return pd.Series(log_factorial(n.to_numpy()))
-
-    own = counts.join(cands.select("cell", F.col("umis").alias("total")), "cell").join(profile.select("gene", "p"), "gene")
-    found = own.groupBy("cell", F.col("total").cast("long").alias("umis")).agg(F.sum(F.col("umis") * F.log("p") - factorial("umis")).alias("part"))
-    found = found.select("cell", "umis", (F.col("part") + factorial("umis")).alias("loglik"))
+    found = log_likelihoods(counts, cands, profile)
     cells = found.orderBy("umis", "cell").toPandas()
     if not len(cells):
         return spark.createDataFrame([], found.schema.add("p", "double"))
